@@ -192,3 +192,147 @@ def q_length_hist(spark, sf):
                                        F.struct(F.lit("tgt").alias("side"), F.col("tgt_len").alias("len"))))
                      .alias("r")).select("r.side", "r.len")
     return long.groupBy("side", "len").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- 4. batching (whole pairs_a, one pool)
+from parallax.operators import batching as B  # noqa: E402
+
+O.register("pa_len", f"""
+pa_len AS (
+  SELECT pair_id, src, tgt, CAST(len({O.tok('src')}) AS BIGINT) AS s, CAST(len({O.tok('tgt')}) AS BIGINT) AS t,
+         row_number() OVER (ORDER BY md5('42:' || pair_id), pair_id) AS rn
+  FROM pairs_a)""", ["pairs_a"])
+
+
+def _fold_sql(name: str, order: str, budget: int = B.TOKEN_BUDGET) -> str:
+    return f"""
+{name}_ord AS (SELECT *, row_number() OVER (ORDER BY {order}) AS k FROM pa_len),
+{name}_fold(k, pair_id, batch_id, cnt, ms, mt, closed) AS (
+  SELECT k, pair_id, 0::BIGINT, 1::BIGINT, s, t + 2, greatest(s, t + 2) = {budget} FROM {name}_ord WHERE k = 1
+  UNION ALL
+  SELECT k, pair_id,
+         CASE WHEN nb THEN batch_id + 1 ELSE batch_id END,
+         CASE WHEN nb THEN 1 ELSE cnt + 1 END,
+         CASE WHEN nb THEN s ELSE ms2 END,
+         CASE WHEN nb THEN t2 ELSE mt2 END,
+         CASE WHEN nb THEN greatest(s, t2) = {budget} ELSE cost = {budget} END
+  FROM (SELECT o.k, o.pair_id, o.s, o.t + 2 AS t2, f.batch_id, f.cnt,
+               greatest(f.ms, o.s) AS ms2, greatest(f.mt, o.t + 2) AS mt2,
+               (f.cnt + 1) * greatest(greatest(f.ms, o.s), greatest(f.mt, o.t + 2)) AS cost,
+               f.closed OR (f.cnt + 1) * greatest(greatest(f.ms, o.s), greatest(f.mt, o.t + 2)) > {budget} AS nb
+        FROM {name}_fold f JOIN {name}_ord o ON o.k = f.k + 1))"""
+
+
+O.register("bud", _fold_sql("bud", "s, t, pair_id") + """,
+bud_batches AS (
+  SELECT f.pair_id, 0::BIGINT AS pool_id, f.batch_id,
+         CAST(row_number() OVER (PARTITION BY f.batch_id ORDER BY f.k) - 1 AS BIGINT) AS row_in_batch
+  FROM bud_fold f)""", ["pa_len"])
+O.register("ev", _fold_sql("ev", "rn") + """,
+ev_batches AS (
+  SELECT f.pair_id, 0::BIGINT AS pool_id, f.batch_id,
+         CAST(row_number() OVER (PARTITION BY f.batch_id ORDER BY o.s, o.t, o.pair_id) - 1 AS BIGINT) AS row_in_batch
+  FROM ev_fold f JOIN ev_ord o ON o.k = f.k)""", ["pa_len"])
+O.register("bud_order", """
+bud_order AS (
+  SELECT pool_id, batch_id,
+         CAST(row_number() OVER (PARTITION BY pool_id ORDER BY md5('42:' || CAST(pool_id AS VARCHAR) || ':' || CAST(batch_id AS VARCHAR)), batch_id) - 1 AS BIGINT) AS batch_order
+  FROM (SELECT DISTINCT pool_id, batch_id FROM bud_batches))""", ["bud"])
+O.register("bud_padded", """
+bud_enc AS (
+  SELECT b.pair_id, b.pool_id, b.batch_id, e.src_ids, e.tgt_ids
+  FROM bud_batches b JOIN encoded e ON e.pair_id = b.pair_id),
+bud_padded AS (
+  SELECT pair_id, pool_id, batch_id,
+         list_concat(src_ids, list_transform(range(max(len(src_ids)) OVER w - len(src_ids)), lambda x: 1::BIGINT)) AS src_ids,
+         list_concat(tgt_ids, list_transform(range(max(len(tgt_ids)) OVER w - len(tgt_ids)), lambda x: 1::BIGINT)) AS tgt_ids
+  FROM bud_enc WINDOW w AS (PARTITION BY pool_id, batch_id))""", ["bud", "encoded"])
+
+
+def _pa_ordered(spark, sf):
+    return P.pairs_a_ordered(spark, sf)
+
+
+def _budget(spark, sf, train=True):
+    return B.budget_batches(_pa_ordered(spark, sf), train=train)
+
+
+def _padded(spark, sf):
+    vs, vt = P.vocabs(spark, sf)
+    pa = P.pairs_a(spark, sf)
+    enc = V.encode_pairs(pa, vs, vt)
+    return B.pad_to_batch(_budget(spark, sf).join(enc, "pair_id"))
+
+
+@query("batch_budget", O.with_("bud", recursive=True) + """
+SELECT b.pair_id, b.pool_id, b.batch_id, b.row_in_batch, p.s AS src_len, p.t AS tgt_len
+FROM bud_batches b JOIN pa_len p ON p.pair_id = b.pair_id""")
+def q_batch_budget(spark, sf):
+    pa = _pa_ordered(spark, sf)
+    return B.budget_batches(pa).join(pa.select("pair_id", "src_len", "tgt_len"), "pair_id")
+
+
+@query("batch_eval", O.with_("ev", recursive=True) + "SELECT pair_id, pool_id, batch_id, row_in_batch FROM ev_batches")
+def q_batch_eval(spark, sf):
+    return _budget(spark, sf, train=False)
+
+
+@query("batch_bucket", O.with_("pa_len", extra="""
+bk AS (SELECT pair_id, CAST(floor((rn - 1) / 2000) AS BIGINT) AS pool_id, s, t FROM pa_len),
+bk2 AS (SELECT pair_id, pool_id, row_number() OVER (PARTITION BY pool_id ORDER BY t, pair_id) - 1 AS k FROM bk)""") + """
+SELECT pair_id, pool_id, CAST(floor(k / 20) AS BIGINT) AS batch_id, CAST(k % 20 AS BIGINT) AS row_in_batch FROM bk2""")
+def q_batch_bucket(spark, sf):
+    return B.bucket_batches(_pa_ordered(spark, sf))
+
+
+@query("batch_order", O.with_("bud_order", recursive=True) + "SELECT pool_id, batch_id, batch_order FROM bud_order")
+def q_batch_order(spark, sf):
+    return B.batch_order(_budget(spark, sf))
+
+
+@query("first_batch", O.with_("bud_order", recursive=True) + """
+SELECT b.pair_id, b.batch_id, b.row_in_batch FROM bud_batches b
+JOIN bud_order o ON o.pool_id = b.pool_id AND o.batch_id = b.batch_id
+WHERE b.pool_id = 0 AND o.batch_order = 0""")
+def q_first_batch(spark, sf):
+    return B.first_batch(_budget(spark, sf))
+
+
+@query("pad_batch", O.with_("bud_padded", recursive=True) + """
+SELECT pair_id, batch_id, array_to_string(src_ids, ' ') AS src_padded, array_to_string(tgt_ids, ' ') AS tgt_padded
+FROM bud_padded""")
+def q_pad_batch(spark, sf):
+    p = _padded(spark, sf)
+    return p.select("pair_id", "batch_id", ids_text("src_ids").alias("src_padded"), ids_text("tgt_ids").alias("tgt_padded"))
+
+
+@query("pad_mask", O.with_("bud_padded", recursive=True) + """
+SELECT pair_id,
+       array_to_string(list_transform(src_ids, lambda x: CASE WHEN x <> 1 THEN '1' ELSE '0' END), '') AS src_mask,
+       array_to_string(list_transform(tgt_ids, lambda x: CASE WHEN x <> 1 THEN '1' ELSE '0' END), '') AS tgt_mask
+FROM bud_padded""")
+def q_pad_mask(spark, sf):
+    p = _padded(spark, sf)
+    return p.select("pair_id", B.mask_text(B.pad_mask("src_ids")).alias("src_mask"),
+                    B.mask_text(B.pad_mask("tgt_ids")).alias("tgt_mask"))
+
+
+@query("mask_counts", O.with_("bud_padded", recursive=True, extra="""
+mc AS (SELECT pair_id, batch_id, src_ids, tgt_ids[1:len(tgt_ids) - 1] AS t_in FROM bud_padded)""") + """
+SELECT pair_id, batch_id,
+       CAST(COALESCE((SELECT sum(CASE WHEN u.x <> 1 THEN len(t_in) - (u.j - 1) ELSE 0 END)
+                      FROM unnest(t_in) WITH ORDINALITY AS u(x, j)), 0) AS BIGINT) AS n_causal,
+       CAST(len(t_in) * len(list_filter(src_ids, lambda x: x <> 1)) AS BIGINT) AS n_cross,
+       CAST(len(t_in) * len(t_in) AS BIGINT) AS n_cells
+FROM mc""")
+def q_mask_counts(spark, sf):
+    return B.mask_counts(_padded(spark, sf))
+
+
+@query("batch_stats", O.with_("bud", recursive=True) + """
+SELECT b.pool_id, b.batch_id, count(*) AS n, CAST(max(p.s) AS BIGINT) AS max_src, CAST(max(p.t + 2) AS BIGINT) AS max_tgt,
+       CAST(greatest(count(*) * max(p.s), count(*) * max(p.t + 2)) AS BIGINT) AS cost,
+       round(1.0::DOUBLE - CAST(sum(p.s + p.t + 2) AS DOUBLE) / CAST(count(*) * max(p.s) + count(*) * max(p.t + 2) AS DOUBLE), 6) AS pad_share
+FROM bud_batches b JOIN pa_len p ON p.pair_id = b.pair_id GROUP BY b.pool_id, b.batch_id""")
+def q_batch_stats(spark, sf):
+    return B.batch_stats(_budget(spark, sf), _pa_ordered(spark, sf))
