@@ -336,3 +336,237 @@ SELECT b.pool_id, b.batch_id, count(*) AS n, CAST(max(p.s) AS BIGINT) AS max_src
 FROM bud_batches b JOIN pa_len p ON p.pair_id = b.pair_id GROUP BY b.pool_id, b.batch_id""")
 def q_batch_stats(spark, sf):
     return B.batch_stats(_budget(spark, sf), _pa_ordered(spark, sf))
+
+
+# ---------------------------------------------------------------- 5. models and evaluation
+from parallax.functions.text import EOS, SOS, UNK  # noqa: E402,F401
+from parallax.plans import bigram as G  # noqa: E402
+from parallax.plans import evaluation as EV  # noqa: E402
+from parallax.plans import lexical as L  # noqa: E402
+from parallax.sources.tables import table  # noqa: E402
+from parallax.operators.ordering import sized_broadcast  # noqa: E402
+
+
+def _lx_sql(iterations: int = L.ITERATIONS) -> str:
+    parts = [f"""
+lx_pairs AS (SELECT pair_id, {O.tok('src')} AS fs, {O.tok('tgt')} AS es FROM pairs_a),
+lx_f AS (SELECT pair_id, f, CAST(count(*) AS DOUBLE) AS nf FROM lx_pairs, unnest(fs) AS u(f)
+         WHERE len(fs) <= 80 AND len(es) <= 78 GROUP BY pair_id, f),
+lx_e AS (SELECT pair_id, e, CAST(count(*) AS DOUBLE) AS ne FROM lx_pairs, unnest(es) AS u(e)
+         WHERE len(fs) <= 80 AND len(es) <= 78 GROUP BY pair_id, e),
+lx_cooc AS (SELECT a.pair_id, a.f, a.nf, b.e, b.ne FROM lx_f a JOIN lx_e b ON a.pair_id = b.pair_id),
+lx_t0 AS (SELECT DISTINCT f, e, 1.0::DOUBLE AS t FROM lx_cooc)"""]
+    for i in range(1, iterations + 1):
+        parts.append(f"""
+lx_j{i} AS (SELECT c.pair_id, c.f, c.e, c.nf, c.ne, t.t FROM lx_cooc c JOIN lx_t{i - 1} t ON c.f = t.f AND c.e = t.e),
+lx_z{i} AS (SELECT pair_id, e, sum(nf * t) AS z FROM lx_j{i} GROUP BY pair_id, e),
+lx_c{i} AS (SELECT j.f, j.e, sum(j.ne * j.nf * j.t / z.z) AS c FROM lx_j{i} j
+            JOIN lx_z{i} z ON j.pair_id = z.pair_id AND j.e = z.e GROUP BY j.f, j.e),
+lx_t{i} AS (SELECT f, e, c / sum(c) OVER (PARTITION BY f) AS t FROM lx_c{i})""")
+    parts.append(f"""
+lx_top AS (SELECT f, e, round(t, 6) AS t FROM (
+  SELECT f, e, t, row_number() OVER (PARTITION BY f ORDER BY round(t, 6) DESC, e) AS r FROM lx_t{iterations})
+  WHERE r = 1)""")
+    return ",".join(parts)
+
+
+O.register("lexical", _lx_sql(), ["pairs_a"])
+O.register("translated", f"""
+tr_tok AS (SELECT p.pair_id, u.f, u.pos FROM pairs_a p, unnest({O.tok('src')}) WITH ORDINALITY AS u(f, pos)),
+tr_map AS (SELECT t.pair_id, t.pos, COALESCE(x.e, t.f) AS w FROM tr_tok t LEFT JOIN lx_top x ON x.f = t.f),
+tr_list AS (SELECT pair_id, list(w ORDER BY pos) AS hyp FROM tr_map GROUP BY pair_id),
+translated AS (
+  SELECT p.pair_id, COALESCE(array_to_string(l.hyp, ' '), '') AS translation,
+         COALESCE(l.hyp, []::VARCHAR[]) AS hyp, {O.tok('p.tgt')} AS ref
+  FROM pairs_a p LEFT JOIN tr_list l ON l.pair_id = p.pair_id)""", ["lexical"])
+
+
+def _side_ngrams(col: str, h: int) -> str:
+    return (f"SELECT b.pair_id, {h} AS h, k.n, u.gram FROM translated b CROSS JOIN (SELECT unnest([1, 2, 3, 4]) AS n) k, "
+            f"unnest(list_transform(range(1, len(b.{col}) - k.n + 2), "
+            f"lambda i: array_to_string(b.{col}[i:i + k.n - 1], ' '))) AS u(gram)")
+
+
+O.register("bleu_parts", f"""
+bl_ng AS ({_side_ngrams('hyp', 1)} UNION ALL {_side_ngrams('ref', 0)}),
+bl_cnt AS (SELECT pair_id, n, gram, sum(h) AS ch, sum(1 - h) AS cr FROM bl_ng GROUP BY pair_id, n, gram),
+bl_m AS (SELECT pair_id, n, sum(least(ch, cr)) AS m FROM bl_cnt WHERE ch > 0 AND cr > 0 GROUP BY pair_id, n),
+bl_s AS (
+  SELECT b.pair_id, CAST(len(b.hyp) AS BIGINT) AS c, CAST(len(b.ref) AS BIGINT) AS r,
+         CAST(COALESCE(max(m.m) FILTER (WHERE m.n = 1), 0) AS BIGINT) AS m1,
+         CAST(COALESCE(max(m.m) FILTER (WHERE m.n = 2), 0) AS BIGINT) AS m2,
+         CAST(COALESCE(max(m.m) FILTER (WHERE m.n = 3), 0) AS BIGINT) AS m3,
+         CAST(COALESCE(max(m.m) FILTER (WHERE m.n = 4), 0) AS BIGINT) AS m4
+  FROM translated b LEFT JOIN bl_m m ON m.pair_id = b.pair_id GROUP BY b.pair_id, len(b.hyp), len(b.ref))""",
+           ["translated"])
+
+
+def _bleu_expr(m, t, c, r):
+    logs = " + ".join(f"ln(CAST({m[i]} AS DOUBLE) / CAST({t[i]} AS DOUBLE))" for i in range(4))
+    ok = " AND ".join(f"{m[i]} > 0" for i in range(4))
+    bp = f"(CASE WHEN {c} > {r} THEN 1.0::DOUBLE ELSE exp(1.0::DOUBLE - CAST({r} AS DOUBLE) / CAST({c} AS DOUBLE)) END)"
+    return f"CASE WHEN {ok} AND {c} > 0 THEN {bp} * exp(({logs}) / 4.0) ELSE 0.0::DOUBLE END", bp
+
+
+def _lexical_top1(spark, sf):
+    return P._memo(spark, sf, "lexical_top1",
+                   lambda: L.top1(L.train_lexical(P.pairs_a_maxlen(spark, sf))).checkpoint(eager=True))
+
+
+def _translated(spark, sf):
+    pa = P.pairs_a(spark, sf)
+    tr = L.translate(pa, _lexical_top1(spark, sf))
+    return tr.join(pa.select("pair_id", tokenize("tgt").alias("ref")), "pair_id")
+
+
+@query("lexical_train", O.with_("lexical") + "SELECT f, e, t FROM lx_top")
+def q_lexical_train(spark, sf):
+    return _lexical_top1(spark, sf)
+
+
+@query("translate_batch", O.with_("translated") + "SELECT pair_id, translation FROM translated")
+def q_translate_batch(spark, sf):
+    return _translated(spark, sf).select("pair_id", "translation")
+
+
+_sb, _ = _bleu_expr(["m1", "m2", "m3", "m4"], [f"greatest(c - {n - 1}, 0)" for n in range(1, 5)], "c", "r")
+
+
+@query("bleu_sentence", O.with_("bleu_parts") + f"SELECT pair_id, round({_sb}, 6) AS bleu FROM bl_s")
+def q_bleu_sentence(spark, sf):
+    tr = _translated(spark, sf).select("pair_id", F.col("translation_tokens").alias("hyp"), "ref")
+    return EV.bleu_sentence(tr)
+
+
+_cb, _cbp = _bleu_expr(["m1", "m2", "m3", "m4"], ["t1", "t2", "t3", "t4"], "hyp_len", "ref_len")
+
+
+@query("bleu_corpus", O.with_("bleu_parts", extra="""
+bl_tot AS (
+  SELECT CAST(sum(c) AS BIGINT) AS hyp_len, CAST(sum(r) AS BIGINT) AS ref_len,
+         CAST(sum(m1) AS BIGINT) AS m1, CAST(sum(m2) AS BIGINT) AS m2, CAST(sum(m3) AS BIGINT) AS m3, CAST(sum(m4) AS BIGINT) AS m4,
+         CAST(sum(greatest(c, 0)) AS BIGINT) AS t1, CAST(sum(greatest(c - 1, 0)) AS BIGINT) AS t2,
+         CAST(sum(greatest(c - 2, 0)) AS BIGINT) AS t3, CAST(sum(greatest(c - 3, 0)) AS BIGINT) AS t4
+  FROM bl_s)""") + f"""
+SELECT round({_cb}, 6) AS bleu, round(CASE WHEN hyp_len > 0 THEN {_cbp} ELSE 0.0 END, 6) AS bp,
+       round(CASE WHEN t1 > 0 THEN m1 / t1 ELSE 0.0 END, 6) AS p1, round(CASE WHEN t2 > 0 THEN m2 / t2 ELSE 0.0 END, 6) AS p2,
+       round(CASE WHEN t3 > 0 THEN m3 / t3 ELSE 0.0 END, 6) AS p3, round(CASE WHEN t4 > 0 THEN m4 / t4 ELSE 0.0 END, 6) AS p4,
+       hyp_len, ref_len
+FROM bl_tot""")
+def q_bleu_corpus(spark, sf):
+    tr = _translated(spark, sf).select("pair_id", F.col("translation_tokens").alias("hyp"), "ref")
+    return EV.bleu_corpus(tr)
+
+
+O.register("bigrams", f"""
+bg_seq AS (SELECT pair_id, split, list_concat(['<sos>'], {O.tok('tgt')}, ['<eos>']) AS seq FROM split),
+bg_raw AS (SELECT split, seq[i] AS prev, seq[i + 1] AS next FROM bg_seq, unnest(range(1, len(seq))) AS u(i)),
+bg_map AS (
+  SELECT b.split, CASE WHEN vp.token IS NULL THEN '<unk>' ELSE b.prev END AS prev,
+         CASE WHEN vn.token IS NULL THEN '<unk>' ELSE b.next END AS next
+  FROM bg_raw b LEFT JOIN vocab_tgt vp ON vp.token = b.prev LEFT JOIN vocab_tgt vn ON vn.token = b.next),
+bg_eval AS (SELECT split, prev, next, count(*) AS n FROM bg_map GROUP BY split, prev, next),
+bg_train AS (SELECT prev, next, CAST(n AS BIGINT) AS n FROM bg_eval WHERE split = 'train'),
+bg_prev AS (SELECT prev, sum(n) AS cp FROM bg_train GROUP BY prev),
+bg_v AS (SELECT count(*) AS v FROM vocab_tgt),
+bg_succ AS (SELECT prev, next FROM (
+  SELECT prev, next, row_number() OVER (PARTITION BY prev ORDER BY n DESC, next) AS r FROM bg_train) WHERE r = 1)""",
+           ["vocabs"])
+
+
+def _bigram_parts(spark, sf):
+    def build():
+        vt = P.vocabs(spark, sf)[1]
+        counts = G.bigram_counts(P.split(spark, sf), vt).checkpoint(eager=True)
+        return counts, G.successors(counts).checkpoint(eager=True)
+    return P._memo(spark, sf, "bigram_parts", build)
+
+
+@query("bigram_counts", O.with_("bigrams") + "SELECT prev, next, n FROM bg_train")
+def q_bigram_counts(spark, sf):
+    return _bigram_parts(spark, sf)[0]
+
+
+_XENT = """
+xe AS (
+  SELECT e.split, CAST(sum(e.n) AS BIGINT) AS n_tokens,
+         sum(e.n * -ln((COALESCE(t.n, 0) + 1.0::DOUBLE) / (COALESCE(p.cp, 0) + 1.0::DOUBLE * v.v))) / sum(e.n) AS x
+  FROM bg_eval e LEFT JOIN bg_train t ON t.prev = e.prev AND t.next = e.next
+  LEFT JOIN bg_prev p ON p.prev = e.prev CROSS JOIN bg_v v GROUP BY e.split)"""
+
+
+@query("cross_entropy", O.with_("bigrams", extra=_XENT) + "SELECT split, n_tokens, round(x, 6) AS cross_entropy FROM xe")
+def q_cross_entropy(spark, sf):
+    return G.cross_entropy(P.split(spark, sf), P.vocabs(spark, sf)[1]).select("split", "n_tokens", "cross_entropy")
+
+
+@query("perplexity", O.with_("bigrams", extra=_XENT) + """
+SELECT split, round(x, 6) AS cross_entropy, round(exp(x), 6) AS perplexity FROM xe""")
+def q_perplexity(spark, sf):
+    return G.cross_entropy(P.split(spark, sf), P.vocabs(spark, sf)[1]).select("split", "cross_entropy", "perplexity")
+
+
+@query("topk_tokens", O.with_("bigrams") + """
+SELECT prev, next, n, rank FROM (
+  SELECT prev, next, n, CAST(row_number() OVER (PARTITION BY prev ORDER BY n DESC, next) AS BIGINT) AS rank FROM bg_train)
+WHERE rank <= 3""")
+def q_topk_tokens(spark, sf):
+    return G.top_k_successors(_bigram_parts(spark, sf)[0], 3)
+
+
+def _decode_starts(spark, sf):
+    vt = P.vocabs(spark, sf)[1]
+    t = tokenize("tgt")
+    s = P.split(spark, sf).filter(F.col("split") == "test").select(
+        "pair_id", F.size(t).alias("_n"), F.element_at(t, 1).alias("_first"))
+    known = sized_broadcast(vt.select(F.col("token").alias("_first"), F.lit(1).alias("_k")))
+    s = s.join(known, "_first", "left")
+    return s.select("pair_id", F.when(F.col("_n") == 0, F.lit(SOS))
+                    .when(F.col("_k").isNull(), F.lit(UNK)).otherwise(F.col("_first")).alias("start"))
+
+
+@query("greedy_decode", O.with_("bigrams", recursive=True, extra=f"""
+gd_start AS (
+  SELECT s.pair_id, CASE WHEN len({O.tok('s.tgt')}) = 0 THEN '<sos>' WHEN v.token IS NULL THEN '<unk>'
+                         ELSE {O.tok('s.tgt')}[1] END AS start
+  FROM split s LEFT JOIN vocab_tgt v ON v.token = {O.tok('s.tgt')}[1] WHERE s.split = 'test'),
+gd(start, step, last, path) AS (
+  SELECT DISTINCT start, 0, start, []::VARCHAR[] FROM gd_start
+  UNION ALL
+  SELECT g.start, g.step + 1, s.next, list_append(g.path, s.next)
+  FROM gd g JOIN bg_succ s ON s.prev = g.last WHERE g.step < 79 AND g.last <> '<eos>'),
+gd_final AS (SELECT start, arg_max(path, step) AS path FROM gd GROUP BY start),
+gd_cut AS (SELECT start, path, CASE WHEN list_position(path, '<eos>') IS NOT NULL
+                                    THEN path[1:list_position(path, '<eos>') - 1] ELSE path END AS kept FROM gd_final)""") + """
+SELECT s.pair_id, s.start,
+       array_to_string(list_concat(CASE WHEN s.start = '<sos>' THEN []::VARCHAR[] ELSE [s.start] END, c.kept), ' ') AS decoded,
+       CAST(len(c.path) AS BIGINT) AS n_gen
+FROM gd_start s JOIN gd_cut c ON c.start = s.start""")
+def q_greedy_decode(spark, sf):
+    return G.greedy_decode(_decode_starts(spark, sf), _bigram_parts(spark, sf)[1])
+
+
+@query("truncate_eos", O.with_("bigrams", extra=f"""
+tf_seq AS (SELECT pair_id, list_concat(['<sos>'], {O.tok('tgt')}, ['<eos>']) AS seq FROM split WHERE split = 'test'),
+tf_tok AS (SELECT pair_id, u.pos, u.tok FROM tf_seq, unnest(seq[1:len(seq) - 1]) WITH ORDINALITY AS u(tok, pos)),
+tf_map AS (SELECT t.pair_id, t.pos, CASE WHEN v.token IS NULL THEN '<unk>' ELSE t.tok END AS tok
+           FROM tf_tok t LEFT JOIN vocab_tgt v ON v.token = t.tok),
+tf_pred AS (SELECT m.pair_id, list(COALESCE(s.next, '<unk>') ORDER BY m.pos) AS p
+            FROM tf_map m LEFT JOIN bg_succ s ON s.prev = m.tok GROUP BY m.pair_id),
+tf_cut AS (SELECT pair_id, p, CASE WHEN list_position(p, '<eos>') IS NOT NULL
+                                   THEN p[1:list_position(p, '<eos>') - 1] ELSE p END AS cut FROM tf_pred)""") + """
+SELECT pair_id, array_to_string(cut, ' ') AS predicted, CAST(len(cut) AS BIGINT) AS n_kept, CAST(len(p) AS BIGINT) AS n_raw
+FROM tf_cut""")
+def q_truncate_eos(spark, sf):
+    return G.teacher_forced_predictions(P.split(spark, sf), P.vocabs(spark, sf)[1], _bigram_parts(spark, sf)[1])
+
+
+@query("loss_windows", """
+SELECT event_type, window_id, n, round(a, 6) AS loss_avg, round((epoch_us(t1) - epoch_us(t0)) / 1e6, 6) AS secs FROM (
+  SELECT event_type, CAST(floor((rn - 1) / 50) AS BIGINT) AS window_id, count(*) AS n, avg(value) AS a,
+         min(ts) AS t0, max(ts) AS t1
+  FROM (SELECT event_type, value, ts, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS rn FROM events)
+  GROUP BY event_type, floor((rn - 1) / 50))
+WHERE n = 50""")
+def q_loss_windows(spark, sf):
+    return EV.loss_windows(table(spark, sf, "events"), "event_type", "event_id", "value", "ts")
