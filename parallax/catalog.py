@@ -570,3 +570,235 @@ SELECT event_type, window_id, n, round(a, 6) AS loss_avg, round((epoch_us(t1) -
 WHERE n = 50""")
 def q_loss_windows(spark, sf):
     return EV.loss_windows(table(spark, sf, "events"), "event_type", "event_id", "value", "ts")
+
+
+# ---------------------------------------------------------------- 6. vectors (embeddings table)
+from parallax.functions import vectors as VX  # noqa: E402
+from parallax.operators import attention as AT  # noqa: E402
+
+D_MODEL = 64  # width of the embeddings table vectors
+
+O.register("emb_seq", """
+emb_seq AS (
+  SELECT vec_id, label, CAST(floor((r - 1) / 80) AS BIGINT) AS chunk, CAST((r - 1) % 80 AS BIGINT) AS pos,
+         CAST(embedding AS DOUBLE[]) AS v
+  FROM (SELECT vec_id, label, embedding, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS r FROM embeddings))""")
+
+
+def _pe_sql(pos: str, d: str, variant: str) -> str:
+    d = f"({d})"
+    if variant == "a":
+        ang = f"CAST({pos} AS DOUBLE) / pow(10000.0::DOUBLE, 2.0::DOUBLE * CAST({d} AS DOUBLE) / {float(D_MODEL)}::DOUBLE)"
+    else:
+        ang = (f"CAST({pos} AS DOUBLE) * exp((2.0::DOUBLE * CAST(floor({d} / 2) AS DOUBLE)) * "
+               f"(-ln(10000.0::DOUBLE) / {float(D_MODEL)}::DOUBLE))")
+    return f"(CASE WHEN {d} % 2 = 0 THEN sin({ang}) ELSE cos({ang}) END)"
+
+
+def _seq(spark, sf):
+    return P._memo(spark, sf, "emb_seq", lambda: AT.sequences(table(spark, sf, "embeddings"), "label", "vec_id",
+                                                             "embedding"))
+
+
+def _posenc(spark, sf, variant):
+    pos = _seq(spark, sf).select("pos").distinct()
+    cells = pos.select("pos", F.explode(F.sequence(F.lit(0), F.lit(D_MODEL - 1))).alias("dim"))
+    return cells.select("pos", F.col("dim").cast("long").alias("dim"),
+                        F.round(VX.position_value("pos", "dim", D_MODEL, variant), 6).alias("v"))
+
+
+for _variant in ("a", "b"):
+    def _mk(variant):
+        def fn(spark, sf):
+            return _posenc(spark, sf, variant)
+        return fn
+    query(f"posenc_{_variant}", O.with_("emb_seq") + f"""
+SELECT p.pos, CAST(t.d AS BIGINT) AS dim, round({_pe_sql('p.pos', 't.d', _variant)}, 6) AS v
+FROM (SELECT DISTINCT pos FROM emb_seq) p, range({D_MODEL}) AS t(d)""")(_mk(_variant))
+
+
+@query("embed_lookup", O.with_("encoded") + """
+SELECT e.pair_id, CAST(u.pos - 1 AS BIGINT) AS pos, u.id AS token_id, m.vec_id,
+       round(list_sum(CAST(m.embedding AS DOUBLE[])), 6) AS v_sum,
+       round(list_sum(list_transform(CAST(m.embedding AS DOUBLE[]), lambda x: x * x)), 6) AS v_sq
+FROM encoded e, unnest(e.src_ids) WITH ORDINALITY AS u(id, pos)
+JOIN embeddings m ON m.vec_id = u.id % (SELECT count(*) FROM embeddings)""")
+def q_embed_lookup(spark, sf):
+    emb = table(spark, sf, "embeddings")
+    n = emb.count()  # scalar table size
+    vs, vt = P.vocabs(spark, sf)
+    enc = V.encode_pairs(P.split(spark, sf), vs, vt)
+    ids = enc.select("pair_id", F.posexplode("src_ids").alias("pos", "token_id"))
+    ids = ids.withColumn("vec_id", F.pmod(F.col("token_id"), F.lit(n)))
+    v = VX.as_double("embedding")
+    j = ids.join(sized_broadcast(emb.select("vec_id", v.alias("v"))), "vec_id")
+    return j.select("pair_id", F.col("pos").cast("long").alias("pos"), "token_id", "vec_id",
+                    F.round(VX.vsum("v"), 6).alias("v_sum"),
+                    F.round(VX.vsum(F.transform("v", lambda x: x * x)), 6).alias("v_sq"))
+
+
+@query("embed_plus_pos", O.with_("emb_seq") + f"""
+SELECT label, chunk, pos, CAST(u.d - 1 AS BIGINT) AS dim,
+       round(u.x * sqrt({float(D_MODEL)}::DOUBLE) + {_pe_sql('pos', 'u.d - 1', 'a')}, 6) AS v
+FROM emb_seq, unnest(v) WITH ORDINALITY AS u(x, d)""")
+def q_embed_plus_pos(spark, sf):
+    s = AT.embed_plus_position(_seq(spark, sf), D_MODEL)
+    return AT.long_form(s, ["label", "chunk", "pos"])
+
+
+@query("layer_norm", """
+WITH b AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+m AS (SELECT vec_id, v, list_sum(v) / len(v) AS mean FROM b),
+s AS (SELECT vec_id, v, mean, sqrt(list_sum(list_transform(v, lambda x: (x - mean) * (x - mean))) / (len(v) - 1)) AS sd FROM m)
+SELECT vec_id, CAST(u.d - 1 AS BIGINT) AS dim, round(1.0 * (u.x - mean) / (sd + 1e-6) + 0.0, 6) AS v
+FROM s, unnest(v) WITH ORDINALITY AS u(x, d)""")
+def q_layer_norm(spark, sf):
+    emb = table(spark, sf, "embeddings")
+    return AT.long_form(emb.select("vec_id", VX.layer_norm(VX.as_double("embedding")).alias("v")), ["vec_id"])
+
+
+@query("softmax", """
+WITH s AS (SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS s FROM embeddings),
+e AS (SELECT vec_id, label, exp(s - max(s) OVER (PARTITION BY label)) AS e FROM s)
+SELECT vec_id, label, round(e / sum(e) OVER (PARTITION BY label), 6) AS w FROM e""")
+def q_softmax(spark, sf):
+    emb = table(spark, sf, "embeddings").select("vec_id", "label", F.element_at("embedding", 1).cast("double").alias("s"))
+    return AT.grouped_softmax(emb, "label", "s").select("vec_id", "label", F.round("w", 6).alias("w"))
+
+
+def _attn_sql(causal: bool, heads: int) -> str:
+    dk = D_MODEL // heads
+    cond = "AND b.pos <= a.pos" if causal else ""
+    return O.with_("emb_seq", extra=f"""
+at_pairs AS (
+  SELECT a.label, a.chunk, a.pos AS i, b.pos AS j, h.h, b.v[h.h * {dk} + 1 : h.h * {dk} + {dk}] AS vh,
+         list_dot_product(a.v[h.h * {dk} + 1 : h.h * {dk} + {dk}], b.v[h.h * {dk} + 1 : h.h * {dk} + {dk}])
+           / sqrt({float(dk)}::DOUBLE) AS s
+  FROM emb_seq a JOIN emb_seq b ON a.label = b.label AND a.chunk = b.chunk {cond}
+  CROSS JOIN range({heads}) AS h(h)),
+at_e AS (SELECT *, exp(s - max(s) OVER (PARTITION BY label, chunk, i, h)) AS e FROM at_pairs),
+at_w AS (SELECT *, e / sum(e) OVER (PARTITION BY label, chunk, i, h) AS wt FROM at_e)""") + f"""
+SELECT label, chunk, i AS pos, CAST(h * {dk} + u.d - 1 AS BIGINT) AS dim, round(sum(wt * u.x), 6) AS v
+FROM at_w, unnest(vh) WITH ORDINALITY AS u(x, d) GROUP BY label, chunk, i, h, u.d"""
+
+
+@query("attn_causal", _attn_sql(True, 1))
+def q_attn_causal(spark, sf):
+    return AT.long_form(AT.attention(_seq(spark, sf), causal=True), ["label", "chunk", "pos"])
+
+
+@query("attn_cross", _attn_sql(False, 1))
+def q_attn_cross(spark, sf):
+    return AT.long_form(AT.attention(_seq(spark, sf), causal=False), ["label", "chunk", "pos"])
+
+
+@query("attn_heads", _attn_sql(True, 8))
+def q_attn_heads(spark, sf):
+    return AT.long_form(AT.attention(_seq(spark, sf), causal=True, heads=8), ["label", "chunk", "pos"])
+
+
+@query("vec_elementwise", """
+SELECT vec_id, CAST(u.d - 1 AS BIGINT) AS dim, round(greatest(u.x, 0.0), 6) AS relu, round(u.x + greatest(u.x, 0.0), 6) AS resid
+FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), unnest(v) WITH ORDINALITY AS u(x, d)""")
+def q_vec_elementwise(spark, sf):
+    emb = table(spark, sf, "embeddings").select("vec_id", VX.as_double("embedding").alias("v"))
+    ex = emb.select("vec_id", F.posexplode("v").alias("dim", "x"))
+    return ex.select("vec_id", F.col("dim").cast("long").alias("dim"),
+                     F.round(F.greatest("x", F.lit(0.0)), 6).alias("relu"),
+                     F.round(F.col("x") + F.greatest("x", F.lit(0.0)), 6).alias("resid"))
+
+
+# ---------------------------------------------------------------- 7. files and streams
+from parallax.session import scratch_path  # noqa: E402
+from parallax.sources import files as FS  # noqa: E402
+from parallax.streaming import jobs as ST  # noqa: E402
+
+
+@query("src_tsv", O.with_("pairs_union") + "SELECT pair_id, src, tgt FROM pairs_union")
+def q_src_tsv(spark, sf):
+    path = scratch_path(spark, "tsv")
+    FS.write_tsv(P.pairs_union(spark, sf), path, ["pair_id", "tgt", "src"])
+    return FS.read_tsv(spark, path, {0: "pair_id", 1: "tgt", 2: "src"}, 3).select("pair_id", "src", "tgt")
+
+
+@query("src_csv_badlines")  # rows-only: CSV quoting rules on raw lines are not restated in SQL
+def q_src_csv_badlines(spark, sf):
+    path = scratch_path(spark, "badlines")
+    lines = P.pairs_b_raw(spark, sf).select("line")
+    FS.write_raw_lines(lines, path, "line", "日本語,英語")
+    kept, _ = FS.read_csv_badlines(spark, path, ["日本語", "英語"])
+    return C.clean_pairs(kept, ["日本語", "英語"], id_col=None)
+
+
+@query("csv_roundtrip", O.with_("split") + "SELECT pair_id, src, tgt, split FROM split")
+def q_csv_roundtrip(spark, sf):
+    path = scratch_path(spark, "splits")
+    FS.write_splits(P.split(spark, sf), path)
+    return FS.read_splits(spark, path).select("pair_id", "src", "tgt", "split")
+
+
+@query("split_reload", O.with_("split") + f"""
+SELECT split, count(*) AS n, CAST(sum(len({O.tok('src')})) AS BIGINT) AS n_src_tokens,
+       CAST(sum(len({O.tok('tgt')})) AS BIGINT) AS n_tgt_tokens
+FROM split GROUP BY split""")
+def q_split_reload(spark, sf):
+    path = scratch_path(spark, "splits")
+    FS.write_splits(P.split(spark, sf), path)
+    back = C.with_lengths(FS.read_splits(spark, path))
+    return back.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum("src_len").cast("long").alias("n_src_tokens"),
+                                     F.sum("tgt_len").cast("long").alias("n_tgt_tokens"))
+
+
+@query("artifact_roundtrip", O.with_("bigrams", "lexical") + """
+SELECT 'vocab_src' AS artifact, token AS key, CAST(id AS VARCHAR) AS value FROM vocab_src
+UNION ALL SELECT 'vocab_tgt', token, CAST(id AS VARCHAR) FROM vocab_tgt
+UNION ALL SELECT 'bigram', prev || ' ' || next, CAST(n AS VARCHAR) FROM bg_train
+UNION ALL SELECT 'lexical', f, e FROM lx_top""")
+def q_artifact_roundtrip(spark, sf):
+    path = scratch_path(spark, "artifacts")
+    vs, vt = P.vocabs(spark, sf)
+    FS.save_artifacts({"vocab_src": vs, "vocab_tgt": vt, "bigram": _bigram_parts(spark, sf)[0],
+                       "lexical": _lexical_top1(spark, sf)}, path)
+    a = FS.load_artifacts(spark, path, ["vocab_src", "vocab_tgt", "bigram", "lexical"])
+    return (a["vocab_src"].select(F.lit("vocab_src").alias("artifact"), F.col("token").alias("key"),
+                                  F.col("id").cast("string").alias("value"))
+            .unionByName(a["vocab_tgt"].select(F.lit("vocab_tgt").alias("artifact"), F.col("token").alias("key"),
+                                               F.col("id").cast("string").alias("value")))
+            .unionByName(a["bigram"].select(F.lit("bigram").alias("artifact"),
+                                            F.concat_ws(" ", "prev", "next").alias("key"),
+                                            F.col("n").cast("string").alias("value")))
+            .unionByName(a["lexical"].select(F.lit("lexical").alias("artifact"), F.col("f").alias("key"),
+                                             F.col("e").alias("value"))))
+
+
+@query("stream_translate", O.with_("translated") + "SELECT pair_id, translation FROM translated")
+def q_stream_translate(spark, sf):
+    req = P.pairs_a(spark, sf).select("pair_id", "src")
+    inp, out = scratch_path(spark, "requests"), scratch_path(spark, "translations")
+    ST.write_ordered_files(req, inp, F.xxhash64("pair_id"), 4)
+    schema = spark.read.parquet(inp).schema
+    res = ST.stream_translate(spark, inp, schema, _lexical_top1(spark, sf),
+                              lambda b, t: L.translate(b, t).select("pair_id", "translation"), out)
+    return res.select("pair_id", "translation")
+
+
+@query("stream_metrics", """
+SELECT CAST(floor(epoch(ts) / 86400) * 86400 AS BIGINT) AS window_start, count(*) AS n, round(avg(value), 6) AS value_avg
+FROM events WHERE ts IS NOT NULL GROUP BY floor(epoch(ts) / 86400)""")
+def q_stream_metrics(spark, sf):
+    ev = table(spark, sf, "events").filter(F.col("ts").isNotNull())
+    inp, out = scratch_path(spark, "events-ts"), scratch_path(spark, "metrics")
+    ST.write_ordered_files(ev, inp, F.unix_micros(ST.event_time("ts")), 4)
+    return ST.stream_window_metrics(spark, inp, spark.read.parquet(inp).schema, out)
+
+
+@query("stream_count_windows", """
+SELECT user_id, CAST(floor((rn - 1) / 50) AS BIGINT) AS window_id, count(*) AS n, round(avg(value), 6) AS value_avg,
+       min(event_id) AS first_event_id, max(event_id) AS last_event_id
+FROM (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events)
+GROUP BY user_id, floor((rn - 1) / 50) HAVING count(*) = 50""")
+def q_stream_count_windows(spark, sf):
+    ev = table(spark, sf, "events")
+    inp, out = scratch_path(spark, "events-id"), scratch_path(spark, "count-windows")
+    ST.write_ordered_files(ev, inp, "event_id", 4)
+    return ST.stream_count_windows(spark, inp, spark.read.parquet(inp).schema, out)
