@@ -50,7 +50,8 @@ def read_csv_badlines(spark: SparkSession, path: str, columns: Sequence[str]) ->
     """A2: headed CSV read in PERMISSIVE mode.  Returns (kept, quarantined):
 
     * short rows are kept with nulls in the missing fields (as a pandas read does),
-    * rows with more fields than the header are quarantined with their raw text.
+    * rows with more fields than the header are quarantined with their raw text
+      (``raw``) and the fields parsed from it.
     The corrupt-record column is set for both kinds; re-parsing it with one extra field
     tells them apart.
     """
@@ -63,7 +64,8 @@ def read_csv_badlines(spark: SparkSession, path: str, columns: Sequence[str]) ->
                        {"escape": '"', "nullValue": "\u0001"})[f"f{len(columns)}"]
     flagged = raw.withColumn("_long", F.col(CORRUPT_COL).isNotNull() & extra.isNotNull())
     kept = flagged.filter(~F.col("_long")).select(*columns)
-    quarantined = flagged.filter(F.col("_long")).select(F.col(CORRUPT_COL).alias("raw"))
+    # (a query reading only the corrupt-record column is refused, so the parsed fields ride along)
+    quarantined = flagged.filter(F.col("_long")).select(F.col(CORRUPT_COL).alias("raw"), *columns)
     return kept, quarantined
 
 
