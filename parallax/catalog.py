@@ -68,7 +68,9 @@ SELECT pair_id, src, tgt, src_len, tgt_len FROM (
          CAST(len({O.tok('tgt')}) AS BIGINT) AS tgt_len FROM pairs_union)
 WHERE src_len <= 80 AND tgt_len <= 78""")
 def q_pairs_maxlen(spark, sf):
-    return C.filter_max_len(P.pairs_union(spark, sf))
+    c = P.corpus(spark, sf)
+    return (c.filter((F.col("src_len") <= C.MAX_SRC_TOKENS) & (F.col("tgt_len") <= C.MAX_TGT_TOKENS))
+            .select("pair_id", "src", "tgt", "src_len", "tgt_len"))
 
 
 @query("split_exact", O.with_("split") + "SELECT pair_id, src, tgt, rn, split FROM split")
@@ -99,8 +101,8 @@ SELECT pair_id, array_to_string({O.tok('src')}, ' ') AS src_tokens, CAST(len({O.
        array_to_string({O.tok('tgt')}, ' ') AS tgt_tokens, CAST(len({O.tok('tgt')}) AS BIGINT) AS n_tgt
 FROM pairs_union""")
 def q_tokenize(spark, sf):
-    df = P.pairs_union(spark, sf)
-    s, t = tokenize("src"), tokenize("tgt")
+    df = P.corpus(spark, sf)
+    s, t = F.col("src_toks"), F.col("tgt_toks")
     return df.select("pair_id", F.array_join(s, " ").alias("src_tokens"), F.size(s).cast("long").alias("n_src"),
                      F.array_join(t, " ").alias("tgt_tokens"), F.size(t).cast("long").alias("n_tgt"))
 
@@ -133,7 +135,7 @@ def q_vocab_size(spark, sf):
 def _encoded(spark, sf):
     vs, vt = P.vocabs(spark, sf)
     sp = P.split(spark, sf)
-    enc = V.encode_pairs(sp, vs, vt)
+    enc = V.encode_pairs(sp, vs, vt, tokenizer=None, src="src_toks", tgt="tgt_toks")
     return enc.join(sp.select("pair_id", "split"), "pair_id")
 
 
@@ -165,7 +167,7 @@ FROM side_tokens s LEFT JOIN vocab_all v ON s.side = v.side AND s.token = v.toke
 WHERE v.token IS NULL GROUP BY s.split, s.side""")
 def q_oov_report(spark, sf):
     vs, vt = P.vocabs(spark, sf)
-    return V.oov_report(P.split(spark, sf), vs, vt)
+    return V.oov_report(P.split(spark, sf), vs, vt, tokenizer=None, src="src_toks", tgt="tgt_toks")
 
 
 @query("teacher_forcing", O.with_("encoded") + """
@@ -187,7 +189,7 @@ SELECT side, len, CAST(count(*) AS BIGINT) AS n FROM (
   SELECT 'src' AS side, CAST(len({O.tok('src')}) AS BIGINT) AS len FROM pairs_union
   UNION ALL SELECT 'tgt', CAST(len({O.tok('tgt')}) AS BIGINT) FROM pairs_union) GROUP BY side, len""")
 def q_length_hist(spark, sf):
-    df = C.with_lengths(P.pairs_union(spark, sf))
+    df = P.corpus(spark, sf)
     long = df.select(F.explode(F.array(F.struct(F.lit("src").alias("side"), F.col("src_len").alias("len")),
                                        F.struct(F.lit("tgt").alias("side"), F.col("tgt_len").alias("len"))))
                      .alias("r")).select("r.side", "r.len")
@@ -477,11 +479,16 @@ bg_succ AS (SELECT prev, next FROM (
 def _bigram_parts(spark, sf):
     def build():
         vt = P.vocabs(spark, sf)[1]
-        counts = G.bigram_counts(P.split(spark, sf), vt).checkpoint(eager=True)
+        counts = G.bigram_counts(P.split(spark, sf), vt, tokenizer=None, text_col="tgt_toks").checkpoint(eager=True)
         return counts, G.successors(counts).checkpoint(eager=True)
     return P._memo(spark, sf, "bigram_parts", build)
 
 
+def _xent(spark, sf):
+    return G.cross_entropy(P.split(spark, sf), P.vocabs(spark, sf)[1], counts=_bigram_parts(spark, sf)[0],
+                           tokenizer=None, text_col="tgt_toks")
+
+
 @query("bigram_counts", O.with_("bigrams") + "SELECT prev, next, n FROM bg_train")
 def q_bigram_counts(spark, sf):
     return _bigram_parts(spark, sf)[0]
@@ -497,13 +504,13 @@ xe AS (
 
 @query("cross_entropy", O.with_("bigrams", extra=_XENT) + "SELECT split, n_tokens, round(x, 6) AS cross_entropy FROM xe")
 def q_cross_entropy(spark, sf):
-    return G.cross_entropy(P.split(spark, sf), P.vocabs(spark, sf)[1]).select("split", "n_tokens", "cross_entropy")
+    return _xent(spark, sf).select("split", "n_tokens", "cross_entropy")
 
 
 @query("perplexity", O.with_("bigrams", extra=_XENT) + """
 SELECT split, round(x, 6) AS cross_entropy, round(exp(x), 6) AS perplexity FROM xe""")
 def q_perplexity(spark, sf):
-    return G.cross_entropy(P.split(spark, sf), P.vocabs(spark, sf)[1]).select("split", "cross_entropy", "perplexity")
+    return _xent(spark, sf).select("split", "cross_entropy", "perplexity")
 
 
 @query("topk_tokens", O.with_("bigrams") + """
@@ -516,7 +523,7 @@ def q_topk_tokens(spark, sf):
 
 def _decode_starts(spark, sf):
     vt = P.vocabs(spark, sf)[1]
-    t = tokenize("tgt")
+    t = F.col("tgt_toks")
     s = P.split(spark, sf).filter(F.col("split") == "test").select(
         "pair_id", F.size(t).alias("_n"), F.element_at(t, 1).alias("_first"))
     known = sized_broadcast(vt.select(F.col("token").alias("_first"), F.lit(1).alias("_k")))
@@ -558,7 +565,8 @@ tf_cut AS (SELECT pair_id, p, CASE WHEN list_position(p, '<eos>') IS NOT NULL
 SELECT pair_id, array_to_string(cut, ' ') AS predicted, CAST(len(cut) AS BIGINT) AS n_kept, CAST(len(p) AS BIGINT) AS n_raw
 FROM tf_cut""")
 def q_truncate_eos(spark, sf):
-    return G.teacher_forced_predictions(P.split(spark, sf), P.vocabs(spark, sf)[1], _bigram_parts(spark, sf)[1])
+    return G.teacher_forced_predictions(P.split(spark, sf), P.vocabs(spark, sf)[1], _bigram_parts(spark, sf)[1],
+                                        tokenizer=None, text_col="tgt_toks")
 
 
 @query("loss_windows", """
@@ -627,7 +635,7 @@ def q_embed_lookup(spark, sf):
     emb = table(spark, sf, "embeddings")
     n = emb.count()  # scalar table size
     vs, vt = P.vocabs(spark, sf)
-    enc = V.encode_pairs(P.split(spark, sf), vs, vt)
+    enc = V.encode_pairs(P.split(spark, sf), vs, vt, tokenizer=None, src="src_toks", tgt="tgt_toks")
     ids = enc.select("pair_id", F.posexplode("src_ids").alias("pos", "token_id"))
     ids = ids.withColumn("vec_id", F.pmod(F.col("token_id"), F.lit(n)))
     v = VX.as_double("embedding")

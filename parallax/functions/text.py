@@ -67,6 +67,9 @@ def register_tokenizer(name: str, fn: Callable[[Column], Column]) -> None:
 
 
 def get_tokenizer(name_or_fn) -> Callable[[Column], Column]:
+    """Name, callable, or None (the column already holds token arrays)."""
+    if name_or_fn is None:
+        return lambda c: c
     if callable(name_or_fn):
         return name_or_fn
     return TOKENIZERS[name_or_fn]

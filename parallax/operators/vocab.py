@@ -33,9 +33,9 @@ def side_tokens(df: DataFrame, tokenizer="words", src="src", tgt="tgt",
                           F.posexplode("_s.toks").alias("pos", "token"))
 
 
-def token_counts(df: DataFrame, tokenizer="words") -> DataFrame:
+def token_counts(df: DataFrame, tokenizer="words", src: str = "src", tgt: str = "tgt") -> DataFrame:
     """(side, token, n, rank): counts per side, ranked by n desc then token."""
-    counts = (side_tokens(df, tokenizer).groupBy("side", "token")
+    counts = (side_tokens(df, tokenizer, src, tgt).groupBy("side", "token")
               .agg(F.count(F.lit(1)).alias("n")))
     return ordered_rank(counts, order=[F.desc("n"), F.asc("token")], partition=["side"],
                         rank_col="rank")
@@ -54,12 +54,23 @@ def build_vocab(tokens: DataFrame, specials: Sequence[str], token_col: str = "to
 
 
 def build_pair_vocabs(split_df: DataFrame, splits: Sequence[str] = ("train", "val"),
-                      tokenizer="words") -> tuple[DataFrame, DataFrame]:
-    """Source and target vocabularies counted over the given splits (train + val)."""
-    toks = side_tokens(split_df.filter(F.col("split").isin(list(splits))), tokenizer)
-    vs = build_vocab(toks.filter(F.col("side") == "src"), SRC_SPECIALS)
-    vt = build_vocab(toks.filter(F.col("side") == "tgt"), TGT_SPECIALS)
-    return vs, vt
+                      tokenizer="words", src: str = "src", tgt: str = "tgt") -> tuple[DataFrame, DataFrame]:
+    """Source and target vocabularies counted over the given splits (train + val) in one
+    pass: one partial aggregation keyed by (side, token) and one ranked sort."""
+    spark = split_df.sparkSession
+    toks = side_tokens(split_df.filter(F.col("split").isin(list(splits))), tokenizer, src, tgt)
+    specials = F.when(F.col("side") == "src", F.array(*[F.lit(t) for t in SRC_SPECIALS])) \
+        .otherwise(F.array(*[F.lit(t) for t in TGT_SPECIALS]))
+    counts = (toks.groupBy("side", "token").agg(F.count(F.lit(1)).alias("freq"))
+              .filter(~F.array_contains(specials, F.col("token"))))
+    ranked = ordered_rank(counts, order=[F.desc("freq"), F.asc("token")], partition=["side"], rank_col="_r")
+    out = []
+    for side, sp in (("src", SRC_SPECIALS), ("tgt", TGT_SPECIALS)):
+        body = ranked.filter(F.col("side") == side).select(
+            (F.col("_r") + len(sp) - 1).alias("id"), "token", "freq")
+        head = spark.createDataFrame([(i, t, 0) for i, t in enumerate(sp)], VOCAB_SCHEMA)
+        out.append(head.unionByName(body))
+    return out[0], out[1]
 
 
 def vocab_size(vocab: DataFrame, side: str) -> DataFrame:
@@ -73,14 +84,15 @@ def _ordered_ids(items):
 
 
 def encode_pairs(df: DataFrame, vocab_src: DataFrame, vocab_tgt: DataFrame,
-                 id_col: str = "pair_id", tokenizer="words", markers: bool = True) -> DataFrame:
+                 id_col: str = "pair_id", tokenizer="words", markers: bool = True,
+                 src: str = "src", tgt: str = "tgt") -> DataFrame:
     """C1 on both sides in one pass: (id_col, src_ids, tgt_ids).
 
     Tokens are exploded with positions, looked up with a left join (vocabulary
     broadcast only after a size check), unknown -> <unk>, and regrouped per pair in
     position order.  The target gets <sos>/<eos> (H4, Q8).
     """
-    toks = side_tokens(df, tokenizer, keep=[id_col])
+    toks = side_tokens(df, tokenizer, src, tgt, keep=[id_col])
     vocab = (vocab_src.select(F.lit("src").alias("side"), "token", "id")
              .unionByName(vocab_tgt.select(F.lit("tgt").alias("side"), "token", "id")))
     looked = (toks.join(sized_broadcast(vocab), ["side", "token"], "left")
@@ -124,9 +136,9 @@ def decode_ids(df: DataFrame, ids_col: str, vocab: DataFrame, id_col: str = "pai
 
 
 def oov_report(split_df: DataFrame, vocab_src: DataFrame, vocab_tgt: DataFrame,
-               tokenizer="words") -> DataFrame:
+               tokenizer="words", src: str = "src", tgt: str = "tgt") -> DataFrame:
     """Per split and side, occurrences and distinct types missing from the vocabulary."""
-    toks = side_tokens(split_df, tokenizer, keep=["split"])
+    toks = side_tokens(split_df, tokenizer, src, tgt, keep=["split"])
     vocab = (vocab_src.select(F.lit("src").alias("side"), "token")
              .unionByName(vocab_tgt.select(F.lit("tgt").alias("side"), "token")))
     # pre-aggregate per (split, side, token) before the anti join

@@ -41,19 +41,22 @@ def map_unknown(bi: DataFrame, vocab: DataFrame, keep=("split",)) -> DataFrame:
     return m.groupBy(*keep, "prev", "next").agg(F.sum("n").cast("long").alias("n"))
 
 
-def bigram_counts(split_df: DataFrame, vocab_tgt: DataFrame, split: str = "train") -> DataFrame:
+def bigram_counts(split_df: DataFrame, vocab_tgt: DataFrame, split: str = "train",
+                  tokenizer="words", text_col: str = "tgt") -> DataFrame:
     """(prev, next, n) over one split."""
-    bi = raw_bigrams(split_df.filter(F.col("split") == split), keep=())
+    bi = raw_bigrams(split_df.filter(F.col("split") == split), keep=(), tokenizer=tokenizer, text_col=text_col)
     return map_unknown(bi, vocab_tgt, keep=())
 
 
 def cross_entropy(split_df: DataFrame, vocab_tgt: DataFrame, k: float = 1.0,
-                  train_split: str = "train") -> DataFrame:
+                  train_split: str = "train", counts: DataFrame | None = None,
+                  tokenizer="words", text_col: str = "tgt") -> DataFrame:
     """D8/D7 per split: (split, n_tokens, cross_entropy, perplexity)."""
     V = vocab_tgt.count()
-    counts = bigram_counts(split_df, vocab_tgt, train_split)
+    if counts is None:
+        counts = bigram_counts(split_df, vocab_tgt, train_split, tokenizer, text_col)
     prev_tot = counts.groupBy("prev").agg(F.sum("n").alias("cp"))
-    ev = map_unknown(raw_bigrams(split_df), vocab_tgt)
+    ev = map_unknown(raw_bigrams(split_df, tokenizer=tokenizer, text_col=text_col), vocab_tgt)
     j = (ev.join(counts.withColumnRenamed("n", "c"), ["prev", "next"], "left")
          .join(sized_broadcast(prev_tot), "prev", "left"))
     p = (F.coalesce("c", F.lit(0)) + F.lit(k)) / (F.coalesce("cp", F.lit(0)) + F.lit(k * V))
@@ -110,10 +113,10 @@ def greedy_decode(starts: DataFrame, succ: DataFrame, id_col: str = "pair_id",
 
 
 def teacher_forced_predictions(split_df: DataFrame, vocab_tgt: DataFrame, succ: DataFrame,
-                               split: str = "test", tokenizer="words") -> DataFrame:
+                               split: str = "test", tokenizer="words", text_col: str = "tgt") -> DataFrame:
     """F8 over model output: for each pair, the successor predicted at every position of
     its own marked target (unknown -> <unk>), cut before the first predicted <eos>."""
-    seq = with_markers(get_tokenizer(tokenizer)(F.col("tgt")))
+    seq = with_markers(get_tokenizer(tokenizer)(F.col(text_col)))
     rows = split_df.filter(F.col("split") == split).select(
         "pair_id", F.posexplode(F.slice(seq, 1, F.size(seq) - 1)).alias("pos", "tok"))
     known = sized_broadcast(vocab_tgt.select(F.col("token").alias("tok"), F.lit(1).alias("_k")))

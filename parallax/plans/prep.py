@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from parallax.operators.corpus import clean_pairs, exact_split, filter_max_len, union_pairs
 from parallax.operators.vocab import build_pair_vocabs
+from parallax.functions.text import get_tokenizer
+from parallax.session import scratch_path
 from parallax.sources.tables import conversation_turn_pairs, document_line_pairs, table
 
 _MEMO: dict = {}
@@ -45,11 +47,32 @@ def pairs_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_split(pairs_union(spark, sf_dir))
+    """The split corpus with token arrays (``src_toks``, ``tgt_toks``), read from the
+    prepared table."""
+    return corpus(spark, sf_dir)
+
+
+def corpus(spark: SparkSession, sf_dir: str, tokenizer="words") -> DataFrame:
+    """Prepared corpus: pairs_union, exact split, token arrays and lengths, written once
+    as Parquet in the shared folder and read back, so every later job scans tokens
+    instead of re-running the tokenizer (and the lineage is cut there).  Tokenizing
+    after the split's shuffle also spreads the work over all partitions even when the
+    source scan has few splits."""
+    def build():
+        tok = get_tokenizer(tokenizer)
+        sp = exact_split(pairs_union(spark, sf_dir))
+        prepared = (sp.withColumn("src_toks", tok(F.col("src"))).withColumn("tgt_toks", tok(F.col("tgt")))
+                    .withColumn("src_len", F.size("src_toks").cast("long"))
+                    .withColumn("tgt_len", F.size("tgt_toks").cast("long")))
+        path = scratch_path(spark, "corpus")
+        prepared.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    return _memo(spark, sf_dir, f"corpus:{tokenizer}", build)
 
 
 def vocabs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return _memo(spark, sf_dir, "vocabs", lambda: build_pair_vocabs(split(spark, sf_dir)))
+    return _memo(spark, sf_dir, "vocabs",
+                 lambda: build_pair_vocabs(corpus(spark, sf_dir), tokenizer=None, src="src_toks", tgt="tgt_toks"))
 
 
 def pairs_a_maxlen(spark: SparkSession, sf_dir: str) -> DataFrame:
