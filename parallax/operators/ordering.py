@@ -6,7 +6,9 @@
   bounded by #groups + #partitions.  A group holding a third of all rows is spread
   over many range partitions instead of landing in one window task.
 * ``hash_rank``     - the same for a uniformly distributed hex hash key (md5), using
-  the hash prefix as a monotone bucket: no sampling job and no checkpoint.
+  the hash prefix as a monotone bucket: one scan, no sampling job, no checkpoint.
+* ``next_in_group`` - exact lead() over an integral order, windowed by (key, chunk)
+  with a chunk-heads table for the chunk boundaries.
 * ``sized_broadcast`` - broadcast a side only after its row count is checked.
 * ``top_k_per_group`` - exact top-k with a salted first stage, so a hot group is
   reduced in parallel before the final per-group ranking.
@@ -68,26 +70,49 @@ def hash_rank(df: DataFrame, hash_col: str, tie_col: str, rank_col: str = "rn",
               prefix_hex: int = 4, total_col: str | None = None) -> DataFrame:
     """Global row_number() ordered by (hash_col, tie_col) for a uniform hex hash column.
 
-    The first ``prefix_hex`` hex digits form 16**prefix_hex monotone buckets; per-bucket
-    counts (a table of at most 16**prefix_hex rows, broadcast) give each bucket's offset,
-    and rows are numbered inside their bucket.  Optionally adds the table size as
-    ``total_col``.
+    The first ``prefix_hex`` hex digits form 16**prefix_hex monotone buckets.  Rows are
+    numbered inside their bucket by a window keyed by the bucket; the bucket sizes are
+    read off that same shuffled output (so the input is scanned once and the exchange is
+    reused), and their prefix sums (a table of at most 16**prefix_hex rows, broadcast)
+    give each bucket's offset.  Optionally adds the table size as ``total_col``.
     """
     bucket = F.conv(F.substring(F.col(hash_col), 1, prefix_hex), 16, 10).cast("int")
-    b = df.withColumn("_hb", bucket)
-    counts = b.groupBy("_hb").agg(F.count(F.lit(1)).alias("_hn"))
+    inner = Window.partitionBy("_hb").orderBy(hash_col, tie_col)
+    numbered = df.withColumn("_hb", bucket).withColumn("_hr", F.row_number().over(inner))
+    counts = numbered.groupBy("_hb").agg(F.max("_hr").alias("_hn"))
     before = Window.orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.withColumn("_hoff", F.coalesce(F.sum("_hn").over(before), F.lit(0)))
     if total_col:
         offs = offs.withColumn(total_col, F.sum("_hn").over(Window.partitionBy()).cast("long"))
     offs = offs.drop("_hn")
-    inner = Window.partitionBy("_hb").orderBy(hash_col, tie_col)
-    out = (b.withColumn("_hr", F.row_number().over(inner))
-           .join(F.broadcast(offs), "_hb"))  # at most 16**prefix_hex rows
+    out = numbered.join(F.broadcast(offs), "_hb")  # at most 16**prefix_hex rows
     return (out.withColumn(rank_col, (F.col("_hoff") + F.col("_hr")).cast("long"))
             .drop("_hb", "_hr", "_hoff"))
 
 
+def next_in_group(df: DataFrame, key: str, order_col: str, cols: Sequence[str],
+                  prefix: str = "next_", chunk: int = 4096) -> DataFrame:
+    """Exact lead(): add ``prefix + c`` for each c in ``cols`` (and ``order_col``) from the
+    next row of the same ``key`` by the integral ``order_col``.
+
+    A window keyed by (key, order_col div chunk) finds the next row inside each chunk;
+    the last row of a chunk takes the first row of the key's next non-empty chunk from
+    a chunk-heads table (one row per chunk).  A key holding a third of all rows is thus
+    spread over many window groups.  One scan, no checkpoint.
+    """
+    fields = [order_col, *cols]
+    c = df.withColumn("_ck", F.floor(F.col(order_col) / chunk).cast("long"))
+    w = Window.partitionBy(key, "_ck").orderBy(order_col)
+    c = c.withColumn("_nx", F.lead(F.struct(*fields)).over(w))
+    heads = c.groupBy(key, "_ck").agg(F.min(F.struct(*fields)).alias("_hd"))
+    nxt = (heads.withColumn("_nh", F.lead("_hd").over(Window.partitionBy(key).orderBy("_ck")))
+           .select(key, "_ck", "_nh"))
+    out = c.join(nxt, [key, "_ck"], "left").withColumn("_n", F.coalesce("_nx", "_nh"))
+    for f in fields:
+        out = out.withColumn(prefix + f, F.col("_n")[f])
+    return out.drop("_ck", "_nx", "_nh", "_n")
+
+
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence, k: int,
                     salt_col: str, salts: int = 64, rank_col: str = "rank") -> DataFrame:
     """Exact top-k rows per group by ``order`` (a total order); ``rank_col`` is 1-based.

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parallax.operators.ordering import ordered_rank
+from parallax.operators.ordering import next_in_group
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -24,20 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def conversation_turn_pairs(conversations: DataFrame) -> DataFrame:
     """pairs_a before cleaning: (pair_id, user_text, reply_text).
 
-    The 'next turn' is found by an exact per-conversation rank (spread over range
-    partitions, so one huge conversation is not one task) and an equi-join on
-    (conv_id, rank + 1), whose keys are unique.
+    The 'next turn' is an exact lead over ``turn`` inside the conversation, computed by
+    ``next_in_group`` (chunked by turn, so one huge conversation is not one task).
     """
-    ranked = ordered_rank(conversations.select("conv_id", "turn", "role", "text"),
-                          order=["turn"], partition=["conv_id"], rank_col="_t")
-    users = ranked.filter(F.col("role") == "user").select(
-        "conv_id", "turn", F.col("_t").alias("_u"), F.col("text").alias("user_text"))
-    replies = ranked.filter(F.col("role") == "assistant").select(
-        "conv_id", (F.col("_t") - 1).alias("_u"), F.col("text").alias("reply_text"))
-    return (users.join(replies, ["conv_id", "_u"])
-            .select(F.concat(F.lit("c:"), F.col("conv_id").cast("string"), F.lit(":"),
-                             F.col("turn").cast("string")).alias("pair_id"),
-                    "user_text", "reply_text"))
+    nx = next_in_group(conversations.select("conv_id", "turn", "role", "text"),
+                       "conv_id", "turn", ["role", "text"])
+    pairs = nx.filter((F.col("role") == "user") & (F.col("next_role") == "assistant"))
+    return pairs.select(F.concat(F.lit("c:"), F.col("conv_id").cast("string"), F.lit(":"),
+                                 F.col("turn").cast("string")).alias("pair_id"),
+                        F.col("text").alias("user_text"), F.col("next_text").alias("reply_text"))
 
 
 def document_line_pairs(documents: DataFrame) -> DataFrame:

@@ -86,3 +86,15 @@ def test_layer_norm(spark):
     out = df.select(VX.layer_norm("v").alias("n")).first().n
     mean, sd = 2.5, math.sqrt(sum((x - 2.5) ** 2 for x in [1, 2, 3, 4]) / 3)
     assert all(abs(a - (x - mean) / (sd + 1e-6)) < 1e-12 for a, x in zip(out, [1, 2, 3, 4]))
+
+
+@pytest.mark.parametrize("chunk", [2, 4096])
+def test_next_in_group_matches_lead(spark, chunk):
+    from parallax.operators.ordering import next_in_group
+    random.seed(3)
+    rows = [(k, t, f"x{k}-{t}") for k in range(4) for t in random.sample(range(50), 20 if k else 40)]
+    df = spark.createDataFrame(rows, "k long, t long, x string")
+    got = next_in_group(df, "k", "t", ["x"], chunk=chunk).select("k", "t", "next_t", "next_x")
+    w = Window.partitionBy("k").orderBy("t")
+    want = df.select("k", "t", F.lead("t").over(w).alias("next_t"), F.lead("x").over(w).alias("next_x"))
+    assert sorted(got.collect()) == sorted(want.collect())
