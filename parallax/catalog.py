@@ -525,7 +525,7 @@ def _decode_starts(spark, sf):
     vt = P.vocabs(spark, sf)[1]
     t = F.col("tgt_toks")
     s = P.split(spark, sf).filter(F.col("split") == "test").select(
-        "pair_id", F.size(t).alias("_n"), F.element_at(t, 1).alias("_first"))
+        "pair_id", F.size(t).alias("_n"), F.try_element_at(t, F.lit(1)).alias("_first"))
     known = sized_broadcast(vt.select(F.col("token").alias("_first"), F.lit(1).alias("_k")))
     s = s.join(known, "_first", "left")
     return s.select("pair_id", F.when(F.col("_n") == 0, F.lit(SOS))
@@ -670,7 +670,7 @@ WITH s AS (SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS s FROM embeddin
 e AS (SELECT vec_id, label, exp(s - max(s) OVER (PARTITION BY label)) AS e FROM s)
 SELECT vec_id, label, round(e / sum(e) OVER (PARTITION BY label), 6) AS w FROM e""")
 def q_softmax(spark, sf):
-    emb = table(spark, sf, "embeddings").select("vec_id", "label", F.element_at("embedding", 1).cast("double").alias("s"))
+    emb = table(spark, sf, "embeddings").select("vec_id", "label", F.try_element_at("embedding", F.lit(1)).cast("double").alias("s"))
     return AT.grouped_softmax(emb, "label", "s").select("vec_id", "label", F.round("w", 6).alias("w"))
 
 

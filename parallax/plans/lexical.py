@@ -22,23 +22,31 @@ from parallax.session import checkpoint_dir
 ITERATIONS = 3
 
 
-def _type_counts(tokens):
-    """array<string> -> array<struct<tok, n>> of distinct tokens with multiplicity
-    (in-row, no shuffle; arrays are bounded by the length filter)."""
-    return F.transform(F.array_distinct(tokens),
-                       lambda x: F.struct(x.alias("tok"),
-                                          F.size(F.filter(tokens, lambda y: y == x)).cast("double").alias("n")))
+def type_counts(tokens) -> F.Column:
+    """array<string> -> array<struct<tok, n>>: distinct tokens with multiplicity, by a
+    run-length pass over the sorted array (in-row, no shuffle).  The token array is read
+    once, so an upstream tokenizer is never re-run inside the loop."""
+    empty = F.array().cast("array<struct<tok:string,n:double>>")
 
+    def step(acc, x):
+        last = F.try_element_at(acc, F.lit(-1))
+        bumped = F.concat(F.slice(acc, 1, F.size(acc) - 1),
+                          F.array(F.struct(x.alias("tok"), (last["n"] + 1).alias("n"))))
+        added = F.concat(acc, F.array(F.struct(x.alias("tok"), F.lit(1.0).alias("n"))))
+        return F.when(F.coalesce(last["tok"] == x, F.lit(False)), bumped).otherwise(added)
 
-def cooccurrence(pairs: DataFrame, tokenizer="words") -> DataFrame:
+    return F.aggregate(F.array_sort(tokens), empty, step)
+
+
+def cooccurrence(pairs: DataFrame, tokenizer="words", src: str = "src", tgt: str = "tgt") -> DataFrame:
     """(pair_id, f, nf, e, ne): every source type x target type of each pair.
 
     Built row-locally from each pair's own token arrays, so no shuffle is needed; the
     size is sum |types(src)| * |types(tgt)|, bounded per pair by the length filter.
     """
     tok = get_tokenizer(tokenizer)
-    typed = pairs.select("pair_id", _type_counts(tok(F.col("src"))).alias("_f"),
-                         _type_counts(tok(F.col("tgt"))).alias("_e"))
+    typed = pairs.select("pair_id", type_counts(tok(F.col(src))).alias("_f"),
+                         type_counts(tok(F.col(tgt))).alias("_e"))
     fx = typed.select("pair_id", F.explode("_f").alias("f"), "_e")
     return fx.select("pair_id", F.col("f.tok").alias("f"), F.col("f.n").alias("nf"),
                      F.explode("_e").alias("e")).select(
