@@ -91,3 +91,10 @@ def test_vocabulary_ids(spark):
     enc = {r.pair_id: (r.src_ids, r.tgt_ids) for r in V.encode_pairs(df, vs, vt).collect()}
     assert enc["3"][0] == [0]
     assert enc["1"] == ([3, 3, 2], [2, 5, 5, 4, 3])
+
+
+def test_apply_model_hook(spark):
+    from parallax.functions.udf import apply_model
+    df = spark.createDataFrame([("a", "hello world"), ("b", None)], "pair_id string, src string")
+    out = apply_model(df, "src", lambda: (lambda s: s.str.upper()), "up")
+    assert {r.pair_id: r.up for r in out.collect()} == {"a": "HELLO WORLD", "b": None}
