@@ -41,7 +41,7 @@ cnt AS (SELECT side, token, count(*) AS n FROM tc GROUP BY side, token)""") + ""
 SELECT side, token, n, CAST(row_number() OVER (PARTITION BY side ORDER BY n DESC, token) AS BIGINT) AS rank
 FROM cnt""")
 def q_token_counts(spark, sf):
-    return V.token_counts(P.pairs_a(spark, sf))
+    return V.token_counts(P.pairs_a_tokens(spark, sf), tokenizer=None, src="src_toks", tgt="tgt_toks")
 
 
 # ---------------------------------------------------------------- 2. corpus
@@ -107,7 +107,9 @@ def q_tokenize(spark, sf):
                      F.array_join(t, " ").alias("tgt_tokens"), F.size(t).cast("long").alias("n_tgt"))
 
 
-@query("tokenize_ja")  # rows-only: the script-run pattern uses Java class intersection
+@query("tokenize_ja", O.with_("pairs_union") + f"""
+SELECT pair_id, array_to_string({O.tok_script('src')}, ' ') AS src_tokens, CAST(len({O.tok_script('src')}) AS BIGINT) AS n_src
+FROM pairs_union""")
 def q_tokenize_ja(spark, sf):
     df = P.pairs_union(spark, sf)
     t = tokenize_script("src")
@@ -261,8 +263,8 @@ def _budget(spark, sf, train=True):
 
 def _padded(spark, sf):
     vs, vt = P.vocabs(spark, sf)
-    pa = P.pairs_a(spark, sf)
-    enc = V.encode_pairs(pa, vs, vt)
+    pa = P.pairs_a_tokens(spark, sf)
+    enc = V.encode_pairs(pa, vs, vt, tokenizer=None, src="src_toks", tgt="tgt_toks")
     return B.pad_to_batch(_budget(spark, sf).join(enc, "pair_id"))
 
 
@@ -412,13 +414,14 @@ def _bleu_expr(m, t, c, r):
 
 def _lexical_top1(spark, sf):
     return P._memo(spark, sf, "lexical_top1",
-                   lambda: L.top1(L.train_lexical(P.pairs_a_maxlen(spark, sf))).checkpoint(eager=True))
+                   lambda: L.top1(L.train_lexical(P.pairs_a_maxlen(spark, sf), tokenizer=None,
+                                                  src="src_toks", tgt="tgt_toks")).checkpoint(eager=True))
 
 
 def _translated(spark, sf):
-    pa = P.pairs_a(spark, sf)
-    tr = L.translate(pa, _lexical_top1(spark, sf))
-    return tr.join(pa.select("pair_id", tokenize("tgt").alias("ref")), "pair_id")
+    pa = P.pairs_a_tokens(spark, sf)
+    tr = L.translate(pa, _lexical_top1(spark, sf), tokenizer=None, text_col="src_toks", carry=("tgt_toks",))
+    return tr.withColumnRenamed("tgt_toks", "ref")
 
 
 @query("lexical_train", O.with_("lexical") + "SELECT f, e, t FROM lx_top")
@@ -781,7 +784,7 @@ def q_artifact_roundtrip(spark, sf):
 
 @query("stream_translate", O.with_("translated") + "SELECT pair_id, translation FROM translated")
 def q_stream_translate(spark, sf):
-    req = P.pairs_a(spark, sf).select("pair_id", "src")
+    req = P.pairs_a_tokens(spark, sf).select("pair_id", "src")
     inp, out = scratch_path(spark, "requests"), scratch_path(spark, "translations")
     ST.write_ordered_files(req, inp, F.xxhash64("pair_id"), 4)
     schema = spark.read.parquet(inp).schema

@@ -32,13 +32,17 @@ TGT_SPECIALS = [UNK, PAD, SOS, EOS]
 WORD_PATTERN = r"[\p{L}\p{M}\p{N}]+|[^\p{L}\p{M}\p{N}\s]"
 
 # Script-run segmentation for Japanese-like text: Han runs, Hiragana runs, Katakana runs
-# (with the prolonged-sound mark), other letter/digit runs, single symbols.  Java-only
-# (uses class intersection).
+# (with the prolonged-sound mark), other letter/digit runs, single symbols.  "Other
+# letter/digit" = letters, marks, digits outside the three scripts, written without
+# class intersection as "not punctuation, symbol, separator, other, or one of the
+# scripts" (the seven general categories partition Unicode), so the same pattern runs in
+# Java regex (Spark) and, with script names spelled without ``Is``, in RE2 (DuckDB).
 SCRIPT_PATTERN = (
     r"\p{IsHan}+|\p{IsHiragana}+|[\p{IsKatakana}ー]+"
-    r"|[[\p{L}\p{M}\p{N}]&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}ー]]+"
+    r"|[^\p{P}\p{S}\p{Z}\p{C}\p{IsHan}\p{IsHiragana}\p{IsKatakana}ー]+"
     r"|[^\p{L}\p{M}\p{N}\s]"
 )
+SCRIPT_PATTERN_RE2 = SCRIPT_PATTERN.replace(r"\p{Is", r"\p{")
 
 
 def _c(c) -> Column:

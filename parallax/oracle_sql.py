@@ -7,7 +7,7 @@ joins the fragments a query needs into one WITH clause.
 
 from __future__ import annotations
 
-from parallax.functions.text import NA_TOKENS, WORD_PATTERN
+from parallax.functions.text import NA_TOKENS, SCRIPT_PATTERN_RE2, WORD_PATTERN
 
 TOK = f"'{WORD_PATTERN}'"
 NA_LIST = ", ".join("'" + t.replace("'", "''") + "'" for t in NA_TOKENS)
@@ -21,6 +21,10 @@ def tok(expr: str) -> str:
     return f"regexp_extract_all({expr}, {TOK}, 0)"
 
 
+def tok_script(expr: str) -> str:
+    return f"regexp_extract_all({expr}, '{SCRIPT_PATTERN_RE2}', 0)"
+
+
 FRAG: dict[str, str] = {}
 
 FRAG["pa_raw"] = """

@@ -33,27 +33,35 @@ def ngrams(tokens: Column, max_n: int = MAX_N) -> Column:
 
 
 def clipped_matches(df: DataFrame, hyp: str, ref: str, id_col: str = "pair_id") -> DataFrame:
-    """(id, n, clipped) for orders with at least one shared n-gram.  One aggregation
-    over both sides keyed by (id, n, gram), then one keyed by (id, n)."""
-    g = df.select(id_col, F.explode(F.array(
-        F.struct(F.lit(1).alias("h"), ngrams(F.col(hyp)).alias("g")),
+    """(id, n, clipped, c, r): clipped n-gram matches per sentence and order, plus the
+    hypothesis / reference lengths.  Every sentence keeps an ``n = 0`` row (its
+    lengths), so sentences without any match survive without a join back.
+
+    All three aggregations are keyed by the sentence id first; when the input is
+    already partitioned by id (as translation output is) they add no shuffle."""
+    lens = F.array(F.struct(F.lit(0).alias("n"), F.lit("").alias("gram")))
+    g = df.select(id_col, F.size(hyp).alias("_c"), F.size(ref).alias("_r"), F.explode(F.array(
+        F.struct(F.lit(1).alias("h"), F.concat(lens, ngrams(F.col(hyp))).alias("g")),
         F.struct(F.lit(0).alias("h"), ngrams(F.col(ref)).alias("g")))).alias("s"))
-    g = g.select(id_col, F.col("s.h").alias("h"), F.explode("s.g").alias("x"))
+    g = g.select(id_col, "_c", "_r", F.col("s.h").alias("h"), F.explode("s.g").alias("x"))
     counts = g.groupBy(id_col, F.col("x.n").alias("n"), F.col("x.gram").alias("gram")).agg(
-        F.sum("h").alias("ch"), F.sum(1 - F.col("h")).alias("cr"))
-    return (counts.filter((F.col("ch") > 0) & (F.col("cr") > 0))
-            .groupBy(id_col, "n").agg(F.sum(F.least("ch", "cr")).cast("long").alias("clipped")))
+        F.sum("h").alias("ch"), F.sum(1 - F.col("h")).alias("cr"),
+        F.max("_c").alias("c"), F.max("_r").alias("r"))
+    kept = counts.filter((F.col("n") == 0) | ((F.col("ch") > 0) & (F.col("cr") > 0)))
+    return kept.groupBy(id_col, "n").agg(
+        F.sum(F.when(F.col("n") > 0, F.least("ch", "cr")).otherwise(F.lit(0))).cast("long").alias("clipped"),
+        F.max("c").alias("c"), F.max("r").alias("r"))
 
 
 def _per_order(df: DataFrame, id_col: str, max_n: int) -> DataFrame:
     m = clipped_matches(df, "hyp", "ref", id_col)
-    wide = m.groupBy(id_col).agg(*[F.sum(F.when(F.col("n") == n, F.col("clipped"))).alias(f"m{n}")
-                                   for n in range(1, max_n + 1)])
-    base = df.select(id_col, F.size("hyp").cast("long").alias("c"), F.size("ref").cast("long").alias("r"))
-    out = base.join(wide, id_col, "left")
+    out = m.groupBy(id_col).agg(
+        F.max(F.when(F.col("n") == 0, F.col("c"))).cast("long").alias("c"),
+        F.max(F.when(F.col("n") == 0, F.col("r"))).cast("long").alias("r"),
+        *[F.coalesce(F.sum(F.when(F.col("n") == n, F.col("clipped"))), F.lit(0)).cast("long").alias(f"m{n}")
+          for n in range(1, max_n + 1)])
     for n in range(1, max_n + 1):
-        out = (out.withColumn(f"m{n}", F.coalesce(F.col(f"m{n}"), F.lit(0)).cast("long"))
-               .withColumn(f"t{n}", F.greatest(F.col("c") - (n - 1), F.lit(0)).cast("long")))
+        out = out.withColumn(f"t{n}", F.greatest(F.col("c") - (n - 1), F.lit(0)).cast("long"))
     return out
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from parallax.functions.text import get_tokenizer
 from parallax.operators.ordering import sized_broadcast
-from parallax.session import checkpoint_dir
+from parallax.session import checkpoint_dir, scratch_path
 
 ITERATIONS = 3
 
@@ -54,8 +54,15 @@ def cooccurrence(pairs: DataFrame, tokenizer="words", src: str = "src", tgt: str
 
 
 def em_step(cooc: DataFrame, t: DataFrame | None) -> DataFrame:
-    """One EM iteration -> (f, e, t)."""
-    j = cooc.withColumn("t", F.lit(1.0)) if t is None else cooc.join(t, ["f", "e"])
+    """One EM iteration -> (f, e, t).
+
+    ``cooc`` is partitioned by pair, so the normaliser window keyed by (pair, e) runs
+    where the rows already are whenever ``t`` is broadcast (size-checked).  A larger
+    ``t`` is a shuffle join on (f, e) with both sides exchanged, so AQE can split a hot
+    (f, e) such as ('.', '.') across tasks; the (f, e) sums are partial aggregations,
+    reduced map-side before their shuffle.
+    """
+    j = cooc.withColumn("t", F.lit(1.0)) if t is None else cooc.join(sized_broadcast(t), ["f", "e"])
     z = Window.partitionBy("pair_id", "e")  # bounded by the pair's source length
     j = j.withColumn("z", F.sum(F.col("nf") * F.col("t")).over(z))
     c = j.groupBy("f", "e").agg(F.sum(F.col("ne") * F.col("nf") * F.col("t") / F.col("z")).alias("c"))
@@ -63,15 +70,25 @@ def em_step(cooc: DataFrame, t: DataFrame | None) -> DataFrame:
     return c.join(sized_broadcast(tot), "f").select("f", "e", (F.col("c") / F.col("ct")).alias("t"))
 
 
-def train_lexical(pairs: DataFrame, iterations: int = ITERATIONS, tokenizer="words") -> DataFrame:
-    """Returns the translation table (f, e, t).  The co-occurrence table is
-    checkpointed once and every iteration's table is checkpointed (reliable, shared
-    checkpoint dir) to cut lineage."""
-    checkpoint_dir(pairs.sparkSession)
-    cooc = cooccurrence(pairs, tokenizer).repartition("f", "e").checkpoint(eager=True)
+def train_lexical(pairs: DataFrame, iterations: int = ITERATIONS, tokenizer="words",
+                  src: str = "src", tgt: str = "tgt") -> DataFrame:
+    """Returns the translation table (f, e, t).
+
+    The co-occurrence table is checkpointed once, hash-partitioned by pair (rows of a
+    pair are bounded by the length filter, so no partition is hot).  Each iteration's
+    table is written as Parquet in the shared folder: that cuts the lineage, survives
+    executor loss, and leaves the table without a fixed partitioning so the next join
+    can be broadcast or skew-split as its size demands."""
+    spark = pairs.sparkSession
+    checkpoint_dir(spark)
+    # shuffle the pairs, not their product: the product is generated after the exchange
+    # and keeps its partitioning by pair
+    cooc = cooccurrence(pairs.repartition("pair_id"), tokenizer, src, tgt).checkpoint(eager=True)
     t = None
-    for _ in range(iterations):
-        t = em_step(cooc, t).checkpoint(eager=True)
+    for i in range(iterations):
+        path = scratch_path(spark, f"lexical-t{i + 1}")
+        em_step(cooc, t).write.mode("overwrite").parquet(path)
+        t = spark.read.parquet(path)
     return t
 
 
@@ -83,9 +100,12 @@ def top1(t: DataFrame) -> DataFrame:
 
 
 def translate(df: DataFrame, table: DataFrame, id_col: str = "pair_id", text_col: str = "src",
-              out_col: str = "translation", tokenizer="words", max_len: int | None = None) -> DataFrame:
+              out_col: str = "translation", tokenizer="words", max_len: int | None = None,
+              carry: tuple[str, ...] = ()) -> DataFrame:
     """Each source token -> its top-1 target token, or itself when unknown; tokens
-    joined with one space.  Whole texts by default (``max_len`` optionally cuts)."""
+    joined with one space.  Whole texts by default (``max_len`` optionally cuts).
+    ``carry`` columns of ``df`` (e.g. the reference tokens) ride along in the one join
+    that restores rows without tokens, so callers need no second join."""
     tok = get_tokenizer(tokenizer)
     toks = df.select(id_col, F.posexplode(tok(F.col(text_col))).alias("pos", "f"))
     looked = toks.join(sized_broadcast(table.select("f", "e")), "f", "left")
@@ -94,6 +114,6 @@ def translate(df: DataFrame, table: DataFrame, id_col: str = "pair_id", text_col
         mapped = mapped.filter(F.col("pos") < max_len)
     grouped = mapped.groupBy(id_col).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "w"))), lambda x: x["w"]).alias("_w"))
-    return (df.select(id_col).join(grouped, id_col, "left")
-            .select(id_col, F.coalesce(F.array_join("_w", " "), F.lit("")).alias(out_col),
+    return (df.select(id_col, *carry).join(grouped, id_col, "left")
+            .select(id_col, *carry, F.coalesce(F.array_join("_w", " "), F.lit("")).alias(out_col),
                     F.coalesce("_w", F.array().cast("array<string>")).alias(out_col + "_tokens")))

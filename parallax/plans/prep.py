@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parallax.operators.corpus import clean_pairs, exact_split, filter_max_len, union_pairs
+from parallax.operators.corpus import clean_pairs, exact_split, union_pairs
 from parallax.operators.vocab import build_pair_vocabs
 from parallax.functions.text import get_tokenizer
 from parallax.session import scratch_path
@@ -75,14 +75,36 @@ def vocabs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
                  lambda: build_pair_vocabs(corpus(spark, sf_dir), tokenizer=None, src="src_toks", tgt="tgt_toks"))
 
 
+def pairs_a_tokens(spark: SparkSession, sf_dir: str, tokenizer="words") -> DataFrame:
+    """Prepared pairs_a: (pair_id, src, tgt, src_toks, tgt_toks, src_len, tgt_len),
+    written once as Parquet in the shared folder.  Token counts, batching, lexical
+    training, translation and BLEU all scan it, so the conversation-turn pairing and
+    the tokenizer run once instead of once per consumer."""
+    def build():
+        tok = get_tokenizer(tokenizer)
+        prepared = (pairs_a(spark, sf_dir)
+                    .withColumn("src_toks", tok(F.col("src"))).withColumn("tgt_toks", tok(F.col("tgt")))
+                    .withColumn("src_len", F.size("src_toks").cast("long"))
+                    .withColumn("tgt_len", F.size("tgt_toks").cast("long")))
+        path = scratch_path(spark, "pairs-a")
+        prepared.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    return _memo(spark, sf_dir, f"pairs_a_tokens:{tokenizer}", build)
+
+
 def pairs_a_maxlen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filter_max_len(pairs_a(spark, sf_dir))
+    """B5 over the prepared pairs_a (lengths already counted)."""
+    from parallax.operators.corpus import MAX_SRC_TOKENS, MAX_TGT_TOKENS
+    return pairs_a_tokens(spark, sf_dir).filter(
+        (F.col("src_len") <= MAX_SRC_TOKENS) & (F.col("tgt_len") <= MAX_TGT_TOKENS))
 
 
 def pairs_a_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole pairs_a with token lengths and its seeded order ``rn`` (batching input)."""
-    from parallax.operators.corpus import shuffled_rank, with_lengths
-    return shuffled_rank(with_lengths(pairs_a(spark, sf_dir)), total_col=None)
+    """Ids and token lengths of the whole pairs_a with its seeded order ``rn`` (batching
+    input).  Only the narrow (id, lengths) projection is shuffled by the rank."""
+    from parallax.operators.corpus import shuffled_rank
+    slim = pairs_a_tokens(spark, sf_dir).select("pair_id", "src_len", "tgt_len")
+    return shuffled_rank(slim, total_col=None)
 
 
 def first_col(df: DataFrame):

@@ -17,6 +17,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Token-level work is CPU-bound, not byte-bound: a few MB of text expands into
+    # millions of tokens or co-occurrences.  Keep AQE from coalescing such a shuffle
+    # into one or two tasks (the 1 MB default floor); at cluster scale partitions are
+    # far above this floor anyway.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4k",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
