@@ -785,11 +785,12 @@ def q_artifact_roundtrip(spark, sf):
 @query("stream_translate", O.with_("translated") + "SELECT pair_id, translation FROM translated")
 def q_stream_translate(spark, sf):
     req = P.pairs_a_tokens(spark, sf).select("pair_id", "src")
-    inp, out = scratch_path(spark, "requests"), scratch_path(spark, "translations")
-    ST.write_ordered_files(req, inp, F.xxhash64("pair_id"), 4)
-    schema = spark.read.parquet(inp).schema
-    res = ST.stream_translate(spark, inp, schema, _lexical_top1(spark, sf),
-                              lambda b, t: L.translate(b, t).select("pair_id", "translation"), out)
+    staged, inp, out = (scratch_path(spark, "requests-staged"), scratch_path(spark, "requests"),
+                        scratch_path(spark, "translations"))
+    ranges = ST.stage_ranges(req, staged, F.xxhash64("pair_id"), 4)
+    res = ST.stream_translate(spark, inp, ST.staged_schema(spark, staged), _lexical_top1(spark, sf),
+                              lambda b, t: L.translate(b, t).select("pair_id", "translation"), out,
+                              arrivals=ST.range_arrivals(spark, staged, ranges, inp))
     return res.select("pair_id", "translation")
 
 
@@ -798,9 +799,10 @@ SELECT CAST(floor(epoch(ts) / 86400) * 86400 AS BIGINT) AS window_start, count(*
 FROM events WHERE ts IS NOT NULL GROUP BY floor(epoch(ts) / 86400)""")
 def q_stream_metrics(spark, sf):
     ev = table(spark, sf, "events").filter(F.col("ts").isNotNull())
-    inp, out = scratch_path(spark, "events-ts"), scratch_path(spark, "metrics")
-    ST.write_ordered_files(ev, inp, F.unix_micros(ST.event_time("ts")), 4)
-    return ST.stream_window_metrics(spark, inp, spark.read.parquet(inp).schema, out)
+    staged, inp, out = scratch_path(spark, "events-ts-staged"), scratch_path(spark, "events-ts"), scratch_path(spark, "metrics")
+    ranges = ST.stage_ranges(ev, staged, F.unix_micros(ST.event_time("ts")), 4)
+    return ST.stream_window_metrics(spark, inp, ST.staged_schema(spark, staged), out,
+                                    arrivals=ST.range_arrivals(spark, staged, ranges, inp))
 
 
 @query("stream_count_windows", """
@@ -810,6 +812,7 @@ FROM (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id O
 GROUP BY user_id, floor((rn - 1) / 50) HAVING count(*) = 50""")
 def q_stream_count_windows(spark, sf):
     ev = table(spark, sf, "events")
-    inp, out = scratch_path(spark, "events-id"), scratch_path(spark, "count-windows")
-    ST.write_ordered_files(ev, inp, "event_id", 4)
-    return ST.stream_count_windows(spark, inp, spark.read.parquet(inp).schema, out)
+    staged, inp, out = scratch_path(spark, "events-id-staged"), scratch_path(spark, "events-id"), scratch_path(spark, "count-windows")
+    ranges = ST.stage_ranges(ev, staged, "event_id", 4)
+    return ST.stream_count_windows(spark, inp, ST.staged_schema(spark, staged), out,
+                                   arrivals=ST.range_arrivals(spark, staged, ranges, inp))

@@ -55,17 +55,17 @@ def order_key(id_col: str = "pair_id", seed: int = SEED):
 
 
 def shuffled_rank(df: DataFrame, id_col: str = "pair_id", seed: int = SEED,
-                  rank_col: str = "rn", total_col: str | None = "_n") -> DataFrame:
+                  rank_col: str = "rn", total_col: str | None = "_n", keep: list | None = None) -> DataFrame:
     """Row number in the seeded hash order (ties by id), plus the table size."""
     keyed = df.withColumn("_h", order_key(id_col, seed))
-    return hash_rank(keyed, "_h", id_col, rank_col=rank_col, total_col=total_col).drop("_h")
+    return hash_rank(keyed, "_h", id_col, rank_col=rank_col, total_col=total_col, keep=keep).drop("_h")
 
 
 def exact_split(df: DataFrame, id_col: str = "pair_id", seed: int = SEED,
-                fractions: tuple[float, float] = (0.6, 0.8)) -> DataFrame:
+                fractions: tuple[float, float] = (0.6, 0.8), keep: list | None = None) -> DataFrame:
     """Contiguous cuts of the seeded order at int(f1*n) and int(f2*n) (double
     arithmetic, as int(.6*n) computes it).  Adds ``rn`` and ``split``."""
-    r = shuffled_rank(df, id_col, seed)
+    r = shuffled_rank(df, id_col, seed, keep=keep)
     c1 = F.floor(F.col("_n").cast("double") * F.lit(fractions[0]))
     c2 = F.floor(F.col("_n").cast("double") * F.lit(fractions[1]))
     return (r.withColumn("split", F.when(F.col("rn") <= c1, "train")

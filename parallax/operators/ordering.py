@@ -6,10 +6,13 @@
   bounded by #groups + #partitions.  A group holding a third of all rows is spread
   over many range partitions instead of landing in one window task.
 * ``hash_rank``     - the same for a uniformly distributed hex hash key (md5), using
-  the hash prefix as a monotone bucket: one scan, no sampling job, no checkpoint.
+  the hash prefix as a monotone bucket: the input is evaluated once (persisted), no
+  sampling job, no checkpoint.
 * ``next_in_group`` - exact lead() over an integral order, windowed by (key, chunk)
   with a chunk-heads table for the chunk boundaries.
-* ``sized_broadcast`` - broadcast a side only after its row count is checked.
+* ``sized_broadcast`` - broadcast a side only after its row count is checked; meant
+  for materialised sides (checkpoint or Parquet scan), where the count is cheap.
+  Un-materialised aggregates are left to AQE's runtime broadcast conversion.
 * ``top_k_per_group`` - exact top-k with a salted first stage, so a hot group is
   reduced in parallel before the final per-group ranking.
 """
@@ -66,30 +69,39 @@ def ordered_rank(df: DataFrame, order: Sequence, partition: Sequence[str] = (),
     before = Window.partitionBy(*partition).orderBy("_rk_p").rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.withColumn("_rk_off", F.coalesce(F.sum("_rk_n").over(before), F.lit(0))
                          - F.col("_rk_first")).drop("_rk_n", "_rk_first")
-    out = numbered.join(sized_broadcast(seg), ["_rk_p", *partition])
+    # without group columns the segment table has one row per range partition (a fixed
+    # bound); with them it is bounded by groups + partitions, so its size is checked
+    seg_side = F.broadcast(seg) if not partition else sized_broadcast(seg)
+    out = numbered.join(seg_side, ["_rk_p", *partition])
     return (out.withColumn(rank_col, (F.col("_rk_i") + F.col("_rk_off") + 1).cast("long"))
             .drop("_rk_p", "_rk_i", "_rk_off"))
 
 
 def hash_rank(df: DataFrame, hash_col: str, tie_col: str, rank_col: str = "rn",
-              prefix_hex: int = 4, total_col: str | None = None) -> DataFrame:
+              prefix_hex: int = 4, total_col: str | None = None, keep: list | None = None) -> DataFrame:
     """Global row_number() ordered by (hash_col, tie_col) for a uniform hex hash column.
 
-    The first ``prefix_hex`` hex digits form 16**prefix_hex monotone buckets.  Rows are
-    numbered inside their bucket by a window keyed by the bucket; the bucket sizes are
-    read off that same shuffled output (so the input is scanned once and the exchange is
-    reused), and their prefix sums (a table of at most 16**prefix_hex rows, broadcast)
-    give each bucket's offset.  Optionally adds the table size as ``total_col``.
+    The first ``prefix_hex`` hex digits form 16**prefix_hex monotone buckets.  Bucket
+    sizes come from a partial count of the bucket key alone (tiny shuffle: at most
+    16**prefix_hex rows per map task); their prefix sums (a table of at most
+    16**prefix_hex rows, broadcast) give each bucket's offset.  Rows are numbered
+    inside their bucket by a window keyed by the bucket.  The keyed input is persisted
+    (memory and disk, recomputed from lineage if lost), so its upstream runs once for
+    both passes.  Optionally adds the table size as ``total_col``.  The persisted frame
+    is appended to ``keep`` so a caller that materialises the result can release it.
     """
     bucket = F.conv(F.substring(F.col(hash_col), 1, prefix_hex), 16, 10).cast("int")
-    inner = Window.partitionBy("_hb").orderBy(hash_col, tie_col)
-    numbered = df.withColumn("_hb", bucket).withColumn("_hr", F.row_number().over(inner))
-    counts = numbered.groupBy("_hb").agg(F.max("_hr").alias("_hn"))
+    keyed = df.withColumn("_hb", bucket).persist(StorageLevel.MEMORY_AND_DISK)
+    if keep is not None:
+        keep.append(keyed)
+    counts = keyed.groupBy("_hb").agg(F.count(F.lit(1)).alias("_hn"))
     before = Window.orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.withColumn("_hoff", F.coalesce(F.sum("_hn").over(before), F.lit(0)))
     if total_col:
         offs = offs.withColumn(total_col, F.sum("_hn").over(Window.partitionBy()).cast("long"))
     offs = offs.drop("_hn")
+    inner = Window.partitionBy("_hb").orderBy(hash_col, tie_col)
+    numbered = keyed.withColumn("_hr", F.row_number().over(inner))
     out = numbered.join(F.broadcast(offs), "_hb")  # at most 16**prefix_hex rows
     return (out.withColumn(rank_col, (F.col("_hoff") + F.col("_hr")).cast("long"))
             .drop("_hb", "_hr", "_hoff"))

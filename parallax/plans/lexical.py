@@ -66,8 +66,11 @@ def em_step(cooc: DataFrame, t: DataFrame | None) -> DataFrame:
     z = Window.partitionBy("pair_id", "e")  # bounded by the pair's source length
     j = j.withColumn("z", F.sum(F.col("nf") * F.col("t")).over(z))
     c = j.groupBy("f", "e").agg(F.sum(F.col("ne") * F.col("nf") * F.col("t") / F.col("z")).alias("c"))
+    # per-f totals: not materialised, so no count() job here; AQE broadcasts them at
+    # run time when the measured shuffle output is under its threshold, and keeps the
+    # sort-merge join otherwise
     tot = c.groupBy("f").agg(F.sum("c").alias("ct"))
-    return c.join(sized_broadcast(tot), "f").select("f", "e", (F.col("c") / F.col("ct")).alias("t"))
+    return c.join(tot, "f").select("f", "e", (F.col("c") / F.col("ct")).alias("t"))
 
 
 def train_lexical(pairs: DataFrame, iterations: int = ITERATIONS, tokenizer="words",

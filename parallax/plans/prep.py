@@ -60,19 +60,32 @@ def corpus(spark: SparkSession, sf_dir: str, tokenizer="words") -> DataFrame:
     source scan has few splits."""
     def build():
         tok = get_tokenizer(tokenizer)
-        sp = exact_split(pairs_union(spark, sf_dir))
+        held: list = []
+        sp = exact_split(pairs_union(spark, sf_dir), keep=held)
         prepared = (sp.withColumn("src_toks", tok(F.col("src"))).withColumn("tgt_toks", tok(F.col("tgt")))
                     .withColumn("src_len", F.size("src_toks").cast("long"))
                     .withColumn("tgt_len", F.size("tgt_toks").cast("long")))
         path = scratch_path(spark, "corpus")
         prepared.write.mode("overwrite").parquet(path)
+        for d in held:
+            d.unpersist()
         return spark.read.parquet(path)
     return _memo(spark, sf_dir, f"corpus:{tokenizer}", build)
 
 
 def vocabs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return _memo(spark, sf_dir, "vocabs",
-                 lambda: build_pair_vocabs(corpus(spark, sf_dir), tokenizer=None, src="src_toks", tgt="tgt_toks"))
+    """Source and target vocabularies, written once as Parquet in the shared folder
+    (Q5: the vocabulary is a persisted table, not rebuilt per consumer).  Every lookup
+    then scans a small written table, and its size check is a metadata count."""
+    def build():
+        out = []
+        for name, v in zip(("vocab-src", "vocab-tgt"),
+                           build_pair_vocabs(corpus(spark, sf_dir), tokenizer=None, src="src_toks", tgt="tgt_toks")):
+            path = scratch_path(spark, name)
+            v.write.mode("overwrite").parquet(path)
+            out.append(spark.read.parquet(path))
+        return out[0], out[1]
+    return _memo(spark, sf_dir, "vocabs", build)
 
 
 def pairs_a_tokens(spark: SparkSession, sf_dir: str, tokenizer="words") -> DataFrame:
@@ -103,8 +116,16 @@ def pairs_a_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and token lengths of the whole pairs_a with its seeded order ``rn`` (batching
     input).  Only the narrow (id, lengths) projection is shuffled by the rank."""
     from parallax.operators.corpus import shuffled_rank
-    slim = pairs_a_tokens(spark, sf_dir).select("pair_id", "src_len", "tgt_len")
-    return shuffled_rank(slim, total_col=None)
+
+    def build():
+        held: list = []
+        slim = pairs_a_tokens(spark, sf_dir).select("pair_id", "src_len", "tgt_len")
+        path = scratch_path(spark, "pairs-a-ordered")
+        shuffled_rank(slim, total_col=None, keep=held).write.mode("overwrite").parquet(path)
+        for d in held:
+            d.unpersist()
+        return spark.read.parquet(path)
+    return _memo(spark, sf_dir, "pairs_a_ordered", build)
 
 
 def first_col(df: DataFrame):

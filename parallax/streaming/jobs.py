@@ -10,7 +10,9 @@ K3 ``stream_count_windows``: keyed count windows of N rows per key with
 
 Rule for K3: rows of one key are emitted in ``event_id`` order inside each micro-batch;
 the result equals the batch definition when no key receives an id smaller than one
-already emitted (input files arrive in id order, as written by ``write_ordered_files``).
+already emitted.  The registered queries replay a table as arrivals of ``event_id``
+ranges (``stage_ranges`` + ``range_arrivals``), one ``availableNow`` run per arrival, so
+each micro-batch is one whole range and ranges arrive in order.
 """
 
 from __future__ import annotations
@@ -26,44 +28,66 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from parallax.session import scratch_path
 
 
-def write_ordered_files(df: DataFrame, path: str, order, parts: int) -> None:
-    """Stage ``df`` as ``parts`` sequential appends split by ranges of the numeric
-    ``order`` column/expression, so a file stream (oldest file first) sees them in order.
-    Range bounds come from ``approxQuantile`` (a bounded summary, not the data)."""
+def stage_ranges(df: DataFrame, path: str, order, parts: int) -> list[int]:
+    """Label every row with the range of the numeric ``order`` column/expression it falls
+    in (bounds from ``approxQuantile``, a bounded summary, not the data) and write the
+    table once, partitioned by range.  Returns the range ids in order."""
     keyed = df.withColumn("_o", F.col(order) if isinstance(order, str) else order)
     bounds = keyed.approxQuantile("_o", [i / parts for i in range(1, parts)], 0.01) if parts > 1 else []
-    lo = None
-    for hi in bounds + [None]:
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col("_o") > F.lit(lo))
-        if hi is not None:
-            cond = cond & (F.col("_o") <= F.lit(hi))
-        # one file per range so a key's rows never arrive out of order across files
-        keyed.filter(cond).drop("_o").coalesce(1).write.mode("append").parquet(path)
-        lo = hi
+    rid = F.lit(len(bounds))
+    for i in reversed(range(len(bounds))):  # range i holds (bound[i-1], bound[i]]
+        rid = F.when(F.col("_o") <= F.lit(bounds[i]), F.lit(i)).otherwise(rid)
+    keyed.withColumn("_range", rid).drop("_o").write.mode("overwrite").partitionBy("_range").parquet(path)
+    return list(range(len(bounds) + 1))
+
+
+def range_arrivals(spark: SparkSession, staged: str, ranges: list[int], inp: str) -> list[Callable[[], None]]:
+    """One callable per range: append that range (read by partition pruning, written in
+    parallel) to the stream's input folder, so files arrive in ``order``."""
+    def arrive(r: int) -> Callable[[], None]:
+        def go() -> None:
+            (spark.read.parquet(staged).filter(F.col("_range") == r).drop("_range")
+             .write.mode("append").parquet(inp))
+        return go
+    return [arrive(r) for r in ranges]
+
+
+def ensure_input(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Create the (empty) stream input folder: a file source checks that its path exists
+    when the stream is defined, before the first arrival."""
+    spark.createDataFrame([], schema).write.mode("append").parquet(path)
+
+
+def staged_schema(spark: SparkSession, staged: str) -> T.StructType:
+    return T.StructType([f for f in spark.read.parquet(staged).schema.fields if f.name != "_range"])
 
 
 def run_available_now(stream_df: DataFrame, batch_fn: Callable[[DataFrame, int], None], name: str,
-                      mode: str = "append") -> None:
+                      mode: str = "append", arrivals: list[Callable[[], None]] | None = None) -> None:
+    """Run the query with ``trigger(availableNow=True)`` once per arrival (or once), all
+    runs sharing one checkpoint in the shared folder: each run takes every file that has
+    arrived since the last one as one micro-batch, so a micro-batch is one whole range
+    and its size is bounded by the range, not by the table."""
     spark = stream_df.sparkSession
-    q = (stream_df.writeStream.outputMode(mode).foreachBatch(batch_fn)
-         .option("checkpointLocation", scratch_path(spark, f"{name}-ckpt"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    ckpt = scratch_path(spark, f"{name}-ckpt")
+    for arrive in arrivals or [lambda: None]:
+        arrive()
+        q = (stream_df.writeStream.outputMode(mode).foreachBatch(batch_fn)
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        q.awaitTermination()
 
 
 def stream_translate(spark: SparkSession, requests_path: str, schema: T.StructType, table: DataFrame,
-                     translate_fn, out_path: str, files_per_trigger: int = 1) -> DataFrame:
+                     translate_fn, out_path: str, arrivals: list[Callable[[], None]] | None = None) -> DataFrame:
     """K1: translate every arriving row; returns the sink read back."""
-    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-           .parquet(requests_path))
+    ensure_input(spark, requests_path, schema)
+    src = spark.readStream.schema(schema).parquet(requests_path)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         out = translate_fn(batch, table).withColumn("batch_id", F.lit(batch_id).cast("long"))
         out.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
-    run_available_now(src, per_batch, "translate")
+    run_available_now(src, per_batch, "translate", arrivals=arrivals)
     return spark.read.parquet(out_path)
 
 
@@ -80,12 +104,12 @@ def event_time(ts_col: str) -> F.Column:
 
 def stream_window_metrics(spark: SparkSession, events_path: str, schema: T.StructType, out_path: str,
                           window: str = "1 day", watermark: str = "1 hour",
-                          files_per_trigger: int = 1) -> DataFrame:
+                          arrivals: list[Callable[[], None]] | None = None) -> DataFrame:
     """K2: tumbling event-time windows with a watermark; rows later than the watermark
     are dropped.  Update mode; the sink keeps every batch's updates and the read-back
     takes the latest per window."""
-    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-           .parquet(events_path).withColumn("ets", event_time("ts")))
+    ensure_input(spark, events_path, schema)
+    src = spark.readStream.schema(schema).parquet(events_path).withColumn("ets", event_time("ts"))
     agg = (src.withWatermark("ets", watermark).groupBy(F.window("ets", window).alias("w"))
            .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("vsum"), F.count("value").alias("vn")))
 
@@ -94,7 +118,7 @@ def stream_window_metrics(spark: SparkSession, events_path: str, schema: T.Struc
                       F.lit(batch_id).cast("long").alias("batch_id"))
          .write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}"))
 
-    run_available_now(agg, per_batch, "metrics", mode="update")
+    run_available_now(agg, per_batch, "metrics", mode="update", arrivals=arrivals)
     res = spark.read.parquet(out_path)
     latest = res.groupBy("window_start").agg(F.max_by(F.struct("n", "vsum", "vn"), "batch_id").alias("r"))
     return latest.select("window_start", F.col("r.n").alias("n"),
@@ -142,16 +166,18 @@ def _count_window_fn(size: int):
 
 
 def stream_count_windows(spark: SparkSession, events_path: str, schema: T.StructType, out_path: str,
-                         key: str = "user_id", size: int = 50, files_per_trigger: int = 1) -> DataFrame:
+                         key: str = "user_id", size: int = 50,
+                         arrivals: list[Callable[[], None]] | None = None) -> DataFrame:
     """K3: emit one row per completed window of ``size`` rows of a key (by event_id)."""
-    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-           .parquet(events_path).select(F.col(key).alias("user_id"), "event_id", "value"))
+    ensure_input(spark, events_path, schema)
+    src = (spark.readStream.schema(schema).parquet(events_path)
+           .select(F.col(key).alias("user_id"), "event_id", "value"))
     windows = src.groupBy("user_id").applyInPandasWithState(
         _count_window_fn(size), COUNT_WINDOW_OUT, COUNT_WINDOW_STATE, "append", GroupStateTimeout.NoTimeout)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
-    run_available_now(windows, per_batch, "count-windows")
+    run_available_now(windows, per_batch, "count-windows", arrivals=arrivals)
     res = spark.read.parquet(out_path).drop("batch_id")
     return res.withColumn("value_avg", F.round("value_avg", 6))
