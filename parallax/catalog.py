@@ -18,6 +18,7 @@ from parallax.functions.text import ids_text, na_normalize, tokenize, tokenize_s
 from parallax.operators import corpus as C
 from parallax.operators import vocab as V
 from parallax.plans import prep as P
+from parallax.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -488,8 +489,14 @@ def _bigram_parts(spark, sf):
 
 
 def _xent(spark, sf):
-    return G.cross_entropy(P.split(spark, sf), P.vocabs(spark, sf)[1], counts=_bigram_parts(spark, sf)[0],
-                           tokenizer=None, text_col="tgt_toks")
+    def build():
+        vt = P.vocabs(spark, sf)[1]
+        path = scratch_path(spark, "bigrams-by-split")
+        G.split_bigrams(P.split(spark, sf), vt, tokenizer=None, text_col="tgt_toks") \
+            .write.mode("overwrite").partitionBy("split").parquet(path)
+        return spark.read.parquet(path)
+    ev = P._memo(spark, sf, "bigrams_by_split", build)
+    return G.cross_entropy(P.split(spark, sf), P.vocabs(spark, sf)[1], ev=ev)
 
 
 @query("bigram_counts", O.with_("bigrams") + "SELECT prev, next, n FROM bg_train")
@@ -720,7 +727,7 @@ def q_vec_elementwise(spark, sf):
 
 
 # ---------------------------------------------------------------- 7. files and streams
-from parallax.session import scratch_path  # noqa: E402
+
 from parallax.sources import files as FS  # noqa: E402
 from parallax.streaming import jobs as ST  # noqa: E402
 
@@ -787,7 +794,7 @@ def q_stream_translate(spark, sf):
     req = P.pairs_a_tokens(spark, sf).select("pair_id", "src")
     staged, inp, out = (scratch_path(spark, "requests-staged"), scratch_path(spark, "requests"),
                         scratch_path(spark, "translations"))
-    ranges = ST.stage_ranges(req, staged, F.xxhash64("pair_id"), 4)
+    ranges = ST.stage_ranges(req, staged, F.xxhash64("pair_id"))
     res = ST.stream_translate(spark, inp, ST.staged_schema(spark, staged), _lexical_top1(spark, sf),
                               lambda b, t: L.translate(b, t).select("pair_id", "translation"), out,
                               arrivals=ST.range_arrivals(spark, staged, ranges, inp))
@@ -800,7 +807,7 @@ FROM events WHERE ts IS NOT NULL GROUP BY floor(epoch(ts) / 86400)""")
 def q_stream_metrics(spark, sf):
     ev = table(spark, sf, "events").filter(F.col("ts").isNotNull())
     staged, inp, out = scratch_path(spark, "events-ts-staged"), scratch_path(spark, "events-ts"), scratch_path(spark, "metrics")
-    ranges = ST.stage_ranges(ev, staged, F.unix_micros(ST.event_time("ts")), 4)
+    ranges = ST.stage_ranges(ev, staged, F.unix_micros(ST.event_time("ts")))
     return ST.stream_window_metrics(spark, inp, ST.staged_schema(spark, staged), out,
                                     arrivals=ST.range_arrivals(spark, staged, ranges, inp))
 
@@ -813,6 +820,6 @@ GROUP BY user_id, floor((rn - 1) / 50) HAVING count(*) = 50""")
 def q_stream_count_windows(spark, sf):
     ev = table(spark, sf, "events")
     staged, inp, out = scratch_path(spark, "events-id-staged"), scratch_path(spark, "events-id"), scratch_path(spark, "count-windows")
-    ranges = ST.stage_ranges(ev, staged, "event_id", 4)
+    ranges = ST.stage_ranges(ev, staged, "event_id")
     return ST.stream_count_windows(spark, inp, ST.staged_schema(spark, staged), out,
                                    arrivals=ST.range_arrivals(spark, staged, ranges, inp))

@@ -92,6 +92,9 @@ def hash_rank(df: DataFrame, hash_col: str, tie_col: str, rank_col: str = "rn",
     """
     bucket = F.conv(F.substring(F.col(hash_col), 1, prefix_hex), 16, 10).cast("int")
     keyed = df.withColumn("_hb", bucket).persist(StorageLevel.MEMORY_AND_DISK)
+    # fill the cache in one job: otherwise AQE starts both consumer stages at once and
+    # each would evaluate the upstream for the same partitions
+    keyed.count()
     if keep is not None:
         keep.append(keyed)
     counts = keyed.groupBy("_hb").agg(F.count(F.lit(1)).alias("_hn"))

@@ -48,15 +48,24 @@ def bigram_counts(split_df: DataFrame, vocab_tgt: DataFrame, split: str = "train
     return map_unknown(bi, vocab_tgt, keep=())
 
 
+def split_bigrams(split_df: DataFrame, vocab_tgt: DataFrame, tokenizer="words", text_col: str = "tgt") -> DataFrame:
+    """(split, prev, next, n) over every split, unknown tokens mapped to <unk>."""
+    return map_unknown(raw_bigrams(split_df, tokenizer=tokenizer, text_col=text_col), vocab_tgt)
+
+
 def cross_entropy(split_df: DataFrame, vocab_tgt: DataFrame, k: float = 1.0,
                   train_split: str = "train", counts: DataFrame | None = None,
-                  tokenizer="words", text_col: str = "tgt") -> DataFrame:
-    """D8/D7 per split: (split, n_tokens, cross_entropy, perplexity)."""
+                  tokenizer="words", text_col: str = "tgt", ev: DataFrame | None = None) -> DataFrame:
+    """D8/D7 per split: (split, n_tokens, cross_entropy, perplexity).
+
+    ``ev`` (the per-split bigram table) may be passed in materialised; the model counts
+    are then its train rows, so the train bigrams are not built twice."""
     V = vocab_tgt.count()
+    if ev is None:
+        ev = split_bigrams(split_df, vocab_tgt, tokenizer, text_col)
     if counts is None:
-        counts = bigram_counts(split_df, vocab_tgt, train_split, tokenizer, text_col)
+        counts = ev.filter(F.col("split") == train_split).select("prev", "next", "n")
     prev_tot = counts.groupBy("prev").agg(F.sum("n").alias("cp"))
-    ev = map_unknown(raw_bigrams(split_df, tokenizer=tokenizer, text_col=text_col), vocab_tgt)
     j = (ev.join(counts.withColumnRenamed("n", "c"), ["prev", "next"], "left")
          .join(sized_broadcast(prev_tot), "prev", "left"))
     p = (F.coalesce("c", F.lit(0)) + F.lit(k)) / (F.coalesce("cp", F.lit(0)) + F.lit(k * V))

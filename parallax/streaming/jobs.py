@@ -28,17 +28,28 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from parallax.session import scratch_path
 
 
-def stage_ranges(df: DataFrame, path: str, order, parts: int) -> list[int]:
-    """Label every row with the range of the numeric ``order`` column/expression it falls
-    in (bounds from ``approxQuantile``, a bounded summary, not the data) and write the
-    table once, partitioned by range.  Returns the range ids in order."""
-    keyed = df.withColumn("_o", F.col(order) if isinstance(order, str) else order)
-    bounds = keyed.approxQuantile("_o", [i / parts for i in range(1, parts)], 0.01) if parts > 1 else []
-    rid = F.lit(len(bounds))
-    for i in reversed(range(len(bounds))):  # range i holds (bound[i-1], bound[i]]
-        rid = F.when(F.col("_o") <= F.lit(bounds[i]), F.lit(i)).otherwise(rid)
+ROWS_PER_RANGE = 20_000_000   # rows per replayed arrival (bounds one micro-batch)
+
+
+def stage_ranges(df: DataFrame, path: str, order, min_parts: int = 4,
+                 rows_per_range: int = ROWS_PER_RANGE) -> list[int]:
+    """Label every row with an equal-width range of the numeric ``order`` column or
+    expression and write the table once, partitioned by range.  The number of ranges
+    grows with the table (at least ``min_parts``, about ``rows_per_range`` rows each),
+    so one replayed micro-batch, and any one key's share of it, stays bounded however
+    large the table is.  One aggregate job (min, max, count) sizes the ranges; the
+    range id is O(1) per row.  Returns the range ids in order."""
+    keyed = df.withColumn("_o", (F.col(order) if isinstance(order, str) else order).cast("double"))
+    lo, hi, n = keyed.agg(F.min("_o"), F.max("_o"), F.count(F.lit(1))).first()
+    parts = max(min_parts, -(-int(n or 0) // rows_per_range))
+    if lo is None or hi is None or hi <= lo:
+        rid = F.lit(0)
+    else:
+        width = (hi - lo) / parts
+        rid = F.least(F.floor((F.col("_o") - F.lit(lo)) / F.lit(width)), F.lit(parts - 1))
+    rid = F.coalesce(rid.cast("int"), F.lit(parts - 1))  # null order values arrive last
     keyed.withColumn("_range", rid).drop("_o").write.mode("overwrite").partitionBy("_range").parquet(path)
-    return list(range(len(bounds) + 1))
+    return list(range(parts))
 
 
 def range_arrivals(spark: SparkSession, staged: str, ranges: list[int], inp: str) -> list[Callable[[], None]]:
