@@ -138,8 +138,7 @@ def q_vocab_size(spark, sf):
 def _encoded(spark, sf):
     vs, vt = P.vocabs(spark, sf)
     sp = P.split(spark, sf)
-    enc = V.encode_pairs(sp, vs, vt, tokenizer=None, src="src_toks", tgt="tgt_toks")
-    return enc.join(sp.select("pair_id", "split"), "pair_id")
+    return V.encode_pairs(sp, vs, vt, tokenizer=None, src="src_toks", tgt="tgt_toks", carry=("split",))
 
 
 @query("encode", O.with_("encoded") + """

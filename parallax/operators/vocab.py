@@ -23,14 +23,15 @@ VOCAB_SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("t
 
 
 def side_tokens(df: DataFrame, tokenizer="words", src="src", tgt="tgt",
-                keep: Sequence[str] = ()) -> DataFrame:
-    """One row per token occurrence: (*keep, side, pos, token); pos is 0-based."""
+                keep: Sequence[str] = (), outer: bool = False) -> DataFrame:
+    """One row per token occurrence: (*keep, side, pos, token); pos is 0-based.  With
+    ``outer`` a side without tokens still yields one row (pos and token null)."""
     tok = get_tokenizer(tokenizer)
     stacked = df.select(*keep, F.explode(F.array(
         F.struct(F.lit("src").alias("side"), tok(F.col(src)).alias("toks")),
         F.struct(F.lit("tgt").alias("side"), tok(F.col(tgt)).alias("toks")))).alias("_s"))
-    return stacked.select(*keep, F.col("_s.side").alias("side"),
-                          F.posexplode("_s.toks").alias("pos", "token"))
+    pe = F.posexplode_outer if outer else F.posexplode
+    return stacked.select(*keep, F.col("_s.side").alias("side"), pe("_s.toks").alias("pos", "token"))
 
 
 def token_counts(df: DataFrame, tokenizer="words", src: str = "src", tgt: str = "tgt") -> DataFrame:
@@ -85,34 +86,30 @@ def _ordered_ids(items):
 
 def encode_pairs(df: DataFrame, vocab_src: DataFrame, vocab_tgt: DataFrame,
                  id_col: str = "pair_id", tokenizer="words", markers: bool = True,
-                 src: str = "src", tgt: str = "tgt") -> DataFrame:
-    """C1 on both sides in one pass: (id_col, src_ids, tgt_ids).
-
-    Tokens are exploded with positions, looked up with a left join (vocabulary
-    broadcast only after a size check), unknown -> <unk>, and regrouped per pair in
-    position order.  The target gets <sos>/<eos> (H4, Q8).
+                 src: str = "src", tgt: str = "tgt", carry: Sequence[str] = ()) -> DataFrame:
+    """C1 on both sides in one pass: (id_col, *carry, src_ids, tgt_ids).
+
+    Tokens are exploded with positions (outer, so a pair without tokens keeps a row),
+    looked up with a left join (vocabulary broadcast only after a size check), unknown
+    -> <unk>, and regrouped per pair in position order.  ``carry`` holds per-pair
+    columns (e.g. ``split``) kept through the grouping, so no join back is needed.  The
+    regrouping is a partial aggregation: a pair's tokens leave each map task as one
+    buffer.  The target gets <sos>/<eos> (H4, Q8).
     """
-    toks = side_tokens(df, tokenizer, src, tgt, keep=[id_col])
+    toks = side_tokens(df, tokenizer, src, tgt, keep=[id_col, *carry], outer=True)
     vocab = (vocab_src.select(F.lit("src").alias("side"), "token", "id")
              .unionByName(vocab_tgt.select(F.lit("tgt").alias("side"), "token", "id")))
     looked = (toks.join(sized_broadcast(vocab), ["side", "token"], "left")
               .withColumn("id", F.coalesce(F.col("id"), F.lit(UNK_ID).cast("long"))))
-    grouped = looked.groupBy(id_col).agg(
-        F.collect_list(F.when(F.col("side") == "src", F.struct("pos", "id"))).alias("_s"),
-        F.collect_list(F.when(F.col("side") == "tgt", F.struct("pos", "id"))).alias("_t"))
+    real = F.col("pos").isNotNull()
+    grouped = looked.groupBy(id_col, *carry).agg(
+        F.collect_list(F.when(real & (F.col("side") == "src"), F.struct("pos", "id"))).alias("_s"),
+        F.collect_list(F.when(real & (F.col("side") == "tgt"), F.struct("pos", "id"))).alias("_t"))
     tgt_ids = _ordered_ids(F.col("_t"))
     if markers:
         tgt_ids = F.concat(F.array(F.lit(SOS_ID).cast("long")), tgt_ids,
                            F.array(F.lit(EOS_ID).cast("long")))
-    # pairs whose both sides have no token still need a row
-    base = df.select(id_col)
-    out = base.join(grouped, id_col, "left").select(
-        id_col,
-        _ordered_ids(F.coalesce(F.col("_s"), F.array().cast("array<struct<pos:int,id:bigint>>"))).alias("src_ids"),
-        (tgt_ids if not markers else F.when(F.col("_t").isNull(),
-                                            F.array(F.lit(SOS_ID).cast("long"), F.lit(EOS_ID).cast("long")))
-         .otherwise(tgt_ids)).alias("tgt_ids"))
-    return out
+    return grouped.select(id_col, *carry, _ordered_ids(F.col("_s")).alias("src_ids"), tgt_ids.alias("tgt_ids"))
 
 
 def truncate_at(ids, stop_id: int = EOS_ID):
