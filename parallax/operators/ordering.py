@@ -43,10 +43,14 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFr
 
 
 def ordered_rank(df: DataFrame, order: Sequence, partition: Sequence[str] = (),
-                 rank_col: str = "rn", num_partitions: int | None = None) -> DataFrame:
+                 rank_col: str = "rn", num_partitions: int | None = None,
+                 max_groups: int | None = None) -> DataFrame:
     """Add ``rank_col`` = row_number() over (partition by ``partition`` order by ``order``).
 
     ``order`` must be a total order inside each group (end it with a unique id).
+    ``max_groups`` states a known bound on the number of groups (e.g. 2 for the two
+    vocabulary sides); the segment table is then at most groups x partitions rows and
+    is broadcast without a size-check job.
     The range-partitioned, locally numbered table is checkpointed (reliable, shared
     checkpoint dir) so both passes see identical partition ids.
     """
@@ -69,9 +73,10 @@ def ordered_rank(df: DataFrame, order: Sequence, partition: Sequence[str] = (),
     before = Window.partitionBy(*partition).orderBy("_rk_p").rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.withColumn("_rk_off", F.coalesce(F.sum("_rk_n").over(before), F.lit(0))
                          - F.col("_rk_first")).drop("_rk_n", "_rk_first")
-    # without group columns the segment table has one row per range partition (a fixed
-    # bound); with them it is bounded by groups + partitions, so its size is checked
-    seg_side = F.broadcast(seg) if not partition else sized_broadcast(seg)
+    # without group columns (or with a stated small number of groups) the segment table
+    # has a fixed bound; otherwise it is bounded by groups + partitions and is checked
+    bounded = not partition or (max_groups is not None and max_groups * n <= BROADCAST_MAX_ROWS)
+    seg_side = F.broadcast(seg) if bounded else sized_broadcast(seg)
     out = numbered.join(seg_side, ["_rk_p", *partition])
     return (out.withColumn(rank_col, (F.col("_rk_i") + F.col("_rk_off") + 1).cast("long"))
             .drop("_rk_p", "_rk_i", "_rk_off"))

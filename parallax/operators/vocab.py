@@ -54,24 +54,39 @@ def build_vocab(tokens: DataFrame, specials: Sequence[str], token_col: str = "to
     return head.unionByName(body)
 
 
-def build_pair_vocabs(split_df: DataFrame, splits: Sequence[str] = ("train", "val"),
-                      tokenizer="words", src: str = "src", tgt: str = "tgt") -> tuple[DataFrame, DataFrame]:
-    """Source and target vocabularies counted over the given splits (train + val) in one
-    pass: one partial aggregation keyed by (side, token) and one ranked sort."""
+def build_pair_vocab_table(split_df: DataFrame, splits: Sequence[str] = ("train", "val"),
+                           tokenizer="words", src: str = "src", tgt: str = "tgt") -> DataFrame:
+    """Both vocabularies as one table (side, id, token, freq), counted over the given
+    splits (train + val) in one pass: one partial aggregation keyed by (side, token) and
+    one ranked sort."""
     spark = split_df.sparkSession
     toks = side_tokens(split_df.filter(F.col("split").isin(list(splits))), tokenizer, src, tgt)
     specials = F.when(F.col("side") == "src", F.array(*[F.lit(t) for t in SRC_SPECIALS])) \
         .otherwise(F.array(*[F.lit(t) for t in TGT_SPECIALS]))
     counts = (toks.groupBy("side", "token").agg(F.count(F.lit(1)).alias("freq"))
               .filter(~F.array_contains(specials, F.col("token"))))
-    ranked = ordered_rank(counts, order=[F.desc("freq"), F.asc("token")], partition=["side"], rank_col="_r")
-    out = []
-    for side, sp in (("src", SRC_SPECIALS), ("tgt", TGT_SPECIALS)):
-        body = ranked.filter(F.col("side") == side).select(
-            (F.col("_r") + len(sp) - 1).alias("id"), "token", "freq")
-        head = spark.createDataFrame([(i, t, 0) for i, t in enumerate(sp)], VOCAB_SCHEMA)
-        out.append(head.unionByName(body))
-    return out[0], out[1]
+    ranked = ordered_rank(counts, order=[F.desc("freq"), F.asc("token")], partition=["side"], rank_col="_r",
+                          max_groups=2)
+    return side_vocab_table(spark, ranked)
+
+
+def build_pair_vocabs(split_df: DataFrame, splits: Sequence[str] = ("train", "val"),
+                      tokenizer="words", src: str = "src", tgt: str = "tgt") -> tuple[DataFrame, DataFrame]:
+    """Source and target vocabularies (id, token, freq), see ``build_pair_vocab_table``."""
+    both = build_pair_vocab_table(split_df, splits, tokenizer, src, tgt)
+    return (both.filter(F.col("side") == "src").drop("side"),
+            both.filter(F.col("side") == "tgt").drop("side"))
+
+
+def side_vocab_table(spark: SparkSession, ranked: DataFrame) -> DataFrame:
+    """(side, id, token, freq) for both vocabularies: each side's specials, then its ranked
+    tokens shifted past them.  One frame, so both sides are written in one job."""
+    offset = F.when(F.col("side") == "src", F.lit(len(SRC_SPECIALS))).otherwise(F.lit(len(TGT_SPECIALS)))
+    body = ranked.select("side", (F.col("_r") + offset - 1).alias("id"), "token", "freq")
+    head = spark.createDataFrame([(side, i, t, 0) for side, sp in (("src", SRC_SPECIALS), ("tgt", TGT_SPECIALS))
+                                  for i, t in enumerate(sp)],
+                                 "side string, id bigint, token string, freq bigint").coalesce(1)
+    return head.unionByName(body)
 
 
 def vocab_size(vocab: DataFrame, side: str) -> DataFrame:

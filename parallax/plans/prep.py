@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parallax.operators.corpus import clean_pairs, exact_split, union_pairs
-from parallax.operators.vocab import build_pair_vocabs
+from parallax.operators.vocab import build_pair_vocab_table
 from parallax.functions.text import get_tokenizer
 from parallax.session import scratch_path
 from parallax.sources.tables import conversation_turn_pairs, document_line_pairs, table
@@ -78,13 +78,13 @@ def vocabs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     (Q5: the vocabulary is a persisted table, not rebuilt per consumer).  Every lookup
     then scans a small written table, and its size check is a metadata count."""
     def build():
-        out = []
-        for name, v in zip(("vocab-src", "vocab-tgt"),
-                           build_pair_vocabs(corpus(spark, sf_dir), tokenizer=None, src="src_toks", tgt="tgt_toks")):
-            path = scratch_path(spark, name)
-            v.write.mode("overwrite").parquet(path)
-            out.append(spark.read.parquet(path))
-        return out[0], out[1]
+        path = scratch_path(spark, "vocabs")
+        # both sides in one job, partitioned by side; each side reads back only its folder
+        (build_pair_vocab_table(corpus(spark, sf_dir), tokenizer=None, src="src_toks", tgt="tgt_toks")
+         .write.mode("overwrite").partitionBy("side").parquet(path))
+        both = spark.read.parquet(path)
+        return (both.filter(F.col("side") == "src").drop("side"),
+                both.filter(F.col("side") == "tgt").drop("side"))
     return _memo(spark, sf_dir, "vocabs", build)
 
 
