@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parallax import oracle_sql as O
-from parallax.functions.text import ids_text, na_normalize, tokenize, tokenize_script
+from parallax.functions.text import ids_text, na_normalize, tokenize_script
 from parallax.operators import corpus as C
 from parallax.operators import vocab as V
 from parallax.plans import prep as P

@@ -67,7 +67,7 @@ def cross_entropy(split_df: DataFrame, vocab_tgt: DataFrame, k: float = 1.0,
         counts = ev.filter(F.col("split") == train_split).select("prev", "next", "n")
     prev_tot = counts.groupBy("prev").agg(F.sum("n").alias("cp"))
     j = (ev.join(counts.withColumnRenamed("n", "c"), ["prev", "next"], "left")
-         .join(sized_broadcast(prev_tot), "prev", "left"))
+         .join(prev_tot, "prev", "left"))  # an aggregate: AQE sizes this join at run time
     p = (F.coalesce("c", F.lit(0)) + F.lit(k)) / (F.coalesce("cp", F.lit(0)) + F.lit(k * V))
     g = j.groupBy("split").agg(F.sum("n").cast("long").alias("n_tokens"),
                                (F.sum(F.col("n") * -F.log(p)) / F.sum("n")).alias("_x"))
