@@ -39,7 +39,7 @@ def token_counts(df: DataFrame, tokenizer="words", src: str = "src", tgt: str =
     counts = (side_tokens(df, tokenizer, src, tgt).groupBy("side", "token")
               .agg(F.count(F.lit(1)).alias("n")))
     return ordered_rank(counts, order=[F.desc("n"), F.asc("token")], partition=["side"],
-                        rank_col="rank")
+                        rank_col="rank", max_groups=2)
 
 
 def build_vocab(tokens: DataFrame, specials: Sequence[str], token_col: str = "token") -> DataFrame:
