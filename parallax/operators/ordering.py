@@ -37,7 +37,10 @@ def _col(c) -> Column:
 
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Return ``F.broadcast(df)`` when its row count is within ``max_rows``; otherwise the
-    plain frame so the planner falls back to a shuffle join (AQE may still demote it)."""
+    plain frame so the planner falls back to a shuffle join (AQE may still demote it).
+    For narrow, materialised sides only (ids, tokens, a few numbers per row), where a row
+    bound is a byte bound and the count is a scan or metadata read; wide rows (arrays of
+    tokens) are left to AQE, which sizes joins from measured bytes."""
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 

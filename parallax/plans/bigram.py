@@ -112,8 +112,9 @@ def greedy_decode(starts: DataFrame, succ: DataFrame, id_col: str = "pair_id",
     ``decoded`` is the start (unless it is <sos>) followed by the generated tokens up to,
     not including, <eos>; n_gen counts generated tokens including a final <eos>."""
     paths = successor_paths(succ, max_steps)
-    j = starts.select(id_col, start_col).join(
-        sized_broadcast(paths.withColumnRenamed("start", start_col)), start_col, "left")
+    # path rows carry up to max_steps tokens, so a row count does not bound their bytes:
+    # AQE sizes this join from the measured shuffle output instead
+    j = starts.select(id_col, start_col).join(paths.withColumnRenamed("start", start_col), start_col, "left")
     path = F.coalesce("path", F.array().cast("array<string>"))
     kept = truncate_at(path, EOS)
     head = F.when(F.col(start_col) == SOS, F.array().cast("array<string>")).otherwise(F.array(start_col))
