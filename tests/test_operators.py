@@ -28,6 +28,13 @@ def test_ordered_rank_matches_window(spark, skewed, parts):
     assert sorted(got.select("id", "rn").collect()) == sorted(want.select("id", F.col("rn").cast("long")).collect())
 
 
+def test_ordered_rank_stated_groups(spark, skewed):
+    two = skewed.withColumn("side", F.when(F.col("g") == "hot", "a").otherwise("b"))
+    got = ordered_rank(two, order=[F.desc("v"), "id"], partition=["side"], max_groups=2, num_partitions=4)
+    want = two.withColumn("rn", F.row_number().over(Window.partitionBy("side").orderBy(F.desc("v"), "id")))
+    assert sorted(got.select("id", "rn").collect()) == sorted(want.select("id", F.col("rn").cast("long")).collect())
+
+
 def test_ordered_rank_global(spark, skewed):
     got = ordered_rank(skewed, order=["v", "id"])
     want = skewed.withColumn("rn", F.row_number().over(Window.orderBy("v", "id")))
