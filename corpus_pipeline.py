@@ -3,18 +3,52 @@ stage before it kept."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from parallax.llm import jaccard_join
+from parallax.llm import bpe_codec, decontaminate, jaccard_join, line_dedup, quality_rules
 from parallax.llm.common import documents, written
 
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules or the perplexity band of their language reject go."""
+    return quality_rules.keep_good(docs)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Boilerplate lines of a source leave its documents; n_chars follows the text."""
+    out = line_dedup.drop_boilerplate(docs.withColumn("_before", F.col("text")), "source")
+    changed = ~F.col("text").eqNullSafe(F.col("_before"))
+    n = F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return out.withColumn("n_chars", n).select(*docs.columns)
+
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, 0.8) stays."""
     return jaccard_join.keep_one(docs, width=5, percent=80)
 
 
-STAGES = [("near duplicates", near_duplicates)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return decontaminate.drop_contaminated(docs, items)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of each text, and whether they decode to it."""
+    keys = [c for c in docs.columns if c != "text"]
+    out = bpe_codec.encode_decode(docs.withColumn("_bytes", F.coalesce("text", F.lit("")).cast("binary")),
+                                  RANKS, public_tokenizers.PATTERN, [*keys, "_bytes"])
+    return out.select(*keys, "ids", F.size("ids").cast("long").alias("n_tokens"),
+                      (F.col("decoded") == F.col("_bytes")).alias("round_trip"))
+
+
+STAGES = [("quality rules", quality), ("line dedup", lines), ("n-gram Jaccard join", near_duplicates),
+          ("benchmark decontamination", decontamination), ("byte-level BPE", encoding)]
+#: Perplexity, set similarity and merges have no SQL; tests/llm holds each against brute force.
 ORACLE_SQL = None
 
 

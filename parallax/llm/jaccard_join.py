@@ -12,7 +12,7 @@ bitmaps is at most the size of the symmetric difference, which bounds the overla
 above.  Survivors are checked by intersection of the sorted arrays.
 
 A tile is worked in two rounds, so a group of N copies costs N comparisons and not N^2:
-1. every member is compared with the tile's smallest id, and components are formed;
+1. every member is compared with one hub of the tile, and components are formed;
 2. only tiles that still hold several components compare the members of different ones, in
    blocks of bounded size (a hot tile becomes many blocks).
 A pair that neither round compares lies in one component already, so components are exact.
@@ -85,11 +85,11 @@ def tile_keys(s: np.ndarray, percent: int) -> np.ndarray:
 
 
 def parity_bitmap(s: np.ndarray, percent: int) -> bytes:
-    """One bit for each hash slot, flipped by every element; four bits for each element by
+    """One bit for each hash slot, flipped by every element; sixteen bits for each element by
     which the set may differ from a partner.  Widths are powers of two, so that a wider one
     folds to a narrower one by XOR of its halves."""
     width = 64
-    while width < 4 * max_difference(2 * len(s), percent):
+    while width < 16 * max_difference(2 * len(s), percent):
         width *= 2
     at = (mix64(s + _SALT) >> _U(32)).astype(np.int64) & (width - 1)
     return np.packbits((np.bincount(at, minlength=width) & 1).astype(np.uint8), bitorder="little").tobytes()
@@ -275,13 +275,19 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
             .dropDuplicates(["doc_id", "digest"])
             .select(F.col("doc_id").alias("node"), "n_shingles", "bits", "keys"))
     rows = reps.select("node", F.explode("keys").alias("key"))
-    shared = (rows.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top"))
-              .filter("hub < top").select("key", "hub"))
-    members = written(rows.join(shared, "key").select("key", "hub", "node"), "jaccard-members")
+    shared = (rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("size"))
+              .filter("lo < hi").select("key", "size"))
+    members = written(rows.join(shared, "key").select("key", "size", "node"), "jaccard-members")
     sizes = reps.select("node", "n_shingles", "bits")
     texts = slim.withColumnRenamed("doc_id", "node")
 
-    star = members.filter("hub < node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    # a tile's hub is the member that shares most tiles with most others: the text that the
+    # copies were made of, if it is there
+    weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    hubs = members.join(weight, "node").groupBy("key").agg(
+        F.max(F.struct("weight", (-F.col("node")).alias("n"))).alias("h")).select("key", (-F.col("h.n")).alias("hub"))
+    star = (members.join(hubs, "key").filter("hub != node")
+            .select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
     near = (star.join(sizes.toDF("a", "n_a", "bits_a"), "a").join(sizes.toDF("b", "n_b", "bits_b"), "b")
             .select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
             .mapInArrow(_overlap_bound(percent), "a long, b long"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from parallax.llm import jaccard_join
+from parallax.llm import bpe_codec, decontaminate, jaccard_join, line_dedup, quality_rules
 from parallax.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +24,28 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_line_dedup", line_dedup.ORACLE_SQL)
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(documents(spark, sf_dir))
+
+
 @query("op3_jaccard_join")
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(documents(spark, sf_dir), width=3, percent=90)
+
+
+@query("op4_decontaminate", decontaminate.ORACLE_SQL)
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return decontaminate.leaks(documents(spark, sf_dir), items)
+
+
+@query("op8_bpe_codec")
+def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe_codec.digests(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+
+
+@query("op9_quality_rules")
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.report(documents(spark, sf_dir))
