@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from parallax.llm import bpe_codec, decontaminate, jaccard_join, line_dedup, quality_rules
+from parallax.llm import bpe_codec, decontaminate, jaccard_join, language_id, license_scan, line_dedup, quality_rules, url_filters
 from parallax.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(documents(spark, sf_dir))
 
 
+@query("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.report(documents(spark, sf_dir))
+
+
 @query("op3_jaccard_join")
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(documents(spark, sf_dir), width=3, percent=90)
@@ -40,6 +45,11 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), items)
 
 
+@query("op6_url_filters", url_filters.ORACLE_SQL)
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.report(spark, sf_dir)
+
+
 @query("op8_bpe_codec")
 def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -49,3 +59,8 @@ def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_quality_rules")
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(documents(spark, sf_dir))
+
+
+@query("op10_license_scan")
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.report(documents(spark, sf_dir))
