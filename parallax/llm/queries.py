@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from parallax.llm import bpe_codec, decontaminate, jaccard_join, language_id, license_scan, line_dedup, quality_rules, url_filters
+from parallax.llm import bpe_codec, decontaminate, jaccard_join, language_id, license_scan, line_dedup, quality_rules, token_output, url_filters
 from parallax.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,11 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.report(spark, sf_dir)
 
 
+@query("op7_token_output")
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.report(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query("op8_bpe_codec")
 def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
