@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from parallax.llm import bpe_codec, decontaminate, jaccard_join, language_id, license_scan, line_dedup, quality_rules, token_output, url_filters
+from parallax.llm import bpe_codec, decontaminate, jaccard_join, language_id, license_scan, line_dedup, lm_scoring, quality_rules, token_output, url_filters
 from parallax.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,12 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), items)
 
 
+@query("op5_lm_scoring")
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return lm_scoring.report(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+
+
 @query("op6_url_filters", url_filters.ORACLE_SQL)
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.report(spark, sf_dir)
