@@ -79,10 +79,22 @@ NOTICES = {
 FAMILIES = sorted(NOTICES)
 
 
+_GAP = r"(?:[^\p{L}\p{N}.]|\.(?![\p{L}\p{N}]))+"
+
+
+def _words(text: Column) -> Column:
+    return F.split(F.lower(text), _GAP)
+
+
 def grams(text: Column) -> Column:
     """Distinct bigrams and trigrams of a paragraph."""
-    w = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}.]+"), lambda x: F.regexp_replace(x, r"\.+$", "") != "")
-    return _grams(F.transform(w, lambda x: F.regexp_replace(x, r"\.+$", "")))
+    return _grams(F.filter(_words(text), lambda x: x != ""))
+
+
+def _pairs(text: Column) -> Column:
+    """Hashes of the bigrams of a paragraph (and of a few more pairs at its ends)."""
+    w = _words(text)
+    return F.zip_with(w, F.slice(w, 2, 1 << 30), lambda a, b: F.xxhash64(a, b))
 
 
 def _grams(w: Column) -> Column:
@@ -184,7 +196,11 @@ def scan(docs: DataFrame, model: Classifier | None) -> DataFrame:
     spark = docs.sparkSession
     if model is None:
         return spark.createDataFrame([], "doc_id long, line_no int, family string, probability double, template_share double")
-    lines = _lines(docs).withColumn("line_hash", F.xxhash64("line")).withColumn("grams", grams(F.col("line")))
+    # a known n-gram holds a known bigram, so a cheap look for those drops most lines unharmed
+    pairs = [r.h for r in model.templates.filter(F.size(F.split("gram", " ")) == 2).select(
+        F.xxhash64(F.split("gram", " ")[0], F.split("gram", " ")[1]).alias("h")).distinct().collect()]
+    lines = (_lines(docs).filter(F.arrays_overlap(_pairs(F.col("line")), F.array(*[F.lit(h) for h in pairs])))
+             .withColumn("line_hash", F.xxhash64("line")).withColumn("grams", grams(F.col("line"))))
     keys = ["doc_id", "line_no", "line_hash", "n"]
     rows = lines.select("doc_id", "line_no", "line_hash", F.size("grams").alias("n"),
                         F.explode_outer("grams").alias("gram"))
