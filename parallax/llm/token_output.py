@@ -16,7 +16,7 @@ shared by all executors.
 Encoding uses the tokenizers library.  Byte-level BPE never joins a character to a
 following space, so a text's ids are those of its parts cut before each space that follows a
 character other than white space; the parts (mostly words) are encoded once and kept, up to
-``KEPT`` of them in each task.
+``KEPT`` of them in each worker.
 
 Results for odd input: null text is empty and gives the end id only; null ids come first;
 rows that repeat an id stay in an order set by their text; special tokens in a text are
@@ -121,6 +121,12 @@ class Encoder:
         return out
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    """One encoder for all tasks of a Python worker, with the parts it keeps."""
+    return Encoder(path)
+
+
 def _store(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
@@ -130,7 +136,7 @@ def _writer(folder: str, path: str, end_id: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _store(folder)
-        encoder = Encoder(path)
+        encoder = _encoder(path)
         width, end = encoder.dtype.itemsize, np.array([end_id], encoder.dtype).tobytes()
         out, part, at, tokens, index = None, None, 0, 0, []
         own = f"{base}/.{uuid.uuid4().hex}"
