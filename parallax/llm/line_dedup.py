@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parallax.llm.common import written
+
 MAX_RATIO = 0.1
 MIN_PAGES = 5
 
@@ -52,7 +54,8 @@ def boilerplate(pages: DataFrame, host_col: str, text_col: str, max_ratio: float
 def drop_boilerplate(pages: DataFrame, host_col: str, text_col: str = "text", max_ratio: float = MAX_RATIO,
                      min_pages: int = MIN_PAGES) -> DataFrame:
     """``pages`` with the boilerplate lines taken out of ``text_col``."""
-    common = boilerplate(pages, host_col, text_col, max_ratio, min_pages).select(
+    # written, so that Spark knows its size before it deals the pages out by host
+    common = written(boilerplate(pages, host_col, text_col, max_ratio, min_pages), "line-boilerplate").select(
         F.col("host").alias("_host"), F.col("lines").alias("_common"))
     joined = pages.join(common, F.coalesce(pages[host_col], F.lit("")) == F.col("_host"), "left")
     kept = F.array_join(F.filter(_lines(F.col(text_col)), lambda x: (_bare(x) == "") | ~F.array_contains(
