@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parallax import oracle_sql as O
-from parallax.functions.text import ids_text, na_normalize, tokenize_script
+from parallax.functions.text import get_tokenizer, ids_text, na_normalize, tokenize_script
 from parallax.operators import corpus as C
 from parallax.operators import vocab as V
 from parallax.plans import prep as P
@@ -69,9 +69,7 @@ SELECT pair_id, src, tgt, src_len, tgt_len FROM (
          CAST(len({O.tok('tgt')}) AS BIGINT) AS tgt_len FROM pairs_union)
 WHERE src_len <= 80 AND tgt_len <= 78""")
 def q_pairs_maxlen(spark, sf):
-    c = P.corpus(spark, sf)
-    return (c.filter((F.col("src_len") <= C.MAX_SRC_TOKENS) & (F.col("tgt_len") <= C.MAX_TGT_TOKENS))
-            .select("pair_id", "src", "tgt", "src_len", "tgt_len"))
+    return C.filter_max_len(P.pairs_union(spark, sf)).select("pair_id", "src", "tgt", "src_len", "tgt_len")
 
 
 @query("split_exact", O.with_("split") + "SELECT pair_id, src, tgt, rn, split FROM split")
@@ -102,7 +100,8 @@ SELECT pair_id, array_to_string({O.tok('src')}, ' ') AS src_tokens, CAST(len({O.
        array_to_string({O.tok('tgt')}, ' ') AS tgt_tokens, CAST(len({O.tok('tgt')}) AS BIGINT) AS n_tgt
 FROM pairs_union""")
 def q_tokenize(spark, sf):
-    df = P.corpus(spark, sf)
+    tok = get_tokenizer("words")
+    df = P.pairs_union(spark, sf).select("pair_id", tok(F.col("src")).alias("src_toks"), tok(F.col("tgt")).alias("tgt_toks"))
     s, t = F.col("src_toks"), F.col("tgt_toks")
     return df.select("pair_id", F.array_join(s, " ").alias("src_tokens"), F.size(s).cast("long").alias("n_src"),
                      F.array_join(t, " ").alias("tgt_tokens"), F.size(t).cast("long").alias("n_tgt"))
@@ -191,7 +190,7 @@ SELECT side, len, CAST(count(*) AS BIGINT) AS n FROM (
   SELECT 'src' AS side, CAST(len({O.tok('src')}) AS BIGINT) AS len FROM pairs_union
   UNION ALL SELECT 'tgt', CAST(len({O.tok('tgt')}) AS BIGINT) FROM pairs_union) GROUP BY side, len""")
 def q_length_hist(spark, sf):
-    df = P.corpus(spark, sf)
+    df = C.with_lengths(P.pairs_union(spark, sf))
     long = df.select(F.explode(F.array(F.struct(F.lit("src").alias("side"), F.col("src_len").alias("len")),
                                        F.struct(F.lit("tgt").alias("side"), F.col("tgt_len").alias("len"))))
                      .alias("r")).select("r.side", "r.len")
@@ -355,9 +354,9 @@ def _lx_sql(iterations: int = L.ITERATIONS) -> str:
     parts = [f"""
 lx_pairs AS (SELECT pair_id, {O.tok('src')} AS fs, {O.tok('tgt')} AS es FROM pairs_a),
 lx_f AS (SELECT pair_id, f, CAST(count(*) AS DOUBLE) AS nf FROM lx_pairs, unnest(fs) AS u(f)
-         WHERE len(fs) <= 80 AND len(es) <= 78 GROUP BY pair_id, f),
+         GROUP BY pair_id, f),
 lx_e AS (SELECT pair_id, e, CAST(count(*) AS DOUBLE) AS ne FROM lx_pairs, unnest(es) AS u(e)
-         WHERE len(fs) <= 80 AND len(es) <= 78 GROUP BY pair_id, e),
+         GROUP BY pair_id, e),
 lx_cooc AS (SELECT a.pair_id, a.f, a.nf, b.e, b.ne FROM lx_f a JOIN lx_e b ON a.pair_id = b.pair_id),
 lx_t0 AS (SELECT DISTINCT f, e, 1.0::DOUBLE AS t FROM lx_cooc)"""]
     for i in range(1, iterations + 1):
@@ -414,7 +413,7 @@ def _bleu_expr(m, t, c, r):
 
 def _lexical_top1(spark, sf):
     return P._memo(spark, sf, "lexical_top1",
-                   lambda: L.top1(L.train_lexical(P.pairs_a_maxlen(spark, sf), tokenizer=None,
+                   lambda: L.top1(L.train_lexical(P.pairs_a_tokens(spark, sf), tokenizer=None,
                                                   src="src_toks", tgt="tgt_toks")).checkpoint(eager=True))
 
 

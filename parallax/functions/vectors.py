@@ -69,11 +69,12 @@ def layer_norm(v, eps: float = NORM_EPS, alpha: float = 1.0, bias: float = 0.0)
 
     The per-vector statistics enter the element lambdas through ``array_repeat`` (an
     argument evaluated once per row), so the optimizer cannot inline an O(n) aggregate
-    into an O(n) loop."""
+    into an O(n) loop.  An empty vector stays empty; a vector of one value, which has no
+    deviation, gives null."""
     v = _c(v)
     n = F.size(v)
-    mean = vsum(v) / n.cast("double")
+    mean = F.try_divide(vsum(v), n.cast("double"))
     dev = F.zip_with(v, F.array_repeat(mean, n), lambda x, m: x - m)
-    std = F.sqrt(F.aggregate(dev, F.lit(0.0), lambda acc, x: acc + x * x) / (n.cast("double") - 1))
+    std = F.sqrt(F.try_divide(F.aggregate(dev, F.lit(0.0), lambda acc, x: acc + x * x), n.cast("double") - 1))
     return F.zip_with(dev, F.array_repeat(std, n),
                       lambda x, sd: F.lit(alpha) * x / (sd + F.lit(eps)) + F.lit(bias))

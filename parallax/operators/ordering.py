@@ -63,14 +63,16 @@ def ordered_rank(df: DataFrame, order: Sequence, partition: Sequence[str] = (),
     keys = [F.col(p) for p in partition] + [_col(o) for o in order]
     # the range sampler and the shuffle both evaluate the input: keep it for the second
     # pass (recomputed from lineage if a block is lost)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    held = df.storageLevel.useMemory or df.storageLevel.useDisk  # by the caller, who releases it
+    df = df if held else df.persist(StorageLevel.MEMORY_AND_DISK)
     numbered = (df.repartitionByRange(n, *keys)
                 .sortWithinPartitions(*keys)
                 .withColumn("_rk_p", F.spark_partition_id())
                 .withColumn("_rk_i", F.monotonically_increasing_id()
                             - F.shiftleft(F.col("_rk_p").cast("long"), 33)))
     numbered = numbered.checkpoint(eager=True)
-    df.unpersist()
+    if not held:
+        df.unpersist()
     seg = (numbered.groupBy("_rk_p", *partition)
            .agg(F.count(F.lit(1)).alias("_rk_n"), F.min("_rk_i").alias("_rk_first")))
     before = Window.partitionBy(*partition).orderBy("_rk_p").rowsBetween(Window.unboundedPreceding, -1)

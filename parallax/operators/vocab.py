@@ -42,18 +42,6 @@ def token_counts(df: DataFrame, tokenizer="words", src: str = "src", tgt: str =
                         rank_col="rank", max_groups=2)
 
 
-def build_vocab(tokens: DataFrame, specials: Sequence[str], token_col: str = "token") -> DataFrame:
-    """D1 from a one-token-per-row frame: specials get ids 0..k-1, then count-ranked tokens."""
-    spark = tokens.sparkSession
-    counts = (tokens.groupBy(F.col(token_col).alias("token"))
-              .agg(F.count(F.lit(1)).alias("freq"))
-              .filter(~F.col("token").isin(list(specials))))
-    ranked = ordered_rank(counts, order=[F.desc("freq"), F.asc("token")], rank_col="_r")
-    body = ranked.select((F.col("_r") + len(specials) - 1).alias("id"), "token", "freq")
-    head = spark.createDataFrame([(i, s, 0) for i, s in enumerate(specials)], VOCAB_SCHEMA)
-    return head.unionByName(body)
-
-
 def build_pair_vocab_table(split_df: DataFrame, splits: Sequence[str] = ("train", "val"),
                            tokenizer="words", src: str = "src", tgt: str = "tgt") -> DataFrame:
     """Both vocabularies as one table (side, id, token, freq), counted over the given

@@ -22,35 +22,22 @@ from parallax.session import checkpoint_dir, scratch_path
 ITERATIONS = 3
 
 
-def type_counts(tokens) -> F.Column:
-    """array<string> -> array<struct<tok, n>>: distinct tokens with multiplicity, by a
-    run-length pass over the sorted array (in-row, no shuffle).  The token array is read
-    once, so an upstream tokenizer is never re-run inside the loop."""
-    empty = F.array().cast("array<struct<tok:string,n:double>>")
-
-    def step(acc, x):
-        last = F.try_element_at(acc, F.lit(-1))
-        bumped = F.concat(F.slice(acc, 1, F.size(acc) - 1),
-                          F.array(F.struct(x.alias("tok"), (last["n"] + 1).alias("n"))))
-        added = F.concat(acc, F.array(F.struct(x.alias("tok"), F.lit(1.0).alias("n"))))
-        return F.when(F.coalesce(last["tok"] == x, F.lit(False)), bumped).otherwise(added)
-
-    return F.aggregate(F.array_sort(tokens), empty, step)
+def type_counts(pairs: DataFrame, tokens, tok: str, n: str) -> DataFrame:
+    """(pair_id, tok, n): distinct tokens of each pair with their multiplicity."""
+    return (pairs.select("pair_id", F.explode_outer(tokens).alias(tok)).filter(F.col(tok).isNotNull())
+            .groupBy("pair_id", tok).agg(F.count(F.lit(1)).cast("double").alias(n)))
 
 
 def cooccurrence(pairs: DataFrame, tokenizer="words", src: str = "src", tgt: str = "tgt") -> DataFrame:
     """(pair_id, f, nf, e, ne): every source type x target type of each pair.
 
-    Built row-locally from each pair's own token arrays, so no shuffle is needed; the
-    size is sum |types(src)| * |types(tgt)|, bounded per pair by the length filter.
+    ``pairs`` is partitioned by pair, so the two counts and their join run where the rows
+    are; the product is sum |types(src)| * |types(tgt)| over all pairs, streamed by the join
+    and held for no pair as a whole.
     """
     tok = get_tokenizer(tokenizer)
-    typed = pairs.select("pair_id", type_counts(tok(F.col(src))).alias("_f"),
-                         type_counts(tok(F.col(tgt))).alias("_e"))
-    fx = typed.select("pair_id", F.explode("_f").alias("f"), "_e")
-    return fx.select("pair_id", F.col("f.tok").alias("f"), F.col("f.n").alias("nf"),
-                     F.explode("_e").alias("e")).select(
-        "pair_id", "f", "nf", F.col("e.tok").alias("e"), F.col("e.n").alias("ne"))
+    return (type_counts(pairs, tok(F.col(src)), "f", "nf").join(type_counts(pairs, tok(F.col(tgt)), "e", "ne"), "pair_id")
+            .select("pair_id", "f", "nf", "e", "ne"))
 
 
 def em_step(cooc: DataFrame, t: DataFrame | None) -> DataFrame:
@@ -63,7 +50,7 @@ def em_step(cooc: DataFrame, t: DataFrame | None) -> DataFrame:
     reduced map-side before their shuffle.
     """
     j = cooc.withColumn("t", F.lit(1.0)) if t is None else cooc.join(sized_broadcast(t), ["f", "e"])
-    z = Window.partitionBy("pair_id", "e")  # bounded by the pair's source length
+    z = Window.partitionBy("pair_id", "e")  # as many rows as the pair has source types
     j = j.withColumn("z", F.sum(F.col("nf") * F.col("t")).over(z))
     c = j.groupBy("f", "e").agg(F.sum(F.col("ne") * F.col("nf") * F.col("t") / F.col("z")).alias("c"))
     # per-f totals: not materialised, so no count() job here; AQE broadcasts them at
@@ -77,8 +64,8 @@ def train_lexical(pairs: DataFrame, iterations: int = ITERATIONS, tokenizer="wor
                   src: str = "src", tgt: str = "tgt") -> DataFrame:
     """Returns the translation table (f, e, t).
 
-    The co-occurrence table is checkpointed once, hash-partitioned by pair (rows of a
-    pair are bounded by the length filter, so no partition is hot).  Each iteration's
+    Every pair takes part, whatever its length.  The co-occurrence table is checkpointed
+    once, hash-partitioned by pair.  Each iteration's
     table is written as Parquet in the shared folder: that cuts the lineage, survives
     executor loss, and leaves the table without a fixed partitioning so the next join
     can be broadcast or skew-split as its size demands."""

@@ -105,13 +105,6 @@ def pairs_a_tokens(spark: SparkSession, sf_dir: str, tokenizer="words") -> DataF
     return _memo(spark, sf_dir, f"pairs_a_tokens:{tokenizer}", build)
 
 
-def pairs_a_maxlen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B5 over the prepared pairs_a (lengths already counted)."""
-    from parallax.operators.corpus import MAX_SRC_TOKENS, MAX_TGT_TOKENS
-    return pairs_a_tokens(spark, sf_dir).filter(
-        (F.col("src_len") <= MAX_SRC_TOKENS) & (F.col("tgt_len") <= MAX_TGT_TOKENS))
-
-
 def pairs_a_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and token lengths of the whole pairs_a with its seeded order ``rn`` (batching
     input).  Only the narrow (id, lengths) projection is shuffled by the rank."""
@@ -126,7 +119,3 @@ def pairs_a_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
             d.unpersist()
         return spark.read.parquet(path)
     return _memo(spark, sf_dir, "pairs_a_ordered", build)
-
-
-def first_col(df: DataFrame):
-    return F.col(df.columns[0])

@@ -7,7 +7,6 @@ laptops) gets a private folder under the system temp dir.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -70,10 +69,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT_COL = "_c"
+_MARK = "\u0001end"
 
 # Write options that keep text intact (the CSV writer trims whitespace by default).
 _WRITE_TEXT = {"quoteAll": "true", "escape": '"', "quote": '"',
@@ -50,19 +51,20 @@ def read_csv_badlines(spark: SparkSession, path: str, columns: Sequence[str]) ->
     """A2: headed CSV read in PERMISSIVE mode.  Returns (kept, quarantined):
 
     * short rows are kept with nulls in the missing fields (as a pandas read does),
-    * rows with more fields than the header are quarantined with their raw text
-      (``raw``) and the fields parsed from it.
-    The corrupt-record column is set for both kinds; re-parsing it with one extra field
-    tells them apart.
+    * rows with more fields than the header, empty ones included, are quarantined with
+      their raw text (``raw``) and the fields parsed from it.
+    The corrupt-record column is set for both kinds.  It is parsed again with a mark as its
+    last field: in a long row the mark lies beyond the header's fields and one more.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
                           + [T.StructField(CORRUPT_COL, T.StringType())])
     raw = (spark.read.schema(schema).options(**_READ_TEXT).option("header", "true")
            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL).csv(path))
     probe_schema = ", ".join(f"f{i} string" for i in range(len(columns) + 1))
-    extra = F.from_csv(F.col(CORRUPT_COL), probe_schema,
-                       {"escape": '"', "nullValue": "\u0001"})[f"f{len(columns)}"]
-    flagged = raw.withColumn("_long", F.col(CORRUPT_COL).isNotNull() & extra.isNotNull())
+    marked = F.concat(F.regexp_replace(F.col(CORRUPT_COL), "[\r\n]+$", ""), F.lit(f",{_MARK}"))
+    fields = F.from_csv(marked, probe_schema, {"escape": '"'})
+    seen = F.array(*[F.coalesce(fields[f"f{i}"], F.lit("")) for i in range(len(columns) + 1)])
+    flagged = raw.withColumn("_long", F.col(CORRUPT_COL).isNotNull() & ~F.array_contains(seen, _MARK))
     kept = flagged.filter(~F.col("_long")).select(*columns)
     # (a query reading only the corrupt-record column is refused, so the parsed fields ride along)
     quarantined = flagged.filter(F.col("_long")).select(F.col(CORRUPT_COL).alias("raw"), *columns)

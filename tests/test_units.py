@@ -15,13 +15,13 @@ from parallax.sources import files as FS
 
 def test_badline_csv(spark):
     path = scratch_path(spark, "badlines-unit")
-    lines = ["日本語,英語", "あ,a", "い", "う,u,extra", "NA,na", ",empty", '"え,x","q ""z"""', '"多\n行",multi']
+    lines = ["日本語,英語", "あ,a", "い", "う,u,extra", "お,o,", ",,", "NA,na", ",empty", '"え,x","q ""z"""', '"多\n行",multi']
     spark.sparkContext.parallelize(["\n".join(lines)], 1).saveAsTextFile(path)
     kept, quarantined = FS.read_csv_badlines(spark, path, ["日本語", "英語"])
     kept_rows = [(r[0], r[1]) for r in kept.collect()]
     assert ("い", None) in kept_rows and ("あ", "a") in kept_rows
     assert ("え,x", 'q "z"') in kept_rows and ("多\n行", "multi") in kept_rows
-    assert [r.raw for r in quarantined.collect()] == ["う,u,extra"]
+    assert [r.raw for r in quarantined.collect()] == ["う,u,extra", "お,o,", ",,"]
     clean = C.clean_pairs(kept, ["日本語", "英語"], id_col=None)
     got = sorted((r.src, r.tgt) for r in clean.collect())
     assert got == sorted([("あ", "a"), ("え,x", 'q "z"'), ("多\n行", "multi")])
