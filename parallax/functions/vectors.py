@@ -1,7 +1,7 @@
 """Vector Column helpers over array<double>.
 
 Everything is a higher-order array expression (transform / zip_with / aggregate), so
-it stays inside whole-stage codegen with no Python.
+it stays in the JVM with no Python (these functions run outside generated code).
 """
 
 from __future__ import annotations
