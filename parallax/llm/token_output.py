@@ -16,7 +16,8 @@ shared by all executors.
 Encoding uses the tokenizers library.  Byte-level BPE never joins a character to a
 following space, so a text's ids are those of its parts cut before each space that follows a
 character other than white space; the parts (mostly words) are encoded once and kept, up to
-``KEPT`` of them in each worker.
+``KEPT`` of them in each worker.  Parts after a space are encoded ``JOINED`` at a time, as
+one text; each begins at an id whose bytes begin with that space.
 
 Results for odd input: null text is empty and gives the end id only; null ids come first;
 rows that repeat an id stay in an order set by their text; special tokens in a text are
@@ -44,6 +45,7 @@ from parallax.session import scratch_path
 
 KEPT = 600_000
 CHUNK = 2_000
+JOINED = 50
 _MASK = 0xA282EAD8
 _CUT = re.compile(r"(?<=\S)(?= )")
 _ODD = re.compile(r"\s(?: |$)|^ ")
@@ -86,17 +88,34 @@ class Encoder:
     def __init__(self, path: str, kept: int = KEPT):
         self.tokenizer = _tokenizer(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)  # byte-level vocabularies write a space as U+0120
+        self.begins[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
         self.kept = kept
         self.first: dict[str, bytes] = {}   # parts as they stand
         self.spaced: dict[str, bytes] = {}  # parts after a space that is not written here
 
-    def _learn(self, parts: set[str], cache: dict[str, bytes], lead: str) -> None:
+    def _missing(self, parts: set[str], cache: dict[str, bytes]) -> list[str]:
         todo = [p for p in parts if p not in cache]
         if len(cache) + len(todo) > self.kept:
             cache.clear()
             todo = list(parts)
-        for p, e in zip(todo, self.tokenizer.encode_batch_fast([lead + p for p in todo], add_special_tokens=False)):
-            cache[p] = np.array(e.ids, self.dtype).tobytes()
+        return todo
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_first(self, parts: set[str]) -> None:
+        todo = self._missing(parts, self.first)
+        self.first.update(zip(todo, (i.tobytes() for i in self._ids(todo))))
+
+    def _learn_spaced(self, parts: set[str]) -> None:
+        todo = self._missing(parts, self.spaced)
+        groups = [todo[i:i + JOINED] for i in range(0, len(todo), JOINED)]
+        size = self.dtype.itemsize
+        for group, ids in zip(groups, self._ids([" " + " ".join(g) for g in groups])):
+            data, at = ids.tobytes(), (size * np.flatnonzero(self.begins[ids])).tolist()
+            self.spaced.update(zip(group, (data[a:b] for a, b in zip(at, [*at[1:], len(data)])), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         plain, split = [], []
@@ -108,8 +127,8 @@ class Encoder:
         spaced: set[str] = set()
         for s, p in zip(split, plain):
             (spaced if p else first).update(s[1:])
-        self._learn(first, self.first, "")
-        self._learn(spaced, self.spaced, " ")
+        self._learn_first(first)
+        self._learn_spaced(spaced)
         self.first[""] = b""
         out = []
         for s, p in zip(split, plain):
