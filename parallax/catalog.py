@@ -298,7 +298,7 @@ SELECT b.pair_id, b.batch_id, b.row_in_batch FROM bud_batches b
 JOIN bud_order o ON o.pool_id = b.pool_id AND o.batch_id = b.batch_id
 WHERE b.pool_id = 0 AND o.batch_order = 0""")
 def q_first_batch(spark, sf):
-    return B.first_batch(_budget(spark, sf))
+    return B.first_batch(B.budget_batches(B.first_pool(_pa_ordered(spark, sf))))
 
 
 @query("pad_batch", O.with_("bud_padded", recursive=True) + """
@@ -490,7 +490,7 @@ def _xent(spark, sf):
     def build():
         vt = P.vocabs(spark, sf)[1]
         path = scratch_path(spark, "bigrams-by-split")
-        G.split_bigrams(P.split(spark, sf), vt, tokenizer=None, text_col="tgt_toks") \
+        G.split_bigrams(P.split(spark, sf), vt, tokenizer=None, text_col="tgt_toks", known_splits=("train", "val")) \
             .write.mode("overwrite").partitionBy("split").parquet(path)
         return spark.read.parquet(path)
     ev = P._memo(spark, sf, "bigrams_by_split", build)

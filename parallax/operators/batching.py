@@ -62,18 +62,24 @@ def with_pools(df: DataFrame, pool_rows: int, order_col: str = "rn") -> DataFram
     return df.withColumn("pool_id", F.floor((F.col(order_col) - 1) / F.lit(pool_rows)).cast("long"))
 
 
+def first_pool(df: DataFrame, pool_rows: int = TOKEN_BUDGET * POOL_FACTOR, order_col: str = "rn") -> DataFrame:
+    """The rows of pool 0, for work that needs no other (a filter that reaches the scan)."""
+    return df.filter(F.col(order_col) <= pool_rows)
+
+
 def budget_batches(df: DataFrame, budget: int = TOKEN_BUDGET, pool_rows: int = TOKEN_BUDGET * POOL_FACTOR,
                    train: bool = True, order_col: str = "rn",
-                   cost_fn: Callable[[int, int, int], int] = token_budget_cost) -> DataFrame:
-    """E2 (train=True): sort each pool by (src_len, tgt_len, pair_id) and fold.
-    F5 (train=False): fold in input order, then order rows inside each batch by length.
+                   cost_fn: Callable[[int, int, int], int] = token_budget_cost,
+                   sort_keys: tuple[str, ...] = ("src_len", "tgt_len")) -> DataFrame:
+    """E2 (train=True): sort each pool by ``sort_keys`` (I2), then pair_id, and fold.
+    F5 (train=False): fold in input order, then order rows inside each batch by the keys.
 
     Input columns: pair_id, ``order_col``, src_len, tgt_len.  Output: FOLD_SCHEMA.
     """
     slim = with_pools(df.select("pair_id", order_col, "src_len", "tgt_len"), pool_rows, order_col)
 
     def per_pool(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = ["src_len", "tgt_len", "pair_id"]
+        keys = [*sort_keys, "pair_id"]
         pdf = pdf.sort_values(keys if train else [order_col], kind="mergesort").reset_index(drop=True)
         batch = fold_batches(pdf["src_len"].to_numpy(), pdf["tgt_len"].to_numpy(), budget, cost_fn)
         pdf = pdf.assign(batch_id=batch, _k=np.arange(len(pdf)))
@@ -88,12 +94,12 @@ def budget_batches(df: DataFrame, budget: int = TOKEN_BUDGET, pool_rows: int = T
 
 
 def bucket_batches(df: DataFrame, batch_size: int = BATCH_SIZE, pool_rows: int | None = None,
-                   order_col: str = "rn") -> DataFrame:
-    """pools of 100 x batch_size rows in shuffled order, sorted by target length
-    (ties by id), cut every ``batch_size`` rows."""
+                   order_col: str = "rn", sort_keys: tuple[str, ...] = ("tgt_len",)) -> DataFrame:
+    """pools of 100 x batch_size rows in shuffled order, sorted by ``sort_keys`` (I2;
+    ties by id), cut every ``batch_size`` rows."""
     pool_rows = pool_rows or batch_size * POOL_FACTOR
-    p = with_pools(df.select("pair_id", order_col, "tgt_len"), pool_rows, order_col)
-    w = Window.partitionBy("pool_id").orderBy("tgt_len", "pair_id")
+    p = with_pools(df.select("pair_id", order_col, *(k for k in sort_keys if k != order_col)), pool_rows, order_col)
+    w = Window.partitionBy("pool_id").orderBy(*sort_keys, "pair_id")
     k = F.row_number().over(w) - 1
     return p.select("pair_id", "pool_id", (F.floor(k / batch_size)).cast("long").alias("batch_id"),
                     (k % batch_size).cast("long").alias("row_in_batch"))
@@ -109,10 +115,13 @@ def batch_order(batches: DataFrame, seed: int = SEED) -> DataFrame:
 
 
 def first_batch(batches: DataFrame, seed: int = SEED) -> DataFrame:
-    """rows of the batch served first (pool 0, batch_order 0)."""
-    first = batch_order(batches.filter(F.col("pool_id") == 0), seed).filter(F.col("batch_order") == 0)
-    return batches.join(first.select("pool_id", "batch_id"), ["pool_id", "batch_id"]).select(
-        "pair_id", "batch_id", "row_in_batch")
+    """rows of the batch served first (pool 0, batch_order 0): the batch with the least
+    key, by one window over the (bounded) pool, so the batches are made once."""
+    key = F.md5(F.concat(F.lit(f"{seed}:0:"), F.col("batch_id").cast("string")))
+    w = Window.partitionBy("pool_id")
+    rows = batches.filter(F.col("pool_id") == 0).withColumn("_k", F.struct(key.alias("k"), F.col("batch_id").alias("b")))
+    return (rows.withColumn("_m", F.min("_k").over(w)).filter(F.col("_k") == F.col("_m"))
+            .select("pair_id", "batch_id", "row_in_batch"))
 
 
 def pad_to_batch(batched: DataFrame, cols=("src_ids", "tgt_ids"), pad_id: int = PAD_ID) -> DataFrame:

@@ -48,9 +48,17 @@ def bigram_counts(split_df: DataFrame, vocab_tgt: DataFrame, split: str = "train
     return map_unknown(bi, vocab_tgt, keep=())
 
 
-def split_bigrams(split_df: DataFrame, vocab_tgt: DataFrame, tokenizer="words", text_col: str = "tgt") -> DataFrame:
-    """(split, prev, next, n) over every split, unknown tokens mapped to <unk>."""
-    return map_unknown(raw_bigrams(split_df, tokenizer=tokenizer, text_col=text_col), vocab_tgt)
+def split_bigrams(split_df: DataFrame, vocab_tgt: DataFrame, tokenizer="words", text_col: str = "tgt",
+                  known_splits: tuple[str, ...] = ()) -> DataFrame:
+    """(split, prev, next, n) over every split, unknown tokens mapped to <unk>.
+
+    ``known_splits``: splits whose every token is in the vocabulary (it was built from
+    them); their bigrams need no mapping."""
+    rest = ~F.col("split").isin(*known_splits) if known_splits else F.lit(True)
+    mapped = map_unknown(raw_bigrams(split_df.filter(rest), tokenizer=tokenizer, text_col=text_col), vocab_tgt)
+    if not known_splits:
+        return mapped
+    return raw_bigrams(split_df.filter(~rest), tokenizer=tokenizer, text_col=text_col).unionByName(mapped)
 
 
 def cross_entropy(split_df: DataFrame, vocab_tgt: DataFrame, k: float = 1.0,
@@ -59,15 +67,24 @@ def cross_entropy(split_df: DataFrame, vocab_tgt: DataFrame, k: float = 1.0,
     """D8/D7 per split: (split, n_tokens, cross_entropy, perplexity).
 
     ``ev`` (the per-split bigram table) may be passed in materialised; the model counts
-    are then its train rows, so the train bigrams are not built twice."""
+    are then its train rows, so the train bigrams are not built twice.  A bigram's model
+    count and its counts by split meet in one aggregation (one element for each split)."""
     V = vocab_tgt.count()
     if ev is None:
         ev = split_bigrams(split_df, vocab_tgt, tokenizer, text_col)
     if counts is None:
         counts = ev.filter(F.col("split") == train_split).select("prev", "next", "n")
+        model = F.sum(F.when(F.col("split") == train_split, F.col("n")))
+        rows = ev
+    else:
+        model = F.sum(F.when(F.col("split").isNull(), F.col("n")))
+        rows = ev.select("split", "prev", "next", "n").union(
+            counts.select(F.lit(None).cast("string"), "prev", "next", "n"))
     prev_tot = counts.groupBy("prev").agg(F.sum("n").alias("cp"))
-    j = (ev.join(counts.withColumnRenamed("n", "c"), ["prev", "next"], "left")
-         .join(prev_tot, "prev", "left"))  # an aggregate: AQE sizes this join at run time
+    by_bigram = rows.groupBy("prev", "next").agg(
+        model.alias("c"), F.collect_list(F.when(F.col("split").isNotNull(), F.struct("split", "n"))).alias("_s"))
+    j = (by_bigram.join(prev_tot, "prev", "left")  # an aggregate: AQE sizes this join at run time
+         .select("c", "cp", F.inline("_s")))
     p = (F.coalesce("c", F.lit(0)) + F.lit(k)) / (F.coalesce("cp", F.lit(0)) + F.lit(k * V))
     g = j.groupBy("split").agg(F.sum("n").cast("long").alias("n_tokens"),
                                (F.sum(F.col("n") * -F.log(p)) / F.sum("n")).alias("_x"))

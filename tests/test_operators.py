@@ -105,3 +105,38 @@ def test_next_in_group_matches_lead(spark, chunk):
     w = Window.partitionBy("k").orderBy("t")
     want = df.select("k", "t", F.lead("t").over(w).alias("next_t"), F.lead("x").over(w).alias("next_x"))
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_sort_key_hook_and_first_pool(spark):
+    rows = [(f"p{i:02d}", i + 1, 1 + (i * 7) % 11, 1 + (i * 5) % 13) for i in range(40)]
+    df = spark.createDataFrame(rows, "pair_id string, rn long, src_len long, tgt_len long")
+    got = {r.pair_id: (r.batch_id, r.row_in_batch) for r in B.bucket_batches(df, 4, sort_keys=("src_len", "tgt_len")).collect()}
+    order = [r[0] for r in sorted(rows, key=lambda r: (r[2], r[3], r[0]))]
+    assert got == {p: (i // 4, i % 4) for i, p in enumerate(order)}
+    by_target = B.budget_batches(df, budget=60, pool_rows=25, sort_keys=("tgt_len",))
+    first = sorted((r for r in by_target.collect() if r.pool_id == 0), key=lambda r: (r.batch_id, r.row_in_batch))
+    assert [r.pair_id for r in first] == [r[0] for r in sorted(rows[:25], key=lambda r: (r[3], r[0]))]
+    whole = B.budget_batches(df, budget=60, pool_rows=25)
+    served = B.batch_order(whole).filter("pool_id = 0 and batch_order = 0").first().batch_id
+    want = sorted((r.pair_id, r.batch_id, r.row_in_batch) for r in whole.collect() if (r.pool_id, r.batch_id) == (0, served))
+    assert sorted(B.first_batch(B.budget_batches(B.first_pool(df, 25), budget=60, pool_rows=25)).collect()) == want
+
+
+def test_cross_entropy_from_outer_counts_and_known_splits(spark):
+    from parallax.plans import bigram as G
+    rows = [("1", "train", ["a", "b"]), ("2", "train", ["a", "a"]), ("3", "val", ["b"]), ("4", "test", ["z", "a"])]
+    sp = spark.createDataFrame(rows, "pair_id string, split string, toks array<string>")
+    vocab = spark.createDataFrame([(t,) for t in ("<unk>", "<pad>", "<sos>", "<eos>", "a", "b")], "token string")
+    every = G.split_bigrams(sp, vocab, None, "toks")
+    some = G.split_bigrams(sp, vocab, None, "toks", known_splits=("train", "val"))
+    assert sorted(every.collect()) == sorted(some.collect())
+    counts = every.filter("split = 'train'").select("prev", "next", "n")
+    got = sorted(G.cross_entropy(sp, vocab, ev=every).collect())
+    assert got == sorted(G.cross_entropy(sp, vocab, ev=every, counts=counts).collect())
+    c = {(r.prev, r.next): r.n for r in counts.collect()}
+    tot = {}
+    for (p, _), n in c.items():
+        tot[p] = tot.get(p, 0) + n
+    test = [("<sos>", "<unk>"), ("<unk>", "a"), ("a", "<eos>")]
+    x = sum(-math.log((c.get(b, 0) + 1) / (tot.get(b[0], 0) + 6)) for b in test) / 3
+    assert [r for r in got if r.split == "test"][0].cross_entropy == round(x, 6)
