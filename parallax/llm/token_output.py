@@ -48,7 +48,7 @@ CHUNK = 2_000
 JOINED = 50
 _MASK = 0xA282EAD8
 _CUT = re.compile(r"(?<=\S)(?= )")
-_ODD = re.compile(r"\s(?: |$)|^ ")
+_AFTER_SPACE = re.compile(r" (?<=\s )")
 
 
 def masked(data: bytes) -> int:
@@ -82,6 +82,11 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+def has_odd_space(text: str) -> bool:
+    """A space first or after other white space, or white space last."""
+    return text[:1] == " " or text[-1:].isspace() or _AFTER_SPACE.search(text) is not None
+
+
 class Encoder:
     """Ids of texts as little-endian bytes of ``width`` bytes each."""
 
@@ -120,7 +125,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         plain, split = [], []
         for t in texts:
-            odd = _ODD.search(t) is not None
+            odd = has_odd_space(t)
             plain.append(not odd)
             split.append(_CUT.split(t) if odd else t.split(" "))
         first = {s[0] for s in split if s[0]}

@@ -1,5 +1,7 @@
 """Binary token records: ids against the library on whole texts, order, checksums, reads."""
 
+import random
+import re
 import zlib
 
 import numpy as np
@@ -32,6 +34,13 @@ def test_parts_give_the_ids_of_the_text(spark, kept):
     assert got == library(texts)
 
 
+def test_odd_space():
+    rng = random.Random(1)
+    for _ in range(20_000):
+        t = "".join(rng.choice("ab \n\t\x1c\x85\xa0\u3000") for _ in range(rng.randrange(8)))
+        assert O.has_odd_space(t) == (re.search(r"\s(?: |$)|^ ", t) is not None), repr(t)
+
+
 def test_frames():
     data = O.frame(b"one") + O.frame(b"") + O.frame(b"x" * 1000)
     first, at = O.unframe(data, 0)
