@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parallax import oracle_sql as O
-from parallax.functions.text import get_tokenizer, ids_text, na_normalize, tokenize_script
+from parallax.functions.text import PAD_ID, get_tokenizer, ids_text, na_normalize, tokenize_script
 from parallax.operators import corpus as C
 from parallax.operators import vocab as V
 from parallax.plans import prep as P
@@ -72,9 +72,14 @@ def q_pairs_maxlen(spark, sf):
     return C.filter_max_len(P.pairs_union(spark, sf)).select("pair_id", "src", "tgt", "src_len", "tgt_len")
 
 
-@query("split_exact", O.with_("split") + "SELECT pair_id, src, tgt, rn, split FROM split")
+@query("split_exact", O.with_("split") + "SELECT pair_id, src, tgt, split FROM split")
 def q_split_exact(spark, sf):
-    return P.split(spark, sf).select("pair_id", "src", "tgt", "rn", "split")
+    return P.split(spark, sf).select("pair_id", "src", "tgt", "split")
+
+
+@query("split_rank", O.with_("split") + "SELECT pair_id, rn, split FROM split")
+def q_split_rank(spark, sf):
+    return C.exact_split(P.split(spark, sf).select("pair_id")).select("pair_id", "rn", "split")
 
 
 @query("split_counts", O.with_("split") + "SELECT split, count(*) AS n FROM split GROUP BY split")
@@ -596,18 +601,18 @@ D_MODEL = 64  # width of the embeddings table vectors
 
 O.register("emb_seq", """
 emb_seq AS (
-  SELECT vec_id, label, CAST(floor((r - 1) / 80) AS BIGINT) AS chunk, CAST((r - 1) % 80 AS BIGINT) AS pos,
+  SELECT vec_id, label, CAST(r - 1 AS BIGINT) AS pos,
          CAST(embedding AS DOUBLE[]) AS v
   FROM (SELECT vec_id, label, embedding, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS r FROM embeddings))""")
 
 
-def _pe_sql(pos: str, d: str, variant: str) -> str:
+def _pe_sql(pos: str, d: str, variant: str, d_model: int = D_MODEL) -> str:
     d = f"({d})"
     if variant == "a":
-        ang = f"CAST({pos} AS DOUBLE) / pow(10000.0::DOUBLE, 2.0::DOUBLE * CAST({d} AS DOUBLE) / {float(D_MODEL)}::DOUBLE)"
+        ang = f"CAST({pos} AS DOUBLE) / pow(10000.0::DOUBLE, 2.0::DOUBLE * CAST({d} AS DOUBLE) / {float(d_model)}::DOUBLE)"
     else:
         ang = (f"CAST({pos} AS DOUBLE) * exp((2.0::DOUBLE * CAST(floor({d} / 2) AS DOUBLE)) * "
-               f"(-ln(10000.0::DOUBLE) / {float(D_MODEL)}::DOUBLE))")
+               f"(-ln(10000.0::DOUBLE) / {float(d_model)}::DOUBLE))")
     return f"(CASE WHEN {d} % 2 = 0 THEN sin({ang}) ELSE cos({ang}) END)"
 
 
@@ -616,11 +621,17 @@ def _seq(spark, sf):
                                                              "embedding"))
 
 
+POSENC_WIDTH = 512
+
+
 def _posenc(spark, sf, variant):
-    pos = _seq(spark, sf).select("pos").distinct()
-    cells = pos.select("pos", F.explode(F.sequence(F.lit(0), F.lit(D_MODEL - 1))).alias("dim"))
+    """Position table for the longest label of ``embeddings``, of at least 80 positions."""
+    longest = table(spark, sf, "embeddings").groupBy("label").count().agg(F.max("count").alias("n"))
+    rows = F.greatest(F.lit(VX.MAX_POSITIONS), F.coalesce("n", F.lit(0)))
+    pos = longest.select(F.explode(F.sequence(F.lit(0).cast("long"), rows - 1)).alias("pos"))
+    cells = pos.select("pos", F.explode(F.sequence(F.lit(0), F.lit(POSENC_WIDTH - 1))).alias("dim"))
     return cells.select("pos", F.col("dim").cast("long").alias("dim"),
-                        F.round(VX.position_value("pos", "dim", D_MODEL, variant), 6).alias("v"))
+                        F.round(VX.position_value("pos", "dim", POSENC_WIDTH, variant), 6).alias("v"))
 
 
 for _variant in ("a", "b"):
@@ -628,9 +639,10 @@ for _variant in ("a", "b"):
         def fn(spark, sf):
             return _posenc(spark, sf, variant)
         return fn
-    query(f"posenc_{_variant}", O.with_("emb_seq") + f"""
-SELECT p.pos, CAST(t.d AS BIGINT) AS dim, round({_pe_sql('p.pos', 't.d', _variant)}, 6) AS v
-FROM (SELECT DISTINCT pos FROM emb_seq) p, range({D_MODEL}) AS t(d)""")(_mk(_variant))
+    query(f"posenc_{_variant}", f"""
+WITH longest AS (SELECT greatest(80, max(c)) AS n FROM (SELECT count(*) AS c FROM embeddings GROUP BY label))
+SELECT CAST(p.pos AS BIGINT) AS pos, CAST(t.d AS BIGINT) AS dim, round({_pe_sql('p.pos', 't.d', _variant, POSENC_WIDTH)}, 6) AS v
+FROM (SELECT unnest(range(n)) AS pos FROM longest) p, range({POSENC_WIDTH}) AS t(d)""")(_mk(_variant))
 
 
 @query("embed_lookup", O.with_("encoded") + """
@@ -654,12 +666,12 @@ def q_embed_lookup(spark, sf):
 
 
 @query("embed_plus_pos", O.with_("emb_seq") + f"""
-SELECT label, chunk, pos, CAST(u.d - 1 AS BIGINT) AS dim,
+SELECT label, pos, CAST(u.d - 1 AS BIGINT) AS dim,
        round(u.x * sqrt({float(D_MODEL)}::DOUBLE) + {_pe_sql('pos', 'u.d - 1', 'a')}, 6) AS v
 FROM emb_seq, unnest(v) WITH ORDINALITY AS u(x, d)""")
 def q_embed_plus_pos(spark, sf):
     s = AT.embed_plus_position(_seq(spark, sf), D_MODEL)
-    return AT.long_form(s, ["label", "chunk", "pos"])
+    return AT.long_form(s, ["label", "pos"])
 
 
 @query("layer_norm", """
@@ -682,35 +694,62 @@ def q_softmax(spark, sf):
     return AT.grouped_softmax(emb, "label", "s").select("vec_id", "label", F.round("w", 6).alias("w"))
 
 
-def _attn_sql(causal: bool, heads: int) -> str:
+def _attn_sql(heads: int) -> str:
     dk = D_MODEL // heads
-    cond = "AND b.pos <= a.pos" if causal else ""
     return O.with_("emb_seq", extra=f"""
 at_pairs AS (
-  SELECT a.label, a.chunk, a.pos AS i, b.pos AS j, h.h, b.v[h.h * {dk} + 1 : h.h * {dk} + {dk}] AS vh,
+  SELECT a.label, a.pos AS i, b.pos AS j, h.h, b.v[h.h * {dk} + 1 : h.h * {dk} + {dk}] AS vh,
          list_dot_product(a.v[h.h * {dk} + 1 : h.h * {dk} + {dk}], b.v[h.h * {dk} + 1 : h.h * {dk} + {dk}])
            / sqrt({float(dk)}::DOUBLE) AS s
-  FROM emb_seq a JOIN emb_seq b ON a.label = b.label AND a.chunk = b.chunk {cond}
+  FROM emb_seq a JOIN emb_seq b ON a.label = b.label AND b.pos <= a.pos
   CROSS JOIN range({heads}) AS h(h)),
-at_e AS (SELECT *, exp(s - max(s) OVER (PARTITION BY label, chunk, i, h)) AS e FROM at_pairs),
-at_w AS (SELECT *, e / sum(e) OVER (PARTITION BY label, chunk, i, h) AS wt FROM at_e)""") + f"""
-SELECT label, chunk, i AS pos, CAST(h * {dk} + u.d - 1 AS BIGINT) AS dim, round(sum(wt * u.x), 6) AS v
-FROM at_w, unnest(vh) WITH ORDINALITY AS u(x, d) GROUP BY label, chunk, i, h, u.d"""
+at_e AS (SELECT *, exp(s - max(s) OVER (PARTITION BY label, i, h)) AS e FROM at_pairs),
+at_w AS (SELECT *, e / sum(e) OVER (PARTITION BY label, i, h) AS wt FROM at_e)""") + f"""
+SELECT label, i AS pos, CAST(h * {dk} + u.d - 1 AS BIGINT) AS dim, round(sum(wt * u.x), 6) AS v
+FROM at_w, unnest(vh) WITH ORDINALITY AS u(x, d) GROUP BY label, i, h, u.d"""
 
 
-@query("attn_causal", _attn_sql(True, 1))
+@query("attn_causal", _attn_sql(1))
 def q_attn_causal(spark, sf):
-    return AT.long_form(AT.attention(_seq(spark, sf), causal=True), ["label", "chunk", "pos"])
+    return AT.long_form(AT.attention(_seq(spark, sf)), ["label", "pos"])
 
 
-@query("attn_cross", _attn_sql(False, 1))
+@query("attn_heads", _attn_sql(8))
+def q_attn_heads(spark, sf):
+    return AT.long_form(AT.attention(_seq(spark, sf), heads=8), ["label", "pos"])
+
+
+@query("attn_cross", O.with_("encoded", extra="""
+ac_emb AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+ac_n AS (SELECT count(*) AS n FROM embeddings),
+ac_q AS (SELECT e.pair_id, u.pos - 1 AS i, m.v FROM encoded e, unnest(e.tgt_ids) WITH ORDINALITY AS u(id, pos), ac_n
+         JOIN ac_emb m ON m.vec_id = u.id % ac_n.n WHERE e.pair_id LIKE 'c:%'),
+ac_k AS (SELECT e.pair_id, u.pos - 1 AS j, m.v, list_sum(m.v) AS vs
+         FROM encoded e, unnest(e.src_ids) WITH ORDINALITY AS u(id, pos), ac_n
+         JOIN ac_emb m ON m.vec_id = u.id % ac_n.n WHERE e.pair_id LIKE 'c:%'),
+ac_s AS (SELECT q.pair_id, i, list_dot_product(q.v, k.v) / 8.0::DOUBLE AS s, vs, k.v[1] AS v1, k.v[64] AS v64
+         FROM ac_q q JOIN ac_k k ON q.pair_id = k.pair_id),
+ac_e AS (SELECT *, exp(s - max(s) OVER (PARTITION BY pair_id, i)) AS e FROM ac_s)""") + """
+SELECT pair_id, CAST(i AS BIGINT) AS pos, round(sum(e * vs) / sum(e), 6) AS v_sum,
+       round(sum(e * v1) / sum(e), 6) AS v_first, round(sum(e * v64) / sum(e), 6) AS v_last
+FROM ac_e GROUP BY pair_id, i""")
 def q_attn_cross(spark, sf):
-    return AT.long_form(AT.attention(_seq(spark, sf), causal=False), ["label", "chunk", "pos"])
+    """Target positions attend to the source positions of their pair; sources are padded to a
+    multiple of eight, and the mask leaves the padding out."""
+    vs, vt = P.vocabs(spark, sf)
+    enc = V.encode_pairs(P.pairs_a_tokens(spark, sf), vs, vt, tokenizer=None, src="src_toks", tgt="tgt_toks")
+    padding = F.array_repeat(F.lit(PAD_ID).cast("long"), F.pmod(-F.size("src_ids"), F.lit(8)))
+    emb = table(spark, sf, "embeddings").select("vec_id", VX.as_double("embedding").alias("v"))
+    n = emb.count()  # scalar table size
 
+    def side(ids):
+        at = enc.select("pair_id", F.posexplode(ids).alias("pos", "id"))
+        return (at.withColumn("vec_id", F.pmod(F.col("id"), F.lit(n))).join(emb, "vec_id")
+                .select("pair_id", F.col("pos").cast("long").alias("pos"), (F.col("id") != PAD_ID).alias("real"), "v"))
 
-@query("attn_heads", _attn_sql(True, 8))
-def q_attn_heads(spark, sf):
-    return AT.long_form(AT.attention(_seq(spark, sf), causal=True, heads=8), ["label", "chunk", "pos"])
+    out = AT.attention(side("tgt_ids"), side(F.concat("src_ids", padding)), keys=["pair_id"], causal=False, mask="real")
+    return out.select("pair_id", "pos", F.round(VX.vsum("v"), 6).alias("v_sum"), F.round(F.col("v")[0], 6).alias("v_first"),
+                      F.round(F.element_at("v", -1), 6).alias("v_last"))
 
 
 @query("vec_elementwise", """

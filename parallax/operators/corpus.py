@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parallax.functions.text import get_tokenizer, na_normalize
@@ -73,6 +73,45 @@ def exact_split(df: DataFrame, id_col: str = "pair_id", seed: int = SEED,
             .drop("_n"))
 
 
+def split_by_cuts(df: DataFrame, id_col: str = "pair_id", seed: int = SEED,
+                  fractions: tuple[float, float] = (0.6, 0.8), ids: DataFrame | None = None) -> DataFrame:
+    """E1 without a rank: the split of ``exact_split``, from the two (hash, id) keys at which
+    the seeded order is cut.
+
+    Rows are counted by hash prefix (65,536 counts, reduced map-side), only the buckets of the
+    two cuts are ranked, and every row is then labelled by comparing its key with literals, so
+    no text is shuffled or cached.  Ids are unique, as in ``exact_split``: rows that share the
+    id of a cut stay on its side.  ``ids`` may give the same ids by a cheaper plan.
+    """
+    key = F.struct(order_key(id_col, seed).alias("h"), F.col(id_col).cast("string").alias("id"))
+    bucket = F.conv(F.substring("key.h", 1, 4), 16, 10).cast("int")
+    keyed = (df if ids is None else ids).select(key.alias("key")).withColumn("bucket", bucket)
+    counts = sorted((r.bucket, r.n) for r in keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect())
+    total = sum(n for _, n in counts)
+    wanted, before = {}, 0  # by cut, its bucket and its rank there
+    for b, n in counts:
+        for f in fractions:
+            if before < int(f * total) <= before + n:
+                wanted[f] = (b, int(f * total) - before)
+        before += n
+    cuts = {}
+    if wanted:
+        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("key"))
+        ranked = keyed.filter(F.col("bucket").isin([b for b, _ in wanted.values()])).withColumn("rank", rank)
+        hit = F.lit(False)
+        for b, r in wanted.values():
+            hit = hit | ((F.col("bucket") == b) & (F.col("rank") == r))
+        found = {(r.bucket, r["rank"]): r.key for r in ranked.filter(hit).collect()}  # at most two rows
+        cuts = {f: found[at] for f, at in wanted.items()}
+
+    def up_to(f: float):
+        if f not in cuts:  # nothing lies before this cut
+            return F.lit(False)
+        return key <= F.struct(F.lit(cuts[f].h).alias("h"), F.lit(cuts[f].id).alias("id"))
+
+    return df.withColumn("split", F.when(up_to(fractions[0]), "train").when(up_to(fractions[1]), "val").otherwise("test"))
+
+
 def split_counts(split_df: DataFrame) -> DataFrame:
     return split_df.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 

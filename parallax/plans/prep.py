@@ -9,11 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parallax.operators.corpus import clean_pairs, exact_split, union_pairs
+from parallax.operators.corpus import clean_pairs, split_by_cuts, union_pairs
 from parallax.operators.vocab import build_pair_vocab_table
 from parallax.functions.text import get_tokenizer
 from parallax.session import scratch_path
-from parallax.sources.tables import conversation_turn_pairs, document_line_pairs, table
+from parallax.sources.tables import conversation_turn_pairs, document_line_pairs, spread, table
 
 _MEMO: dict = {}
 
@@ -31,7 +31,7 @@ def pairs_a_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pairs_b_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return document_line_pairs(table(spark, sf_dir, "documents"))
+    return document_line_pairs(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def pairs_a(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,26 +53,27 @@ def split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf_dir: str, tokenizer="words") -> DataFrame:
-    """Prepared corpus: pairs_union, exact split, token arrays and lengths, written once
+    """Prepared corpus: both feeds, exact split, token arrays and lengths, written once
     as Parquet in the shared folder and read back, so every later job scans tokens
-    instead of re-running the tokenizer (and the lineage is cut there).  Tokenizing
-    after the split's shuffle also spreads the work over all partitions even when the
-    source scan has few splits."""
+    instead of re-running the tokenizer (and the lineage is cut there).  The split compares
+    each row's hash key with two literals, so no text is shuffled or cached."""
     def build():
         tok = get_tokenizer(tokenizer)
-        held: list = []
-        sp = exact_split(pairs_union(spark, sf_dir), keep=held)
-        prepared = (sp.withColumn("src_toks", tok(F.col("src"))).withColumn("tgt_toks", tok(F.col("tgt")))
-                    .withColumn("src_len", F.size("src_toks").cast("long"))
-                    .withColumn("tgt_len", F.size("tgt_toks").cast("long")))
+        a = pairs_a_tokens(spark, sf_dir, tokenizer)
+        b = with_tokens(pairs_b(spark, sf_dir), tok)
+        ids = a.select("pair_id").unionByName(pairs_b(spark, sf_dir).select("pair_id"))
         path = scratch_path(spark, "corpus")
-        prepared.write.mode("overwrite").parquet(path)
-        for d in held:
-            d.unpersist()
+        split_by_cuts(a.unionByName(b), ids=ids).write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
     return _memo(spark, sf_dir, f"corpus:{tokenizer}", build)
 
 
+def with_tokens(df: DataFrame, tok) -> DataFrame:
+    return (df.withColumn("src_toks", tok(F.col("src"))).withColumn("tgt_toks", tok(F.col("tgt")))
+            .withColumn("src_len", F.size("src_toks").cast("long"))
+            .withColumn("tgt_len", F.size("tgt_toks").cast("long")))
+
+
 def vocabs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Source and target vocabularies, written once as Parquet in the shared folder
     (Q5: the vocabulary is a persisted table, not rebuilt per consumer).  Every lookup
@@ -95,12 +96,8 @@ def pairs_a_tokens(spark: SparkSession, sf_dir: str, tokenizer="words") -> DataF
     the tokenizer run once instead of once per consumer."""
     def build():
         tok = get_tokenizer(tokenizer)
-        prepared = (pairs_a(spark, sf_dir)
-                    .withColumn("src_toks", tok(F.col("src"))).withColumn("tgt_toks", tok(F.col("tgt")))
-                    .withColumn("src_len", F.size("src_toks").cast("long"))
-                    .withColumn("tgt_len", F.size("tgt_toks").cast("long")))
         path = scratch_path(spark, "pairs-a")
-        prepared.write.mode("overwrite").parquet(path)
+        with_tokens(pairs_a(spark, sf_dir), tok).write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
     return _memo(spark, sf_dir, f"pairs_a_tokens:{tokenizer}", build)
 

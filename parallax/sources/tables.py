@@ -21,6 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt over the session's parallelism where the scan has fewer tasks (a table
+    of one row group); a scan with enough tasks is left alone."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
+
+
 def conversation_turn_pairs(conversations: DataFrame) -> DataFrame:
     """pairs_a before cleaning: (pair_id, user_text, reply_text).
 

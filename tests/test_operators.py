@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -79,13 +80,53 @@ def test_softmax_and_attention(spark):
     emb = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
     sm = AT.grouped_softmax(emb.select("vec_id", "label", F.element_at("embedding", 1).alias("s")), "label", "s")
     assert all(abs(r.t - 1) < 1e-9 for r in sm.groupBy("label").agg(F.sum("w").alias("t")).collect())
-    seq = AT.sequences(emb, "label", "vec_id", "embedding", max_len=4)
-    out = AT.attention(seq, causal=True).collect()
+    seq = AT.sequences(emb, "label", "vec_id", "embedding")
+    out = AT.attention(seq).collect()
     assert len(out) == 15
-    first = [r for r in out if r.pos == 0]
-    src = {(r.label, r.chunk, r.pos): r.v for r in seq.collect()}
-    for r in first:  # position 0 only sees itself
-        assert all(abs(a - b) < 1e-12 for a, b in zip(r.v, src[(r.label, r.chunk, 0)]))
+    src = {(r.label, r.pos): r.v for r in seq.collect()}
+    for r in out:
+        if r.pos == 0:  # position 0 only sees itself
+            assert all(abs(a - b) < 1e-12 for a, b in zip(r.v, src[(r.label, 0)]))
+
+
+def _plain_attention(q, k, heads, allowed):
+    """Softmax over all keys of one sequence, masked cells filled with -1e9."""
+    q, k = (x.reshape(len(x), heads, -1).transpose(1, 0, 2) for x in (q, k))
+    s = np.where(allowed, q @ k.transpose(0, 2, 1) / math.sqrt(q.shape[2]), -1e9)
+    w = np.exp(s - s.max(axis=2, keepdims=True))
+    return ((w / w.sum(axis=2, keepdims=True)) @ k).transpose(1, 0, 2).reshape(q.shape[1], -1)
+
+
+@pytest.mark.parametrize("heads,causal", [(1, True), (4, True), (2, False)])
+def test_attention_of_long_sequences(spark, heads, causal):
+    rng = np.random.default_rng(1)
+    rows = [(i, 0 if i < 200 else 1, (30 * rng.standard_normal(8)).tolist()) for i in range(230)]
+    emb = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    seq = AT.sequences(emb, "label", "vec_id", "embedding")
+    out = {(r.label, r.pos): r.v for r in AT.attention(seq, causal=causal, heads=heads).collect()}
+    assert len(out) == 230
+    for label, lo, hi in ((0, 0, 200), (1, 200, 230)):
+        v = np.array([r[2] for r in rows[lo:hi]])
+        n = hi - lo
+        want = _plain_attention(v, v, heads, np.tril(np.ones((n, n), bool)) if causal else np.ones((n, n), bool))
+        assert np.allclose([out[label, i] for i in range(n)], want, atol=1e-9)
+
+
+def test_cross_attention_with_padding(spark):
+    rng = np.random.default_rng(2)
+    q, k = rng.standard_normal((5, 4)), rng.standard_normal((9, 4))
+    real = np.array([True] * 6 + [False] * 3)
+    schema = "s string, pos long, v array<double>"
+    queries = spark.createDataFrame([(s, i, x.tolist()) for s in "abc" for i, x in enumerate(q)], schema)
+    keys = spark.createDataFrame([(s, i, x.tolist(), bool(real[i]) and s == "a") for s in "ab" for i, x in enumerate(k)],
+                                 schema + ", real boolean")
+    got = AT.attention(queries, keys, keys=["s"], causal=False, mask="real", tile=4).collect()
+    got = {(r.s, r.pos): r.v for r in got}
+    assert len(got) == 10  # "c" has no keys
+    assert np.allclose([got["a", i] for i in range(5)], _plain_attention(q, k, 1, real[None, :]))
+    assert np.allclose([got["b", i] for i in range(5)], _plain_attention(q, k, 1, np.zeros((5, 9), bool)))
+    empty = AT.attention(queries.limit(0), keys, keys=["s"], causal=False, mask="real")
+    assert empty.collect() == []
 
 
 def test_layer_norm(spark):

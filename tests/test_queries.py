@@ -62,6 +62,8 @@ def test_determinism(spark, parts):
         voc = sorted((r.id, r.token) for r in vs.collect())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
-    ref_sp = sorted((r.pair_id, r.rn, r.split) for r in E.queries()["split_exact"](spark, SF_SMALL).collect())
+    ref_sp = sorted((r.pair_id, r.rn, r.split) for r in E.queries()["split_rank"](spark, SF_SMALL).collect())
+    cut = sorted((r.pair_id, r.split) for r in E.queries()["split_exact"](spark, SF_SMALL).collect())
+    assert cut == [(p, s) for p, _, s in got]
     ref_v = sorted((r.id, r.token) for r in E.queries()["vocab_src"](spark, SF_SMALL).collect())
     assert got == ref_sp and voc == ref_v

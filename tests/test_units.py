@@ -47,6 +47,8 @@ def test_split_sizes(spark, n):
     got = {r.split: r.n for r in C.split_counts(C.exact_split(df)).collect()}
     want = {"train": int(.6 * n), "val": int(.8 * n) - int(.6 * n), "test": n - int(.8 * n)}
     assert {k: got.get(k, 0) for k in want} == want
+    ranked = {r.pair_id: r.split for r in C.exact_split(df).collect()}
+    assert {r.pair_id: r.split for r in C.split_by_cuts(df).collect()} == ranked
     rns = sorted(r.rn for r in C.exact_split(df).collect())
     assert rns == list(range(1, n + 1))
 
