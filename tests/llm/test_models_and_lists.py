@@ -68,7 +68,8 @@ def test_lm_base_matches_brute_force_and_model_beats_uniform(spark, monkeypatch)
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(ws), sum(w in c for w in ws), n)
         assert r.held_out == (r.doc_id is not None and crc(r.doc_id, 5) == 1) and r.score < 0
     pieces = M.Pieces(RANKS, P.PATTERN)
-    ids = sum(int(pieces.n[pieces.look_up(w)].sum()) for w in texts.values())
+    places = [pieces.look_up(w) for w in texts.values()]  # before ``n`` is read: new words extend it
+    ids = sum(int(pieces.n[at].sum()) for at in places)
     assert sum(r.score for r in got) > -ids * math.log10(pieces.size) * 0.6
 
 
@@ -83,7 +84,8 @@ def test_lm_windows_score_once_and_are_causal():
     model = M.Attention(np.zeros(M.CLASSES))
     changed = x.copy()
     changed[:, 20] = 7
-    a, b = model.body(x)[0], model.body(changed)[0]
+    a, b = (model.hidden(*(m[i] for i in (0, -1)))[2].reshape(len(x), M.WIDTH, -1)
+            for m in (model.attend(x), model.attend(changed)))
     assert np.allclose(a[:, :20], b[:, :20], atol=1e-5) and not np.allclose(a[:, 20:], b[:, 20:], atol=1e-3)
     every = np.ones((1, M.WIDTH), bool)
     z = [model.log_prob(x[:1], np.full((1, M.WIDTH), k), every) for k in range(M.CLASSES)]
