@@ -73,6 +73,19 @@ def test_lm_base_matches_brute_force_and_model_beats_uniform(spark, monkeypatch)
     assert sum(r.score for r in got) > -ids * math.log10(pieces.size) * 0.6
 
 
+def test_lm_score_does_not_depend_on_which_counts_are_broadcast(spark, monkeypatch):
+    from conftest import SF_SMALL
+    monkeypatch.setattr(M, "STEPS", 20)
+    docs, got = documents(spark, SF_SMALL), []
+    for frequent in (50, 1 << 21):
+        monkeypatch.setattr(M, "FREQUENT", frequent)
+        got.append({r.doc_id: r for r in M.report(docs, RANKS, P.PATTERN).collect()})
+    few, all_ = got
+    assert few.keys() == all_.keys()
+    for i, r in few.items():
+        assert r.n_known == all_[i].n_known and abs(r.score - all_[i].score) < 1e-6 * abs(r.score)
+
+
 def test_lm_windows_score_once_and_are_causal():
     lens = np.array([1, 5, 32, 33, 56, 57, 200])
     classes = np.random.default_rng(1).integers(1, M.CLASSES, lens.sum())
