@@ -86,6 +86,36 @@ def test_lm_score_does_not_depend_on_which_counts_are_broadcast(spark, monkeypat
         assert r.n_known == all_[i].n_known and abs(r.score - all_[i].score) < 1e-6 * abs(r.score)
 
 
+def test_lm_network_learns_from_every_training_document(spark, monkeypatch):
+    monkeypatch.setattr(M, "STEPS", 0)
+    monkeypatch.setattr(M, "ROUNDS", 1)
+    rows = spark.createDataFrame([(i, f"word{i % 7} other text {i}") for i in range(40)], "doc_id long, text string")
+    texts = [r.text.encode() for r in rows.collect()]
+    pieces = M.Pieces(RANKS, P.PATTERN)
+    ids, lens, *_ = M.sequences(texts, pieces)
+    vocabulary = M.Vocabulary(np.bincount(ids, minlength=pieces.size + 1))
+    want = M.Attention(vocabulary.bias)
+    _, x, y, ok, _ = M.framed(vocabulary.cls[ids], lens)
+    want.step(want.gradients(x, y, ok)[1], want.moments(), M.ROUND_RATE)
+    monkeypatch.setattr(M.Attention, "fit", lambda self, *_: self.moments())
+    got = M.fit_network(rows, vocabulary, RANKS, P.PATTERN, len(texts), limit=5)
+    start = M.Attention(vocabulary.bias)
+    assert max(np.abs(got.p[k] - start.p[k]).max() for k in got.p) > 1e-3
+    assert all(np.mean(np.abs(got.p[k] - want.p[k]) < 1e-4) > 0.99 for k in got.p)
+
+
+def test_lm_weight_is_the_most_likely_over_all_words(spark):
+    rng = np.random.default_rng(4)
+    logs, c, n = rng.uniform(-12, -1, 500).astype(np.float32).astype(float), rng.integers(0, 60, 500), 2000
+    out = spark.createDataFrame([(True, logs[:300].tolist(), c[:300].tolist()), (False, [-1.0], [1])],
+                                "learned boolean, logs array<float>, c array<long>")
+    rare = spark.createDataFrame([(True, float(a), int(b)) for a, b in zip(logs[300:], c[300:])], "learned boolean, logs float, c long")
+    share = np.maximum(c - 1, 0) / n
+    tried = np.linspace(0.01, 0.99, 9801)
+    best = tried[np.argmax([M.mixed(logs, share, w).sum() for w in tried])]
+    assert abs(M.fit_weight(out, rare, n) - best) < 1e-3
+
+
 def test_lm_windows_score_once_and_are_causal():
     lens = np.array([1, 5, 32, 33, 56, 57, 200])
     classes = np.random.default_rng(1).integers(1, M.CLASSES, lens.sum())
