@@ -19,8 +19,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines of a source leave its documents; n_chars follows the text."""
-    out = line_dedup.drop_boilerplate(docs.withColumn("_before", F.col("text")), "source")
+    """Boilerplate lines of a source leave its documents; n_chars follows the text.  Copies of a
+    text count once: the stage after this one leaves one of them."""
+    out = line_dedup.drop_boilerplate(docs.withColumn("_before", F.col("text")), "source", copies_once=True)
     changed = ~F.col("text").eqNullSafe(F.col("_before"))
     n = F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", n).select(*docs.columns)

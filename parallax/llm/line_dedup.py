@@ -12,7 +12,9 @@ the ratio.  The list joins the pages by host, which Spark broadcasts or splits b
 
 Results for odd input: null text stays null; blank lines are never counted or dropped; null
 and empty hosts are one host; a page that loses all lines keeps its row with an empty text;
-each of several equal rows is a page; other columns are kept.
+each of several equal rows is a page, unless ``copies_once``: then the pages of a host that have
+the same text (by MD5) are one page, so that copies of a text do not make its lines boilerplate;
+other columns are kept.
 """
 
 from __future__ import annotations
@@ -39,12 +41,15 @@ def _digest(line: Column) -> Column:
 
 
 def boilerplate(pages: DataFrame, host_col: str, text_col: str, max_ratio: float = MAX_RATIO,
-                min_pages: int = MIN_PAGES) -> DataFrame:
+                min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
     """(host, lines): the digests of each host's boilerplate lines."""
     host = F.coalesce(F.col(host_col), F.lit("")).alias("host")
-    totals = pages.groupBy(host).agg(F.count("*").alias("pages"))
+    page = [F.md5(F.col(text_col)).alias("page")] if copies_once else []
+    slim = pages.select(host, *page)
+    totals = (slim.distinct() if copies_once else slim).groupBy("host").agg(F.count("*").alias("pages"))
     found = F.array_distinct(F.transform(F.filter(_lines(F.col(text_col)), lambda x: _bare(x) != ""), _digest))
-    each = pages.select(host, F.explode_outer(found).alias("line")).filter("line is not null")
+    each = pages.select(host, *page, F.explode_outer(found).alias("line")).filter("line is not null")
+    each = each.distinct() if copies_once else each
     counts = each.groupBy("host", "line").agg(F.count("*").alias("n"))
     common = counts.filter(F.col("n") >= min_pages).join(totals, "host").filter(
         F.col("n") > max_ratio * F.col("pages"))
@@ -52,10 +57,10 @@ def boilerplate(pages: DataFrame, host_col: str, text_col: str, max_ratio: float
 
 
 def drop_boilerplate(pages: DataFrame, host_col: str, text_col: str = "text", max_ratio: float = MAX_RATIO,
-                     min_pages: int = MIN_PAGES) -> DataFrame:
+                     min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
     """``pages`` with the boilerplate lines taken out of ``text_col``."""
     # written, so that Spark knows its size before it deals the pages out by host
-    common = written(boilerplate(pages, host_col, text_col, max_ratio, min_pages), "line-boilerplate").select(
+    common = written(boilerplate(pages, host_col, text_col, max_ratio, min_pages, copies_once), "line-boilerplate").select(
         F.col("host").alias("_host"), F.col("lines").alias("_common"))
     joined = pages.join(common, F.coalesce(pages[host_col], F.lit("")) == F.col("_host"), "left")
     kept = F.array_join(F.filter(_lines(F.col(text_col)), lambda x: (_bare(x) == "") | ~F.array_contains(

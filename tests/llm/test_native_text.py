@@ -29,6 +29,15 @@ def test_line_dedup_ratio_and_odd_rows(spark):
     assert report[3] == (2, 1) and report[200] == (0, 0) and report[202] == (2, 2)
 
 
+def test_line_dedup_in_the_pipeline_keeps_groups_of_copies(spark):
+    import corpus_pipeline
+    rows = [(i, f"menu\nown line {i}", "a") for i in range(40)] + [(100 + i, "copied\ntext", "a") for i in range(20)]
+    rows += [(200 + i, "copied\ntext", None) for i in range(9)]
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.lines(spark, doc(spark, rows), "").collect()}
+    assert got[3] == ("own line 3", 10)
+    assert {got[i] for i in (*range(100, 120), *range(200, 209))} == {("copied\ntext", 0)}
+
+
 def test_line_dedup_empty(spark):
     assert L.report(spark.createDataFrame([], DOCS)).collect() == []
 
