@@ -3,10 +3,11 @@
 A paragraph is a line.  Features are its word bigrams and trigrams (lower case, letters,
 digits and dots) that occur in a notice, each worth 1 / sqrt(such n-grams of the paragraph),
 and their share of all n-grams of the paragraph.  A multinomial logistic regression is
-fitted on the notices below and on the paragraphs of at most ``TRAIN_DOCS`` documents,
-drawn by hash, that share no trigram with a notice; ``HELD_DOCS`` further documents and
+fitted on the notices below and on the paragraphs of at most ``TRAIN_DOCS`` distinct texts,
+drawn by hash, that share no trigram with a notice; ``HELD_DOCS`` further texts and
 held-back variants of the notices calibrate it (Platt scaling of the margin between the best
-family and no licence).  Fitting uses these bounded samples; every paragraph is scored.
+family and no licence).  If the texts drawn give no such paragraph to fit on, or none to calibrate
+with, ``PLAIN`` stands in.  Fitting uses these bounded samples; every paragraph is scored.
 
 Scoring joins n-grams with the table of learned weights (one row for each n-gram of the
 notices, broadcast) and sums the weights by paragraph, so paragraphs without a learned n-gram leave no row: their
@@ -79,6 +80,15 @@ NOTICES = {
 FAMILIES = sorted(NOTICES)
 
 
+# Sentences without a licence.
+PLAIN = [
+    "The river was high after two days of rain and the bridge stayed closed.",
+    "She read the letter twice before she put it back on the table.",
+    "The meeting begins at nine and ends before lunch.",
+    "Prices rose by two percent in the first half of the year.",
+    "Add the flour slowly and stir until the dough is smooth.",
+    "The team lost the last game of the season by one goal."]
+
 _GAP = r"(?:[^\p{L}\p{N}.]|\.(?![\p{L}\p{N}]))+"
 
 
@@ -138,23 +148,31 @@ class Classifier:
         self.scale, self.shift = 1.0, 0.0
 
 
-def train(docs: DataFrame) -> Classifier | None:
+def _drawn(docs: DataFrame) -> DataFrame:
+    """(text, held): distinct texts drawn by hash, at most ``TRAIN_DOCS`` to fit on and
+    ``HELD_DOCS`` to calibrate with on average.  Copies are one text."""
+    texts = docs.filter("text is not null").select("text", F.md5("text").alias("digest"))
+    first = texts.select("digest").distinct().orderBy(F.xxhash64("digest", F.lit("draw")), "digest").limit(TRAIN_DOCS + HELD_DOCS)
+    few = texts.join(F.broadcast(first), "digest", "left_semi").groupBy("digest").agg(F.min("text").alias("text"))
+    return few.select("text", (F.pmod(F.xxhash64("text"), F.lit(TRAIN_DOCS + HELD_DOCS)) < HELD_DOCS).alias("held"))
+
+
+def train(docs: DataFrame) -> Classifier:
     spark = docs.sparkSession
     notices = written(_notices(spark).withColumn("grams", grams(F.col("line"))), "licence-notices")
     templates = notices.filter("not held").select("family", "template", F.size("grams").cast("double").alias("size"),
                                                   F.explode("grams").alias("gram"))
-    drawn = (docs.filter("text is not null").select("doc_id", "text").orderBy(F.xxhash64("text", F.lit("draw")), "doc_id")
-             .limit(TRAIN_DOCS + HELD_DOCS))
-    drawn = drawn.withColumn("held", F.pmod(F.xxhash64("text"), F.lit(TRAIN_DOCS + HELD_DOCS)) < HELD_DOCS)
-    plain = (drawn.select("held", F.explode(F.split("text", "\n")).alias("line")).distinct()
+    plain = (_drawn(docs).select("held", F.explode(F.split("text", "\n")).alias("line")).distinct()
              .withColumn("grams", grams(F.col("line"))).filter(F.size("grams") > 0))
     marks = [r.gram for r in templates.select("gram").distinct().collect() if r.gram.count(" ") == 2]
     plain = plain.filter(~F.exists("grams", lambda g: g.isin(marks))).select(F.lit(NONE).alias("family"), "grams", "held")
-    rows = written(notices.select("family", "grams", "held").unionByName(plain), "licence-train")
+    plain = written(plain, "licence-plain")
+    sides = {r.held for r in plain.select("held").distinct().collect()}
+    spare = spark.createDataFrame([(NONE, text, held) for held in (False, True) if held not in sides for text in PLAIN],
+                                  "family string, line string, held boolean").select("family", grams(F.col("line")).alias("grams"), "held")
+    rows = written(notices.select("family", "grams", "held").unionByName(plain).unionByName(spare), "licence-train")
     fit_rows = rows.filter("not held")
     classes = [NONE, *FAMILIES]
-    if not rows.filter(F.col("family") == NONE).filter("not held").take(1):
-        return None
     known = sorted(r.gram for r in templates.select("gram").distinct().collect())
     index = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("family")) - 1
     per = {r.family: r.n for r in fit_rows.groupBy("family").agg(F.count("*").alias("n")).collect()}
@@ -190,12 +208,9 @@ def _scores(rows: DataFrame, keys: list[str], model: Classifier) -> DataFrame:
     return once.groupBy(*keys).agg(F.array(*z).alias("z"), F.collect_set("gram").alias("found"))
 
 
-def scan(docs: DataFrame, model: Classifier | None) -> DataFrame:
+def scan(docs: DataFrame, model: Classifier) -> DataFrame:
     """(doc_id, line_no, family, probability, template_share): every paragraph that is a
     licence with a probability of at least ``LICENCE_AT``."""
-    spark = docs.sparkSession
-    if model is None:
-        return spark.createDataFrame([], "doc_id long, line_no int, family string, probability double, template_share double")
     # a known n-gram holds a known bigram, so a cheap look for those drops most lines unharmed
     pairs = [r.h for r in model.templates.filter(F.size(F.split("gram", " ")) == 2).select(
         F.xxhash64(F.split("gram", " ")[0], F.split("gram", " ")[1]).alias("h")).distinct().collect()]

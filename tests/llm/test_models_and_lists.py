@@ -176,6 +176,19 @@ def test_url_filters_as_of(spark):
     assert U.as_of(cap, spark.createDataFrame([], "key string, action string, date date")).filter("n_listed > 0").collect() == []
 
 
+def test_license_scan_draws_copies_once_and_needs_no_negatives(spark, monkeypatch):
+    notice = "Released under the MIT License."
+    monkeypatch.setattr(S, "TRAIN_DOCS", 20)
+    monkeypatch.setattr(S, "HELD_DOCS", 10)
+    hot = [(i, "one long plain line of a hot group\n" + notice, "en", "s", 1) for i in range(300)]
+    own = [(1000 + i, f"plain line number {i} of an own text", "en", "s", 1) for i in range(60)]
+    drawn = S._drawn(spark.createDataFrame(hot + own, DOCS)).collect()
+    assert len(drawn) == len({r.text for r in drawn}) == 30 and {r.held for r in drawn} == {True, False}
+    for rows in (hot, [(i, notice, "en", "s", 1) for i in range(5)]):  # one text, and none without a licence
+        got = {(r.doc_id, r.line_no): r.family for r in S.report(spark.createDataFrame(rows, DOCS)).collect()}
+        assert got == {(r[0], r[1].split("\n").index(notice)): "mit" for r in rows}
+
+
 def test_license_scan(spark):
     docs = documents(spark, "/root/testdata/sf0.01")
     known = {"Licensed under CC BY-NC 4.0.": "cc-by-nc", "Released under the MIT License.": "mit", "All rights reserved.": "proprietary",
