@@ -8,7 +8,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from parallax.llm import bpe_codec, decontaminate, jaccard_join, language_id, license_scan, line_dedup, lm_scoring, quality_rules, token_output, url_filters
+from parallax.llm import (bpe_codec, decontaminate, jaccard_join, language_id, lexical_search, license_scan, line_dedup, lm_scoring,
+                          minhash_dedup, quality_rules, token_alignment, token_output, url_filters)
 from parallax.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +76,20 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_license_scan")
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.report(documents(spark, sf_dir))
+
+
+@query("op11_lexical_search", lexical_search.ORACLE_SQL)
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return lexical_search.search(documents(spark, sf_dir), items, k=50)
+
+
+@query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                                 public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op13_minhash_dedup")
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(documents(spark, sf_dir), width=3, percent=85)
