@@ -3,8 +3,8 @@ length-bucket batches (F3), batch shuffle order (F4), first batch (F6), padding
 pad / causal masks (B4, H6, H7) and batch statistics (D3, D4).
 
 Every grouped step is keyed by a pool or a batch, whose size is bounded by
-``pool_rows`` or by the token budget, never by the corpus.  Only ids and lengths are
-shipped to the Python fold; texts stay in the JVM and are joined back by id.
+``pool_rows`` or by the token budget, never by the corpus.  Budget batches move ids and
+lengths only; texts are joined back by id.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from parallax.functions.text import PAD_ID
 from parallax.operators.corpus import SEED
+from parallax.operators.greedy import greedy_batches
 
 BATCH_SIZE = 20          # bucket iterator batch size
 TOKEN_BUDGET = 1300      # padded-token budget per batch
@@ -69,17 +70,27 @@ def first_pool(df: DataFrame, pool_rows: int = TOKEN_BUDGET * POOL_FACTOR, order
 
 def budget_batches(df: DataFrame, budget: int = TOKEN_BUDGET, pool_rows: int = TOKEN_BUDGET * POOL_FACTOR,
                    train: bool = True, order_col: str = "rn",
-                   cost_fn: Callable[[int, int, int], int] = token_budget_cost,
+                   cost_fn: Callable[[int, int, int], int] | None = None,
                    sort_keys: tuple[str, ...] = ("src_len", "tgt_len")) -> DataFrame:
     """E2 (train=True): sort each pool by ``sort_keys`` (I2), then pair_id, and fold.
     F5 (train=False): fold in input order, then order rows inside each batch by the keys.
 
+    The default cost is folded natively, as the orbit of a successor function; a cost of the
+    user's own (I3) by a Python fold of each pool.  A null length counts as 0.
+
     Input columns: pair_id, ``order_col``, src_len, tgt_len.  Output: FOLD_SCHEMA.
     """
-    slim = with_pools(df.select("pair_id", order_col, "src_len", "tgt_len"), pool_rows, order_col)
+    lengths = [F.coalesce(c, F.lit(0)).alias(c) for c in ("src_len", "tgt_len")]
+    slim = with_pools(df.select("pair_id", order_col, *lengths, *(k for k in sort_keys if k not in ("src_len", "tgt_len", order_col))),
+                      pool_rows, order_col)
+    keys = list(dict.fromkeys([*sort_keys, "pair_id"]))
+    if cost_fn is None:
+        batched = greedy_batches(slim, "pool_id", keys if train else [order_col],
+                                 F.greatest(F.col("src_len"), F.col("tgt_len") + 2), keys, budget)
+        place = F.row_number().over(Window.partitionBy("pool_id", "batch_id").orderBy(*keys)) - 1
+        return batched.select("pair_id", "pool_id", "batch_id", place.cast("long").alias("row_in_batch"))
 
     def per_pool(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = [*sort_keys, "pair_id"]
         pdf = pdf.sort_values(keys if train else [order_col], kind="mergesort").reset_index(drop=True)
         batch = fold_batches(pdf["src_len"].to_numpy(), pdf["tgt_len"].to_numpy(), budget, cost_fn)
         pdf = pdf.assign(batch_id=batch, _k=np.arange(len(pdf)))
