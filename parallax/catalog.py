@@ -351,6 +351,7 @@ from parallax.functions.text import EOS, SOS, UNK  # noqa: E402,F401
 from parallax.plans import bigram as G  # noqa: E402
 from parallax.plans import evaluation as EV  # noqa: E402
 from parallax.plans import lexical as L  # noqa: E402
+from parallax.sources import commits as CM  # noqa: E402
 from parallax.sources.tables import table  # noqa: E402
 from parallax.operators.ordering import sized_broadcast  # noqa: E402
 
@@ -418,8 +419,8 @@ def _bleu_expr(m, t, c, r):
 
 def _lexical_top1(spark, sf):
     return P._memo(spark, sf, "lexical_top1",
-                   lambda: L.top1(L.train_lexical(P.pairs_a_tokens(spark, sf), tokenizer=None,
-                                                  src="src_toks", tgt="tgt_toks")).checkpoint(eager=True))
+                   lambda: L.train_top1(P.pairs_a_tokens(spark, sf), tokenizer=None,
+                                        src="src_toks", tgt="tgt_toks").checkpoint(eager=True))
 
 
 def _translated(spark, sf):
@@ -433,6 +434,41 @@ def q_lexical_train(spark, sf):
     return _lexical_top1(spark, sf)
 
 
+@query("lexical_resume", O.with_("lexical") + "SELECT f, e, t FROM lx_top")
+def q_lexical_resume(spark, sf):
+    """Two rounds saved as an epoch, loaded again (the last epoch), and one more round."""
+    pairs, saved = P.pairs_a_tokens(spark, sf), scratch_path(spark, "lexical-epochs")
+    kw = {"tokenizer": None, "src": "src_toks", "tgt": "tgt_toks"}
+    CM.save_version({"lexical": L.train_lexical(pairs, 2, **kw)}, spark, saved, epoch=2)
+    done, tables = CM.load_version(spark, saved, ["lexical"])
+    return L.top1(L.train_lexical(pairs, 1, start=tables["lexical"], done=done, **kw))
+
+
+def _round_sql(i: int) -> str:
+    return f"""
+SELECT 'lexical' AS job, {i}::BIGINT AS step, (SELECT count(*) FROM lx_t{i}) AS n,
+       round((SELECT sum(j.ne * j.nf * j.t / z.z * -ln(z.z)) / sum(j.ne * j.nf * j.t / z.z)
+              FROM lx_j{i} j JOIN lx_z{i} z ON j.pair_id = z.pair_id AND j.e = z.e), 6) AS loss"""
+
+
+@query("progress_log", O.with_("lexical", extra="""
+pl_size AS (SELECT min(event_id)::DOUBLE AS lo, max(event_id)::DOUBLE AS hi, greatest(4, ceil(count(*) / 20000000.0))::BIGINT AS parts FROM events),
+pl_events AS (
+  SELECT value, least(floor((event_id - lo) / ((hi - lo) / parts)), parts - 1)::BIGINT AS step FROM events, pl_size)""")
+       + " UNION ALL ".join(_round_sql(i) for i in range(1, L.ITERATIONS + 1)) + """
+UNION ALL SELECT 'events', step, count(*), round(avg(value), 6) FROM pl_events GROUP BY step""")
+def q_progress_log(spark, sf):
+    """One row for each training round and for each micro-batch of the step stream; the last
+    micro-batch is handed in twice and counts once."""
+    log = CM.ProgressLog(spark, scratch_path(spark, "progress"))
+    L.train_top1(P.pairs_a_tokens(spark, sf), tokenizer=None, src="src_toks", tgt="tgt_toks", log=log)
+    staged, inp = scratch_path(spark, "steps-staged"), scratch_path(spark, "steps")
+    ranges = ST.stage_ranges(table(spark, sf, "events").select("event_id", "value"), staged, "event_id")
+    ST.stream_progress(spark, inp, ST.staged_schema(spark, staged), log, "events",
+                       arrivals=ST.range_arrivals(spark, staged, ranges, inp), replay_last=True)
+    return log.read().select("job", "step", "n", F.round("loss", 6).alias("loss"))
+
+
 @query("translate_batch", O.with_("translated") + "SELECT pair_id, translation FROM translated")
 def q_translate_batch(spark, sf):
     return _translated(spark, sf).select("pair_id", "translation")

@@ -7,84 +7,135 @@ co-occurring (f, e); no empty word.  Each iteration:
     z(pair, e) = sum_f nf * t(e|f)
     c(f, e)    = sum_pairs ne * nf * t(e|f) / z(pair, e)
     t(e|f)     = c(f, e) / sum_e c(f, e)
-Top-1 per f: round(t, 6) descending, then e ascending.
+Top-1 per f: round(t, 6) descending, then e ascending.  The loss of a round is the mean of
+-ln z(pair, e) over all target tokens, by the table the round began with.
+
+Training works on numbers: tokens are numbered in their byte order by written tables, pairs by
+a written table, and the co-occurrences hold five numbers each.  Tokens come back for the
+final table or its top-1 rows only.
 """
 
 from __future__ import annotations
 
+import time
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parallax.functions.text import get_tokenizer
 from parallax.operators.ordering import sized_broadcast
 from parallax.session import checkpoint_dir, scratch_path
+from parallax.sources.commits import ProgressLog, observed
 
 ITERATIONS = 3
 
 
-def type_counts(pairs: DataFrame, tokens, tok: str, n: str) -> DataFrame:
-    """(pair_id, tok, n): distinct tokens of each pair with their multiplicity."""
-    return (pairs.select("pair_id", F.explode_outer(tokens).alias(tok)).filter(F.col(tok).isNotNull())
-            .groupBy("pair_id", tok).agg(F.count(F.lit(1)).cast("double").alias(n)))
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def cooccurrence(pairs: DataFrame, tokenizer="words", src: str = "src", tgt: str = "tgt") -> DataFrame:
-    """(pair_id, f, nf, e, ne): every source type x target type of each pair.
+def numbered_tokens(types: DataFrame, name: str) -> DataFrame:
+    """(token, id): the distinct tokens of (pair, token, n), numbered in byte order."""
+    return _written(types.select("token").distinct().orderBy("token").select("token", F.monotonically_increasing_id().alias("id")), name)
 
-    ``pairs`` is partitioned by pair, so the two counts and their join run where the rows
-    are; the product is sum |types(src)| * |types(tgt)| over all pairs, streamed by the join
-    and held for no pair as a whole.
-    """
+
+@dataclass
+class Corpus:
+    """Co-occurrences (pair, f, nf, e, ne) and the numbers of the tokens of both sides."""
+    cooc: DataFrame
+    source: DataFrame
+    target: DataFrame
+
+    def encode(self, table: DataFrame) -> DataFrame:
+        """(f, e, t) in numbers; rows with a token that the corpus lacks go."""
+        return (table.join(sized_broadcast(self.source.toDF("f", "fi")), "f").join(sized_broadcast(self.target.toDF("e", "ei")), "e")
+                .select(F.col("fi").alias("f"), F.col("ei").alias("e"), "t"))
+
+    def decode(self, table: DataFrame) -> DataFrame:
+        return (table.join(sized_broadcast(self.source.toDF("word", "f")), "f").join(sized_broadcast(self.target.toDF("other", "e")), "e")
+                .select(F.col("word").alias("f"), F.col("other").alias("e"), "t"))
+
+
+def prepare(pairs: DataFrame, tokenizer="words", src: str = "src", tgt: str = "tgt") -> Corpus:
+    """Every source type x target type of each pair.  The product is sum |types(src)| *
+    |types(tgt)| over all pairs, streamed by a join on the pair and held for no pair as a
+    whole."""
     tok = get_tokenizer(tokenizer)
-    return (type_counts(pairs, tok(F.col(src)), "f", "nf").join(type_counts(pairs, tok(F.col(tgt)), "e", "ne"), "pair_id")
-            .select("pair_id", "f", "nf", "e", "ne"))
+    held = _written(pairs.select(F.monotonically_increasing_id().alias("pair"), tok(F.col(src)).alias("src"), tok(F.col(tgt)).alias("tgt")),
+                    "lexical-pairs")
+
+    def side(col: str, name: str, n: str) -> tuple[DataFrame, DataFrame]:
+        types = _written(held.select("pair", F.explode(col).alias("token")).filter("token is not null").groupBy("pair", "token")
+                         .agg(F.count("*").cast("double").alias("n")), f"lexical-{col}")
+        numbers = numbered_tokens(types, f"lexical-{col}-tokens")
+        return types.join(sized_broadcast(numbers), "token").select("pair", F.col("id").alias(name), F.col("n").alias(n)), numbers
+
+    (f, source), (e, target) = side("src", "f", "nf"), side("tgt", "e", "ne")
+    return Corpus(_written(f.join(e, "pair").select("pair", "f", "nf", "e", "ne"), "lexical-cooc"), source, target)
 
 
 def em_step(cooc: DataFrame, t: DataFrame | None) -> DataFrame:
-    """One EM iteration -> (f, e, t).
+    """One EM iteration -> (f, e, t, c, lost): c as above, lost the part of c that is weighed by
+    -ln z.
 
-    ``cooc`` is partitioned by pair, so the normaliser window keyed by (pair, e) runs
-    where the rows already are whenever ``t`` is broadcast (size-checked).  A larger
-    ``t`` is a shuffle join on (f, e) with both sides exchanged, so AQE can split a hot
-    (f, e) such as ('.', '.') across tasks; the (f, e) sums are partial aggregations,
-    reduced map-side before their shuffle.
+    ``t`` joins on (f, e); AQE may broadcast it or split a hot (f, e) such as ('.', '.') across
+    tasks.  The normaliser is a window keyed by (pair, e), of as many rows as the pair has source
+    types; the (f, e) sums are partial aggregations, reduced map-side before their shuffle.
     """
     j = cooc.withColumn("t", F.lit(1.0)) if t is None else cooc.join(sized_broadcast(t), ["f", "e"])
-    z = Window.partitionBy("pair_id", "e")  # as many rows as the pair has source types
-    j = j.withColumn("z", F.sum(F.col("nf") * F.col("t")).over(z))
-    c = j.groupBy("f", "e").agg(F.sum(F.col("ne") * F.col("nf") * F.col("t") / F.col("z")).alias("c"))
-    # per-f totals: not materialised, so no count() job here; AQE broadcasts them at
-    # run time when the measured shuffle output is under its threshold, and keeps the
-    # sort-merge join otherwise
+    z = Window.partitionBy("pair", "e")
+    share = F.col("ne") * F.col("nf") * F.col("t") / F.col("z")
+    j = j.withColumn("z", F.sum(F.col("nf") * F.col("t")).over(z)).select("f", "e", share.alias("share"), F.log("z").alias("lz"))
+    c = j.groupBy("f", "e").agg(F.sum("share").alias("c"), F.sum(-F.col("share") * F.col("lz")).alias("lost"))
+    # per-f totals are not materialised, so no count() job here; AQE broadcasts them at run time
+    # when the measured shuffle output is small, and keeps the sort-merge join otherwise
     tot = c.groupBy("f").agg(F.sum("c").alias("ct"))
-    return c.join(tot, "f").select("f", "e", (F.col("c") / F.col("ct")).alias("t"))
-
-
-def train_lexical(pairs: DataFrame, iterations: int = ITERATIONS, tokenizer="words",
-                  src: str = "src", tgt: str = "tgt") -> DataFrame:
-    """Returns the translation table (f, e, t).
-
-    Every pair takes part, whatever its length.  The co-occurrence table is checkpointed
-    once, hash-partitioned by pair.  Each iteration's
-    table is written as Parquet in the shared folder: that cuts the lineage, survives
-    executor loss, and leaves the table without a fixed partitioning so the next join
-    can be broadcast or skew-split as its size demands."""
-    spark = pairs.sparkSession
-    checkpoint_dir(spark)
-    # shuffle the pairs, not their product: the product is generated after the exchange
-    # and keeps its partitioning by pair
-    cooc = cooccurrence(pairs.repartition("pair_id"), tokenizer, src, tgt).checkpoint(eager=True)
-    t = None
-    for i in range(iterations):
-        path = scratch_path(spark, f"lexical-t{i + 1}")
-        em_step(cooc, t).write.mode("overwrite").parquet(path)
-        t = spark.read.parquet(path)
+    return c.join(tot, "f").select("f", "e", (F.col("c") / F.col("ct")).alias("t"), "c", "lost")
+
+
+def train_rounds(corpus: Corpus, iterations: int = ITERATIONS, start: DataFrame | None = None, done: int = 0,
+                 log: ProgressLog | None = None, job: str = "lexical") -> DataFrame:
+    """J1 in numbers: (f, e, t) after ``iterations`` more rounds than the ``done`` ones that led
+    to ``start``.  Each round's table is written as Parquet in the shared folder: that cuts the
+    lineage, survives executor loss, and leaves the table without a fixed partitioning, so the
+    next join can be broadcast or skew-split as its size demands.  A round that ``log`` holds
+    already is not logged again."""
+    t = start
+    for i in range(done + 1, done + iterations + 1):
+        began = time.monotonic()
+        step, seen = observed(em_step(corpus.cooc, t), n=F.count("*"), c=F.sum("c"), lost=F.sum("lost"))
+        t = _written(step.select("f", "e", "t"), f"lexical-t{i}")
+        if log is not None:
+            m = seen.get
+            log.append(job, i, m["n"] or 0, m["lost"] / m["c"] if m["c"] else None, time.monotonic() - began)
     return t
 
 
+def train_lexical(pairs: DataFrame, iterations: int = ITERATIONS, tokenizer="words", src: str = "src", tgt: str = "tgt",
+                  start: DataFrame | None = None, done: int = 0, log: ProgressLog | None = None) -> DataFrame:
+    """The translation table (f, e, t) of every pair, whatever its length.  Training goes on
+    from a saved table ``start`` (after ``done`` rounds) if there is one; co-occurrences that it
+    lacks stay out."""
+    checkpoint_dir(pairs.sparkSession)
+    corpus = prepare(pairs, tokenizer, src, tgt)
+    begun = None if start is None else _written(corpus.encode(start), "lexical-start")
+    return corpus.decode(train_rounds(corpus, iterations, begun, done, log))
+
+
+def train_top1(pairs: DataFrame, iterations: int = ITERATIONS, tokenizer="words", src: str = "src", tgt: str = "tgt",
+               log: ProgressLog | None = None) -> DataFrame:
+    """``top1`` of ``train_lexical``; only its rows are turned back into tokens."""
+    checkpoint_dir(pairs.sparkSession)
+    corpus = prepare(pairs, tokenizer, src, tgt)
+    return corpus.decode(top1(train_rounds(corpus, iterations, log=log)))
+
+
 def top1(t: DataFrame) -> DataFrame:
-    """Best e per f: round(t,6) desc, e asc.  A min() over a struct, so it is a partial
-    aggregation and a frequent f is reduced map-side."""
+    """Best e per f: round(t,6) desc, e asc (numbers follow the order of their tokens).  A min()
+    over a struct, so it is a partial aggregation and a frequent f is reduced map-side."""
     best = t.groupBy("f").agg(F.min(F.struct((-F.round("t", 6)).alias("nt"), F.col("e"))).alias("b"))
     return best.select("f", F.col("b.e").alias("e"), (-F.col("b.nt")).alias("t"))
 

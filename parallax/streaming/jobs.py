@@ -17,6 +17,7 @@ each micro-batch is one whole range and ranges arrive in order.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 import pandas as pd
@@ -26,6 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from parallax.session import scratch_path
+from parallax.sources.commits import ProgressLog, observed
 
 
 ROWS_PER_RANGE = 20_000_000   # rows per replayed arrival (bounds one micro-batch)
@@ -102,6 +104,33 @@ def stream_translate(spark: SparkSession, requests_path: str, schema: T.StructTy
     return spark.read.parquet(out_path)
 
 
+def stream_progress(spark: SparkSession, steps_path: str, schema: T.StructType, log: ProgressLog, job: str,
+                    value_col: str = "value", arrivals: list[Callable[[], None]] | None = None,
+                    replay_last: bool = False) -> None:
+    """One row of ``log`` for each micro-batch of a step stream: its rows and the mean of
+    their values, observed while the batch is processed (here it goes to no sink).  A batch that
+    is handed in again, as after a failure between the log and the checkpoint, is not logged
+    again; ``replay_last`` does that on purpose."""
+    ensure_input(spark, steps_path, schema)
+    last: list[tuple[DataFrame, int]] = []
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        began = time.monotonic()
+        rows, seen = observed(batch, n=F.count("*"), loss=F.avg(value_col))
+        rows.write.format("noop").mode("overwrite").save()
+        m = seen.get
+        if m["n"]:
+            log.append(job, batch_id - empty[0], m["n"], m["loss"], time.monotonic() - began)
+        else:
+            empty[0] += 1
+        last[:] = [(batch, batch_id)]
+
+    empty = [0]
+    run_available_now(spark.readStream.schema(schema).parquet(steps_path), per_batch, job, arrivals=arrivals)
+    if replay_last and last:
+        per_batch(*last[0])
+
+
 def event_time(ts_col: str) -> F.Column:
     """TIMESTAMP_NTZ wall clock read as UTC, independent of the session time zone
     (the watermark needs a TIMESTAMP column)."""
