@@ -3,7 +3,10 @@
 Texts over ``SEGMENT`` characters are cut where a pre-token must end whatever follows:
 before white space that follows something else, or between letters and digits.  No match of
 the pattern spans such a place and none looks behind it, so the ids of the parts are the
-ids of the text.  A run without such a place stays whole.  Ids decode to raw bytes; a token
+ids of the text.  A run without such a place stays whole.  White space of ``LONG`` characters or more is not
+given to the pattern, whose look-ahead needs memory for each character of it: all of the run, or
+all but the last character if something follows, is one match by the pattern's rule, and is
+encoded by the ranks as one.  Ids decode to raw bytes; a token
 may hold part of a character.
 
 Results for odd input: null text is empty and gives no id; special tokens do not exist, so
@@ -25,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SEGMENT = 200_000
+LONG = 100_000
 _SAFE = regex.compile(r"(?<=\S)(?=\s)|(?<=\p{L})(?=\p{N})|(?<=\p{N})(?=\p{L})")
 
 
@@ -47,10 +51,23 @@ def segments(text: str, limit: int = SEGMENT) -> Iterator[str]:
     yield text[at:]
 
 
+def _encode_part(enc: tiktoken.Encoding, part: str) -> list[int]:
+    """Ids of a part; a long run of white space ends it or stands before a single match."""
+    ids, at = [], 0
+    for run in regex.finditer(rf"\p{{White_Space}}{{{LONG},}}", part):
+        end = run.end() if run.end() == len(part) else run.end() - 1
+        ids += enc.encode_ordinary(part[at:run.start()])
+        ids += enc._encode_single_piece(part[run.start():end])
+        at = end
+    return ids + enc.encode_ordinary(part[at:])
+
+
 def encode_text(enc: tiktoken.Encoding, text: str) -> list[int]:
-    if len(text) <= SEGMENT:
+    """Ids of a text; the pattern is one whose white space is ``\\s+(?!\\S)|\\s+`` behind an
+    optional space of other matches, as in ``public_tokenizers.PATTERN``."""
+    if len(text) <= LONG:
         return enc.encode_ordinary(text)
-    return [i for part in segments(text) for i in enc.encode_ordinary(part)]
+    return [i for part in segments(text) for i in _encode_part(enc, part)]
 
 
 def _encoded(path: str, pattern: str, decode: bool):
