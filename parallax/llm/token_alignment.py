@@ -6,7 +6,7 @@ a token of A and one of B both end cut the tokens into groups; the two tokens th
 cut are linked.  The count of an id pair is the number of its links in all rows.
 
 Copies are worked once: rows are shuffled by their whole text and counted, each distinct text
-is tokenized and aligned by one task, its pair counts enter the corpus counts times its number
+is tokenized and aligned once by one task (which keeps what it knows of words), its pair counts enter the corpus counts times its number
 of copies, and its measures are joined to the ids of its rows (by SHA-256 of the text, so that
 the join moves no text).
 
@@ -33,9 +33,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parallax.llm.common import blocks, written
-from parallax.llm.token_output import Encoder
+from parallax.llm.token_output import Encoder, has_odd_space
 
 FREQUENT = 1 << 19
+KEPT = 400_000
 _EMPTY = np.zeros(0, np.int64)
 
 
@@ -60,50 +61,104 @@ def piece_tokens(model: sentencepiece.SentencePieceProcessor) -> list[bytes]:
             else model.id_to_piece(i).replace("▁", " ").encode() for i in range(model.get_piece_size())]
 
 
-class Side:
-    """Bytes, byte lengths and decimal ids (before a comma and before ``mark``) by id."""
-
-    def __init__(self, tokens: list[bytes], mark: bytes):
-        self.tokens, self.lens = tokens, np.array([len(t) for t in tokens], np.int64)
-        self.names = [b"%d%s" % (i, end) for end in (b",", mark) for i in range(len(tokens))]
-
-    def ends(self, ids: np.ndarray, whole: bytes) -> np.ndarray | None:
-        """End offsets of the tokens, if they join to ``whole``."""
-        return np.cumsum(self.lens[ids]) if b"".join(map(self.tokens.__getitem__, ids.tolist())) == whole else None
-
-
 class Aligner:
-    def __init__(self, path_a: str, path_b: str):
-        self.encoder = Encoder(path_a)
+    """Aligns texts by their parts, cut before each space that follows something else: no token
+    of a byte-level vocabulary has a space behind another character, so no merge of A spans such
+    a cut, and none of B does if its vocabulary has no such piece either.  Parts are aligned
+    once and kept, up to ``KEPT`` of them; texts with other white space at a cut, and those
+    with a part whose tokens do not give it back, are aligned as a whole."""
+
+    def __init__(self, path_a: str, path_b: str, kept: int = KEPT):
+        self.encoder, self.kept = Encoder(path_a), kept
         self.model = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        self.a = Side(byte_level_tokens(self.encoder.tokenizer.get_vocab()), b"|")
-        self.b = Side(piece_tokens(self.model), b";")
-        self.names = [*self.a.names, *self.b.names]
-
-    def ids(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        a = self.encoder.encode([" " + t for t in texts])
-        for x, y in zip(a, self.model.encode(texts, num_threads=1)):
-            yield np.frombuffer(x, self.encoder.dtype).astype(np.int64), np.array(y, np.int64)
-
-    def align(self, a: np.ndarray, b: np.ndarray, whole: bytes) -> tuple[np.ndarray, np.ndarray] | None:
-        """For the tokens of A and of B, whether a group ends after each."""
-        ends_a, ends_b = self.a.ends(a, whole), self.b.ends(b, whole)
-        if ends_a is None or ends_b is None:
+        self.a = byte_level_tokens(self.encoder.tokenizer.get_vocab())
+        self.b = piece_tokens(self.model)
+        self.len_a, self.len_b = [len(t) for t in self.a], [len(t) for t in self.b]
+        self.by_parts = all(t.rfind(b" ") <= 0 or not t.strip(b" ") for t in self.b)
+        self._clear()
+
+    def _clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.names: list[bytes] = []  # groups of each part
+        self.n_a, self.n_b, self.n_links = (np.zeros(0, np.int64) for _ in range(3))
+        self.bad, self.pairs = np.zeros(0, bool), np.zeros(0, np.int64)
+
+    def align(self, a: list[int], b: list[int], whole: bytes) -> tuple[bytes, list[int]] | None:
+        """The groups ``a1,a2|b1;a3|b2,b3`` and the links as pairs a * size of B + b; None if
+        the tokens do not join to ``whole``."""
+        if b"".join(map(self.a.__getitem__, a)) != whole or b"".join(map(self.b.__getitem__, b)) != whole:
             return None
-        at_a, at_b = np.zeros(len(whole) + 1, bool), np.zeros(len(whole) + 1, bool)
-        at_a[ends_a] = at_b[ends_b] = True
-        return at_b[ends_a], at_a[ends_b]
-
-    def groups(self, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> bytes:
-        """``a1,a2|b1;a3|b2,b3``."""
-        of_a, of_b = np.cumsum(cut_a) - cut_a, np.cumsum(cut_b) - cut_b
-        order = np.argsort(np.concatenate([2 * of_a, 2 * of_b + 1]), kind="stable")
-        name = np.concatenate([a + cut_a * len(self.a.lens), b + cut_b * len(self.b.lens) + len(self.a.names)])
-        return b"".join(map(self.names.__getitem__, name[order].tolist()))[:-1]
+        groups, links = [], []
+        i = j = from_a = from_b = 0
+        end_a, end_b = self.len_a[a[0]], self.len_b[b[0]]
+        while True:
+            if end_a == end_b:
+                groups.append(f"{','.join(map(str, a[from_a:i + 1]))}|{','.join(map(str, b[from_b:j + 1]))}")
+                links.append(a[i] * len(self.b) + b[j])
+                i, j = i + 1, j + 1
+                if i == len(a):
+                    return ";".join(groups).encode(), links
+                from_a, from_b = i, j
+                end_a += self.len_a[a[i]]
+                end_b += self.len_b[b[j]]
+            elif end_a < end_b:
+                i += 1
+                end_a += self.len_a[a[i]]
+            else:
+                j += 1
+                end_b += self.len_b[b[j]]
+
+    def _ids_a(self, data: bytes) -> list[int]:
+        return np.frombuffer(data, self.encoder.dtype).tolist()
+
+    def _learn(self, parts: set[str]) -> None:
+        new = [p for p in parts if p not in self.index]
+        if len(self.index) + len(new) > self.kept:
+            self._clear()
+            new = list(parts)
+        if not new:
+            return
+        self.encoder.encode(["x " + " ".join(new)])  # keeps the ids of every part after a space
+        n_a, n_b, n_links, bad, pairs = [], [], [], [], []
+        for p, b in zip(new, self.model.encode(new, num_threads=1)):
+            a = self._ids_a(self.encoder.spaced[p])
+            found = self.align(a, b, b" " + p.encode())
+            groups, links = found or (b"", [])
+            self.names.append(groups)
+            n_a.append(len(a))
+            n_b.append(len(b))
+            n_links.append(len(links))
+            bad.append(found is None)
+            pairs += links
+        self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
+        self.n_a, self.n_b, self.n_links, self.pairs = (
+            np.append(x, np.array(y, np.int64)) for x, y in ((self.n_a, n_a), (self.n_b, n_b), (self.n_links, n_links), (self.pairs, pairs)))
+        self.bad = np.append(self.bad, bad)
+
+    def _whole(self, text: str):
+        a = self._ids_a(self.encoder.encode([" " + text])[0])
+        b = self.model.encode(text)
+        found = self.align(a, b, b" " + text.encode())
+        return (0, 0, _EMPTY, None) if found is None else (len(a), len(b), np.array(found[1], np.int64), found[0])
+
+    def texts(self, texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, bytes | None]]:
+        """(tokens of A, tokens of B, links, groups) of each text; no groups if it has no tokens."""
+        split = [t.split(" ") if self.by_parts and not has_odd_space(t) else None for t in texts]
+        self._learn({p for s in split if s for p in s})
+        begin = np.cumsum(self.n_links) - self.n_links
+        for t, s in zip(texts, split):
+            at = np.fromiter(map(self.index.__getitem__, s), np.int64, len(s)) if s else None
+            if at is None or self.bad[at].any():
+                yield self._whole(t)
+                continue
+            per = self.n_links[at]
+            place = np.repeat(begin[at] - (np.cumsum(per) - per), per) + np.arange(int(per.sum()))
+            yield int(self.n_a[at].sum()), int(self.n_b[at].sum()), self.pairs[place], b";".join(map(self.names.__getitem__, at.tolist()))
 
 
 @lru_cache(maxsize=1)
 def _aligner(path_a: str, path_b: str) -> Aligner:
+    """One for all tasks of a Python worker, with the parts it keeps."""
     return Aligner(path_a, path_b)
 
 
@@ -117,17 +172,10 @@ def _aligned(path_a: str, path_b: str):
             for part in blocks(raw):
                 texts = batch.column(2)[part.start:part.stop].to_pylist()
                 sizes, digests, pairs, times = [], [], [], []
-                for whole, (a, b) in zip(raw[part], aligner.ids(texts)):
-                    cuts = aligner.align(a, b, b" " + whole)
-                    if cuts is None:
-                        sizes.append((0, 0, 0))
-                        digests.append("")
-                        pairs.append(_EMPTY)
-                        times.append(_EMPTY)
-                        continue
-                    pair, many = np.unique(a[cuts[0]] * len(aligner.b.lens) + b[cuts[1]], return_counts=True)
-                    sizes.append((len(a), len(b), int(many.sum())))
-                    digests.append(hashlib.sha256(aligner.groups(a, b, *cuts)).hexdigest())
+                for n_a, n_b, links, groups in aligner.texts(texts):
+                    pair, many = np.unique(links, return_counts=True)
+                    sizes.append((n_a, n_b, len(links)))
+                    digests.append("" if groups is None else hashlib.sha256(groups).hexdigest())
                     pairs.append(pair)
                     times.append(many)
                 off = pa.array(np.append(0, np.cumsum([len(p) for p in pairs])), pa.int32())

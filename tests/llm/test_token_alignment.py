@@ -81,6 +81,20 @@ def test_alignment_matches_brute_force(spark, tools):
     assert found(spark, rows) == brute(tools, rows)
 
 
+def test_texts_by_parts(tools):
+    """Parts that are kept, forgotten and learned again give what the library gives."""
+    rng = random.Random(11)
+    words = ["the", "Über", "straße.", "日本語", "a\nb", "\n\nx", "é,", "🙂", "<s>", "x1y2", "it's", "\x00", "ﬁ", "▁", "a▁b", "C\u3000D", "_", "--"]
+    for kept in (5, 1000):
+        aligner = T.Aligner(A, B, kept)
+        assert aligner.by_parts
+        for _ in range(40):
+            rows = [(i, " ".join(rng.choices(words, k=rng.randrange(1, 12)))) for i in range(6)]
+            got = [(n_a, n_b, len(links), "" if groups is None else hashlib.sha256(groups).hexdigest())
+                   for n_a, n_b, links, groups in aligner.texts([t for _, t in rows])]
+            assert got == [(r[1], r[2], r[3], r[7]) for r in brute(tools, rows)]
+
+
 def test_rare_pairs_are_joined_alike(spark, tools, monkeypatch):
     rows = list(enumerate(texts(random.Random(6), 60)))
     monkeypatch.setattr(T, "FREQUENT", 20)  # most pairs are rare now
