@@ -9,6 +9,7 @@ emitted as space-joined strings.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from parallax.functions.text import PAD_ID, get_tokenizer, ids_text, na_normaliz
 from parallax.operators import corpus as C
 from parallax.operators import vocab as V
 from parallax.plans import prep as P
+from parallax.plans import segmentation as SG
 from parallax.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,6 +123,15 @@ def q_tokenize_ja(spark, sf):
     return df.select("pair_id", F.array_join(t, " ").alias("src_tokens"), F.size(t).cast("long").alias("n_src"))
 
 
+@query("tokenize_lattice")  # rows-only: forward-backward sums and best paths have no plain SQL
+def q_tokenize_lattice(spark, sf):
+    """Runs of letters of all sources, segmented by a unigram lattice trained on them."""
+    df = P.pairs_union(spark, sf).select("pair_id", "src")
+    SG.register_lattice(df, "src", "lattice", every=True)
+    tokens = df.select("pair_id", get_tokenizer("lattice")(F.col("src")).alias("toks"))
+    return tokens.select("pair_id", F.array_join("toks", " ").alias("src_tokens"), F.size("toks").cast("long").alias("n_src"))
+
+
 # ---------------------------------------------------------------- 3. encoding
 @query("vocab_src", O.with_("vocabs") + "SELECT id, token, freq FROM vocab_src")
 def q_vocab_src(spark, sf):
@@ -139,6 +150,28 @@ def q_vocab_size(spark, sf):
     return V.vocab_size(vs, "src").unionByName(V.vocab_size(vt, "tgt"))
 
 
+@query("vocab_size_approx", O.with_("side_tokens", extra="""
+vx AS (SELECT split, side, token FROM side_tokens UNION ALL
+       SELECT 'train+val', side, token FROM side_tokens WHERE split <> 'test' UNION ALL SELECT 'all', side, token FROM side_tokens)""") + """
+SELECT split, side, count(DISTINCT token) AS n, TRUE AS within FROM vx GROUP BY split, side""")
+def q_vocab_size_approx(spark, sf):
+    """Distinct tokens by split and side, by merged sketches, held against exact counts."""
+    sketches = V.token_sketches(P.split(spark, sf), tokenizer=None, src="src_toks", tgt="tgt_toks")
+    path = scratch_path(spark, "token-sketches")
+    sketches.write.parquet(path)
+    stored = spark.read.parquet(path)
+    toks = V.side_tokens(P.split(spark, sf), None, "src_toks", "tgt_toks", keep=["split"]).select("split", "side", "token").distinct()
+    out = []
+    for name, splits in {"train": ["train"], "val": ["val"], "test": ["test"], "train+val": ["train", "val"],
+                         "all": ["train", "val", "test"]}.items():
+        exact = (toks.filter(F.col("split").isin(splits)).select("side", "token").distinct()
+                 .groupBy("side").agg(F.count("*").alias("n")))
+        about = V.approx_vocab_size(stored.filter(F.col("split").isin(splits)))
+        out.append(exact.join(about, "side").select(F.lit(name).alias("split"), "side", "n",
+                                                    (F.abs(F.col("about") - F.col("n")) <= V.SKETCH_ERROR * F.col("n")).alias("within")))
+    return reduce(DataFrame.unionAll, out)
+
+
 def _encoded(spark, sf):
     vs, vt = P.vocabs(spark, sf)
     sp = P.split(spark, sf)

@@ -82,6 +82,22 @@ def vocab_size(vocab: DataFrame, side: str) -> DataFrame:
     return vocab.agg(F.count(F.lit(1)).alias("n")).select(F.lit(side).alias("side"), "n")
 
 
+SKETCH_LG = 13
+SKETCH_ERROR = 0.04  # over three standard errors of a sketch of 2^SKETCH_LG registers
+
+
+def token_sketches(split_df: DataFrame, tokenizer="words", src: str = "src", tgt: str = "tgt") -> DataFrame:
+    """(split, side, sketch): a mergeable sketch of the distinct tokens of each split and side,
+    of a fixed size whatever the corpus.  Sketches are merged in each task before the shuffle."""
+    toks = side_tokens(split_df, tokenizer, src, tgt, keep=["split"])
+    return toks.groupBy("split", "side").agg(F.hll_sketch_agg("token", F.lit(SKETCH_LG)).alias("sketch"))
+
+
+def approx_vocab_size(sketches: DataFrame) -> DataFrame:
+    """D2 approximately: (side, about), the distinct tokens of all given sketches together."""
+    return sketches.groupBy("side").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("about"))
+
+
 def _ordered_ids(items):
     """Sort (pos, id) structs collected per row and keep the ids."""
     return F.transform(F.array_sort(items), lambda x: x["id"])
