@@ -8,9 +8,11 @@ shares none with a chance of 7e-9.  Bucket mates are verified in steps:
    prior, the similarity is at least t with the probability P(Bin(n + 1, t) <= m).  A pair
    leaves once this posterior is under ``MISS``, the chosen chance of a miss.  Pairs whose set
    sizes rule a link out leave before.
-2. Survivors are verified on their full shingle sets, made again from the texts.  First every
-   text is held against the partner that agrees with it most; pairs that lie in one component
-   by then need no check, all others get one.  So components are those of all confirmed links.
+2. Survivors are verified exactly.  A parity bitmap beside each signature bounds the difference
+   of two sets from below, which ends most pairs that the posterior could not; the others are
+   verified on their full shingle sets, made again from the texts.  First every text is held
+   against the partner that agrees with it most; pairs that lie in one component by then need no
+   check, all others get one.  So components are those of all confirmed links.
 
 A bucket is worked in two rounds, so that a group of N copies costs N comparisons: every
 member against the hub (the member whose buckets hold most), then, only in buckets whose
@@ -36,7 +38,8 @@ from pyspark.sql import functions as F
 
 from parallax.llm.common import blocks, mix64, shingle_set, utf8, word_hashes, written
 from parallax.llm.components import connected_components
-from parallax.llm.jaccard_join import runs
+from parallax.llm.jaccard_join import max_difference, parity_bitmap, runs
+from parallax.session import shuffle_partitions
 
 BANDS, ROWS, STEP = 32, 5, 32
 HASHES = BANDS * ROWS
@@ -87,8 +90,45 @@ def _rows(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, HASHES)
 
 
-def _sketches(width: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("signature", pa.binary())])
+class Bitmaps:
+    """Parity bitmaps of many sets; their widths are powers of two, and a wider one folds to a
+    narrower one by XOR of its halves."""
+
+    def __init__(self, raw: list[bytes], n: np.ndarray, percent: int):
+        self.n, self.percent = n, percent
+        self.words = np.array([len(x) // 8 for x in raw], np.int64)
+        self.at: dict[int, np.ndarray] = {}
+        self.place = np.zeros(len(raw), np.int64)
+        below = None
+        for w in sorted(set(self.words.tolist()), reverse=True):  # rows of at least w words, folded to w
+            own = np.flatnonzero(self.words == w)
+            rows = np.frombuffer(b"".join(raw[i] for i in own), _U).reshape(-1, w)
+            if below is not None:
+                wide = self.at[below]
+                while wide.shape[1] > w:
+                    half = wide.shape[1] // 2
+                    wide = wide[:, :half] ^ wide[:, half:]
+                self.place[own] = len(wide) + np.arange(len(own))
+                rows = np.concatenate([wide, rows])
+            else:
+                self.place[own] = np.arange(len(own))
+            self.at[w], below = rows, w
+
+    def allow(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether the sets x and y may be similar enough, pair by pair."""
+        keep = np.zeros(len(x), bool)
+        words = np.minimum(self.words[x], self.words[y])
+        for w in np.unique(words).tolist():
+            i = np.flatnonzero(words == w)
+            bits = self.at[w]
+            differ = np.bitwise_count(bits[self.place[x[i]]] ^ bits[self.place[y[i]]]).sum(axis=1)
+            keep[i] = differ <= max_difference(self.n[x[i]] + self.n[y[i]], self.percent)
+        return keep
+
+
+def _sketches(width: int, percent: int):
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("signature", pa.binary()),
+                        ("bits", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,41 +142,47 @@ def _sketches(width: int):
                     digest[i], signed[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest(), row.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[part.start:part.stop], pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array(digest, pa.binary()), pa.array(signed, pa.binary())], schema=schema)
+                     pa.array(digest, pa.binary()), pa.array(signed, pa.binary()),
+                     pa.array([parity_bitmap(s, percent) if len(s) else None for s in sets], pa.binary())], schema=schema)
 
     return run
 
 
 def _pruned(percent: int):
-    """(a, b, m) of the pairs that sizes and the posterior allow."""
+    """(a, b, m) of the pairs that sizes, the posterior and the bitmaps allow."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, m = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
             batch = batch.filter(pa.array(np.minimum(n, m) * 100 >= np.maximum(n, m) * percent))
             keep, equal = matches(_rows(batch.column("s_a")), _rows(batch.column("s_b")), percent)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(equal)],
-                                             names=["a", "b", "m"]).filter(pa.array(keep))
+            batch, equal = batch.filter(pa.array(keep)), equal[keep]
+            rows = np.arange(batch.num_rows)
+            bitmaps = Bitmaps(batch.column("bits_a").to_pylist() + batch.column("bits_b").to_pylist(),
+                              np.concatenate([batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()]), percent)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(equal)], names=["a", "b", "m"]).filter(
+                pa.array(bitmaps.allow(rows, rows + batch.num_rows)))
 
     return run
 
 
 def _bucket_pairs(percent: int):
-    """(a, b, m) of the pairs of different components in a block of a bucket that sizes and the
-    posterior allow, and that share no earlier band."""
+    """(a, b, m) of the pairs of different components in a block of a bucket that sizes, the
+    posterior and the bitmaps allow, and that share no earlier band."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in runs(batches, ["key", "i", "j"]):
             node, label, n, block = (t.column(c).to_numpy() for c in ("node", "label", "n_shingles", "block"))
             i, j, band = (t.column(c)[0].as_py() for c in ("i", "j", "band"))
-            signed = _rows(t.column("signature"))
+            signed, bitmaps = _rows(t.column("signature")), Bitmaps(t.column("bits").to_pylist(), n, percent)
             left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
             for x in left:
                 y = right[(label[right] != label[x]) & (node[right] != node[x]) & ((i != j) | (right > x))]
                 y = y[np.minimum(n[y], n[x]) * 100 >= np.maximum(n[y], n[x]) * percent]
                 keep, equal = matches(np.broadcast_to(signed[x], (len(y), HASHES)), signed[y], percent)
                 y, equal = y[keep], equal[keep]
-                same = (signed[y] == signed[x]).reshape(-1, BANDS, ROWS).all(axis=2)
-                first = ~same[:, :band].any(axis=1)
-                y, equal = y[first], equal[first]
+                if len(y):
+                    same = (signed[y] == signed[x]).reshape(-1, BANDS, ROWS).all(axis=2)
+                    keep = ~same[:, :band].any(axis=1) & bitmaps.allow(np.full(len(y), x), y)
+                    y, equal = y[keep], equal[keep]
                 if len(y):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.minimum(node[y], node[x])), pa.array(np.maximum(node[y], node[x])), pa.array(equal)],
@@ -203,11 +249,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     links of at least ``percent`` Jaccard similarity over shingles of ``width`` words reach."""
     spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = written(slim.mapInArrow(_sketches(width), "doc_id long, n_shingles long, digest binary, signature binary"), "minhash-sketch")
+    sketch = written(slim.mapInArrow(_sketches(width, percent),
+                                      "doc_id long, n_shingles long, digest binary, signature binary, bits binary"), "minhash-sketch")
     usable = sketch.filter("doc_id is not null and n_shingles > 0")
-    classes = written(usable.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "signature")).alias("x"))
-                      .select("digest", F.col("x.doc_id").alias("node"), "x.n_shingles", "x.signature"), "minhash-classes")
-    signed = classes.select("node", "n_shingles", "signature")
+    classes = written(usable.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "signature", "bits")).alias("x"))
+                      .select("digest", F.col("x.doc_id").alias("node"), "x.n_shingles", "x.signature", "x.bits"), "minhash-classes")
+    signed = classes.select("node", "n_shingles", "signature", "bits")
     bands = [F.xxhash64(F.lit(b), F.substring("signature", 2 * ROWS * b + 1, 2 * ROWS)) for b in range(BANDS)]
     rows = signed.select("node", F.posexplode(F.array(*bands)).alias("band", "key"))
     shared = rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("size")).filter("lo < hi")
@@ -217,7 +264,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     hubs = (members.join(weight, "node").groupBy("key").agg(F.max(F.struct("weight", (-F.col("node")).alias("less"))).alias("h"))
             .select("key", (-F.col("h.less")).alias("hub")))
     star = (members.join(hubs, "key").filter("hub != node").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct())
-    paired = star.join(signed.toDF("a", "n_a", "s_a"), "a").join(signed.toDF("b", "n_b", "s_b"), "b")
+    paired = star.join(signed.toDF("a", "n_a", "s_a", "bits_a"), "a").join(signed.toDF("b", "n_b", "s_b", "bits_b"), "b")
     near = written(paired.mapInArrow(_pruned(percent), "a long, b long, m long"), "minhash-near")
 
     # texts of one id are one node: their classes are linked through it
@@ -238,8 +285,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     dealt = known.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).join(signed, "node")
     each = dealt.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")).select(
         "key", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "block", "node", "label", "n_shingles", "signature")
-    far = written(each.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        "block", "node", "label", "n_shingles", "signature", "bits")
+    far = written(each.repartition(shuffle_partitions(spark), "key", "i", "j").sortWithinPartitions("key", "i", "j")
                   .mapInArrow(_bucket_pairs(percent), "a long, b long, m long"), "minhash-far")
     found = connected_components(verifier.linked(far, links))
 

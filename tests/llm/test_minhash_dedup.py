@@ -88,3 +88,20 @@ def test_equal_hashes_estimate_the_similarity():
     shared = len(np.intersect1d(sets[0], sets[1]))
     assert abs((x == y).mean() - shared / (len(sets[0]) + len(sets[1]) - shared)) < 0.12 and (x == z).mean() < 0.03
     assert M.matches(np.array([x, x]), np.array([x, z]), 85)[0].tolist() == [True, False]
+
+
+def test_bitmaps_never_end_a_link():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 1 << 63, k).astype(np.uint64)) for k in (1, 5, 40, 300, 2000)]
+    sets = [np.unique(np.append(s[rng.random(len(s)) > cut], rng.integers(0, 1 << 63, int(cut * len(s))).astype(np.uint64)))
+            for s in sets for cut in (0, 0, 0.02, 0.05, 0.08, 0.1, 0.3)]
+    sets = [s for s in sets if len(s)]
+    bitmaps = M.Bitmaps([M.parity_bitmap(s, 85) for s in sets], np.array([len(s) for s in sets]), 85)
+    x, y = (a.ravel() for a in np.meshgrid(*[np.arange(len(sets))] * 2))
+    allowed, ended = bitmaps.allow(x, y), 0
+    for i, j, ok in zip(x, y, allowed):
+        shared = len(np.intersect1d(sets[i], sets[j]))
+        linked = 100 * shared >= 85 * (len(sets[i]) + len(sets[j]) - shared)
+        assert ok or not linked
+        ended += not ok
+    assert ended > len(x) // 2
