@@ -845,13 +845,19 @@ def q_src_tsv(spark, sf):
     return FS.read_tsv(spark, path, {0: "pair_id", 1: "tgt", 2: "src"}, 3).select("pair_id", "src", "tgt")
 
 
-@query("src_csv_badlines")  # rows-only: CSV quoting rules on raw lines are not restated in SQL
+@query("src_csv_badlines", O.with_("pb_raw", extra=f"""
+bl_fields AS (SELECT string_split(line, ',') AS f FROM pb_raw WHERE line <> ''),
+bl_kept AS (SELECT {O.na('f[1]')} AS src, {O.na('f[2]')} AS tgt FROM bl_fields WHERE len(f) <= 2)""") + """
+SELECT src, tgt, (SELECT count(*) FROM bl_fields WHERE len(f) > 2) AS quarantined
+FROM bl_kept WHERE src IS NOT NULL AND tgt IS NOT NULL""")
 def q_src_csv_badlines(spark, sf):
+    """Document lines as raw CSV (no field of theirs begins with a quote, so the oracle splits at
+    commas); the number of lines with too many fields beside each kept row."""
     path = scratch_path(spark, "badlines")
     lines = P.pairs_b_raw(spark, sf).select("line")
     FS.write_raw_lines(lines, path, "line", "日本語,英語")
-    kept, _ = FS.read_csv_badlines(spark, path, ["日本語", "英語"])
-    return C.clean_pairs(kept, ["日本語", "英語"], id_col=None)
+    kept, quarantined = FS.read_csv_badlines(spark, path, ["日本語", "英語"])
+    return C.clean_pairs(kept, ["日本語", "英語"], id_col=None).withColumn("quarantined", F.lit(quarantined.count()))
 
 
 @query("csv_roundtrip", O.with_("split") + "SELECT pair_id, src, tgt, split FROM split")

@@ -12,15 +12,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-CORRUPT_COL = "_c"
-_MARK = "\u0001end"
+from parallax.sources.records import read_delimited
 
 # Write options that keep text intact (the CSV writer trims whitespace by default).
 _WRITE_TEXT = {"quoteAll": "true", "escape": '"', "quote": '"',
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-_READ_TEXT = {"multiLine": "true", "escape": '"', "quote": '"'}
 
 
 def write_tsv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
@@ -29,13 +26,14 @@ def write_tsv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
      .option("sep", "\t").option("header", "false").csv(path))
 
 
+def _named(rows: DataFrame, names: Mapping[int, str]) -> DataFrame:
+    return rows.select(*[F.get("f", F.lit(i)).alias(name) for i, name in sorted(names.items())])
+
+
 def read_tsv(spark: SparkSession, path: str, column_map: Mapping[int, str], n_columns: int) -> DataFrame:
     """A1: headerless TSV; ``column_map`` names columns by 0-based position (no guessing
-    of column order or index columns)."""
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(n_columns)])
-    raw = (spark.read.schema(schema).options(**_READ_TEXT).option("sep", "\t")
-           .option("header", "false").option("mode", "PERMISSIVE").csv(path))
-    return raw.select(*[F.col(f"_c{i}").alias(name) for i, name in sorted(column_map.items())])
+    of column order or index columns).  One file is read by many tasks."""
+    return _named(read_delimited(spark, path, n_columns, sep="\t", header=False), column_map)
 
 
 def write_raw_lines(df: DataFrame, path: str, line_col: str, header: str) -> None:
@@ -48,27 +46,18 @@ def write_raw_lines(df: DataFrame, path: str, line_col: str, header: str) -> Non
 
 
 def read_csv_badlines(spark: SparkSession, path: str, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """A2: headed CSV read in PERMISSIVE mode.  Returns (kept, quarantined):
+    """A2: headed CSV.  Returns (kept, quarantined):
 
     * short rows are kept with nulls in the missing fields (as a pandas read does),
-    * rows with more fields than the header, empty ones included, are quarantined with
-      their raw text (``raw``) and the fields parsed from it.
-    The corrupt-record column is set for both kinds.  It is parsed again with a mark as its
-    last field: in a long row the mark lies beyond the header's fields and one more.
+    * rows with more fields than the header, empty ones included, and a row whose quoted field
+      its file never closes, are quarantined with their raw text (``raw``) and first fields.
+    One file is read by many tasks, quoted line breaks or not.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
-                          + [T.StructField(CORRUPT_COL, T.StringType())])
-    raw = (spark.read.schema(schema).options(**_READ_TEXT).option("header", "true")
-           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL).csv(path))
-    probe_schema = ", ".join(f"f{i} string" for i in range(len(columns) + 1))
-    marked = F.concat(F.regexp_replace(F.col(CORRUPT_COL), "[\r\n]+$", ""), F.lit(f",{_MARK}"))
-    fields = F.from_csv(marked, probe_schema, {"escape": '"'})
-    seen = F.array(*[F.coalesce(fields[f"f{i}"], F.lit("")) for i in range(len(columns) + 1)])
-    flagged = raw.withColumn("_long", F.col(CORRUPT_COL).isNotNull() & ~F.array_contains(seen, _MARK))
-    kept = flagged.filter(~F.col("_long")).select(*columns)
-    # (a query reading only the corrupt-record column is refused, so the parsed fields ride along)
-    quarantined = flagged.filter(F.col("_long")).select(F.col(CORRUPT_COL).alias("raw"), *columns)
-    return kept, quarantined
+    rows = read_delimited(spark, path, len(columns))
+    names, too_long = dict(enumerate(columns)), F.col("size") > len(columns)
+    quarantined = rows.filter(too_long)
+    return (_named(rows.filter(~too_long), names),
+            quarantined.select(F.col("record").alias("raw"), *[F.get("f", F.lit(i)).alias(c) for i, c in names.items()]))
 
 
 def write_splits(split_df: DataFrame, path: str, columns: Sequence[str] = ("pair_id", "src", "tgt")) -> None:
@@ -79,11 +68,10 @@ def write_splits(split_df: DataFrame, path: str, columns: Sequence[str] = ("pair
 
 def read_splits(spark: SparkSession, path: str, fields: Sequence[str] = ("pair_id", "src", "tgt")) -> DataFrame:
     """A5: re-read the split files binding columns to ``fields`` by position (the header
-    line is skipped, not trained on); ``split`` comes back from the folder names."""
-    schema = T.StructType([T.StructField(f, T.StringType()) for f in fields]
-                          + [T.StructField("split", T.StringType())])
-    return (spark.read.schema(schema).options(**_READ_TEXT).option("header", "true")
-            .option("enforceSchema", "true").csv(path))
+    line is skipped, not trained on); ``split`` comes back from the folder names.  One file is
+    read by many tasks."""
+    rows = read_delimited(spark, path, len(fields))
+    return rows.select(*[F.get("f", F.lit(i)).alias(c) for i, c in enumerate(fields)], F.regexp_extract("file", "/split=([^/]+)/", 1).alias("split"))
 
 
 def save_artifacts(tables: Mapping[str, DataFrame], path: str) -> None:
