@@ -9,6 +9,7 @@ a long text is cut at white space into several blocks.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,14 +36,48 @@ def crc_remainder(col: str, n: int) -> Column:
     return F.pmod(F.crc32(F.col(col).cast("string")), F.lit(n))
 
 
+_HELD: list[list[str]] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The table written as Parquet under the shared checkpoint folder and read again."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if _HELD:
+        _HELD[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files of queries that have ended: it waits for the
+    driver to collect its garbage, which a driver that has little to do puts off."""
+    spark._jvm.System.gc()
+
+
+@contextmanager
+def freed(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``written`` makes inside are deleted at the end; what is needed later must
+    be written outside, and before."""
+    _HELD.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in map(jvm.org.apache.hadoop.fs.Path, _HELD.pop()):
+            path.getFileSystem(conf).delete(path, True)
+
+
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """``written``, but not deleted by the innermost ``freed``."""
+    held = _HELD.pop() if _HELD else None
+    try:
+        return written(df, name)
+    finally:
+        if held is not None:
+            _HELD.append(held)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser."""
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)

@@ -17,31 +17,34 @@ A tile is worked in two rounds, so a group of N copies costs N comparisons and n
    blocks of bounded size (a hot tile becomes many blocks).
 A pair that neither round compares lies in one component already, so components are exact.
 
-Slices that are empty in a set say little, and many sets share them.  They are keys only in
-bands of at most ``EMPTY_SLICES`` slices; above that a pair at the very threshold agrees on
-empty slices alone with a chance below 1e-6 (it agrees on over a third of all slices, and a
-slice is empty with a chance of some per cent).
+Slices that are empty in a set say little, and many sets share them.  Linked sets agree on some
+slice that is not empty unless the hashes fall most unevenly; a band has so many slices, d + 1 at
+least, that the chance of that is below ``CHANCE``, about that of two shingles with one 64-bit
+hash.  Where three times d + 1 slices would not do (small sets), empty slices are keys as well, and
+nothing is left to chance.
 
 Results for odd input: null, empty or blank text has no shingle and no link; a null id takes
-no part in links and gets a null component; repeated rows and rows that repeat an id are one
-node and each row is returned; other columns are not read.
+no part in links and gets a null component; rows that repeat an id are one node, with the links
+of all its texts, and each row is returned; other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parallax.llm.common import blocks, mix64, shingle_set, utf8, word_hashes, written
+from parallax.llm.common import blocks, freed, keep, mix64, release, shingle_set, utf8, word_hashes, written
 from parallax.llm.components import connected_components
+from parallax.operators.ordering import sized_broadcast
 
-EMPTY_SLICES = 16
-BLOCK_ROWS = 512
+CHANCE = 2.0**-64
+BLOCK_ROWS = 4096
 HUB_ROWS = 256
 _U = np.uint64
 _SALT = _U(0x5851F42D4C957F2D)
@@ -63,24 +66,38 @@ def max_difference(total: int, percent: int) -> int:
     return total * (100 - percent) // (100 + percent)
 
 
-def _tiles(n: int, percent: int) -> list[tuple[int, int]]:
-    """(band, number of slices) of a set of n shingles."""
+@lru_cache(maxsize=4096)
+def _band(band: int, percent: int) -> tuple[int, bool]:
+    """The number of slices of a band, and whether empty ones are keys.  The smallest sets keyed
+    in the band are most at risk: of two that differ in d elements, a slice is untouched with the
+    chance (1 - 1/k)^d, and holds one of the common elements with 1 - (1 - 1/k)^common."""
+    d = max_difference(2 * (int(_EDGES[band + 1]) - 1), percent)
+    least = max(1, int(_EDGES[band]) * percent // 100)
+    for k in range(d + 1, 3 * d + 4):
+        left = 1 - 1 / k
+        if (1 - left**d * (1 - left**(least - min(d, least) // 2)))**k < CHANCE:
+            return k, False
+    return d + 1, True
+
+
+def _tiles(n: int, percent: int) -> list[tuple[int, int, bool]]:
+    """(band, number of slices, whether empty ones are keys) of a set of n shingles."""
     own, last = (int(np.searchsorted(_EDGES, x, side="right")) - 1 for x in (n, n * 100 // percent))
-    return [(b, max_difference(2 * (int(_EDGES[b + 1]) - 1), percent) + 1) for b in range(own, last + 1)]
+    return [(b, *_band(b, percent)) for b in range(own, last + 1)]
 
 
 def tile_keys(s: np.ndarray, percent: int) -> np.ndarray:
     """64-bit tile keys of a sorted set."""
     sums = np.append(_U(0), np.cumsum(mix64(s ^ _SALT), dtype=_U))
     out = []
-    for band, k in _tiles(len(s), percent):
+    for band, k, empty in _tiles(len(s), percent):
         step = (1 << 64) // k + 1
         cuts = np.arange(1, k, dtype=_U) * _U(step & ((1 << 64) - 1)) if k > 1 else np.zeros(0, _U)
         at = np.concatenate(([0], np.searchsorted(s, cuts), [len(s)]))
         size = np.diff(at)
         slot = np.arange(k, dtype=_U) + _U(band << 44)
         key = mix64(mix64(slot + _SALT) + (sums[at[1:]] - sums[at[:-1]]) + size.astype(_U))
-        out.append(key if k <= EMPTY_SLICES else key[size > 0])
+        out.append(key if empty else key[size > 0])
     return np.concatenate(out)
 
 
@@ -258,6 +275,16 @@ def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Data
     return rows.mapInArrow(_verified(percent), "a long, b long")
 
 
+def same_id_links(usable: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): links between the classes of rows that share an id but not their set; ``usable``
+    has (doc_id, digest), ``classes`` (digest, node)."""
+    of_row = usable.join(classes.select("digest", "node"), "digest").select("doc_id", "node").filter("doc_id != node").distinct()
+    stands = of_row.join(classes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").select(
+        F.least("doc_id", "node").alias("a"), F.greatest("doc_id", "node").alias("b"))
+    again = of_row.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z").select("doc_id", "a")
+    return of_row.join(again, "doc_id").select("a", F.col("node").alias("b")).filter("a < b").unionByName(stands).distinct()
+
+
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """One row for each input row: (doc_id, n_shingles, component_id); component_id is the
@@ -266,18 +293,22 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sketch = written(slim.mapInArrow(
         _sketches(width, percent),
-        "doc_id long, n_shingles long, digest binary, bits binary, keys array<long>"), "jaccard-sketch")
+        "doc_id long, n_shingles long, digest binary, bits binary, keys array<long>")
+        .withColumn("row", F.monotonically_increasing_id()), "jaccard-sketch")
+    spark = docs.sparkSession
     usable = sketch.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    # texts with one set are one class; its smallest id stands for it
-    classes = written(usable.groupBy("digest").agg(F.min("doc_id").alias("node")), "jaccard-classes")
-    reps = (usable.join(classes.withColumnRenamed("digest", "_d"),
-                        (F.col("doc_id") == F.col("node")) & (F.col("digest") == F.col("_d")), "left_semi")
-            .dropDuplicates(["doc_id", "digest"])
+    # texts with one set are one class; the row of its smallest id stands for it
+    classes = written(usable.groupBy("digest").agg(F.min(F.struct("doc_id", "row")).alias("x"))
+                      .select("digest", F.col("x.doc_id").alias("node"), "x.row"), "jaccard-classes")
+    reps = (usable.join(sized_broadcast(classes.select("row")), "row", "left_semi")
             .select(F.col("doc_id").alias("node"), "n_shingles", "bits", "keys"))
     rows = reps.select("node", F.explode("keys").alias("key"))
-    shared = (rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("size"))
-              .filter("lo < hi").select("key", "size"))
-    members = written(rows.join(shared, "key").select("key", "size", "node"), "jaccard-members")
+    # keys that only one set has end here: of the others there are few, and the rows meet them
+    # without a shuffle while they are few enough to broadcast
+    shared = written(rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "jaccard-shared")
+    release(spark)
+    members = written(rows.join(sized_broadcast(shared), "key").select("key", "size", "node"), "jaccard-members")
+    release(spark)
     sizes = reps.select("node", "n_shingles", "bits")
     texts = slim.withColumnRenamed("doc_id", "node")
 
@@ -291,9 +322,10 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     near = (star.join(sizes.toDF("a", "n_a", "bits_a"), "a").join(sizes.toDF("b", "n_b", "bits_b"), "b")
             .select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
             .mapInArrow(_overlap_bound(percent), "a long, b long"))
-    links = written(_links(written(near, "jaccard-near").distinct(), texts, width, percent).distinct(),
-                    "jaccard-links")
+    links = written(_links(written(near, "jaccard-near").distinct(), texts, width, percent).unionByName(
+        same_id_links(usable, classes)).distinct(), "jaccard-links")
     labels = connected_components(links)
+    release(spark)
 
     known = members.join(labels, "node", "left").select(
         "key", "node", F.coalesce("component", "node").alias("label"))
@@ -310,7 +342,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     more = _links(written(far, "jaccard-far"), texts, width, percent)
     found = connected_components(links.unionByName(more))
 
-    of_class = classes.join(found, "node", "left").select(
+    of_class = classes.select("digest", "node").join(found, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("component_id"))
     return sketch.join(of_class, "digest", "left").select(
         "doc_id", "n_shingles",
@@ -321,7 +353,8 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each component the row with the
     smallest id stays; rows of no component all stay, as do rows without id or shingle.  Of
     rows that repeat both id and text one stays."""
-    found = written(jaccard_components(docs, width, percent), "jaccard-found")
+    with freed(docs.sparkSession):
+        found = keep(jaccard_components(docs, width, percent), "jaccard-found")
     gone = found.filter("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
     kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
     again = (found.groupBy("doc_id").count().filter("doc_id is not null and count > 1")

@@ -36,9 +36,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parallax.llm.common import blocks, mix64, shingle_set, utf8, word_hashes, written
+from parallax.llm.common import blocks, mix64, release, shingle_set, utf8, word_hashes, written
 from parallax.llm.components import connected_components
-from parallax.llm.jaccard_join import max_difference, parity_bitmap, runs
+from parallax.llm.jaccard_join import max_difference, parity_bitmap, runs, same_id_links
+from parallax.operators.ordering import sized_broadcast
 from parallax.session import shuffle_partitions
 
 BANDS, ROWS, STEP = 32, 5, 32
@@ -257,8 +258,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     signed = classes.select("node", "n_shingles", "signature", "bits")
     bands = [F.xxhash64(F.lit(b), F.substring("signature", 2 * ROWS * b + 1, 2 * ROWS)) for b in range(BANDS)]
     rows = signed.select("node", F.posexplode(F.array(*bands)).alias("band", "key"))
-    shared = rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("size")).filter("lo < hi")
-    members = written(rows.join(shared.select("key", "size"), "key").select("key", "band", "size", "node"), "minhash-members")
+    shared = written(rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "minhash-shared")
+    release(spark)
+    members = written(rows.join(sized_broadcast(shared), "key").select("key", "band", "size", "node"), "minhash-members")
+    release(spark)
 
     weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
     hubs = (members.join(weight, "node").groupBy("key").agg(F.max(F.struct("weight", (-F.col("node")).alias("less"))).alias("h"))
@@ -267,16 +270,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     paired = star.join(signed.toDF("a", "n_a", "s_a", "bits_a"), "a").join(signed.toDF("b", "n_b", "s_b", "bits_b"), "b")
     near = written(paired.mapInArrow(_pruned(percent), "a long, b long, m long"), "minhash-near")
 
-    # texts of one id are one node: their classes are linked through it
-    of_row = usable.join(classes.select("digest", "node"), "digest").select("doc_id", "node").filter("doc_id != node").distinct()
-    again = of_row.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z")
-    own = of_row.join(again.select("doc_id", "a"), "doc_id").select("a", F.col("node").alias("b")).filter("a < b")
-    first = classes.select(F.col("node").alias("doc_id")).distinct()  # an id that stands for one class and occurs in another
-    stands = of_row.join(first, "doc_id", "left_semi").select(F.least("doc_id", "node").alias("a"), F.greatest("doc_id", "node").alias("b"))
-    links = written(own.unionByName(stands).distinct(), "minhash-links")
-
+    links = written(same_id_links(usable, classes), "minhash-links")  # rows of one id are one node
     verifier = Verifier(slim.withColumnRenamed("doc_id", "node"), width, percent)
     links = verifier.linked(near, links)
+    release(spark)
     known = members.join(connected_components(links), "node", "left").select(
         "key", "band", "node", F.coalesce("component", "node").alias("label"))
     mixed = (known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),

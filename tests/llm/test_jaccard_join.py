@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,3 +105,34 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert J.jaccard_components(df).collect() == []
     assert J.keep_one(df).collect() == []
+
+
+def test_rows_of_one_id_are_one_node(spark):
+    rows = [(3, "a b c d"), (5, "a b c d"), (5, "p q r s"), (9, "p q r s"), (12, "p q r s"), (12, "u v w x"), (14, "u v w x"), (15, "k l m n")]
+    got = {(d, c) for d, _, c in found(J.jaccard_components(spark.createDataFrame(rows, SCHEMA), 3, 90))}
+    assert got == {(3, 3), (5, 3), (9, 3), (12, 3), (14, 3), (15, 15)}
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_linked_sets_share_a_key(percent):
+    """Pairs at the very threshold, in bands of all sizes."""
+    rng = np.random.default_rng(percent)
+    seen = set()
+    for n in (1, 2, 5, 20, 60, 150, 400, 1000):
+        for _ in range(100):
+            most = J.max_difference(2 * n, percent) // 2
+            both, own = rng.integers(0, 1 << 64, n - most, dtype=np.uint64), rng.integers(0, 1 << 64, (2, most), dtype=np.uint64)
+            x, y = (np.unique(np.append(both, o)) for o in own)
+            shared = len(np.intersect1d(x, y))
+            if 100 * shared >= percent * (len(x) + len(y) - shared):
+                assert len(np.intersect1d(J.tile_keys(x, percent), J.tile_keys(y, percent)))
+                seen.update(empty for *_, empty in J._tiles(n, percent))
+    assert seen == {True, False}
+
+
+def test_large_sets_have_no_key_for_empty_slices():
+    rng = np.random.default_rng(1)
+    for percent in (80, 90):
+        sets = [np.unique(rng.integers(0, 1 << 64, 1500, dtype=np.uint64)) for _ in range(200)]
+        keys = np.concatenate([J.tile_keys(s, percent) for s in sets])
+        assert len(np.unique(keys)) == len(keys)
