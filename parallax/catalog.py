@@ -190,14 +190,13 @@ def q_encode(spark, sf):
 cut AS (
   SELECT pair_id, CASE WHEN list_position(tgt_ids, 3) IS NOT NULL
                        THEN tgt_ids[1:list_position(tgt_ids, 3) - 1] ELSE tgt_ids END AS ids
-  FROM encoded WHERE split = 'test'),
+  FROM encoded),
 dl AS (SELECT pair_id, u.id, u.pos FROM cut, unnest(list_filter(ids, lambda x: x <> 2)) WITH ORDINALITY AS u(id, pos))""") + """
 SELECT c.pair_id, COALESCE((SELECT string_agg(v.token, ' ' ORDER BY d.pos) FROM dl d JOIN vocab_tgt v ON v.id = d.id
                             WHERE d.pair_id = c.pair_id), '') AS text
 FROM cut c""")
 def q_decode_ids(spark, sf):
-    e = _encoded(spark, sf).filter(F.col("split") == "test")
-    return V.decode_ids(e, "tgt_ids", P.vocabs(spark, sf)[1])
+    return V.decode_ids(_encoded(spark, sf), "tgt_ids", P.vocabs(spark, sf)[1])
 
 
 @query("oov_report", O.with_("vocabs") + """
@@ -636,7 +635,7 @@ def q_greedy_decode(spark, sf):
 
 
 @query("truncate_eos", O.with_("bigrams", extra=f"""
-tf_seq AS (SELECT pair_id, list_concat(['<sos>'], {O.tok('tgt')}, ['<eos>']) AS seq FROM split WHERE split = 'test'),
+tf_seq AS (SELECT pair_id, list_concat(['<sos>'], {O.tok('tgt')}, ['<eos>']) AS seq FROM split),
 tf_tok AS (SELECT pair_id, u.pos, u.tok FROM tf_seq, unnest(seq[1:len(seq) - 1]) WITH ORDINALITY AS u(tok, pos)),
 tf_map AS (SELECT t.pair_id, t.pos, CASE WHEN v.token IS NULL THEN '<unk>' ELSE t.tok END AS tok
            FROM tf_tok t LEFT JOIN vocab_tgt v ON v.token = t.tok),
@@ -792,10 +791,10 @@ def q_attn_heads(spark, sf):
 ac_emb AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 ac_n AS (SELECT count(*) AS n FROM embeddings),
 ac_q AS (SELECT e.pair_id, u.pos - 1 AS i, m.v FROM encoded e, unnest(e.tgt_ids) WITH ORDINALITY AS u(id, pos), ac_n
-         JOIN ac_emb m ON m.vec_id = u.id % ac_n.n WHERE e.pair_id LIKE 'c:%'),
+         JOIN ac_emb m ON m.vec_id = u.id % ac_n.n),
 ac_k AS (SELECT e.pair_id, u.pos - 1 AS j, m.v, list_sum(m.v) AS vs
          FROM encoded e, unnest(e.src_ids) WITH ORDINALITY AS u(id, pos), ac_n
-         JOIN ac_emb m ON m.vec_id = u.id % ac_n.n WHERE e.pair_id LIKE 'c:%'),
+         JOIN ac_emb m ON m.vec_id = u.id % ac_n.n),
 ac_s AS (SELECT q.pair_id, i, list_dot_product(q.v, k.v) / 8.0::DOUBLE AS s, vs, k.v[1] AS v1, k.v[64] AS v64
          FROM ac_q q JOIN ac_k k ON q.pair_id = k.pair_id),
 ac_e AS (SELECT *, exp(s - max(s) OVER (PARTITION BY pair_id, i)) AS e FROM ac_s)""") + """
@@ -806,7 +805,7 @@ def q_attn_cross(spark, sf):
     """Target positions attend to the source positions of their pair; sources are padded to a
     multiple of eight, and the mask leaves the padding out."""
     vs, vt = P.vocabs(spark, sf)
-    enc = V.encode_pairs(P.pairs_a_tokens(spark, sf), vs, vt, tokenizer=None, src="src_toks", tgt="tgt_toks")
+    enc = V.encode_pairs(P.split(spark, sf), vs, vt, tokenizer=None, src="src_toks", tgt="tgt_toks")
     padding = F.array_repeat(F.lit(PAD_ID).cast("long"), F.pmod(-F.size("src_ids"), F.lit(8)))
     emb = table(spark, sf, "embeddings").select("vec_id", VX.as_double("embedding").alias("v"))
     n = emb.count()  # scalar table size

@@ -16,8 +16,10 @@ from pyspark.sql import types as T
 
 from parallax.functions.text import (EOS_ID, SOS_ID, SRC_SPECIALS, TGT_SPECIALS, UNK_ID,
                                      get_tokenizer)
+from parallax.operators.dictionary import BOUND, Dictionary, map_arrays
 from parallax.operators.ordering import ordered_rank, sized_broadcast
 
+_NONE = "\u0000"  # stands for an id without a token
 VOCAB_SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("token", T.StringType()),
                              T.StructField("freq", T.LongType())])
 
@@ -98,37 +100,22 @@ def approx_vocab_size(sketches: DataFrame) -> DataFrame:
     return sketches.groupBy("side").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("about"))
 
 
-def _ordered_ids(items):
-    """Sort (pos, id) structs collected per row and keep the ids."""
-    return F.transform(F.array_sort(items), lambda x: x["id"])
-
-
 def encode_pairs(df: DataFrame, vocab_src: DataFrame, vocab_tgt: DataFrame,
                  id_col: str = "pair_id", tokenizer="words", markers: bool = True,
-                 src: str = "src", tgt: str = "tgt", carry: Sequence[str] = ()) -> DataFrame:
+                 src: str = "src", tgt: str = "tgt", carry: Sequence[str] = (), bound: int = BOUND) -> DataFrame:
     """C1 on both sides in one pass: (id_col, *carry, src_ids, tgt_ids).
 
-    Tokens are exploded with positions (outer, so a pair without tokens keeps a row),
-    looked up with a left join (vocabulary broadcast only after a size check), unknown
-    -> <unk>, and regrouped per pair in position order.  ``carry`` holds per-pair
-    columns (e.g. ``split``) kept through the grouping, so no join back is needed.  The
-    regrouping is a partial aggregation: a pair's tokens leave each map task as one
-    buffer.  The target gets <sos>/<eos> (H4, Q8).
-    """
-    toks = side_tokens(df, tokenizer, src, tgt, keep=[id_col, *carry], outer=True)
-    vocab = (vocab_src.select(F.lit("src").alias("side"), "token", "id")
-             .unionByName(vocab_tgt.select(F.lit("tgt").alias("side"), "token", "id")))
-    looked = (toks.join(sized_broadcast(vocab), ["side", "token"], "left")
-              .withColumn("id", F.coalesce(F.col("id"), F.lit(UNK_ID).cast("long"))))
-    real = F.col("pos").isNotNull()
-    grouped = looked.groupBy(id_col, *carry).agg(
-        F.collect_list(F.when(real & (F.col("side") == "src"), F.struct("pos", "id"))).alias("_s"),
-        F.collect_list(F.when(real & (F.col("side") == "tgt"), F.struct("pos", "id"))).alias("_t"))
-    tgt_ids = _ordered_ids(F.col("_t"))
-    if markers:
-        tgt_ids = F.concat(F.array(F.lit(SOS_ID).cast("long")), tgt_ids,
-                           F.array(F.lit(EOS_ID).cast("long")))
-    return grouped.select(id_col, *carry, _ordered_ids(F.col("_s")).alias("src_ids"), tgt_ids.alias("tgt_ids"))
+    Token arrays are mapped by a dictionary of two tiers (``bound`` bytes of frequent tokens sent
+    to every task, the rest by shuffle); unknown and null tokens -> <unk>, a null text has no
+    ids.  The target gets <sos>/<eos> (H4, Q8)."""
+    tok = get_tokenizer(tokenizer)
+    toks = [F.coalesce(tok(F.col(c)), F.array().cast("array<string>")).alias(name) for c, name in ((src, "src_ids"), (tgt, "tgt_ids"))]
+    words = {name: Dictionary(v.select(F.col("token").alias("key"), F.col("id").alias("value"), F.col("id").alias("rank")), UNK_ID)
+             for name, v in (("src_ids", vocab_src), ("tgt_ids", vocab_tgt))}
+    out = map_arrays(df.select(id_col, *carry, *toks), words, bound)
+    if not markers:
+        return out
+    return out.withColumn("tgt_ids", F.concat(F.array(F.lit(SOS_ID).cast("long")), "tgt_ids", F.array(F.lit(EOS_ID).cast("long"))))
 
 
 def truncate_at(ids, stop_id: int = EOS_ID):
@@ -139,16 +126,14 @@ def truncate_at(ids, stop_id: int = EOS_ID):
 
 
 def decode_ids(df: DataFrame, ids_col: str, vocab: DataFrame, id_col: str = "pair_id",
-               out_col: str = "text") -> DataFrame:
-    """C2 + F8 + H5: cut at the first <eos>, drop <sos>, map ids to tokens, join with spaces."""
-    cut = df.select(id_col, F.filter(truncate_at(F.col(ids_col)), lambda x: x != SOS_ID).alias("_ids"))
-    exploded = cut.select(id_col, F.posexplode("_ids").alias("pos", "id"))
-    looked = exploded.join(sized_broadcast(vocab.select("id", "token")), "id")
-    grouped = looked.groupBy(id_col).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))),
-                                 lambda x: x["token"]), " ").alias(out_col))
-    return (cut.select(id_col).join(grouped, id_col, "left")
-            .select(id_col, F.coalesce(F.col(out_col), F.lit("")).alias(out_col)))
+               out_col: str = "text", carry: Sequence[str] = (), bound: int = BOUND) -> DataFrame:
+    """C2 + F8 + H5: cut at the first <eos>, drop <sos>, map ids to tokens, join with spaces.
+    Ids that the vocabulary lacks give no token."""
+    cut = df.select(id_col, *carry, F.coalesce(F.filter(truncate_at(F.col(ids_col)), lambda x: x != SOS_ID),
+                                               F.array().cast("array<bigint>")).alias(out_col))
+    words = Dictionary(vocab.select(F.col("id").alias("key"), F.col("token").alias("value"), F.col("id").alias("rank")), _NONE)
+    out = map_arrays(cut, {out_col: words}, bound)
+    return out.withColumn(out_col, F.array_join(F.filter(out_col, lambda t: t != _NONE), " "))
 
 
 def oov_report(split_df: DataFrame, vocab_src: DataFrame, vocab_tgt: DataFrame,

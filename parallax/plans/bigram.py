@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parallax.functions.text import EOS, SOS, UNK, get_tokenizer, with_markers
+from parallax.operators.dictionary import BOUND, Dictionary, map_arrays
 from parallax.operators.ordering import sized_broadcast, top_k_per_group
 from parallax.operators.vocab import truncate_at
-from parallax.session import checkpoint_dir
+from parallax.session import checkpoint_dir, scratch_path
 
 MAX_STEPS = 79   # generated tokens after <sos> within the 80-position limit
 
@@ -140,19 +141,19 @@ def greedy_decode(starts: DataFrame, succ: DataFrame, id_col: str = "pair_id",
 
 
 def teacher_forced_predictions(split_df: DataFrame, vocab_tgt: DataFrame, succ: DataFrame,
-                               split: str = "test", tokenizer="words", text_col: str = "tgt") -> DataFrame:
-    """F8 over model output: for each pair, the successor predicted at every position of
-    its own marked target (unknown -> <unk>), cut before the first predicted <eos>."""
-    seq = with_markers(get_tokenizer(tokenizer)(F.col(text_col)))
-    rows = split_df.filter(F.col("split") == split).select(
-        "pair_id", F.posexplode(F.slice(seq, 1, F.size(seq) - 1)).alias("pos", "tok"))
-    known = sized_broadcast(vocab_tgt.select(F.col("token").alias("tok"), F.lit(1).alias("_k")))
-    rows = (rows.join(known, "tok", "left")
-            .withColumn("tok", F.when(F.col("_k").isNull(), F.lit(UNK)).otherwise(F.col("tok"))))
-    pred = rows.join(sized_broadcast(succ.withColumnRenamed("prev", "tok")), "tok", "left").select(
-        "pair_id", "pos", F.coalesce("next", F.lit(UNK)).alias("next"))
-    grouped = pred.groupBy("pair_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "next"))), lambda x: x["next"]).alias("p"))
+                               split: str | None = None, tokenizer="words", text_col: str = "tgt", bound: int = BOUND) -> DataFrame:
+    """F8 over model output: for each pair (of one split, if given), the successor predicted at
+    every position of its own marked target (unknown -> <unk>), cut before the first predicted
+    <eos>.  A token's prediction is one dictionary entry: its successor, or that of <unk> for
+    tokens the vocabulary lacks; <unk> where there is no successor."""
+    rows = split_df if split is None else split_df.filter(F.col("split") == split)
+    seq = with_markers(F.coalesce(get_tokenizer(tokenizer)(F.col(text_col)), F.array().cast("array<string>")))
+    unknown = [r.next for r in succ.filter(F.col("prev") == UNK).collect()] or [UNK]
+    known = vocab_tgt.select(F.col("token").alias("key"), F.col("id").alias("rank")).join(
+        sized_broadcast(succ.toDF("key", "value")), "key", "left").select("key", F.coalesce("value", F.lit(UNK)).alias("value"), "rank")
+    path = scratch_path(succ.sparkSession, "predictions")
+    known.write.parquet(path)
+    words = Dictionary(succ.sparkSession.read.parquet(path), unknown[0])
+    out = map_arrays(rows.select("pair_id", F.slice(seq, 1, F.size(seq) - 1).alias("p")), {"p": words}, bound)
     cut = truncate_at(F.col("p"), EOS)
-    return grouped.select("pair_id", F.array_join(cut, " ").alias("predicted"),
-                          F.size(cut).cast("long").alias("n_kept"), F.size("p").cast("long").alias("n_raw"))
+    return out.select("pair_id", F.array_join(cut, " ").alias("predicted"), F.size(cut).cast("long").alias("n_kept"), F.size("p").cast("long").alias("n_raw"))

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parallax.functions.text import get_tokenizer
+from parallax.operators.dictionary import BOUND, BUCKET as DICT_BUCKET, Dictionary, map_arrays
 from parallax.operators.ordering import sized_broadcast
 from parallax.session import checkpoint_dir, scratch_path
 from parallax.sources.commits import ProgressLog, observed
@@ -142,19 +143,16 @@ def top1(t: DataFrame) -> DataFrame:
 
 def translate(df: DataFrame, table: DataFrame, id_col: str = "pair_id", text_col: str = "src",
               out_col: str = "translation", tokenizer="words", max_len: int | None = None,
-              carry: tuple[str, ...] = ()) -> DataFrame:
+              carry: tuple[str, ...] = (), bound: int = BOUND) -> DataFrame:
     """Each source token -> its top-1 target token, or itself when unknown; tokens
-    joined with one space.  Whole texts by default (``max_len`` optionally cuts).
-    ``carry`` columns of ``df`` (e.g. the reference tokens) ride along in the one join
-    that restores rows without tokens, so callers need no second join."""
-    tok = get_tokenizer(tokenizer)
-    toks = df.select(id_col, F.posexplode(tok(F.col(text_col))).alias("pos", "f"))
-    looked = toks.join(sized_broadcast(table.select("f", "e")), "f", "left")
-    mapped = looked.select(id_col, "pos", F.coalesce("e", "f").alias("w"))
+    joined with one space.  Whole texts by default (``max_len`` optionally cuts); a null text has
+    no tokens.  Token arrays are mapped by a dictionary of two tiers, so nothing is exploded or
+    joined back; (f, e) pairs of short tokens, which are the frequent ones, come first.
+    ``carry`` columns of ``df`` (e.g. the reference tokens) ride along."""
+    toks = F.coalesce(get_tokenizer(tokenizer)(F.col(text_col)), F.array().cast("array<string>"))
     if max_len is not None:
-        mapped = mapped.filter(F.col("pos") < max_len)
-    grouped = mapped.groupBy(id_col).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "w"))), lambda x: x["w"]).alias("_w"))
-    return (df.select(id_col, *carry).join(grouped, id_col, "left")
-            .select(id_col, *carry, F.coalesce(F.array_join("_w", " "), F.lit("")).alias(out_col),
-                    F.coalesce("_w", F.array().cast("array<string>")).alias(out_col + "_tokens")))
+        toks = F.slice(toks, 1, max_len)
+    words = f"{out_col}_tokens"
+    ranked = table.select(F.col("f").alias("key"), F.col("e").alias("value"), (F.length("f") * DICT_BUCKET).alias("rank"))
+    out = map_arrays(df.select(id_col, *carry, toks.alias(words)), {words: Dictionary(ranked)}, bound)
+    return out.select(id_col, *carry, F.array_join(words, " ").alias(out_col), words)
