@@ -923,6 +923,34 @@ def q_stream_metrics(spark, sf):
                                     arrivals=ST.range_arrivals(spark, staged, ranges, inp))
 
 
+@query("stream_late", """
+WITH size AS (SELECT min(epoch_us(ts))::DOUBLE AS lo, max(epoch_us(ts))::DOUBLE AS hi, greatest(4, ceil(count(*) / 20000000.0))::BIGINT AS parts
+              FROM events WHERE ts IS NOT NULL),
+own AS (SELECT event_id, value, epoch_us(ts) // 1000 AS ms, floor(epoch_us(ts) / 86400e6) * 86400 AS w, parts,
+               least(floor((epoch_us(ts) - lo) / ((hi - lo) / parts)), parts - 1)::BIGINT AS r FROM events, size WHERE ts IS NOT NULL),
+arrived AS (SELECT *, CASE WHEN event_id % 7 = 3 THEN least(r + 2, parts - 1) ELSE r END AS b FROM own),
+top AS (SELECT b, max(max(ms)) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM arrived GROUP BY b),
+judged AS (SELECT a.*, coalesce((w + 86400) * 1000 <= before - 3600000, FALSE) AS late FROM arrived a JOIN top USING (b))
+SELECT CAST(w AS BIGINT) AS window_start, CAST(count(*) FILTER (WHERE NOT late) AS BIGINT) AS n,
+       round(avg(value) FILTER (WHERE NOT late), 6) AS value_avg, CAST(count(*) FILTER (WHERE late) AS BIGINT) AS n_late
+FROM judged GROUP BY w""")
+def q_stream_late(spark, sf):
+    """Daily windows of a stream in which every seventh event arrives two ranges late, and how
+    many rows came after their window had closed."""
+    ev = table(spark, sf, "events").filter(F.col("ts").isNotNull()).select("event_id", "ts", "value")
+    staged, inp, out = scratch_path(spark, "late-staged"), scratch_path(spark, "late"), scratch_path(spark, "late-metrics")
+    ST.with_late_rows(ev, staged, F.unix_micros(ST.event_time("ts")), F.col("event_id") % 7 == 3)
+    ranges = sorted(r["_range"] for r in spark.read.parquet(staged).select("_range").distinct().collect())
+    schema = ST.staged_schema(spark, staged)
+    on_time = ST.stream_window_metrics(spark, inp, schema, out, arrivals=ST.range_arrivals(spark, staged, ranges, inp))
+    side = scratch_path(spark, "late-side")
+    late = ST.stream_late_rows(spark, side, schema, scratch_path(spark, "late-rows"), CM.Commits(spark, scratch_path(spark, "late-marks")),
+                               arrivals=ST.range_arrivals(spark, staged, ranges, side))
+    gone = late.groupBy("window_start").agg(F.count("*").alias("n_late"))
+    return on_time.join(gone, "window_start", "full").select(
+        "window_start", F.coalesce("n", F.lit(0)).alias("n"), "value_avg", F.coalesce("n_late", F.lit(0)).alias("n_late"))
+
+
 @query("stream_count_windows", """
 SELECT user_id, CAST(floor((rn - 1) / 50) AS BIGINT) AS window_id, count(*) AS n, round(avg(value), 6) AS value_avg,
        min(event_id) AS first_event_id, max(event_id) AS last_event_id

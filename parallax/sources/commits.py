@@ -31,11 +31,12 @@ class Commits:
     def _files(self):
         return self._at("").getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def begin(self, entry: str) -> str:
-        """A new folder for the data of an entry, seen by no reader yet."""
-        if not _NAME.fullmatch(entry):
-            raise ValueError(f"not a name for an entry: {entry!r}")
-        return f"{self.path.rstrip('/')}/data/of={entry}-{uuid.uuid4().hex[:12]}"
+    def begin(self, entry: str, note: str = "") -> str:
+        """A new folder for the data of an entry, seen by no reader yet; a ``note`` stands in its
+        name, behind an underscore."""
+        if not _NAME.fullmatch(entry) or not re.fullmatch("[a-z0-9]*", note):
+            raise ValueError(f"not a name for an entry: {entry!r} {note!r}")
+        return f"{self.path.rstrip('/')}/data/of={entry}{'_' if note else ''}{note}-{uuid.uuid4().hex[:12]}"
 
     def commit(self, entry: str, folder: str) -> bool:
         """Makes the folder the data of the entry; False, and the folder goes, if it has data."""

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from parallax.session import scratch_path
-from parallax.sources.commits import ProgressLog, observed
+from parallax.sources.commits import Commits, ProgressLog, observed
 
 
 ROWS_PER_RANGE = 20_000_000   # rows per replayed arrival (bounds one micro-batch)
@@ -165,6 +165,46 @@ def stream_window_metrics(spark: SparkSession, events_path: str, schema: T.Struc
                          F.round(F.col("r.vsum") / F.col("r.vn"), 6).alias("value_avg"))
 
 
+def stream_late_rows(spark: SparkSession, events_path: str, schema: T.StructType, out_path: str, commits: Commits,
+                     window: str = "1 day", watermark_ms: int = 3_600_000,
+                     arrivals: list[Callable[[], None]] | None = None) -> DataFrame:
+    """K2's late rows as a side output: (*row, window_start, batch_id) of every row whose window had
+    closed, by the watermark of its micro-batch, before it arrived; K2 drops exactly these.
+
+    The watermark of a batch is the largest event time of the batches before it (in whole
+    milliseconds, as Spark keeps it) less the delay.  Each batch's largest time is committed
+    under its id, so a replayed batch finds the same watermark and writes the same rows."""
+    ensure_input(spark, events_path, schema)
+    src = spark.readStream.schema(schema).parquet(events_path).withColumn("ets", event_time("ts"))
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        before = commits.entries().filter(F.col("entry") < f"batch-{batch_id:012d}").agg(F.max("of").alias("of")).first().of
+        latest = None if before is None else int(before.rpartition("_")[2].partition("-")[0])
+        rows = batch.withColumn("_w", F.window("ets", window))
+        closed = F.lit(False) if latest is None else F.unix_millis(F.col("_w.end")) <= latest - watermark_ms
+        own = batch.agg(F.max(F.unix_millis("ets"))).first()[0]
+        late = rows.filter(closed).select(*schema.fieldNames(), F.unix_seconds(F.col("_w.start")).alias("window_start"))
+        late.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        top = max(x for x in (own, latest, 0) if x is not None)
+        entry = f"batch-{batch_id:012d}"
+        if not commits.has(entry):
+            # the time is in the name of the entry's folder, which has no data
+            commits.commit(entry, commits.begin(entry, note=f"{top:020d}"))
+
+    run_available_now(src, per_batch, "late-rows", arrivals=arrivals)
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("window_start", T.LongType()), T.StructField("batch_id", T.LongType())])).parquet(out_path)
+
+
+def with_late_rows(df: DataFrame, path: str, order, late, by: int = 2, min_parts: int = 4) -> tuple[str, list[int]]:
+    """Stages ``df`` for a replay in ranges of ``order`` (see ``stage_ranges``), but rows for which
+    ``late`` holds arrive ``by`` ranges after their own, or with the last."""
+    ranges = stage_ranges(df, f"{path}-in-order", order, min_parts=min_parts)
+    staged = df.sparkSession.read.parquet(f"{path}-in-order")
+    moved = F.when(late, F.least(F.col("_range") + by, F.lit(ranges[-1]))).otherwise(F.col("_range"))
+    staged.withColumn("_range", moved).write.mode("overwrite").partitionBy("_range").parquet(path)
+    return path, ranges
+
+
 COUNT_WINDOW_OUT = T.StructType([
     T.StructField("user_id", T.LongType()), T.StructField("window_id", T.LongType()),
     T.StructField("n", T.LongType()), T.StructField("value_avg", T.DoubleType()),
