@@ -388,25 +388,25 @@ from parallax.sources.tables import table  # noqa: E402
 from parallax.operators.ordering import sized_broadcast  # noqa: E402
 
 
-def _lx_sql(iterations: int = L.ITERATIONS) -> str:
+def _lx_sql(iterations: int = L.ITERATIONS, source: str = "pairs_a", x: str = "lx") -> str:
     parts = [f"""
-lx_pairs AS (SELECT pair_id, {O.tok('src')} AS fs, {O.tok('tgt')} AS es FROM pairs_a),
-lx_f AS (SELECT pair_id, f, CAST(count(*) AS DOUBLE) AS nf FROM lx_pairs, unnest(fs) AS u(f)
+{x}_pairs AS (SELECT pair_id, {O.tok('src')} AS fs, {O.tok('tgt')} AS es FROM {source}),
+{x}_f AS (SELECT pair_id, f, CAST(count(*) AS DOUBLE) AS nf FROM {x}_pairs, unnest(fs) AS u(f)
          GROUP BY pair_id, f),
-lx_e AS (SELECT pair_id, e, CAST(count(*) AS DOUBLE) AS ne FROM lx_pairs, unnest(es) AS u(e)
+{x}_e AS (SELECT pair_id, e, CAST(count(*) AS DOUBLE) AS ne FROM {x}_pairs, unnest(es) AS u(e)
          GROUP BY pair_id, e),
-lx_cooc AS (SELECT a.pair_id, a.f, a.nf, b.e, b.ne FROM lx_f a JOIN lx_e b ON a.pair_id = b.pair_id),
-lx_t0 AS (SELECT DISTINCT f, e, 1.0::DOUBLE AS t FROM lx_cooc)"""]
+{x}_cooc AS (SELECT a.pair_id, a.f, a.nf, b.e, b.ne FROM {x}_f a JOIN {x}_e b ON a.pair_id = b.pair_id),
+{x}_t0 AS (SELECT DISTINCT f, e, 1.0::DOUBLE AS t FROM {x}_cooc)"""]
     for i in range(1, iterations + 1):
         parts.append(f"""
-lx_j{i} AS (SELECT c.pair_id, c.f, c.e, c.nf, c.ne, t.t FROM lx_cooc c JOIN lx_t{i - 1} t ON c.f = t.f AND c.e = t.e),
-lx_z{i} AS (SELECT pair_id, e, sum(nf * t) AS z FROM lx_j{i} GROUP BY pair_id, e),
-lx_c{i} AS (SELECT j.f, j.e, sum(j.ne * j.nf * j.t / z.z) AS c FROM lx_j{i} j
-            JOIN lx_z{i} z ON j.pair_id = z.pair_id AND j.e = z.e GROUP BY j.f, j.e),
-lx_t{i} AS (SELECT f, e, c / sum(c) OVER (PARTITION BY f) AS t FROM lx_c{i})""")
+{x}_j{i} AS (SELECT c.pair_id, c.f, c.e, c.nf, c.ne, t.t FROM {x}_cooc c JOIN {x}_t{i - 1} t ON c.f = t.f AND c.e = t.e),
+{x}_z{i} AS (SELECT pair_id, e, sum(nf * t) AS z FROM {x}_j{i} GROUP BY pair_id, e),
+{x}_c{i} AS (SELECT j.f, j.e, sum(j.ne * j.nf * j.t / z.z) AS c FROM {x}_j{i} j
+            JOIN {x}_z{i} z ON j.pair_id = z.pair_id AND j.e = z.e GROUP BY j.f, j.e),
+{x}_t{i} AS (SELECT f, e, c / sum(c) OVER (PARTITION BY f) AS t FROM {x}_c{i})""")
     parts.append(f"""
-lx_top AS (SELECT f, e, round(t, 6) AS t FROM (
-  SELECT f, e, t, row_number() OVER (PARTITION BY f ORDER BY round(t, 6) DESC, e) AS r FROM lx_t{iterations})
+{x}_top AS (SELECT f, e, round(t, 6) AS t FROM (
+  SELECT f, e, t, row_number() OVER (PARTITION BY f ORDER BY round(t, 6) DESC, e) AS r FROM {x}_t{iterations})
   WHERE r = 1)""")
     return ",".join(parts)
 
@@ -535,6 +535,51 @@ def q_bleu_corpus(spark, sf):
     return EV.bleu_corpus(tr)
 
 
+O.register("held_out", "lh_train AS (SELECT * FROM split WHERE split = 'train' AND pair_id LIKE 'c:%')," + _lx_sql(source="lh_train", x="lh") + f""",
+lh_tok AS (SELECT p.pair_id, u.f, u.pos FROM split p, unnest({O.tok('src')}) WITH ORDINALITY AS u(f, pos)
+           WHERE p.split <> 'train' AND p.pair_id LIKE 'c:%'),
+lh_list AS (SELECT t.pair_id, list(COALESCE(x.e, t.f) ORDER BY t.pos) AS hyp FROM lh_tok t LEFT JOIN lh_top x ON x.f = t.f GROUP BY t.pair_id),
+translated AS (
+  SELECT p.pair_id, p.split, COALESCE(l.hyp, []::VARCHAR[]) AS hyp, {O.tok('p.tgt')} AS ref
+  FROM split p LEFT JOIN lh_list l ON l.pair_id = p.pair_id WHERE p.split <> 'train' AND p.pair_id LIKE 'c:%')""", ["split"])
+
+
+def _held_out(spark, sf):
+    """Validation and test conversations, translated by a model of the training ones."""
+    pairs = P.split(spark, sf).filter(F.col("pair_id").startswith("c:"))
+    table = P._memo(spark, sf, "lexical_train_top1", lambda: L.train_top1(
+        pairs.filter(F.col("split") == "train"), tokenizer=None, src="src_toks", tgt="tgt_toks").checkpoint(eager=True))
+    return L.translate(pairs.filter(F.col("split") != "train"), table, tokenizer=None, text_col="src_toks", carry=("split", "tgt_toks")).select(
+        "pair_id", "split", F.col("translation_tokens").alias("hyp"), F.col("tgt_toks").alias("ref"))
+
+
+@query("bleu_held_out", O.with_("held_out") + "," + O.FRAG["bleu_parts"].strip() + f""",
+bl_tot AS (
+  SELECT t.split, CAST(sum(c) AS BIGINT) AS hyp_len, CAST(sum(r) AS BIGINT) AS ref_len,
+         CAST(sum(m1) AS BIGINT) AS m1, CAST(sum(m2) AS BIGINT) AS m2, CAST(sum(m3) AS BIGINT) AS m3, CAST(sum(m4) AS BIGINT) AS m4,
+         CAST(sum(greatest(c, 0)) AS BIGINT) AS t1, CAST(sum(greatest(c - 1, 0)) AS BIGINT) AS t2,
+         CAST(sum(greatest(c - 2, 0)) AS BIGINT) AS t3, CAST(sum(greatest(c - 3, 0)) AS BIGINT) AS t4
+  FROM bl_s s JOIN translated t USING (pair_id) GROUP BY t.split)
+SELECT split, round({_cb}, 6) AS bleu, round(CASE WHEN t1 > 0 THEN m1 / t1 ELSE 0.0 END, 6) AS p1, hyp_len, ref_len FROM bl_tot""")
+def q_bleu_held_out(spark, sf):
+    tr = _held_out(spark, sf)
+    return reduce(DataFrame.unionAll, [
+        EV.bleu_corpus(tr.filter(F.col("split") == name)).select(F.lit(name).alias("split"), "bleu", "p1", "hyp_len", "ref_len")
+        for name in ("val", "test")])
+
+
+@query("translate_ids", O.with_("lexical", "vocabs", extra=f"""
+ti_tok AS (SELECT p.pair_id, CASE WHEN v.token IS NULL THEN '<unk>' ELSE u.f END AS f, u.pos
+           FROM pairs_a p, unnest({O.tok('src')}) WITH ORDINALITY AS u(f, pos) LEFT JOIN vocab_src v ON v.token = u.f),
+ti_list AS (SELECT t.pair_id, list(COALESCE(x.e, t.f) ORDER BY t.pos) AS hyp FROM ti_tok t LEFT JOIN lx_top x ON x.f = t.f GROUP BY t.pair_id)""") + """
+SELECT p.pair_id, COALESCE(array_to_string(l.hyp, ' '), '') AS translation FROM pairs_a p LEFT JOIN ti_list l ON l.pair_id = p.pair_id""")
+def q_translate_ids(spark, sf):
+    """The conversation pairs as ids of the source vocabulary, translated by what the column holds."""
+    vs, vt = P.vocabs(spark, sf)
+    ids = V.encode_pairs(P.pairs_a_tokens(spark, sf), vs, vt, tokenizer=None, src="src_toks", tgt="tgt_toks")
+    return L.translate(ids, _lexical_top1(spark, sf), text_col="src_ids", vocab=vs).select("pair_id", "translation")
+
+
 O.register("bigrams", f"""
 bg_seq AS (SELECT pair_id, split, list_concat(['<sos>'], {O.tok('tgt')}, ['<eos>']) AS seq FROM split),
 bg_raw AS (SELECT split, seq[i] AS prev, seq[i + 1] AS next FROM bg_seq, unnest(range(1, len(seq))) AS u(i)),
@@ -588,6 +633,17 @@ def q_cross_entropy(spark, sf):
     return _xent(spark, sf).select("split", "n_tokens", "cross_entropy")
 
 
+@query("cross_entropy_padded", O.with_("bud_padded", "bigrams", recursive=True, extra="""
+xp_raw AS (SELECT tgt_ids[i] AS a, tgt_ids[i + 1] AS b FROM bud_padded, unnest(range(1, len(tgt_ids))) AS u(i)),
+xp AS (SELECT p.token AS prev, n.token AS next, count(*) AS n FROM xp_raw x JOIN vocab_tgt p ON p.id = x.a JOIN vocab_tgt n ON n.id = x.b
+       WHERE x.b <> 1 GROUP BY p.token, n.token)""") + """
+SELECT CAST(sum(e.n) AS BIGINT) AS n_tokens, (SELECT count(*) FROM xp_raw WHERE b = 1) AS n_pads,
+       round(sum(e.n * -ln((COALESCE(t.n, 0) + 1.0::DOUBLE) / (COALESCE(p.cp, 0) + 1.0::DOUBLE * v.v))) / sum(e.n), 6) AS cross_entropy
+FROM xp e LEFT JOIN bg_train t ON t.prev = e.prev AND t.next = e.next LEFT JOIN bg_prev p ON p.prev = e.prev CROSS JOIN bg_v v""")
+def q_cross_entropy_padded(spark, sf):
+    return G.padded_cross_entropy(_padded(spark, sf), P.vocabs(spark, sf)[1], _bigram_parts(spark, sf)[0])
+
+
 @query("perplexity", O.with_("bigrams", extra=_XENT) + """
 SELECT split, round(x, 6) AS cross_entropy, round(exp(x), 6) AS perplexity FROM xe""")
 def q_perplexity(spark, sf):

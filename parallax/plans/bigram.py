@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parallax.functions.text import EOS, SOS, UNK, get_tokenizer, with_markers
+from parallax.functions.text import EOS, PAD_ID, SOS, UNK, get_tokenizer, with_markers
 from parallax.operators.dictionary import BOUND, Dictionary, map_arrays
 from parallax.operators.ordering import sized_broadcast, top_k_per_group
 from parallax.operators.vocab import truncate_at
@@ -93,6 +93,25 @@ def cross_entropy(split_df: DataFrame, vocab_tgt: DataFrame, k: float = 1.0,
                     F.round(F.exp("_x"), 6).alias("perplexity"))
 
 
+def padded_cross_entropy(padded: DataFrame, vocab_tgt: DataFrame, counts: DataFrame, k: float = 1.0,
+                         ids_col: str = "tgt_ids", pad_id: int = PAD_ID) -> DataFrame:
+    """D8 with B6: (n_tokens, n_pads, cross_entropy) over batches of padded target ids; targets
+    that are padding do not count.  Pairs of ids are counted before tokens are looked up."""
+    V = vocab_tgt.count()
+    ids = F.col(ids_col)
+    z = padded.select(F.explode(F.arrays_zip(F.slice(ids, 1, F.size(ids) - 1).alias("a"), F.slice(ids, 2, F.size(ids) - 1).alias("b"))).alias("z"))
+    pairs = z.groupBy(F.col("z.a").alias("a"), F.col("z.b").alias("b")).agg(F.count("*").alias("n"))
+    real = pairs.filter(F.col("b") != pad_id)
+    word = sized_broadcast(vocab_tgt.select("id", "token"))
+    named = (real.join(word.toDF("a", "prev"), "a").join(word.toDF("b", "next"), "b").select("prev", "next", "n"))
+    prev_tot = counts.groupBy("prev").agg(F.sum("n").alias("cp"))
+    j = named.join(counts.select("prev", "next", F.col("n").alias("c")), ["prev", "next"], "left").join(prev_tot, "prev", "left")
+    p = (F.coalesce("c", F.lit(0)) + F.lit(k)) / (F.coalesce("cp", F.lit(0)) + F.lit(k * V))
+    pads = pairs.filter(F.col("b") == pad_id).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_pads"))
+    total = j.agg(F.sum("n").cast("long").alias("n_tokens"), F.round(F.sum(F.col("n") * -F.log(p)) / F.sum("n"), 6).alias("cross_entropy"))
+    return total.crossJoin(F.broadcast(pads)).select("n_tokens", "n_pads", "cross_entropy")  # one row each
+
+
 def successors(counts: DataFrame) -> DataFrame:
     """(prev, next): highest count, ties -> smallest token (partial aggregation)."""
     b = counts.groupBy("prev").agg(F.min(F.struct((-F.col("n")).alias("nn"), F.col("next"))).alias("b"))

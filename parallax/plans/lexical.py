@@ -20,10 +20,11 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from parallax.functions.text import get_tokenizer
+from parallax.functions.text import UNK, get_tokenizer
 from parallax.operators.dictionary import BOUND, BUCKET as DICT_BUCKET, Dictionary, map_arrays
 from parallax.operators.ordering import sized_broadcast
 from parallax.session import checkpoint_dir, scratch_path
@@ -141,15 +142,32 @@ def top1(t: DataFrame) -> DataFrame:
     return best.select("f", F.col("b.e").alias("e"), (-F.col("b.nt")).alias("t"))
 
 
+def as_tokens(df: DataFrame, col: str, tokenizer="words", vocab: DataFrame | None = None) -> tuple[DataFrame, Column]:
+    """The tokens of a column by its type: a string is tokenized, an array of strings is
+    tokens, an array of integers holds ids of ``vocab`` (id, token), <unk> where it lacks one.  Null
+    has no tokens."""
+    kind, none = df.schema[col].dataType, F.array().cast("array<string>")
+    if isinstance(kind, T.StringType):
+        return df, F.coalesce(get_tokenizer(tokenizer or "words")(F.col(col)), none)
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
+        return df, F.coalesce(col, none)
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.IntegralType) and vocab is not None:
+        words = Dictionary(vocab.select(F.col("id").alias("key"), F.col("token").alias("value"), F.col("id").alias("rank")), UNK)
+        mapped = map_arrays(df.withColumn(col, F.col(col).cast("array<bigint>")), {col: words})
+        return mapped, F.coalesce(col, none)
+    raise TypeError(f"{col} is {kind.simpleString()}: text, tokens, or ids with a vocabulary are wanted")
+
+
 def translate(df: DataFrame, table: DataFrame, id_col: str = "pair_id", text_col: str = "src",
               out_col: str = "translation", tokenizer="words", max_len: int | None = None,
-              carry: tuple[str, ...] = (), bound: int = BOUND) -> DataFrame:
+              carry: tuple[str, ...] = (), bound: int = BOUND, vocab: DataFrame | None = None) -> DataFrame:
     """Each source token -> its top-1 target token, or itself when unknown; tokens
     joined with one space.  Whole texts by default (``max_len`` optionally cuts); a null text has
     no tokens.  Token arrays are mapped by a dictionary of two tiers, so nothing is exploded or
     joined back; (f, e) pairs of short tokens, which are the frequent ones, come first.
+    The column's type tells what it holds (B7): text, tokens, or ids of ``vocab``.
     ``carry`` columns of ``df`` (e.g. the reference tokens) ride along."""
-    toks = F.coalesce(get_tokenizer(tokenizer)(F.col(text_col)), F.array().cast("array<string>"))
+    df, toks = as_tokens(df, text_col, tokenizer, vocab)
     if max_len is not None:
         toks = F.slice(toks, 1, max_len)
     words = f"{out_col}_tokens"
