@@ -303,11 +303,10 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     reps = (usable.join(sized_broadcast(classes.select("row")), "row", "left_semi")
             .select(F.col("doc_id").alias("node"), "n_shingles", "bits", "keys"))
     rows = reps.select("node", F.explode("keys").alias("key"))
-    # keys that only one set has end here: of the others there are few, and the rows meet them
-    # without a shuffle while they are few enough to broadcast
+    # keys that only one set has end here
     shared = written(rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "jaccard-shared")
     release(spark)
-    members = written(rows.join(sized_broadcast(shared), "key").select("key", "size", "node"), "jaccard-members")
+    members = written(rows.join(shared, "key").select("key", "size", "node"), "jaccard-members")
     release(spark)
     sizes = reps.select("node", "n_shingles", "bits")
     texts = slim.withColumnRenamed("doc_id", "node")

@@ -39,7 +39,6 @@ from pyspark.sql import functions as F
 from parallax.llm.common import blocks, mix64, release, shingle_set, utf8, word_hashes, written
 from parallax.llm.components import connected_components
 from parallax.llm.jaccard_join import max_difference, parity_bitmap, runs, same_id_links
-from parallax.operators.ordering import sized_broadcast
 from parallax.session import shuffle_partitions
 
 BANDS, ROWS, STEP = 32, 5, 32
@@ -260,7 +259,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     rows = signed.select("node", F.posexplode(F.array(*bands)).alias("band", "key"))
     shared = written(rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "minhash-shared")
     release(spark)
-    members = written(rows.join(sized_broadcast(shared), "key").select("key", "band", "size", "node"), "minhash-members")
+    members = written(rows.join(shared, "key").select("key", "band", "size", "node"), "minhash-members")
     release(spark)
 
     weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
