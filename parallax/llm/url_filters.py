@@ -3,16 +3,18 @@
 Dated list entries (key, action, date) become validity intervals: of the entries of one key
 and date an addition stands before a removal, and an addition holds from its date until the
 key's next entry.  A key is a host, which also covers its subdomains, or a host with the
-first parts of a path.  An as-of join finds the intervals in force when a capture was
+first parts of a path, of any number.  User info, port and dots at the end of a host do not
+belong to it.  An as-of join finds the intervals in force when a capture was
 fetched: both sides are cut by month, so the join has an equality on (key, month) and no
 key compares all its captures with all its intervals.
 
 Captures of one URL and day are looked up once.  A hot host is a hot join key, which Spark
 splits or, as lists are small beside captures, broadcasts by size; nothing is collected.
 
-Results for odd input: a null or malformed URL has no key and passes; a null fetch date
-meets no entry; entries with null key, action or date are ignored; repeated entries are one;
-repeated captures are each returned; other columns are kept.
+Results for odd input: a null or malformed URL has no key and passes; a host of one label has
+no key, an address in brackets is one; a null fetch date meets no entry; entries with null key,
+action or date are ignored; repeated entries are one; repeated captures are each returned; other
+columns are kept, but for n_listed and listed_key, which are replaced.
 """
 
 from __future__ import annotations
@@ -20,28 +22,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-URL = r"^[a-z][a-z0-9+.\-]*://([^/:?#@]+)(?::[0-9]+)?(/[^?#]*)?"
-PATH_PARTS = 3
+URL = (r"^[a-z][a-z0-9+.\-]*://(?:[^/?#]*@)?(\[[0-9a-f:.]+\]|[^/:?#@\[\]]+?)"
+       r"\.*(?::[0-9]*)?(/[^?#]*)?(?:[?#].*)?$")
 
 
 def host(url: Column) -> Column:
     return F.regexp_extract(F.lower(url), URL, 1)
 
 
-def keys(url: Column) -> Column:
+def path_parts(path: Column) -> Column:
+    return F.filter(F.split(path, "/"), lambda x: x != "")
+
+
+def keys(url: Column, lengths: list[int]) -> Column:
     """The host and its parent domains of two labels or more, and the host with the first
-    one to ``PATH_PARTS`` parts of the path."""
-    labels = F.split(host(url), r"\.")
+    parts of the path, as many as each of ``lengths``."""
+    name = host(url)
+    address = name.startswith("[")
+    labels = F.split(name, r"\.")
     n = F.size(labels)
-    domains = F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.array_join(F.slice(labels, i, n), ".")))
-    parts = F.filter(F.split(F.regexp_extract(F.lower(url), URL, 2), "/"), lambda x: x != "")
-    m = F.least(F.size(parts), F.lit(PATH_PARTS))
-    paths = F.when((n > 1) & (m > 0), F.transform(F.sequence(F.lit(1), m), lambda i: F.concat(
-        host(url), F.lit("/"), F.array_join(F.slice(parts, F.lit(1), i), "/"))))
+    domains = F.when(address, F.array(name)).when(n > 1, F.transform(
+        F.sequence(F.lit(1), n - 1), lambda i: F.array_join(F.slice(labels, i, n), ".")))
+    parts = path_parts(F.regexp_extract(F.lower(url), URL, 2))
+    counts = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda i: i <= F.size(parts))
+    paths = F.when((n > 1) | address, F.transform(counts, lambda i: F.concat(name, F.lit("/"), F.array_join(F.slice(parts, F.lit(1), i), "/"))))
     none = F.array().cast("array<string>")
     return F.concat(F.coalesce(domains, none), F.coalesce(paths, none))
 
 
+def key_lengths(entries: DataFrame) -> list[int]:
+    """The numbers of path parts that the keys of a list have (one row for each depth)."""
+    depth = F.size(path_parts(F.regexp_extract("key", "/(.*)", 1))).alias("depth")
+    return sorted(r.depth for r in entries.filter("key is not null").select(depth).distinct().collect() if r.depth > 0)
+
+
 def _month(date: Column) -> Column:
     return F.year(date) * 12 + F.month(date)
 
@@ -57,20 +71,20 @@ def intervals(entries: DataFrame) -> DataFrame:
 def as_of(captures: DataFrame, entries: DataFrame, url_col: str = "url", date_col: str = "fetched") -> DataFrame:
     """``captures`` with n_listed (intervals in force at fetch time) and listed_key (the
     smallest key of them, null if none)."""
-    seen = captures.select(F.col(url_col).alias("_url"), F.col(date_col).alias("_date")).distinct().filter(
-        "_url is not null and _date is not null")
-    each = seen.select("_url", "_date", F.explode(keys(F.col("_url"))).alias("key"), _month(F.col("_date")).alias("month"))
-    span = seen.agg(F.max("_date").alias("d"))
+    rows = captures.select(F.struct("*").alias("row"), F.col(url_col).alias("url"), F.col(date_col).alias("date"))
+    seen = rows.select("url", "date").distinct().filter("url is not null and date is not null")
+    each = seen.select("url", "date", F.explode(keys(F.col("url"), key_lengths(entries))).alias("key"), _month(F.col("date")).alias("month"))
+    span = seen.agg(F.max("date").alias("d"))
     held = intervals(entries)
     last = F.least(F.coalesce(F.date_sub("valid_to", 1), F.col("d")), F.col("d"))
     months = (held.join(F.broadcast(span))  # one row
               .filter(F.col("valid_from") <= last)
               .select("*", F.explode(F.sequence(_month(F.col("valid_from")), _month(last))).alias("month")))
     hits = (each.join(months, ["key", "month"])
-            .filter((F.col("_date") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("_date") < F.col("valid_to"))))
-            .groupBy("_url", "_date").agg(F.count("*").alias("n_listed"), F.min("key").alias("listed_key")))
-    out = captures.join(hits, (captures[url_col] == hits["_url"]) & (captures[date_col] == hits["_date"]), "left")
-    return out.withColumn("n_listed", F.coalesce("n_listed", F.lit(0).cast("long"))).drop("_url", "_date")
+            .filter((F.col("date") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("date") < F.col("valid_to"))))
+            .groupBy("url", "date").agg(F.count("*").alias("n_listed"), F.min("key").alias("listed_key")))
+    kept = [F.col(f"row.`{c}`") for c in captures.columns if c not in ("n_listed", "listed_key")]
+    return rows.join(hits, ["url", "date"], "left").select(*kept, F.coalesce("n_listed", F.lit(0).cast("long")).alias("n_listed"), "listed_key")
 
 
 def _draw(text: Column, n: int) -> Column:
@@ -115,8 +129,11 @@ def _sql_draw(x: str, n: int) -> str:
 
 ORACLE_SQL = rf"""
 WITH c AS (
-  SELECT page_id, url, DATE '2024-01-01' + {_sql_draw("page_id::VARCHAR || '@' || url", 366)} AS fetched,
-         regexp_extract(lower(url), '{URL}', 1) AS host, regexp_extract(lower(url), '{URL}', 2) AS path FROM pages),
+  SELECT page_id, url, fetched, CASE WHEN name LIKE '[%]' OR name NOT SIMILAR TO '.*[:@\[\]].*' THEN name ELSE '' END AS host,
+         CASE WHEN name LIKE '[%]' OR name NOT SIMILAR TO '.*[:@\[\]].*' THEN path ELSE '' END AS path
+  FROM (SELECT page_id, url, DATE '2024-01-01' + {_sql_draw("page_id::VARCHAR || '@' || url", 366)} AS fetched,
+               rtrim(regexp_replace(regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.\-]*://([^/?#]*)', 1), '^.*@', ''), ':[0-9]*$', ''), '.') AS name,
+               regexp_extract(lower(url), '^[a-z][a-z0-9+.\-]*://[^/?#]*(/[^?#]*)', 1) AS path FROM pages)),
 k AS (SELECT DISTINCT key FROM (
   SELECT regexp_replace(host, '^(www|m|blog)\.', '') AS key FROM c
   UNION ALL SELECT host || '/' || regexp_extract(path, '^/([^/]+)', 1) FROM c)
@@ -131,7 +148,7 @@ lists AS (SELECT page_id, url, fetched, host, string_split(host, '.') AS l,
 keys AS (
   SELECT page_id, array_to_string(l[n:], '.') AS key, fetched FROM (SELECT *, unnest(range(1, len(l))) AS n FROM lists)
   UNION ALL SELECT page_id, host || '/' || array_to_string(p[:n], '/'), fetched
-  FROM (SELECT *, unnest(range(1, least(len(p), {PATH_PARTS}) + 1)) AS n FROM lists WHERE len(l) > 1)),
+  FROM (SELECT *, unnest(range(1, len(p) + 1)) AS n FROM lists WHERE len(l) > 1)),
 h AS (SELECT page_id, count(*) AS n_listed, min(key) AS listed_key FROM keys JOIN i USING (key)
       WHERE listed AND fetched >= valid_from AND (valid_to IS NULL OR fetched < valid_to) GROUP BY 1)
 SELECT page_id, url, fetched, coalesce(n_listed, 0)::BIGINT AS n_listed, listed_key, n_listed IS NOT NULL AS blocked

@@ -194,6 +194,23 @@ def test_lm_empty(spark):
     assert M.report(spark.createDataFrame([], DOCS), RANKS, P.PATTERN).collect() == []
 
 
+def test_url_hosts_and_paths(spark):
+    d = datetime.date(2024, 6, 1)
+    entries = [(k, "add", datetime.date(2024, 1, 1)) for k in ("evil.com", "[::1]", "deep.org/a/b/c/d/e", "x.net/p")]
+    urls = {"http://good.com@evil.com/x": "evil.com", "http://user:pw@evil.com/x": "evil.com", "http://evil.com./x": "evil.com",
+            "http://a@b@sub.evil.com..:8080?q": "evil.com", "http://evil.com#f": "evil.com", "http://evil.com:": "evil.com",
+            "http://[::1]:80/x": "[::1]", "http://u@[::1]": "[::1]", "http://deep.org/a/b/c/d/e/f": "deep.org/a/b/c/d/e",
+            "http://deep.org//a/b/c/d/e?x": "deep.org/a/b/c/d/e", "http://deep.org/a/b/c/d": None, "http://x.net:99/p#q": "x.net/p",
+            "http://evil.com:port/x": None, "http://evil.com.good.com/": None, "http://good.com/@evil.com": None, "http://good.com/?u@evil.com": None,
+            "http://localhost/p": None, "evil.com/x": None, "": None}
+    cap = spark.createDataFrame([(u, d) for u in urls], "url string, fetched date")
+    for c in ("row", "date", "key", "month", "_url", "_date", "n_listed", "listed_key", "valid_to"):
+        cap = cap.withColumn(c, F.lit("own"))
+    out = U.as_of(cap, spark.createDataFrame(entries, "key string, action string, date date"))
+    assert {r.url: r.listed_key for r in out.collect()} == urls
+    assert sorted(out.columns) == sorted(cap.columns) and {(r._url, r.row, r.month) for r in out.collect()} == {("own", "own", "own")}
+
+
 def test_url_filters_as_of(spark):
     d = datetime.date
     entries = [("bad.com", "add", d(2024, 1, 10)), ("bad.com", "remove", d(2024, 2, 10)), ("bad.com", "add", d(2024, 5, 1)),
@@ -206,7 +223,7 @@ def test_url_filters_as_of(spark):
     cap = spark.createDataFrame(pages, "page_id long, url string, fetched date").withColumn("key", F.lit(1)).withColumn("month", F.lit(2))
     out = U.as_of(cap, spark.createDataFrame(entries, "key string, action string, date date"))
     got = Counter((r.page_id, r.n_listed, r.listed_key) for r in out.collect())
-    assert out.columns[:5] == cap.columns
+    assert out.columns == [*cap.columns, "n_listed", "listed_key"]
     assert got == Counter([(1, 0, None), (2, 1, "bad.com"), (3, 1, "bad.com"), (4, 0, None), (5, 1, "bad.com"), (5, 1, "bad.com"),
                            (6, 1, "ok.org/ads/x"), (7, 0, None), (8, 0, None), (9, 0, None), (10, 0, None), (11, 1, "t.com"), (None, 0, None)])
     assert U.as_of(cap.limit(0), spark.createDataFrame(entries, "key string, action string, date date")).collect() == []

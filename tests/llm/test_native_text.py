@@ -18,13 +18,16 @@ def test_line_dedup_ratio_and_odd_rows(spark):
     rows = [(i, f"menu \n\nown line {i}", "a") for i in range(40)]
     rows += [(100 + i, f"rare\nown {i}", "a") for i in range(4)]
     rows += [(200, None, "a"), (201, "", "a"), (202, "menu\nmenu", "a"), (203, "menu\nx", None), (None, "menu", "b")]
-    df = doc(spark, rows).withColumn("host", F.lit("h")).withColumn("lines", F.lit(1)).withColumn("line", F.lit(2))
+    df = doc(spark, rows)
+    for c in ("host", "lines", "line", "row", "page", "_common", "_host", "_before"):
+        df = df.withColumn(c, F.lit(c))
     out = L.drop_boilerplate(df, "source")
     assert out.columns == df.columns
     got = {(r.doc_id, r.source): r.text for r in out.collect()}
     assert got[(3, "a")] == "\nown line 3" and got[(101, "a")] == "rare\nown 1"
     assert got[(200, "a")] is None and got[(201, "a")] == "" and got[(202, "a")] == ""
     assert got[(203, None)] == "menu\nx" and got[(None, "b")] == "menu"
+    assert all(r.lines == "lines" and r.row == "row" and r.n_chars == 0 for r in out.collect())
     report = {r.doc_id: (r.n_lines, r.n_dropped) for r in L.report(df).collect()}
     assert report[3] == (2, 1) and report[200] == (0, 0) and report[202] == (2, 2)
 
