@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from parallax import oracle_sql as O
 from parallax.functions.text import PAD_ID, get_tokenizer, ids_text, na_normalize, tokenize_script
+from parallax.operators import buckets as BK
 from parallax.operators import corpus as C
+from parallax.operators import dictionary as D
 from parallax.operators import vocab as V
 from parallax.plans import prep as P
 from parallax.plans import segmentation as SG
@@ -779,14 +781,20 @@ def q_embed_lookup(spark, sf):
     emb = table(spark, sf, "embeddings")
     n = emb.count()  # scalar table size
     vs, vt = P.vocabs(spark, sf)
-    enc = V.encode_pairs(P.split(spark, sf), vs, vt, tokenizer=None, src="src_toks", tgt="tgt_toks")
-    ids = enc.select("pair_id", F.posexplode("src_ids").alias("pos", "token_id"))
-    ids = ids.withColumn("vec_id", F.pmod(F.col("token_id"), F.lit(n)))
-    v = VX.as_double("embedding")
-    j = ids.join(sized_broadcast(emb.select("vec_id", v.alias("v"))), "vec_id")
-    return j.select("pair_id", F.col("pos").cast("long").alias("pos"), "token_id", "vec_id",
-                    F.round(VX.vsum("v"), 6).alias("v_sum"),
-                    F.round(VX.vsum(F.transform("v", lambda x: x * x)), 6).alias("v_sq"))
+    ids = F.transform("src_ids", lambda x: F.pmod(x, F.lit(n)))
+    enc = V.encode_pairs(P.split(spark, sf), vs, vt, tokenizer=None, src="src_toks", tgt="tgt_toks").select(
+        "pair_id", "src_ids", ids.alias("vec_ids"), ids.alias("sums"), ids.alias("squares"))
+    wanted = enc.select(F.explode(F.array_distinct("vec_ids")).alias("vec_id"))
+    path = scratch_path(spark, "vector-sums")
+    BK.features(wanted, emb.select("vec_id", VX.as_double("embedding").alias("v")), "vec_id",
+                {"v_sum": VX.vsum("v"), "v_sq": VX.vsum(F.transform("v", lambda x: x * x))}).write.parquet(path)
+    sums = spark.read.parquet(path)
+    sums_of = lambda c: D.Dictionary(sums.select(F.col("vec_id").alias("key"), F.col(c).alias("value"), F.col("vec_id").alias("rank")), float("nan"))
+    found = D.map_arrays(enc, {"sums": sums_of("v_sum"), "squares": sums_of("v_sq")})
+    each = found.select("pair_id", F.posexplode(F.arrays_zip("src_ids", "vec_ids", "sums", "squares")).alias("pos", "x"))
+    return each.filter(~F.isnan("x.sums")).select(  # ids without a vector have no row
+        "pair_id", F.col("pos").cast("long").alias("pos"), F.col("x.src_ids").alias("token_id"), F.col("x.vec_ids").alias("vec_id"),
+        F.round("x.sums", 6).alias("v_sum"), F.round("x.squares", 6).alias("v_sq"))
 
 
 @query("embed_plus_pos", O.with_("emb_seq") + f"""
@@ -891,6 +899,7 @@ def q_vec_elementwise(spark, sf):
 
 from parallax.sources import files as FS  # noqa: E402
 from parallax.streaming import jobs as ST  # noqa: E402
+from parallax.streaming import timers as TM  # noqa: E402
 
 
 @query("src_tsv", O.with_("pairs_union") + "SELECT pair_id, src, tgt FROM pairs_union")
@@ -1018,3 +1027,27 @@ def q_stream_count_windows(spark, sf):
     ranges = ST.stage_ranges(ev, staged, "event_id")
     return ST.stream_count_windows(spark, inp, ST.staged_schema(spark, staged), out,
                                    arrivals=ST.range_arrivals(spark, staged, ranges, inp))
+
+
+@query("stream_count_timers", """
+SELECT user_id, CAST(floor((rn - 1) / 50) AS BIGINT) AS window_id, count(*) AS n, round(avg(value), 6) AS value_avg,
+       min(event_id) AS first_event_id, max(event_id) AS last_event_id
+FROM (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events WHERE ts IS NOT NULL)
+GROUP BY user_id, floor((rn - 1) / 50) HAVING count(*) = 50""")
+def q_stream_count_timers(spark, sf):
+    """Count windows in event-time order of a stream in which every third event arrives one range
+    late, within the watermark; a last row moves the watermark past all events."""
+    ev = table(spark, sf, "events").filter(F.col("ts").isNotNull()).select("user_id", "event_id", "ts", "value")
+    staged, inp, out = scratch_path(spark, "timers-staged"), scratch_path(spark, "timers"), scratch_path(spark, "timer-windows")
+    time = ST.event_time("ts")
+    ST.with_late_rows(ev, staged, F.unix_micros(time), F.col("event_id") % 3 == 1, by=1)
+    schema = ST.staged_schema(spark, staged)
+    ranges = sorted(r["_range"] for r in spark.read.parquet(staged).select("_range").distinct().collect())
+    lo, hi = ev.agg(F.min(F.unix_seconds(time)), F.max(F.unix_seconds(time))).first()
+    delay = ((hi or 0) - (lo or 0)) // max(len(ranges) - 1, 1) + 60  # a range is no longer
+    arrivals = ST.range_arrivals(spark, staged, ranges, inp)
+    for step in (1, 2):  # the second closing row lets the batch after the first act on its watermark
+        last = spark.createDataFrame([(None, -step, (hi or 0) + 3 * delay + step * 86_400, 0.0)], "user_id long, event_id long, s long, value double").select(
+            "user_id", "event_id", F.timestamp_seconds("s").cast("timestamp_ntz").alias("ts"), "value")
+        arrivals.append(lambda last=last: last.write.mode("append").parquet(inp))
+    return TM.stream_count_timers(spark, inp, schema, out, f"{delay} seconds", arrivals=arrivals).filter("user_id is not null")
