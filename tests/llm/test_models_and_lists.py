@@ -92,6 +92,13 @@ def vocabulary_of(texts):
     return M.Vocabulary(np.bincount(ids, minlength=pieces.size + 1), begins), ids, lens, per
 
 
+def test_lm_words_encoded_together_have_their_own_ids():
+    pieces = M.Pieces(RANKS, P.PATTERN)
+    odd = ["it's", "a\u3000b", "\u3000", "\xa0x", "x\u2003", "12ab", "!?", "é", "日本", "\x1c", "#$%", "'", "'s", "\x00"]
+    words = [w.encode() for i in range(40) for w in (f"w{i}", odd[i % len(odd)] + str(i), odd[i % len(odd)])] + [M.END]
+    assert list(pieces._ids(words)) == [[pieces.size] if w == M.END else pieces.enc.encode_ordinary(" " + w.decode()) for w in words]
+
+
 def test_lm_rounds_average_the_steps_of_all_tasks(spark, monkeypatch):
     monkeypatch.setattr(M, "ROUNDS", 2)
     texts = [f"word{i % 7} other text {i} {'and so on ' * (i % 5)}".encode() for i in range(60)]
