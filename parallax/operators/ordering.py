@@ -10,7 +10,7 @@
   sampling job, no checkpoint.
 * ``next_in_group`` - exact lead() over an integral order, windowed by (key, chunk)
   with a chunk-heads table for the chunk boundaries.
-* ``sized_broadcast`` - broadcast a side only after its row count is checked; meant
+* ``sized_broadcast`` - broadcast a side only after its rows and bytes are checked; meant
   for materialised sides (checkpoint or Parquet scan), where the count is cheap.
   Un-materialised aggregates are left to AQE's runtime broadcast conversion.
 * ``top_k_per_group`` - exact top-k with a salted first stage, so a hot group is
@@ -24,25 +24,42 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parallax.session import checkpoint_dir, shuffle_partitions
 
-# Row-count bound under which a derived side table may be broadcast.
+# Bounds under which a derived side table may be broadcast.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 128 << 20
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Return ``F.broadcast(df)`` when its row count is within ``max_rows``; otherwise the
-    plain frame so the planner falls back to a shuffle join (AQE may still demote it).
-    For narrow, materialised sides only (ids, tokens, a few numbers per row), where a row
-    bound is a byte bound and the count is a scan or metadata read; wide rows (arrays of
-    tokens) are left to AQE, which sizes joins from measured bytes."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+def _width(name: str, kind: T.DataType) -> Column:
+    """Bytes of a value, about."""
+    c = F.col(f"`{name}`")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 8
+    if isinstance(kind, T.ArrayType):
+        each = 24 if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType)) else 8
+        return F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)) * each + 16
+    return F.lit(8)
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Return ``F.broadcast(df)`` when its rows and the bytes of its values are within bounds;
+    otherwise the plain frame, so the planner falls back to a shuffle join (AQE may still demote
+    it).  For materialised sides: numbers are counted by a metadata read, texts and arrays by
+    a scan."""
+    if all(isinstance(f.dataType, T.AtomicType) and not isinstance(f.dataType, (T.StringType, T.BinaryType)) for f in df.schema):
+        rows = df.count()
+        size = 8 * len(df.columns) * rows
+    else:
+        total = sum((_width(f.name, f.dataType) for f in df.schema), F.lit(0)).cast("long")
+        rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(total), F.lit(0))).first()
+    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
 
 
 def ordered_rank(df: DataFrame, order: Sequence, partition: Sequence[str] = (),

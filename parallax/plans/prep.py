@@ -18,8 +18,19 @@ from parallax.sources.tables import conversation_turn_pairs, document_line_pairs
 _MEMO: dict = {}
 
 
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of what lies in the folder; a table that is a folder gets a new time
+    when files are added to it or taken away."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = files.listStatus(path) if files.exists(path) else []
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found))
+
+
 def _memo(spark: SparkSession, sf_dir: str, key: str, build):
-    k = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), key)
+    """Prepared tables by session, folder and the state of the folder, so a folder that has
+    changed is prepared again."""
+    k = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _state(spark, sf_dir), key)
     if k not in _MEMO:
         _MEMO[k] = build()
     return _MEMO[k]

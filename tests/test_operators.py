@@ -56,6 +56,30 @@ def test_top_k(spark, skewed):
     assert sorted(got.select("g", "id", "rank").collect()) == sorted(want.select("g", "id", F.col("rank").cast("long")).collect())
 
 
+def test_sized_broadcast_judges_rows_and_bytes(spark):
+    from parallax.operators.ordering import sized_broadcast
+    from parallax.session import scratch_path
+    path = scratch_path(spark, "wide")
+    spark.range(2000).select("id", F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: F.rand(3)).alias("v")).write.parquet(path)
+    wide, hinted = spark.read.parquet(path), lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    assert hinted(sized_broadcast(wide)) and not hinted(sized_broadcast(wide, max_bytes=100_000)) and not hinted(sized_broadcast(wide, max_rows=10))
+    assert hinted(sized_broadcast(wide.select("id"), max_bytes=100_000))
+
+
+def test_changed_folder_is_prepared_again(spark):
+    from parallax.plans import prep as P
+    from parallax.session import scratch_path
+    folder = scratch_path(spark, "tables")
+    docs = lambda t: spark.createDataFrame([(1, t)], "doc_id long, text string")
+    talk = spark.createDataFrame([(1, 1, "user", "a b"), (1, 2, "assistant", "c")], "conv_id long, turn long, role string, text string")
+    talk.write.parquet(f"{folder}/conversations.parquet")
+    docs("x y\nz").write.parquet(f"{folder}/documents.parquet")
+    first = sorted(r.src for r in P.corpus(spark, folder).collect())
+    assert P.corpus(spark, folder) is P.corpus(spark, folder)
+    docs("new line\nz").write.mode("append").parquet(f"{folder}/documents.parquet")
+    assert first == ["a b", "x y"] and sorted(r.src for r in P.corpus(spark, folder).collect()) == ["a b", "new line", "x y"]
+
+
 def test_pad_unpad(spark):
     df = spark.createDataFrame([("a", 0, 0, [5, 6, 7]), ("b", 0, 0, [5]), ("c", 0, 1, [8, 9])],
                                "pair_id string, pool_id long, batch_id long, ids array<bigint>")
