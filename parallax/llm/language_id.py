@@ -22,10 +22,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parallax.llm.common import crc_remainder
+from parallax.llm.common import crc_remainder, written
+from parallax.operators.ordering import sized_broadcast
 
 TRAIN_ROWS = 6000
 BITS = 12
@@ -160,10 +161,11 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(rows: DataFrame, rows_limit: int = TRAIN_ROWS) -> Hierarchy | None:
     """Fits on a share of ``rows`` (id, lang, text) drawn by hash: about ``rows_limit``
     rows, divided among the languages."""
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    counts = counts.withColumn("share", F.lit(rows_limit) / F.count("*").over(Window.partitionBy()) / F.col("n"))
+    # one row for each language, written so that its size is known: rows are drawn where they are
+    counts = written(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    shares = counts.select(F.col("lang").alias("_l"), (F.lit(rows_limit) / max(counts.count(), 1) / F.col("n")).alias("share"))
     draw = F.pmod(F.xxhash64("id", F.lit("draw")), F.lit(1 << 30)) / (1 << 30)
-    sample = (rows.join(counts.select(F.col("lang").alias("_l"), "share"), F.col("lang") == F.col("_l"))
+    sample = (rows.join(sized_broadcast(shares), F.col("lang") == F.col("_l"))
               .filter(draw < F.col("share")).select("lang", "text")
               .mapInArrow(_vectors, "lang string, x binary").toArrow())
     if not sample.num_rows:
