@@ -261,8 +261,8 @@ def _verified(percent: int):
 def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets pass the exact check.  The sets are made again from the
     texts of the ids concerned; a hub with many partners is repeated for each ``HUB_ROWS``."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = (texts.join(ids, texts["node"] == ids["node"], "left_semi")
+    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "jaccard-ids")
+    sets = (texts.join(sized_broadcast(ids), texts["node"] == ids["node"], "left_semi")
             .mapInArrow(_sets(width), "node long, items binary").distinct())
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB_ROWS).cast("long").alias("parts"))
     salted = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).alias("salt"))
@@ -354,10 +354,10 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     rows that repeat both id and text one stays."""
     with freed(docs.sparkSession):
         found = keep(jaccard_components(docs, width, percent), "jaccard-found")
-    gone = found.filter("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-    again = (found.groupBy("doc_id").count().filter("doc_id is not null and count > 1")
-             .select(F.col("doc_id").alias("_again")))
-    repeated = kept.join(again, kept["doc_id"] == again["_again"], "left_semi")
-    single = kept.join(again, kept["doc_id"] == again["_again"], "left_anti")
-    return single.unionByName(repeated.dropDuplicates(["doc_id", "text"]))
+    # ids whose rows go, and ids of several rows; other rows need no look at all
+    marked = written(found.groupBy("doc_id").agg((F.min("component_id") < F.col("doc_id")).alias("gone"), (F.count("*") > 1).alias("again"))
+                     .filter("doc_id is not null and (gone or again)"), "jaccard-marked")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
+    kept = rows.join(sized_broadcast(marked), "doc_id", "left").filter("not coalesce(gone, false)")
+    repeated = kept.filter("again").dropDuplicates(["doc_id", "text"])
+    return kept.filter("not coalesce(again, false)").unionByName(repeated).select("row.*")
