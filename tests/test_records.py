@@ -44,9 +44,9 @@ def rows_of(rng, n):
 @pytest.mark.parametrize("sep", [",", "\t"])
 def test_one_file_by_many_tasks(spark, small_splits, split, sep):
     rng = random.Random(split)
-    rows = rows_of(rng, 120)
+    rows = rows_of(rng, 30 if split < 10 else 120)
     texts = []
-    for part in (rows[:100], rows[100:]):
+    for part in (rows[:25], rows[25:]):
         out = io.StringIO()
         csv.writer(out, delimiter=sep, quoting=csv.QUOTE_ALL, lineterminator="\n").writerows(part)
         texts.append(out.getvalue())
@@ -65,7 +65,7 @@ def test_one_file_by_many_tasks(spark, small_splits, split, sep):
 def test_equal_to_the_multi_line_reader(spark, small_splits, split):
     """Quotes in unquoted fields, short and blank rows, and files without rows."""
     rng = random.Random(split)
-    lines = ["a,b"] + [rng.choice(['x"y,z', '"p\nq",r', "short", '"s ""t"" u",v', 'it"s', ',"w\n\n,x"', 'é,"日\r\n本"', "k,l"]) for _ in range(150)]
+    lines = ["a,b"] + [rng.choice(['x"y,z', '"p\nq",r', "short", '"s ""t"" u",v', 'it"s', ',"w\n\n,x"', 'é,"日\r\n本"', "k,l"]) for _ in range(40 if split < 10 else 150)]
     path = put(spark, ["\n".join(lines) + "\n", "a,b\n1,2\n", "a,b"])
     small_splits(split)
     got = FS.read_csv_badlines(spark, path, ["a", "b"])[0]
