@@ -96,7 +96,9 @@ def test_lm_words_encoded_together_have_their_own_ids():
     pieces = M.Pieces(RANKS, P.PATTERN)
     odd = ["it's", "a\u3000b", "\u3000", "\xa0x", "x\u2003", "12ab", "!?", "é", "日本", "\x1c", "#$%", "'", "'s", "\x00"]
     words = [w.encode() for i in range(40) for w in (f"w{i}", odd[i % len(odd)] + str(i), odd[i % len(odd)])] + [M.END]
-    assert list(pieces._ids(words)) == [[pieces.size] if w == M.END else pieces.enc.encode_ordinary(" " + w.decode()) for w in words]
+    flat, n = pieces._ids(words)
+    want = [[pieces.size] if w == M.END else pieces.enc.encode_ordinary(" " + w.decode()) for w in words]
+    assert n.tolist() == [len(x) for x in want] and flat.tolist() == [i for x in want for i in x]
 
 
 def test_lm_rounds_average_the_steps_of_all_tasks(spark, monkeypatch):
