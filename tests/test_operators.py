@@ -205,3 +205,55 @@ def test_cross_entropy_from_outer_counts_and_known_splits(spark):
     test = [("<sos>", "<unk>"), ("<unk>", "a"), ("a", "<eos>")]
     x = sum(-math.log((c.get(b, 0) + 1) / (tot.get(b[0], 0) + 6)) for b in test) / 3
     assert [r for r in got if r.split == "test"][0].cross_entropy == round(x, 6)
+
+
+def test_attention_keeps_no_row_by_tile(spark):
+    """Queries of many tiles and several spans; what is written is one row by query, span and head."""
+    import os
+
+    from parallax.operators import attention as AT
+    from parallax.session import checkpoint_dir
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(150, 4))
+    seq = spark.createDataFrame([("a", i, v[i].tolist()) for i in range(150)], "s string, pos long, v array<double>")
+    top = checkpoint_dir(spark).removeprefix("file:").rstrip("/") + "/scratch"
+    for causal, tile in ((True, 2), (False, 2), (True, 64)):
+        before = set(os.listdir(top)) if os.path.isdir(top) else set()
+        got = {r.pos: r.v for r in AT.attention(seq, keys=["s"], causal=causal, heads=2, tile=tile).collect()}
+        want = _plain_attention(v, v, 2, np.tril(np.ones((150, 150), bool)) if causal else np.ones((150, 150), bool))
+        assert np.allclose([got[i] for i in range(150)], want)
+        written = [x for x in set(os.listdir(top)) - before if x.startswith("attention-parts")]
+        assert [spark.read.parquet(f"{top}/{x}").count() for x in written] == [300]
+
+
+def test_attention_merges_spans(spark, monkeypatch):
+    from parallax.operators import attention as AT
+    for name, n in (("QUERY_TILES", 2), ("KEY_TILES", 1), ("SPAN_TILES", 4)):
+        monkeypatch.setattr(AT, name, n)
+    v = np.random.default_rng(4).normal(size=(60, 4))
+    seq = spark.createDataFrame([("a", i, v[i].tolist()) for i in range(60)], "s string, pos long, v array<double>")
+    for causal in (True, False):
+        got = {r.pos: r.v for r in AT.attention(seq, keys=["s"], causal=causal, heads=2, tile=2).collect()}
+        want = _plain_attention(v, v, 2, np.tril(np.ones((60, 60), bool)) if causal else np.ones((60, 60), bool))
+        assert np.allclose([got[i] for i in range(60)], want)
+
+
+def test_attention_of_ids_equals_attention(spark):
+    """Ids without a vector, with two, masked keys, a repeated key, and vectors beyond the bound."""
+    from pyspark.sql import functions as F
+
+    from parallax.operators import attention as AT
+    rng = np.random.default_rng(5)
+    vectors = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in [0, 1, 2, 3, 4, 5, 5, 7]] + [(None, [0.0] * 4), (9, None)],
+                                    "id long, v array<double>")
+    rows = [("a", [0, 1, 5, 6], [2, 3, 5, 7, 1], [True, True, True, True, False]), ("b", [1, 2], [4, 1], [False, False]),
+            ("c", [1, 2], [6, 9], [True, True]), ("d", [], [1], [True]), ("e", [7], [0], [True]), ("e", [3, 4], [1, 2], [True, True])]
+    df = spark.createDataFrame(rows, "s string, q array<long>, k array<long>, real array<boolean>")
+    q = df.select("s", F.posexplode("q").alias("pos", "id")).join(vectors, "id").select("s", F.col("pos").cast("long").alias("pos"), "v")
+    k = df.select("s", F.posexplode(F.arrays_zip("k", "real")).alias("pos", "x")).select("s", F.col("pos").cast("long").alias("pos"), F.col("x.k").alias("id"),
+                                                                                        F.col("x.real").alias("real")).join(vectors, "id")
+    want = {(r.s, r.pos): r.v for r in AT.attention(q, k.select("s", "pos", "real", "v"), keys=["s"], causal=False, mask="real").collect()}
+    for bound in (1 << 20, 3 * 32):
+        got = AT.attention_of_ids(df, vectors, "s", bound).collect()
+        assert len(got) == len(want) and {(r.s, r.pos) for r in got} == want.keys()
+        assert all(np.allclose(r.v, want[r.s, r.pos]) for r in got)
