@@ -49,3 +49,16 @@ def test_encode_decode_translate(spark, monkeypatch, bound):
     got = L.translate(df, table, bound=bound)
     assert sorted((r.pair_id, r.translation) for r in got.collect()) == [("1", "A BB c z"), ("2", ""), ("3", "BB BB q")]
     assert sorted(r.translation for r in L.translate(df, table, max_len=2, bound=bound).collect()) == ["", "A BB", "BB BB"]
+
+
+def test_rows_without_rare_keys_are_not_shuffled(spark):
+    """Two columns with keys beyond the bound: arrays are exchanged in one branch, and once."""
+    table = spark.createDataFrame([(f"w{i}", i, i) for i in range(3000)], "key string, value long, rank long")
+    rows = [(0, ["w1", "w2999", None, "x"], ["w5"]), (1, None, ["w2998"]), (2, ["w2"], []), (3, [], ["w2500", "w2500", "w0"])]
+    df = spark.createDataFrame(rows, "id long, a array<string>, b array<string>")
+    words = D.Dictionary(table, -1)
+    got = D.map_arrays(df, {"a": words, "b": words}, 1100 * 24)
+    value = lambda x: None if x is None else [int(w[1:]) if w and w[1:] else -1 for w in x]
+    assert sorted(map(tuple, got.collect())) == [(i, value(a), value(b)) for i, a, b in rows]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and plan.count("Join ") == 4  # by column its found keys and its rows
