@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pytest
 from pyspark.sql import functions as F
 
 from parallax.llm import language_id as G
@@ -267,3 +268,17 @@ def test_license_scan(spark):
     assert found[(-1, 1)] == "proprietary" and found[(-5, 0)] == found[(-5, 1)] == "proprietary"
     assert not any(k[0] in (-2, -3, -4) for k in found) and not re.search("mit|gpl", str(found.get((-4, 0))))
     assert S.report(docs.limit(0)).collect() == []
+
+
+def test_network_learns_from_every_training_document(spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def fit(rows, *_):
+        raise Seen(rows.count())
+
+    monkeypatch.setattr(M, "fit_network", fit)
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.concat(F.lit("one word and "), F.col("id").cast("string")).alias("text"))
+    with pytest.raises(Seen) as found:
+        M.report(docs, RANKS, P.PATTERN)
+    assert found.value.args[0] == docs.filter(~M.held_out()).count() > 4000
