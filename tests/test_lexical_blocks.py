@@ -5,6 +5,7 @@ import os
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from parallax.plans import lexical as L
 from parallax.session import checkpoint_dir
@@ -63,3 +64,19 @@ def test_best_keeps_every_row_at_the_edge_of_rounding(t):
     begun = pa.table({"f": np.zeros(3, np.int32), "e": np.array([5, 2, 9], np.int32), "t": np.array([t, t, t / 2])})
     kept = L._best(Shared)(rows, begun).column("e").to_pylist()
     assert 2 in kept and (9 not in kept or t != 0.5)
+
+
+def shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+def test_rounds_read_the_dealt_pairs_without_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(L, "BLOCK", 20)
+    plans = []
+    by_block = L._by_block
+    monkeypatch.setattr(L, "_by_block", lambda *a: plans.append(by_block(*a)) or plans[-1])
+    df = spark.createDataFrame([(f"a{i % 3} b{i % 5}", f"x{i % 4} y{i % 7}") for i in range(60)], "src string, tgt string")
+    begun = L.train_lexical(df, 2)
+    resumed = L.train_top1(df, 1, start=begun, done=2)
+    assert len(plans) == 5 and all(shuffles(p) == 0 for p in plans)
+    assert sorted(resumed.select("f", "e", F.round("t", 6)).collect()) == sorted(L.train_top1(df, 3).select("f", "e", F.round("t", 6)).collect())
