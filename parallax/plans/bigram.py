@@ -43,10 +43,11 @@ def map_unknown(bi: DataFrame, vocab: DataFrame, keep=("split",)) -> DataFrame:
 
 
 def bigram_counts(split_df: DataFrame, vocab_tgt: DataFrame, split: str = "train",
-                  tokenizer="words", text_col: str = "tgt") -> DataFrame:
-    """(prev, next, n) over one split."""
+                  tokenizer="words", text_col: str = "tgt", known: bool = False) -> DataFrame:
+    """(prev, next, n) over one split.  ``known``: the vocabulary was built from it, so it has
+    every token and nothing needs mapping."""
     bi = raw_bigrams(split_df.filter(F.col("split") == split), keep=(), tokenizer=tokenizer, text_col=text_col)
-    return map_unknown(bi, vocab_tgt, keep=())
+    return bi if known else map_unknown(bi, vocab_tgt, keep=())
 
 
 def split_bigrams(split_df: DataFrame, vocab_tgt: DataFrame, tokenizer="words", text_col: str = "tgt",

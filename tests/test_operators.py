@@ -258,3 +258,28 @@ def test_attention_of_ids_equals_attention(spark):
         got = AT.attention_of_ids(df, vectors, "s", bound).collect()
         assert sorted((r.s, r.pos) for r in got) == sorted((r.s, r.pos) for r in every)
         assert all(np.allclose(r.v, want[r.s, r.pos]) for r in got)
+
+
+def test_one_pass_writes_no_copy_of_the_corpus(spark):
+    import os
+
+    from __spark_entry__ import queries
+    from parallax.plans import prep as P
+    from parallax.session import checkpoint_dir, scratch_path
+
+    folder = scratch_path(spark, "one-pass")
+    spark.createDataFrame([(i, f"a b{i}\nc{i} d\ne") for i in range(40)], "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(c, t, ("user", "assistant")[t % 2], f"w{c} x{t}") for c in range(20) for t in range(4)],
+                          "conv_id long, turn int, role string, text string").write.parquet(f"{folder}/conversations.parquet")
+    top = checkpoint_dir(spark).removeprefix("file:").rstrip("/") + "/scratch"
+    copies = lambda: {x for x in os.listdir(top) if x.startswith("corpus-")}
+    before = copies()
+    got = {name: queries()[name](spark, folder).collect() for name in ("vocab_size", "bigram_counts", "cross_entropy", "greedy_decode")}
+    assert copies() == before
+    rows = P.corpus(spark, folder).collect()
+    assert copies() != before and P.split_once(spark, folder) is P.corpus(spark, folder)
+    known = {t for r in rows if r.split != "test" for t in r.src_toks}
+    assert {r.side: r.n for r in got["vocab_size"]}["src"] == len(known) + 2
+    assert sum(r.n for r in got["bigram_counts"]) == sum(r.tgt_len + 1 for r in rows if r.split == "train")
+    assert {r.split: r.n_tokens for r in got["cross_entropy"]} == {s: sum(r.tgt_len + 1 for r in rows if r.split == s) for s in ("train", "val", "test")}
+    assert {r.pair_id for r in got["greedy_decode"]} == {r.pair_id for r in rows if r.split == "test"}
