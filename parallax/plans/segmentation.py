@@ -153,30 +153,32 @@ def lattice_tokenizer(spark, pieces: dict[str, float], every: bool = False) -> C
     shared = spark.sparkContext.broadcast(pieces)
 
     @F.pandas_udf("array<string>")
-    def split(tokens: pd.Series, whole: pd.Series) -> pd.Series:
+    def split(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         lattice, known = Lattice(shared.value), {}
-        out = []
-        for row, flags in zip(tokens, whole):
-            if row is None:
-                out.append(None)
-                continue
-            parts: list[str] = []
-            for token, flag in zip(row, flags):
-                if flag:
-                    parts.append(token)
+        for tokens, whole in batches:
+            out = []
+            for row, flags in zip(tokens, whole):
+                if row is None:
+                    out.append(None)
                     continue
-                if token not in known:
-                    if len(known) >= KEPT:
-                        known.clear()
-                    known[token] = lattice.best(token)
-                parts += known[token]
-            out.append(np.array(parts, object))
-        return pd.Series(out, dtype=object)
+                parts: list[str] = []
+                for token, flag in zip(row, flags):
+                    if flag:
+                        parts.append(token)
+                        continue
+                    if token not in known:
+                        if len(known) >= KEPT:
+                            known.clear()
+                        known[token] = lattice.best(token)
+                    parts += known[token]
+                out.append(np.array(parts, object))
+            yield pd.Series(out, dtype=object)
 
     def tokenize(text: Column) -> Column:
         tokens = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
-        cut = f"^({RUN}|{LETTERS})$" if every else f"^{RUN}$"
-        return split(tokens, F.transform(tokens, lambda t: ~t.rlike(cut)))
+        if every:  # only single characters can be symbols
+            return split(tokens, F.transform(tokens, lambda t: (F.length(t) == 1) & ~t.rlike(f"^({RUN}|{LETTERS})$")))
+        return split(tokens, F.transform(tokens, lambda t: ~t.rlike(f"^{RUN}$")))
 
     return tokenize
 

@@ -74,3 +74,21 @@ def test_no_runs_and_long_runs(spark):
     long = spark.createDataFrame([("日本語" * 20_000,)], "t string")
     pieces, _ = S.train_pieces(long, "t", vocab_size=30, rounds=2)
     assert "".join(S.Lattice(pieces).best("日本語" * 20_000)) == "日本語" * 20_000
+
+
+def test_words_are_kept_across_batches(spark):
+    from pyspark.util import PythonEvalType
+
+    rows = [("abc abd, 7!",), (None,), ("abc",), ("。東京x",), ("é☃a",)] * 3
+    df = spark.createDataFrame(rows, "t string").coalesce(1)
+    tokenize = S.lattice_tokenizer(spark, {"ab": -1.0, "東京": -2.0}, every=True)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        out = df.select(tokenize(df.t).alias("toks"))
+        got = [r.toks for r in out.collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == [["ab", "c", "ab", "d", ",", "7", "!"], None, ["ab", "c"], ["。", "東京", "x"], ["é", "☃", "a"]] * 3
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # one call for all batches of a task, so a word that was met is not segmented again
+    assert f", {PythonEvalType.SQL_SCALAR_PANDAS_ITER_UDF}" in plan
