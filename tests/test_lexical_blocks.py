@@ -80,3 +80,35 @@ def test_rounds_read_the_dealt_pairs_without_a_shuffle(spark, monkeypatch):
     resumed = L.train_top1(df, 1, start=begun, done=2)
     assert len(plans) == 5 and all(shuffles(p) == 0 for p in plans)
     assert sorted(resumed.select("f", "e", F.round("t", 6)).collect()) == sorted(L.train_top1(df, 3).select("f", "e", F.round("t", 6)).collect())
+
+
+def test_neither_types_nor_copies_of_pairs_are_rows(spark, monkeypatch):
+    """What is written has a row for each pair, token or batch of pairs, not for each (pair, token) or (pair, block)."""
+    monkeypatch.setattr(L, "BLOCK", 1000)
+    rows = [(" ".join(f"s{(i * 7 + j) % 40}" for j in range(20)), " ".join(f"t{(i * 3 + j) % 40}" for j in range(20))) for i in range(60)]
+    df = spark.createDataFrame(rows, "src string, tgt string").coalesce(2)
+    top = checkpoint_dir(spark).removeprefix("file:").rstrip("/") + "/scratch"
+    before = set(os.listdir(top)) if os.path.isdir(top) else set()
+    assert L.train_top1(df, 2).count() == 40
+    new = {x: spark.read.parquet(f"{top}/{x}").count() for x in set(os.listdir(top)) - before}
+    assert any(x.startswith("lexical_dealt") for x in new) and max(new.values()) <= 60
+
+
+def test_packed_values_give_the_pairs_and_the_table_back():
+    import numpy as np
+    import pyarrow as pa
+
+    lists = lambda x: pa.array(x, pa.list_(pa.int32()))
+    pairs = pa.table({"fs": lists([[0, 70000, 2**31 - 1], [5]]), "nf": lists([[1, 2, 300], [1]]),
+                      "es": lists([[1, 2, 3, 4, 90000], [2]]), "ne": lists([[1, 1, 9, 1, 1], [70000]])})
+    got = []
+    for value in L._dealt_pairs(3)(pairs.to_batches()):
+        for r in L._pairs_of(pa.Table.from_batches([value])).to_pylist():
+            got += [(tuple(r["fs"]), tuple(r["nf"]), e, n) for e, n in zip(r["es"], r["ne"])]
+            assert set(L._block_of(np.array(r["es"]), 3)) == {value.column(0)[0].as_py()}
+    want = [(tuple(r["fs"]), tuple(r["nf"]), e, n) for r in pairs.to_pylist() for e, n in zip(r["es"], r["ne"])]
+    assert sorted(got) == sorted(want)
+    table = pa.table({"f": pa.array([7, 2**31 - 1, 0], pa.int32()), "e": pa.array([9, 0, 9], pa.int32()), "t": [1 / 3, 5e-324, 1.0]})
+    back = [r for v in L._dealt_start(2)(table.to_batches()) for r in L._start_of(pa.Table.from_batches([v])).to_pylist()]
+    assert sorted(map(str, back)) == sorted(map(str, table.to_pylist()))
+    assert L._start_of(pa.table({"packed": pa.array([], pa.binary())})).num_rows == 0
