@@ -112,3 +112,19 @@ def test_packed_values_give_the_pairs_and_the_table_back():
     back = [r for v in L._dealt_start(2)(table.to_batches()) for r in L._start_of(pa.Table.from_batches([v])).to_pylist()]
     assert sorted(map(str, back)) == sorted(map(str, table.to_pylist()))
     assert L._start_of(pa.table({"packed": pa.array([], pa.binary())})).num_rows == 0
+
+
+def test_a_saved_model_is_numbers_and_goes_on(spark, tmp_path):
+    """Saved without a token in its rows; other pairs, whose tokens have other numbers, go on with it
+    as with the table in tokens."""
+    from parallax.sources import commits as CM
+
+    df = spark.createDataFrame([(f"a{i % 3} b{i % 5}", f"x{i % 4} y{i % 7}") for i in range(60)], "src string, tgt string")
+    other = df.limit(40).unionByName(spark.createDataFrame([("a0 0new", "x1 0new")], "src string, tgt string"))
+    CM.save_version(L.train_saved(df, 2), spark, str(tmp_path / "m"), 2)
+    done, saved = CM.load_version(spark, str(tmp_path / "m"), L.SAVED)
+    assert dict(saved["lexical"].dtypes) == {"f": "int", "e": "int", "t": "double"}
+    for pairs in (df, other):
+        got = L.train_top1(pairs, 1, start=saved, done=done)
+        want = L.train_top1(pairs, 1, start=L.train_lexical(df, 2), done=2)
+        assert sorted(got.select("f", "e", F.round("t", 6)).collect()) == sorted(want.select("f", "e", F.round("t", 6)).collect())
