@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -200,6 +201,46 @@ def test_lm_gradients_are_those_of_the_loss():
         assert abs((up - down) / 2e-5 - grad[name].reshape(-1)[i]) < 1e-4, name
 
 
+def test_lm_texts_are_coded_and_scored_once(spark, monkeypatch):
+    calls, names = Counter(), []
+    for name in ("_scored", "_coded", "_symbols"):
+        def counted(*args, of=getattr(M, name, None), name=name):
+            calls[name] += 1
+            return of(*args)
+        monkeypatch.setattr(M, name, counted, raising=False)
+    for name in ("written", "keep"):
+        monkeypatch.setattr(M, name, lambda df, table, of=getattr(M, name, None), **options: (names.append(table), of(df, table, **options))[1], raising=False)
+    docs = spark.createDataFrame([(i, f"word{i % 7} it's a\u3000b {'rare' + str(i)} \xa0x" if i % 9 else None) for i in range(60)], "doc_id long, text string")
+    rows = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = M.report(docs.unionByName(docs), RANKS, P.PATTERN).collect()
+    assert len(got) == 120 and len({tuple(r) for r in got}) == 60  # repeated rows are scored alike
+    assert calls == {"_coded": 1, "_scored": 1} and names.count("lm-scored") == 1
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == rows
+
+
+def test_lm_id_and_pair_counts_match_brute_force():
+    pieces = M.Pieces(RANKS, P.PATTERN)
+    cls = np.append(np.arange(pieces.size) % M.CLASSES, 0)
+    words = [w.encode() for i in range(300) for w in (f"w{i}", "a\u3000b" + str(i), f"it's{i}", "\xa0x")] + [M.END]
+    c = np.arange(1, len(words) + 1)
+    batch = pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(c)], names=["word", "c"])
+    ids, pairs = Counter(), Counter()
+    for w, n in zip(words, c.tolist()):
+        before = 0
+        for i in [pieces.size] if w == M.END else pieces.enc.encode_ordinary(" " + w.decode()):
+            ids[i] += n
+            if cls[i] > M.OWN:
+                pairs[(before * M.CLASSES + int(cls[i])) * len(cls) + i] += n
+            before = int(cls[i])
+    assert {i: n for b in M._id_counts(RANKS, P.PATTERN)(iter([batch])) for i, n in zip(*(x.to_pylist() for x in b.columns))} == ids
+    got = Counter()
+    for b in M._pair_counts(RANKS, P.PATTERN, cls)(iter([batch.slice(0, 500), batch.slice(500)])):
+        for k, n in zip(*(x.to_pylist() for x in b.columns)):
+            got[k] += n
+    assert got == pairs
+    assert list(M._pair_counts(RANKS, P.PATTERN, cls)(iter([]))) == []
+
+
 def test_lm_empty(spark):
     assert M.report(spark.createDataFrame([], DOCS), RANKS, P.PATTERN).collect() == []
 
