@@ -9,16 +9,23 @@ The successor of a token is its most frequent next token, ties -> smallest token
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from parallax.functions.text import EOS, PAD_ID, SOS, UNK, get_tokenizer, with_markers
-from parallax.operators.dictionary import BOUND, Dictionary, map_arrays
+from parallax.functions.text import EOS, EOS_ID, PAD_ID, SOS, SOS_ID, UNK, UNK_ID, get_tokenizer, with_markers
+from parallax.operators.dictionary import BOUND, Dictionary, map_arrays, packed as _packed, unpacked as _unpacked
 from parallax.operators.ordering import sized_broadcast, top_k_per_group
 from parallax.operators.vocab import truncate_at
-from parallax.session import checkpoint_dir, scratch_path
+from parallax.session import checkpoint_dir, scratch_path, shuffle_partitions
 
 MAX_STEPS = 79   # generated tokens after <sos> within the 80-position limit
+DEALT = 1 << 21  # bigrams that a task counts at a time, and of a bucket
+HOT = 16         # times the number of buckets: tokens whose bigrams are dealt by both tokens
 
 
 def raw_bigrams(df: DataFrame, keep=("split",), tokenizer="words", text_col="tgt") -> DataFrame:
@@ -63,33 +70,143 @@ def split_bigrams(split_df: DataFrame, vocab_tgt: DataFrame, tokenizer="words",
     return raw_bigrams(split_df.filter(~rest), tokenizer=tokenizer, text_col=text_col).unionByName(mapped)
 
 
+def _spread(prev: np.ndarray, following: np.ndarray, hot: int, buckets: int) -> np.ndarray:
+    """The bucket of each bigram: by its first token, and by both if that is one of the ``hot``
+    most frequent."""
+    h = np.where(prev < hot, prev * 1_000_003 + following, prev).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((h >> np.uint64(33)) % np.uint64(buckets)).astype(np.uint16 if buckets < 1 << 16 else np.int64)
+
+
+def _lists(values: np.ndarray, many: np.ndarray) -> pa.Array:
+    """Consecutive runs of the values, packed."""
+    return _packed(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(many)).astype(np.int32)), pa.array(values)))
+
+
+def _dealt(hot: int, buckets: int):
+    """(bucket, split, prev, next, n) of (split, ids): distinct bigrams of some rows, sorted, as
+    packed lists of differences of their first ids, of second ids and of counts."""
+    def out(held: dict[str, list]) -> Iterator[pa.RecordBatch]:
+        for split, keys in held.items():
+            key, n = np.unique(np.concatenate(keys), return_counts=True)
+            prev, following = key >> 32, key & 0xFFFFFFFF
+            bucket = _spread(prev, following, hot, buckets)
+            order = np.argsort(bucket, kind="stable")
+            bucket, prev, following, n = (x[order] for x in (bucket, prev, following, n))
+            first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            many, step = np.diff(first, append=len(bucket)), np.diff(prev, prepend=0)
+            step[first] = prev[first]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[first].astype(np.int32)), pa.array([split] * len(first), pa.string()), _lists(step, many),
+                                              _lists(following, many), _lists(n, many)], names=["bucket", "split", "prev", "next", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = {}, 0
+        for batch in batches:
+            split, ids = batch.column(0).dictionary_encode(), batch.column(1)
+            flat, off = ids.flatten().to_numpy(), np.append(0, np.cumsum(ids.value_lengths().fill_null(0).to_numpy()))
+            if len(flat) and flat.max() >= 1 << 31:
+                raise OverflowError("a vocabulary has fewer than 2^31 tokens here")
+            key = (flat[:-1] << 32) | flat[1:]
+            of = np.repeat(split.indices.fill_null(-1).to_numpy(zero_copy_only=False), np.diff(off))[1:]
+            inside = np.ones(len(flat), bool)
+            inside[off[off < len(flat)]] = False  # what a row begins with follows nothing
+            for i, name in enumerate(split.dictionary.to_pylist()):
+                held.setdefault(name, []).append(key[inside[1:] & (of == i)])
+            size += len(key)
+            if size >= DEALT:
+                yield from out({k: v for k, v in held.items() if sum(map(len, v))})
+                held, size = {}, 0
+        yield from out({k: v for k, v in held.items() if sum(map(len, v))})
+
+    return run
+
+
+def _met(splits: tuple[str, ...]):
+    """(prev, next, n) of all dealt rows of a bucket: each bigram once, with its counts by split."""
+    def run(table: pa.Table) -> pa.Table:
+        keys, counts, of = [], [], []
+        for batch in table.to_batches():
+            prev, following, n = (_unpacked(batch.column(c)) for c in ("prev", "next", "n"))
+            many, step = prev.value_lengths().to_numpy(), prev.flatten().to_numpy()
+            total, first = np.cumsum(step), np.cumsum(many) - many
+            key = total - np.repeat(total[first] - step[first], many)  # sums begin anew in each row
+            keys.append((key << 32) | following.flatten().to_numpy())
+            counts.append(n.flatten().to_numpy())
+            of.append(np.repeat([splits.index(s) for s in batch.column("split").to_pylist()], many))
+        key, n, of = (np.concatenate(x) for x in (keys, counts, of))
+        order = np.argsort(key, kind="stable")
+        key, n, of = key[order], n[order], of[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        by_split = [pa.array(np.add.reduceat(np.where(of == i, n, 0), first)) for i in range(len(splits))]
+        return pa.table({"prev": key[first] >> 32, "next": key[first] & 0xFFFFFFFF, "n": pa.StructArray.from_arrays(by_split, names=list(splits))})
+
+    return run
+
+
+def numbered_bigrams(split_df: DataFrame, vocab_tgt: DataFrame, tokenizer="words", text_col: str = "tgt",
+                     splits: tuple[str, ...] = ("train", "val", "test"), bound: int = BOUND, again: bool = False) -> DataFrame:
+    """(prev, next, n): each bigram once, by the ids of its tokens (unknown: <unk>), with its
+    counts by split in ``n``.
+
+    Tokens become ids where they lie; a task counts its bigrams and deals them to buckets by
+    the first token (by both tokens after the most frequent ones, so no bucket gets all bigrams
+    of a hot token), sorted and packed, in a few bytes each.  A bucket has about ``DEALT``
+    occurrences.  ``again``: see ``map_arrays``."""
+    tokens = F.coalesce(get_tokenizer(tokenizer)(F.col(text_col)), F.array().cast("array<string>"))
+    rows = split_df.filter(F.col("split").isin(*splits) & F.col(text_col).isNotNull()).select("split", tokens.alias("ids"))
+    words = Dictionary(vocab_tgt.select(F.col("token").alias("key"), F.col("id").alias("value"), F.col("id").alias("rank")), UNK_ID)
+    ids = map_arrays(rows, {"ids": words}, bound, again).select(
+        "split", F.concat(F.array(F.lit(SOS_ID).cast("long")), "ids", F.array(F.lit(EOS_ID).cast("long"))).alias("ids"))
+    total = vocab_tgt.agg(F.sum("freq")).first()[0] or 0
+    buckets = max(shuffle_partitions(split_df.sparkSession), -(-total // DEALT))
+    dealt = ids.mapInArrow(_dealt(HOT * buckets, buckets), "bucket int, split string, prev binary, next binary, n binary")
+    counts = ", ".join(f"`{s}`: bigint" for s in splits)
+    return dealt.groupBy("bucket").applyInArrow(_met(splits), f"prev bigint, next bigint, n struct<{counts}>")
+
+
+def _by_split(ev: DataFrame, train_split: str, counts: DataFrame | None) -> tuple[DataFrame, list[str]]:
+    """(prev, next, c, n): each bigram once, with its count in the model and those by split, and the
+    names of the splits."""
+    if isinstance(ev.schema["n"].dataType, T.StructType):
+        splits = ev.schema["n"].dataType.names
+        wide = ev.select("prev", "next", *[F.coalesce(F.col("n")[s], F.lit(0)).alias(f"n{i}") for i, s in enumerate(splits)])
+        if counts is None:
+            return wide.withColumn("c", F.col(f"n{splits.index(train_split)}")), splits
+        rows = wide.withColumn("c", F.lit(0).cast("long")).unionByName(
+            counts.select("prev", "next", F.col("n").alias("c")), allowMissingColumns=True)
+    else:
+        splits = sorted(r.split for r in ev.select("split").filter("split is not null").distinct().collect())
+        rows = ev.select("prev", "next", *[F.when(F.col("split") == s, F.col("n")).alias(f"n{i}") for i, s in enumerate(splits)],
+                         (F.when(F.col("split") == train_split, F.col("n")) if counts is None else F.lit(None).cast("long")).alias("c"))
+        if counts is not None:
+            rows = rows.unionByName(counts.select("prev", "next", F.col("n").alias("c")), allowMissingColumns=True)
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("c", *[f"n{i}" for i in range(len(splits))])]
+    return rows.groupBy("prev", "next").agg(*sums), splits
+
+
 def cross_entropy(split_df: DataFrame, vocab_tgt: DataFrame, k: float = 1.0,
                   train_split: str = "train", counts: DataFrame | None = None,
                   tokenizer="words", text_col: str = "tgt", ev: DataFrame | None = None) -> DataFrame:
     """D8/D7 per split: (split, n_tokens, cross_entropy, perplexity).
 
-    ``ev`` (the per-split bigram table) may be passed in materialised; the model counts
-    are then its train rows, so the train bigrams are not built twice.  A bigram's model
-    count and its counts by split meet in one aggregation (one element for each split)."""
+    ``ev`` (the bigrams by split, of ``split_bigrams`` or ``numbered_bigrams``) may be passed in
+    materialised; the model counts are then its train rows, so the train bigrams are not built
+    twice.  -ln p is ln(c(prev) + k V) - ln(c(prev, next) + k), so the first part is summed by
+    token and the second by bigram, each over the occurrences with the same model count:
+    bigrams and totals of tokens need not meet."""
     V = vocab_tgt.count()
     if ev is None:
         ev = split_bigrams(split_df, vocab_tgt, tokenizer, text_col)
-    if counts is None:
-        counts = ev.filter(F.col("split") == train_split).select("prev", "next", "n")
-        model = F.sum(F.when(F.col("split") == train_split, F.col("n")))
-        rows = ev
-    else:
-        model = F.sum(F.when(F.col("split").isNull(), F.col("n")))
-        rows = ev.select("split", "prev", "next", "n").union(
-            counts.select(F.lit(None).cast("string"), "prev", "next", "n"))
-    prev_tot = counts.groupBy("prev").agg(F.sum("n").alias("cp"))
-    by_bigram = rows.groupBy("prev", "next").agg(
-        model.alias("c"), F.collect_list(F.when(F.col("split").isNotNull(), F.struct("split", "n"))).alias("_s"))
-    j = (by_bigram.join(prev_tot, "prev", "left")  # an aggregate: AQE sizes this join at run time
-         .select("c", "cp", F.inline("_s")))
-    p = (F.coalesce("c", F.lit(0)) + F.lit(k)) / (F.coalesce("cp", F.lit(0)) + F.lit(k * V))
-    g = j.groupBy("split").agg(F.sum("n").cast("long").alias("n_tokens"),
-                               (F.sum(F.col("n") * -F.log(p)) / F.sum("n")).alias("_x"))
+    wide, splits = _by_split(ev, train_split, counts)
+    ns = [f"n{i}" for i in range(len(splits))]
+    sums = [F.sum(n).alias(n) for n in ns]
+    by_bigram = wide.groupBy("c").agg(*sums).select((-F.log(F.col("c") + F.lit(k))).alias("x"), *ns, F.lit(True).alias("count"))
+    by_token = (wide.groupBy("prev").agg(F.sum("c").alias("c"), *sums).groupBy("c").agg(*sums)
+                .select(F.log(F.col("c") + F.lit(k * V)).alias("x"), *ns, F.lit(False).alias("count")))
+    each = F.explode(F.array(*[F.struct(F.lit(s).alias("split"), F.col(n).alias("n")) for s, n in zip(splits, ns)])) if splits else F.explode(
+        F.array().cast("array<struct<split:string,n:bigint>>"))
+    terms = by_bigram.unionByName(by_token).select("x", "count", each.alias("r")).select("x", "count", "r.split", "r.n")
+    total = F.sum(F.when(F.col("count"), F.col("n")))
+    g = terms.groupBy("split").agg(total.cast("long").alias("n_tokens"), (F.sum(F.col("n") * F.col("x")) / total).alias("_x")).filter("n_tokens > 0")
     return g.select("split", "n_tokens", F.round("_x", 6).alias("cross_entropy"),
                     F.round(F.exp("_x"), 6).alias("perplexity"))
 

@@ -62,3 +62,32 @@ def test_rows_without_rare_keys_are_not_shuffled(spark):
     assert sorted(map(tuple, got.collect())) == [(i, value(a), value(b)) for i, a, b in rows]
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" in plan and plan.count("Join ") == 4  # by column its found keys and its rows
+
+
+def test_numbers_packed_in_bytes():
+    import pyarrow as pa
+    rng = random.Random(3)
+    rows = [[rng.choice([None, 0, 1, -1, 63, 64, 127, 128, 8191, -8192, 1 << 31, -(1 << 40), (1 << 63) - 1]) for _ in range(rng.randrange(6))] for _ in range(300)] + [None, []]
+    for x in (rows, [], [None], [[]], [[None]]):
+        lists = pa.array(x, pa.list_(pa.int64()))
+        assert D.unpacked(D.packed(lists)).to_pylist() == x and D.unpacked(D.packed(lists.slice(1))).to_pylist() == x[1:]
+    small = pa.array([list(range(63))] * 9, pa.list_(pa.int64()))
+    assert all(len(b) == 63 for b in D.packed(small).to_pylist())
+
+
+@pytest.mark.parametrize("bound", [0, 1100 * 24, 1 << 30])
+def test_rows_that_can_be_read_again_are_not_written(spark, monkeypatch, bound):
+    """Words to numbers, numbers to words, and a column beside them that fits the bound."""
+    names = []
+    monkeypatch.setattr(D, "scratch_path", lambda s, name, of=D.scratch_path: (names.append(name), of(s, name))[1])
+    monkeypatch.setattr(D, "KEYS", 5)
+    rows = [(i % 7, [f"w{(i * k) % 3100}" for k in range(i % 5)] + [None] * (i % 3 == 0), [(i * k) % 3100 for k in range(i % 4)] if i % 11 else None, ["w1", "w9"]) for i in range(90)]
+    df = spark.createDataFrame(rows + rows[:5], "id long, a array<string>, b array<long>, c array<string>")
+    words = spark.createDataFrame([(f"w{i}", i, i) for i in range(3000)], "key string, value long, rank long")
+    back = spark.createDataFrame([(i, f"w{i}", i) for i in range(3000)], "key long, value string, rank long")
+    few = spark.createDataFrame([("w1", -5, 0)], "key string, value long, rank long")
+    got = D.map_arrays(df, {"a": D.Dictionary(words, -1), "b": D.Dictionary(back, "?"), "c": D.Dictionary(few, 0)}, bound, again=True).collect()
+    number = lambda w: int(w[1:]) if w and int(w[1:]) < 3000 else -1
+    want = [(i, [number(w) for w in a], None if b is None else [f"w{n}" if n < 3000 else "?" for n in b], [-5, 0]) for i, a, b, c in rows + rows[:5]]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert "half-mapped" not in names and ("rare-keys" in names) == (bound < 1 << 30)

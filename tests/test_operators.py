@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -283,3 +284,67 @@ def test_one_pass_writes_no_copy_of_the_corpus(spark):
     assert sum(r.n for r in got["bigram_counts"]) == sum(r.tgt_len + 1 for r in rows if r.split == "train")
     assert {r.split: r.n_tokens for r in got["cross_entropy"]} == {s: sum(r.tgt_len + 1 for r in rows if r.split == s) for s in ("train", "val", "test")}
     assert {r.pair_id for r in got["greedy_decode"]} == {r.pair_id for r in rows if r.split == "test"}
+
+
+def test_bigrams_by_number_equal_bigrams_by_token(spark, monkeypatch):
+    """Hot first tokens, unknown ones, tokens beyond the bound, no rows, a null text."""
+    from parallax.plans import bigram as G
+    rng = random.Random(4)
+    words = [f"t{i}" for i in range(40)]
+    rows = [(rng.choice(["train", "val", "test"]), [words[min(39, int(rng.expovariate(0.2)))] for _ in range(rng.randrange(9))]) for _ in range(150)] + [("train", None)]
+    sp = spark.createDataFrame(rows, "split string, toks array<string>")
+    seen = Counter(w for s, ts in rows if s != "test" for w in ts or [] if w != "t3")  # t3 is unknown
+    order = sorted(seen, key=lambda w: (-seen[w], w))
+    vocab = spark.createDataFrame([(i, t, 0) for i, t in enumerate(("<unk>", "<pad>", "<sos>", "<eos>"))] + [(i + 4, t, seen[t]) for i, t in enumerate(order)],
+                                  "id long, token string, freq long")
+    token = {r.id: r.token for r in vocab.collect()}
+    old = G.split_bigrams(sp, vocab, None, "toks")
+    want = {(r.split, r.prev, r.next): r.n for r in old.collect()}
+    monkeypatch.setattr(G, "HOT", 1)
+    for bound, dealt, again in ((1 << 20, 50, True), (0, 1 << 21, True), (0, 50, False)):
+        monkeypatch.setattr(G, "DEALT", dealt)
+        new = G.numbered_bigrams(sp, vocab, None, "toks", bound=bound, again=again)
+        got = new.collect()
+        assert len({(r.prev, r.next) for r in got}) == len(got)  # one row each
+        assert {(s, token[r.prev], token[r.next]): r.n[s] for r in got for s in ("train", "val", "test") if r.n[s]} == want
+    assert sorted(G.cross_entropy(sp, vocab, ev=new).collect()) == sorted(G.cross_entropy(sp, vocab, ev=old).collect())
+    outer = old.filter("split = 'val'").select("prev", "next", "n")
+    ids = {t: i for i, t in token.items()}
+    numbers = spark.createDataFrame([(ids[r.prev], ids[r.next], r.n) for r in outer.collect()], "prev long, next long, n long")
+    assert sorted(G.cross_entropy(sp, vocab, ev=new, counts=numbers).collect()) == sorted(G.cross_entropy(sp, vocab, ev=old, counts=outer).collect())
+    none = G.numbered_bigrams(sp.limit(0), vocab, None, "toks")
+    assert none.collect() == [] and G.cross_entropy(sp, vocab, ev=none).collect() == []
+
+
+def _texts(spark, name):
+    from parallax.session import scratch_path
+    folder = scratch_path(spark, name)
+    spark.createDataFrame([(i, f"a b{i}\nNA\nc{i} d\n\ne") for i in range(40)] + [(3, "a b\na b\nx"), (None, "p\nq"), (50, None), (51, "")],
+                          "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(c, t, ("user", "assistant")[t % 2], f"w{c} x{t}") for c in range(20) for t in range(4)],
+                          "conv_id long, turn int, role string, text string").write.parquet(f"{folder}/conversations.parquet")
+    spark.createDataFrame([(i, [float(i % 7), 1.0] * 32, i % 3) for i in range(30)], "vec_id long, embedding array<float>, label int").write.parquet(
+        f"{folder}/embeddings.parquet")
+    return folder
+
+
+def test_cross_entropy_is_counted_by_number(spark):
+    import os
+
+    from __spark_entry__ import queries
+    from parallax.session import checkpoint_dir
+    top = checkpoint_dir(spark).removeprefix("file:").rstrip("/") + "/scratch"
+    folder, before = _texts(spark, "by-number"), set(os.listdir(top))
+    queries()["perplexity"](spark, folder).collect()
+    new = [x for x in os.listdir(top) if x.startswith("bigrams-by-split-") and x not in before]
+    assert [dict(spark.read.parquet(f"{top}/{x}").dtypes)["prev"] for x in new] == ["bigint"]
+
+
+def test_lines_are_tokenized_once(spark):
+    from parallax.plans import prep as P
+    folder = _texts(spark, "lines")
+    for name in ("words", "script"):
+        got = P.pairs_b_tokens(spark, folder, name)
+        want = P.with_tokens(P.pairs_b(spark, folder), P.get_tokenizer(name))
+        assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert got._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
