@@ -348,3 +348,16 @@ def test_lines_are_tokenized_once(spark):
         want = P.with_tokens(P.pairs_b(spark, folder), P.get_tokenizer(name))
         assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
         assert got._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+
+
+@pytest.mark.parametrize("name", ["decode_ids"])
+def test_ids_are_made_without_a_copy_of_the_corpus(spark, name):
+    import os
+
+    from __spark_entry__ import queries
+    from parallax.session import checkpoint_dir
+    folder = _texts(spark, f"no-copy-{name.replace('_', '-')}")
+    top = checkpoint_dir(spark).removeprefix("file:").rstrip("/") + "/scratch"
+    copies = lambda: {x for x in os.listdir(top) if x.startswith("corpus-")}
+    before = copies()
+    assert queries()[name](spark, folder).collect() and copies() == before
