@@ -350,7 +350,7 @@ def test_lines_are_tokenized_once(spark):
         assert got._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
 
 
-@pytest.mark.parametrize("name", ["decode_ids"])
+@pytest.mark.parametrize("name", ["decode_ids", "embed_lookup"])
 def test_ids_are_made_without_a_copy_of_the_corpus(spark, name):
     import os
 
