@@ -350,7 +350,7 @@ def test_lines_are_tokenized_once(spark):
         assert got._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
 
 
-@pytest.mark.parametrize("name", ["decode_ids", "embed_lookup"])
+@pytest.mark.parametrize("name", ["decode_ids", "embed_lookup", "attn_cross"])
 def test_ids_are_made_without_a_copy_of_the_corpus(spark, name):
     import os
 
@@ -361,3 +361,17 @@ def test_ids_are_made_without_a_copy_of_the_corpus(spark, name):
     copies = lambda: {x for x in os.listdir(top) if x.startswith("corpus-")}
     before = copies()
     assert queries()[name](spark, folder).collect() and copies() == before
+
+
+def test_ids_of_keys_of_one_row_are_not_shuffled(spark, monkeypatch):
+    from parallax.operators import attention as AT
+    vectors = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(6)], "id long, v array<float>")
+    df = spark.createDataFrame([(s, [1, 2], [i, 3], [True, True]) for i, s in enumerate(["a", "b", "c"])], "s string, q array<long>, k array<long>, real array<boolean>")
+    plan = lambda x: x._jdf.queryExecution().executedPlan().toString()
+    one = AT.attention_of_ids(df, vectors, "s")
+    assert "Exchange" not in plan(one) and len(one.collect()) == 6
+    both = df.unionByName(df.filter("s = 'b'")).unionByName(df.select(F.lit(None).cast("string").alias("s"), "q", "k", "real"))
+    some = {bound: sorted(map(str, AT.attention_of_ids(both, vectors, "s", bound, keys=both.select("s")).collect())) for bound in (1 << 20, 20)}
+    monkeypatch.setattr(AT, "BROADCAST_MAX_ROWS", 0)  # so many repeated keys: all are grouped
+    assert some[1 << 20] == some[20] == sorted(map(str, AT.attention_of_ids(both, vectors, "s").collect()))
+    assert len(some[20]) == 2 * 3 + 2 + 6
