@@ -323,3 +323,17 @@ def test_network_learns_from_every_training_document(spark, monkeypatch):
     with pytest.raises(Seen) as found:
         M.report(docs, RANKS, P.PATTERN)
     assert found.value.args[0] == docs.filter(~M.held_out()).count() > 4000
+
+
+def test_lm_scores_are_products_of_one_shape(monkeypatch):
+    """A window has the same bits alone and among others, and no product depends on their number."""
+    rng = np.random.default_rng(6)
+    model = M.Attention(np.log(rng.random(M.CLASSES) + 0.1))
+    x, y = (rng.integers(0, M.CLASSES * M.CODES, (70, M.WIDTH)).astype(np.uint32) for _ in range(2))
+    ok = rng.random((70, M.WIDTH)) < 0.5
+    every, shapes = model.log_prob(x, y, ok), set()
+    product = np.matmul
+    monkeypatch.setattr(M.np, "matmul", lambda a, b, **to: (shapes.add((a.shape[-2:], b.shape[-2:])), product(a, b, **to))[1])
+    for n in (1, 2, 33, 70):
+        assert (model.log_prob(x[:n], y[:n], ok[:n]) == every[:ok[:n].sum()]).all()
+    assert {a[0] for a, _ in shapes} == {M.ALIKE, M.EACH}
